@@ -54,6 +54,8 @@ def run_stream(staged: DataFrame, path: str) -> DataFrame:
     settings = {
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # a store for each partition, of small rows: no space is set aside before it is needed
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
