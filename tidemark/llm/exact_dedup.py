@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE_CLASS, scratch
+from tidemark.llm.common import SPACE_CLASS, cut, scratch, stored
 
 #: Groups with more than one text whose digests are sent to all tasks at most: 32 bytes each and less than 10 MB in all.
 SENT_DIGESTS = 100_000
@@ -111,12 +111,13 @@ def exact_duplicates(
     )
     wrong = differing(texts, state)
     if not wrong.isEmpty():
+        wrong = cut(wrong.distinct())
         return out.join(wrong, "digest", "left_anti").drop("digest").unionByName(regrouped(staged, texts, wrong, name))
     return out.drop("digest")
 
 
 def differing(texts: DataFrame, state: DataFrame) -> DataFrame:
-    """Digests of hits whose bytes are not those of the row that stays."""
+    """Digests, some repeatedly, of hits whose bytes are not those of the row that stays."""
     hit = state.where("n > 1").select("digest", F.col("keep.id").alias("keep_id"))
     few = hit.limit(SENT_DIGESTS + 1).count() <= SENT_DIGESTS
     # all texts with a digest that occurs again: by a filter of proven size, or else by a join like any other
@@ -124,7 +125,8 @@ def differing(texts: DataFrame, state: DataFrame) -> DataFrame:
     found = texts.select("id", "digest", "text").join(F.broadcast(again) if few else again, "digest", "left_semi")
     first = texts.select(F.col("id").alias("keep_id"), "digest", F.col("text").alias("keep_text"))
     first = first.join(F.broadcast(hit) if few else hit, ["digest", "keep_id"], "left_semi").dropDuplicates(["digest"])
-    return found.join(first.drop("keep_id"), "digest").where("text <> keep_text").select("digest").distinct()
+    # stored, so that both sides come straight from an exchange and Spark can split a large group
+    return found.join(stored(first.drop("keep_id"), "first"), "digest").where("text <> keep_text").select("digest")
 
 
 def regrouped(staged: DataFrame, texts: DataFrame, wrong: DataFrame, name: str) -> DataFrame:
