@@ -7,13 +7,13 @@ bits).  Each segment's variants with one bit as wildcard are indexed, keyed by
 segment, wildcard and the other bits; fingerprints that may be near meet in an
 equality join on these keys and are verified by their full difference.
 
-Equal fingerprints are one row from the start.  Of a key's fingerprints, those
-near to its least one (the pivot) are linked to it alone, so a large group of
-near copies gives as many links as it has members, not all its pairs; pairs
-with a member that isn't near the pivot are compared and linked where they
-meet first.  The classes are those of all links: none between different texts
-is lost.  No key is gathered in one task: pivots are aggregates, and Spark
-splits the large partitions of the joins.
+Equal fingerprints are one row from the start.  First, fingerprints near to the
+least one of a key (the pivot) are linked to it, so a large group of near
+copies gives as many links as it has members, not all its pairs.  Then those of
+different components are compared, and linked where they meet first.  The
+classes are those of all links: none between different texts is lost.  No key
+is gathered in one task: pivots are aggregates, and Spark splits the large
+partitions of the joins.
 
 Null and empty texts have no words, fingerprint zero, and are linked like any
 other.  Repeated rows share fingerprint and class.  Columns besides id and text
@@ -93,27 +93,48 @@ def first_meeting(x: Column, cuts: list[tuple[int, int]]) -> Column:
     return found
 
 
-def near_links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b) links between nodes of (node, fp) with different fp, enough to connect all within the distance."""
-    cuts = segments(distance)
-    entry = F.struct("fp", "node")
-    rows = nodes.select("node", "fp", F.explode(variant_keys(F.col("fp"), cuts)).alias("key"))
-    pivots = rows.groupBy("key").agg(F.min(F.col("fp")).alias("pivot"), F.min(entry).alias("p"), F.count(F.lit(1)).alias("n"))
-    pivots = pivots.where("n > 1").select("key", "pivot", F.col("p.node").alias("pivot_node"))
-    away = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
-    met = cut(rows.join(pivots, "key").withColumn("near", away("fp", "pivot") <= distance))
-    to_pivot = met.where("near and node <> pivot_node").select(F.col("node").alias("a"), F.col("pivot_node").alias("b"))
-    far = met.where("not near").select("key", F.col("node").alias("a"), F.col("fp").alias("fa"))
-    other = met.select("key", F.col("node").alias("b"), F.col("fp").alias("fb"), "near")
-    difference = F.col("fa").bitwiseXOR(F.col("fb"))
-    once = (
-        (F.col("a_key") == F.col("key"))
-        & (F.col("near") | (F.col("fa") < F.col("fb")))
-        & (F.bit_count(difference) <= distance)
-        & (F.col("key").bitwiseAND(F.lit(4095)) == first_meeting(difference, cuts))
+def apart(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
+def pivot_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> DataFrame:
+    """(a, b) links from fingerprints to the least one of a key they share, if that is near."""
+    rows = fps.select("fp", F.explode(variant_keys(F.col("fp"), cuts)).alias("key"))
+    pivots = rows.groupBy("key").agg(F.min("fp").alias("pivot"))
+    near = rows.join(pivots, (rows["key"] == pivots["key"]) & (F.col("fp") != F.col("pivot")) & (apart("fp", "pivot") <= distance))
+    return near.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
+
+
+def other_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> DataFrame:
+    """(a, b) links between near fingerprints of (fp, component) that aren't in one component yet, each link once."""
+    rows = fps.select("fp", "component", F.explode(variant_keys(F.col("fp"), cuts)).alias("key"))
+    left, right = (rows.select(F.col("key").alias(f"key_{x}"), F.col("fp").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab")
+    met = (
+        (F.col("key_a") == F.col("key_b"))
+        & (F.col("a") < F.col("b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & (apart("a", "b") <= distance)
+        & (F.col("key_a").bitwiseAND(F.lit(4095)) == first_meeting(F.col("a").bitwiseXOR(F.col("b")), cuts))
     )
-    apart = far.withColumnRenamed("key", "a_key").join(other, once).select("a", "b")
-    return to_pivot.union(apart)
+    return left.join(right, met).select("a", "b")
+
+
+def components(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(fp, component) of distinct fingerprints; the component is its least fingerprint.
+
+    First all are linked to pivots.  Then only fingerprints of different
+    components are compared, so pairs within a large group are never made.
+    """
+    cuts = segments(distance)
+    stars = connected_components(pivot_links(fps, cuts, distance))
+    known = cut(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
+    joined = connected_components(other_links(known, cuts, distance).join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    named = known.join(joined.toDF("component", "larger"), "component", "left")
+    return named.select("fp", F.coalesce("larger", "component").alias("component"))
+
+
+def spread(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def near_duplicates(
@@ -126,9 +147,10 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fingerprint, component_id) of each row; the component is named by its least id."""
     marked = cut(fingerprints(docs, id_col, text_col, shingle_words, seed))
-    nodes = cut(marked.groupBy("fp").agg(F.min(id_col).alias("node")))
-    labels = connected_components(near_links(nodes, distance))
-    named = nodes.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    first = cut(marked.groupBy("fp").agg(F.min(id_col).alias("first")).repartition(spread(docs)))
+    labels = cut(components(first.select("fp"), distance))
+    least = labels.join(first, "fp").groupBy("component").agg(F.min("first").alias("component_id"))
+    named = labels.join(least, "component").select("fp", "component_id")
     return marked.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
