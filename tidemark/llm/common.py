@@ -15,7 +15,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that a Python worker handles at a time.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,6 +54,8 @@ def release(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; its texts go to Python workers in batches of a few megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

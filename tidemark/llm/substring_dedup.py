@@ -37,8 +37,8 @@ from tidemark.llm.common import cut, map_texts, release, slices, stored, text_by
 
 WINDOW, BLOCK = 20, 10
 #: Words that one hash range holds.
-RANGE_WORDS = 750_000
-SLICE = 2_000_000
+RANGE_WORDS = 400_000
+SLICE = 1_000_000
 NULL_ID = (1 << 63) - 1
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
