@@ -43,14 +43,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a Parquet table in the shared folder: like cut, but compressed, for rows with texts."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of steps whose results are stored: its cleaner follows the driver's garbage collector."""
-    spark.sparkContext._jvm.System.gc()
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")  # nothing reads the step's shuffle files once its rows are stored
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +83,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # an idle worker keeps no buffers
 
 
 def map_texts(

@@ -33,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, map_texts, release, slices, stored, text_bytes
+from tidemark.llm.common import cut, map_texts, slices, stored, text_bytes
 
 WINDOW, BLOCK = 20, 10
 #: Words that one hash range holds.
 RANGE_WORDS = 400_000
-SLICE = 1_000_000
+SLICE = 500_000
 NULL_ID = (1 << 63) - 1
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
@@ -164,7 +164,8 @@ def anchors(rows: DataFrame, n_ranges: int, block: int) -> DataFrame:
         hit = (index[k] == hashes) & (held[k] > indexed) if len(index) else np.zeros(len(ids), bool)
         return by_id(ids[hit], places[hit])
 
-    return rows.mapInArrow(pack, PACKED).groupBy("p").applyInArrow(probe, "id bigint, found binary")
+    packed_rows = rows.mapInArrow(pack, PACKED)
+    return packed_rows.groupBy("p").applyInArrow(probe, "id bigint, found binary")
 
 
 def repeats(rows: DataFrame, n_ranges: int, window: int, block: int) -> DataFrame:
@@ -234,14 +235,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words = whole.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     n_ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), words // RANGE_WORDS + 1)
     hits = stored(anchors(rows, n_ranges, block), "anchors")
-    release(spark)
     # a copy of a whole document goes whole, if it holds a window
     firsts = whole.groupBy("sha").agg(F.min("id").alias("first"))
     state = cut(whole.join(firsts, "sha").select("id", "n_words", "sha", (F.col("first") < F.col("id")).alias("copy")))
     compared = state.where(~F.col("copy")).select("id").distinct()
     hit = hits.groupBy("id").agg(F.collect_list("found").alias("found")).join(compared, "id", "left_semi")
     touched = stored(rows.join(hit, "id"), "touched")
-    release(spark)
     late = stored(repeats(touched, n_ranges, window, block), "repeats").groupBy("id").agg(F.collect_list("found").alias("late"))
     kept = touched.select("id", "text").join(late, "id", "left").mapInArrow(keep_words(window), f"id bigint, {RESULT}")
     others = state.join(touched.select("id").distinct(), "id", "left_anti")
