@@ -52,7 +52,13 @@ class Powers:
     def reach(self, n: int) -> None:
         if len(self.up) < n:
             n = max(n, 2 * SLICE)
-            self.up, self.down = (np.cumprod(np.concatenate([[1], np.full(n - 1, b, dtype=np.uint64)]).astype(np.uint64), dtype=np.uint64) for b in (BASE, INVERSE))
+            self.up, self.down = _powers(BASE, n), _powers(INVERSE, n)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, dtype=np.uint64)  # kept in 64 bits throughout: a mixed array would turn to floats
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
 
 
 def rolling_hashes(buffer: bytes, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
