@@ -1,0 +1 @@
+"""Event analytics on Spark: ingest, live counters, snapshots, alerts, lake and reports over a feed of page changes."""
