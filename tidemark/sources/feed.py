@@ -20,7 +20,7 @@ def ingest_raw_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame
 def _with_corrupt(schema):
     from pyspark.sql.types import StructType
 
-    return StructType(schema.fields).add("_corrupt", "string")
+    return StructType([*schema.fields]).add("_corrupt", "string")
 
 
 def decode_envelopes(df: DataFrame, column: str = "data") -> tuple[DataFrame, DataFrame]:

@@ -1,15 +1,28 @@
 """Declared schemas: no inference pass, missing fields are null."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
-META = "struct<uri:string,request_id:string,id:string,domain:string,stream:string,dt:string,topic:string,partition:int,offset:bigint>"
-RAW_FIELDS = (
-    f"meta {META}, id bigint, type string, namespace int, title string, title_url string, comment string, `timestamp` bigint, user string,"
-    " bot boolean, notify_url string, minor boolean, patrolled boolean, length struct<old:bigint,new:bigint>, revision struct<old:bigint,new:bigint>,"
+KINDS = {"string": StringType(), "bigint": LongType(), "int": IntegerType(), "boolean": BooleanType(), "timestamp": TimestampType(), "date": DateType()}
+
+
+def flat(columns: str, **nested: StructType) -> StructType:
+    """Columns as `name type` pairs, then nested ones; needs no running session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return StructType([StructField(n, KINDS[k]) for n, k in pairs] + [StructField(n, k) for n, k in nested.items()])
+
+
+META = flat("uri string, request_id string, id string, domain string, stream string, dt string, topic string, partition int, offset bigint")
+CHANGE = flat("old bigint, new bigint")
+RAW = flat(
+    "id bigint, type string, namespace int, title string, title_url string, comment string, timestamp bigint, user string,"
+    " bot boolean, notify_url string, minor boolean, patrolled boolean,"
     " server_url string, server_name string, server_script_path string, wiki string, parsedcomment string, log_id bigint, log_type string,"
-    " log_action string, log_params string, log_action_comment string"
+    " log_action string, log_params string, log_action_comment string",
+    meta=META,
+    length=CHANGE,
+    revision=CHANGE,
 )
-PAYLOAD_FIELDS = (
+PAYLOAD = flat(
     "wikimedia_recentchange_id bigint, id bigint, wiki string, domain string, stream string, request_id string, topic string, partition int, offset bigint,"
     " change_type string, namespace string, title string, title_url string, user string, user_is_bot string, bot string, is_minor string, minor string,"
     " is_patrolled string, patrolled string, comment string, parsedcomment string, source_timestamp bigint, old_length bigint, new_length bigint,"
@@ -17,12 +30,10 @@ PAYLOAD_FIELDS = (
     " raw_notify_url string, server_url string, server_name string, server_script_path string, log_type string, log_action string, log_params string"
 )
 HEADER = "event_id string, event_type string, event_version string, source string, occurred_at string, ingested_at string, correlation_id string"
-RAW = StructType.fromDDL(RAW_FIELDS)
-PAYLOAD = StructType.fromDDL(PAYLOAD_FIELDS)
-ENVELOPE = StructType.fromDDL(f"{HEADER}, payload struct<{PAYLOAD.simpleString()[7:-1]}>, raw_event struct<{RAW.simpleString()[7:-1]}>")
+ENVELOPE = flat(HEADER, payload=PAYLOAD, raw_event=RAW)
 PARTS = ("year", "month", "day", "hour")
-BRONZE = StructType(ENVELOPE.fields + StructType.fromDDL(", ".join(f"{p} string" for p in PARTS)).fields)
-SILVER = StructType.fromDDL(
+BRONZE = StructType(ENVELOPE.fields + [StructField(p, StringType()) for p in PARTS])
+SILVER = flat(
     "event_id string, occurred_at timestamp, ingestion_date date, wiki string, domain string, change_type string, namespace int, title string,"
     " title_url string, user string, user_is_bot boolean, is_minor boolean, is_patrolled boolean, old_length bigint, new_length bigint,"
     " delta_bytes bigint, revision_old bigint, revision_new bigint, change_url string, raw_notify_url string, log_type string, log_action string,"
