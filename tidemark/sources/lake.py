@@ -98,7 +98,7 @@ def compact(spark: SparkSession, path: str, first: tuple[str, ...], last: tuple[
     """Rewrites hours into files of about file_bytes, by way of a sibling folder so the input is never read while replaced."""
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     rows = spark.read.parquet(path).where(in_hours(first, last))
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     aside = f"{path.rstrip('/')}_compacting"
     rows.repartition(max(1, -(-size // file_bytes)), *PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(aside)
     spark.read.parquet(aside).repartition(*PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
