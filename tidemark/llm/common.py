@@ -60,6 +60,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column has."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id isn't in the one column of gone."""
+    name = fresh(docs, "_gone")
+    return docs.join(gone.toDF(name).distinct(), F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+
+
 def word_count(text: Column) -> Column:
     """Words of a text without splitting it into an array; null counts as empty."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD_CLASS)).cast("long")

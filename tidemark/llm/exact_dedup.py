@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE_CLASS, cut, scratch, stored
+from tidemark.llm.common import SPACE_CLASS, cut, scratch, stored, without
 
 #: Groups with more than one text whose digests are sent to all tasks at most: 32 bytes each and less than 10 MB in all.
 SENT_DIGESTS = 100_000
@@ -152,5 +152,4 @@ def _by(*columns: str):
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     found = exact_duplicates(docs, id_col, text_col)
-    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return without(docs, found.where(~F.col("kept")).select(id_col), id_col)

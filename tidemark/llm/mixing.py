@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, word_count
+from tidemark.llm.common import cut, fresh, word_count
 
 #: Weights of the sources in order of their names, repeating.
 CYCLE = (3, 1, 2)
@@ -174,10 +174,11 @@ def mix(
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with all its columns."""
     marked = mix(docs, id_col, text_col, source_col, **options)
-    times = marked.where("size > 0").select(F.col(id_col).alias("_taken_id"), F.floor(F.col("taken") / F.col("size")).cast("int").alias("_times")).where("_times > 0")
-    times = times.groupBy("_taken_id").agg(F.max("_times").alias("_times"))
-    joined = docs.join(times, F.col(id_col) == F.col("_taken_id"))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    times = marked.where("size > 0").select(F.col(id_col).alias("i"), F.floor(F.col("taken") / F.col("size")).cast("int").alias("n")).where("n > 0")
+    taken, n, copy = (fresh(docs, x) for x in ("_taken_id", "_times", "_copy"))
+    times = times.groupBy("i").agg(F.max("n")).toDF(taken, n)
+    joined = docs.join(times, F.col(id_col) == F.col(taken))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE_SQL = r"""

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import map_texts, without
 
 BITS = 18
 #: Labelled rows learned from at most: the sample is by a hash of the id, and these are the only rows that are capped.
@@ -137,5 +137,4 @@ def classified(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier doesn't reject, with all their columns; their ids' lowest score counts."""
     scores = classified(docs, labels, id_col, text_col, threshold)
-    gone = scores.where("predicted = 0").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return without(docs, scores.where("predicted = 0").select(id_col), id_col)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, map_texts
+from tidemark.llm.common import cut, map_texts, without
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS, DISTANCE, SEED, BITS = 4, 4, 42, 64
@@ -157,5 +157,4 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The document with the least id of each component, with all columns; rows that repeat its id stay with it."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without(docs, found.where(F.col(id_col) != F.col("component_id")).select(id_col), id_col)
