@@ -66,6 +66,28 @@ def test_simhash(spark, odd, texts):
     assert simhash.near_duplicates(odd.limit(0)).isEmpty()
 
 
+def test_one_of_similar_documents(spark, odd):
+    """Near copies of 0.8 or more, by brute force over word shingles, lose all but one; other documents stay."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: (r.text or "").lower().split() for r in rows.collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in texts.items()}
+    holders: dict[tuple, list] = {}
+    for i, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    met = {(a, b) for ids in holders.values() for a in ids for b in ids if a < b}
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in met}
+    got = simhash.near_duplicates(rows, **simhash.SIMILAR).collect()
+    group = {r.doc_id: r.component_id for r in got}
+    near = [p for p, j in alike.items() if j >= 0.8]
+    assert near and sum(group[a] == group[b] for a, b in near) >= 0.85 * len(near)
+    linked = {i for p, j in alike.items() if j >= 0.4 for i in p}
+    assert all(group[i] == i for i in group if i not in linked)
+    kept = [r.doc_id for r in simhash.one_of_each(rows).collect()]
+    assert sorted(kept) == sorted(i for i, c in group.items() if i == c)
+    assert {1, 4, 6, 7} == {r.doc_id for r in simhash.one_of_each(odd).collect()} and simhash.one_of_each(odd.limit(0)).isEmpty()
+
+
 def test_simhash_large_group(spark):
     """Many fingerprints a bit or two from each other are one component."""
     fps = [0] + [1 << i for i in range(63)] + [1 << i | 1 << j for i in range(0, 60, 3) for j in range(1, 60, 7) if i != j]
@@ -139,7 +161,10 @@ def test_quality_on_held_out_rows(spark, odd):
     scored = quality_ftrl.classified(docs, labels).join(labels, "doc_id").where("held_out")
     good, bad = ([r.score for r in scored.where(f"quality = {q}").collect()] for q in (1, 0))
     assert np.mean([g > b for g in good for b in bad]) > 0.95
+    kept = {r.doc_id for r in quality_ftrl.accepted(docs, labels).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in quality_ftrl.classified(docs, labels).where("predicted = 1").collect()}
     assert {r.score for r in quality_ftrl.classified(odd, labels.limit(0)).collect()} == {0.5}
+    assert quality_ftrl.accepted(odd, labels.limit(0)).count() == len(ODD) and quality_ftrl.accepted(odd.limit(0), labels).isEmpty()
 
 
 def test_exact_dedup_when_digests_collide(spark, odd):

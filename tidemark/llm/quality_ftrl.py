@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, without
+from tidemark.llm.common import map_texts, text_bytes
 
 BITS = 18
 #: Labelled rows learned from at most: the sample is by a hash of the id, and these are the only rows that are capped.
@@ -111,18 +111,21 @@ def train(
     return np.average([np.frombuffer(x["w"], dtype=np.float32) for x in fitted], axis=0, weights=[x["n"] for x in fitted]).astype(np.float32)
 
 
+def scores_of(texts: list[bytes], w: np.ndarray) -> pa.Array:
+    bits = (len(w) - 1).bit_length() - 1
+    out = []
+    for x in texts:
+        at, values = features(x, bits)
+        out.append(float(w[-1]) + float(w[at] @ values))
+    return pa.array(1 / (1 + np.exp(-np.clip(np.array(out, dtype=np.float64), -30, 30))), pa.float64())
+
+
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of each row: how likely its label is 1."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
-        w = sent.value
-        bits = (len(w) - 1).bit_length() - 1
-        out = []
-        for x in texts:
-            at, values = features(x, bits)
-            out.append(float(w[-1]) + float(w[at] @ values))
-        return [pa.array(1 / (1 + np.exp(-np.clip(np.array(out, dtype=np.float64), -30, 30))), pa.float64())]
+        return [scores_of(texts, sent.value)]
 
     return map_texts(docs, id_col, text_col, per_slice, [("score", "double")])
 
@@ -135,6 +138,10 @@ def classified(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier doesn't reject, with all their columns; their ids' lowest score counts."""
-    scores = classified(docs, labels, id_col, text_col, threshold)
-    return without(docs, scores.where("predicted = 0").select(id_col), id_col)
+    """The documents that the classifier doesn't reject, with all their columns: a filter where they are read."""
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col))
+
+    def own_score(text: pa.Array) -> pa.Array:
+        return scores_of(text_bytes(text), sent.value)
+
+    return docs.where(F.arrow_udf(own_score, "double")(F.col(text_col)) >= threshold)

@@ -15,6 +15,12 @@ classes are those of all links: none between different texts is lost.  No key
 is gathered in one task: pivots are aggregates, and Spark splits the large
 partitions of the joins.
 
+Four bits of 64 stand for texts that are almost equal; at a similarity of 0.8
+of five-word shingles about ten bits differ, too many for segments that tell
+texts apart.  For such a similarity (one_of_each, the pipeline) the keys come
+from a second fingerprint, of shingles of KEY_WORDS words, in which the same
+texts differ in about five bits, and what meets is verified by the first one.
+
 Null and empty texts have no words, fingerprint zero, and are linked like any
 other.  Repeated rows share fingerprint and class.  Columns besides id and text
 are ignored; an empty table gives an empty result.
@@ -31,6 +37,9 @@ from tidemark.llm.common import cut, map_texts, without
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS, DISTANCE, SEED, BITS = 4, 4, 42, 64
+#: For a similarity of 0.8 of five-word shingles: 9.7 bits are expected to differ there, with a deviation of 2.9.
+#: Keys from two-word shingles find what differs in 5 bits of these for certain, and most of what differs in more.
+SIMILAR = {"shingle_words": 5, "distance": 12, "key_words": 2, "key_distance": 5}
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -55,13 +64,19 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEE
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """(id, fp long) of each row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, seed: int = SEED, key_words: int | None = None) -> DataFrame:
+    """(id, fp long) of each row, and with key_words its fingerprint of such shingles as via."""
+    widths = {"fp": shingle_words} | ({"via": key_words} if key_words else {})
 
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
-        return [pa.array([fingerprint(x, shingle_words, seed) for x in texts], pa.int64())]
+        return [pa.array([fingerprint(x, n, seed) for x in texts], pa.int64()) for n in widths.values()]
+
+    return map_texts(docs, id_col, text_col, per_slice, [(name, "bigint") for name in widths])
 
-    return map_texts(docs, id_col, text_col, per_slice, [("fp", "bigint")])
+
+def keyed(fps: DataFrame, cuts: list[tuple[int, int]], *columns: str) -> DataFrame:
+    """Columns of each fingerprint once for each of its keys; keys are of via where the table has it."""
+    return fps.select(*columns, F.explode(variant_keys(F.col("via" if "via" in fps.columns else "fp"), cuts)).alias("key"))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -99,37 +114,39 @@ def apart(a: str, b: str) -> Column:
 
 def pivot_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> DataFrame:
     """(a, b) links from fingerprints to the least one of a key they share, if that is near."""
-    rows = fps.select("fp", F.explode(variant_keys(F.col("fp"), cuts)).alias("key"))
+    rows = keyed(fps, cuts, "fp")
     pivots = rows.groupBy("key").agg(F.min("fp").alias("pivot"))
     near = rows.join(pivots, (rows["key"] == pivots["key"]) & (F.col("fp") != F.col("pivot")) & (apart("fp", "pivot") <= distance))
     return near.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
 
 
 def other_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> DataFrame:
-    """(a, b) links between near fingerprints of (fp, component) that aren't in one component yet, each link once."""
-    rows = fps.select("fp", "component", F.explode(variant_keys(F.col("fp"), cuts)).alias("key"))
+    """(a, b) links between near fingerprints of (fp, component) that aren't in one component yet; each link once if keys are of fp."""
+    rows = keyed(fps, cuts, "fp", "component")
     left, right = (rows.select(F.col("key").alias(f"key_{x}"), F.col("fp").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab")
     met = (
         (F.col("key_a") == F.col("key_b"))
         & (F.col("a") < F.col("b"))
         & (F.col("component_a") != F.col("component_b"))
         & (apart("a", "b") <= distance)
-        & (F.col("key_a").bitwiseAND(F.lit(4095)) == first_meeting(F.col("a").bitwiseXOR(F.col("b")), cuts))
     )
+    if "via" not in fps.columns:
+        met &= F.col("key_a").bitwiseAND(F.lit(4095)) == first_meeting(F.col("a").bitwiseXOR(F.col("b")), cuts)
     return left.join(right, met).select("a", "b")
 
 
-def components(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(fp, component) of distinct fingerprints; the component is its least fingerprint.
+def components(fps: DataFrame, distance: int = DISTANCE, key_distance: int | None = None) -> DataFrame:
+    """(fp, component) of distinct fingerprints, or (fp, via) of them; the component is its least fingerprint.
 
     First all are linked to pivots.  Then only fingerprints of different
     components are compared, so pairs within a large group are never made.
     """
-    cuts = segments(distance)
+    cuts = segments(distance if key_distance is None else key_distance)
     stars = connected_components(pivot_links(fps, cuts, distance))
-    known = cut(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
-    joined = connected_components(other_links(known, cuts, distance).join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = known.join(joined.toDF("component", "larger"), "component", "left")
+    known = cut(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select(*fps.columns, F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
+    labels = known.select("fp", "component").distinct() if "via" in fps.columns else known
+    joined = connected_components(other_links(known, cuts, distance).join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    named = labels.join(joined.toDF("component", "larger"), "component", "left")
     return named.select("fp", F.coalesce("larger", "component").alias("component"))
 
 
@@ -144,17 +161,28 @@ def near_duplicates(
     shingle_words: int = SHINGLE_WORDS,
     distance: int = DISTANCE,
     seed: int = SEED,
+    key_words: int | None = None,
+    key_distance: int | None = None,
 ) -> DataFrame:
-    """(id, fingerprint, component_id) of each row; the component is named by its least id."""
-    marked = cut(fingerprints(docs, id_col, text_col, shingle_words, seed))
+    """(id, fingerprint, component_id) of each row; the component is named by its least id.
+
+    key_words: keys come from shingles of so many words, cut for key_distance
+    differing bits; all pairs that meet and differ in at most distance bits of
+    the fingerprint are linked.
+    """
+    marked = cut(fingerprints(docs, id_col, text_col, shingle_words, seed, key_words))
     first = cut(marked.groupBy("fp").agg(F.min(id_col).alias("first")).repartition(spread(docs)))
-    labels = cut(components(first.select("fp"), distance))
+    nodes = cut(marked.select("fp", "via").distinct().repartition(spread(docs))) if key_words else first.select("fp")
+    labels = cut(components(nodes, distance, key_distance))
     least = labels.join(first, "fp").groupBy("component").agg(F.min("first").alias("component_id"))
     named = labels.join(least, "component").select("fp", "component_id")
     return marked.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the least id of each component, with all columns; rows that repeat its id stay with it."""
-    found = near_duplicates(docs, id_col, text_col, **options)
+    """The document with the least id of each component, with all columns; rows that repeat its id stay with it.
+
+    Options are those of near_duplicates; by default they are for a similarity of 0.8 of five-word shingles.
+    """
+    found = near_duplicates(docs, id_col, text_col, **SIMILAR | options)
     return without(docs, found.where(F.col(id_col) != F.col("component_id")).select(id_col), id_col)
