@@ -10,7 +10,9 @@ equality join on these keys and are verified by their full difference.
 Equal fingerprints are one row from the start.  First, fingerprints near to the
 least one of a key (the pivot) are linked to it, so a large group of near
 copies gives as many links as it has members, not all its pairs.  Then those of
-different components are compared, and linked where they meet first.  The
+different components are compared, and linked where they meet first; before that, with
+keys of a second fingerprint, what keys hold several components is linked to
+more pivots.  The
 classes are those of all links: none between different texts is lost.  No key
 is gathered in one task: pivots are aggregates, and Spark splits the large
 partitions of the joins.
@@ -39,6 +41,7 @@ from tidemark.llm.components import connected_components
 SHINGLE_WORDS, DISTANCE, SEED, BITS = 4, 4, 42, 64
 #: For a similarity of 0.8 of five-word shingles: 9.7 bits are expected to differ there, with a deviation of 2.9.
 #: Keys from two-word shingles find what differs in 5 bits of these for certain, and most of what differs in more.
+PIVOTS = 16
 SIMILAR = {"shingle_words": 5, "distance": 12, "key_words": 2, "key_distance": 5}
 
 
@@ -120,9 +123,29 @@ def pivot_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> D
     return near.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
 
 
-def other_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> DataFrame:
-    """(a, b) links between near fingerprints of (fp, component) that aren't in one component yet; each link once if keys are of fp."""
-    rows = keyed(fps, cuts, "fp", "component")
+def open_rows(rows: DataFrame) -> DataFrame:
+    """Rows of (key, fp, component) whose key holds more than one component."""
+    mixed = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    return rows.join(mixed.select("key"), "key")
+
+
+def many_pivot_links(rows: DataFrame, distance: int) -> DataFrame:
+    """(a, b) links from fingerprints to the first and last near one of PIVOTS pivots of a key.
+
+    Pivots are the least fingerprints after bits have been flipped.  In a large
+    group whose members are near to each other often, but not always, all but a
+    few come into one component this way.
+    """
+    flips = [(k * 0x9E3779B97F4A7C15) % (1 << 63) for k in range(PIVOTS)]
+    pivots = rows.groupBy("key").agg(*[F.min(F.col("fp").bitwiseXOR(F.lit(x))).alias(f"p{k}") for k, x in enumerate(flips)])
+    every = F.array(*[F.col(f"p{k}").bitwiseXOR(F.lit(x)) for k, x in enumerate(flips)])
+    near = F.filter(every, lambda x: (x != F.col("fp")) & (F.bit_count(x.bitwiseXOR(F.col("fp"))) <= distance))
+    found = rows.join(pivots, "key").select("fp", near.alias("near")).where(F.size("near") > 0)
+    return found.select(F.col("fp").alias("a"), F.explode(F.array_distinct(F.array(F.element_at("near", 1), F.element_at("near", -1)))).alias("b"))
+
+
+def other_links(rows: DataFrame, cuts: list[tuple[int, int]], distance: int, once: bool) -> DataFrame:
+    """(a, b) links between near fingerprints of (key, fp, component) that aren't in one component yet; once: keys are of fp, and each link comes once."""
     left, right = (rows.select(F.col("key").alias(f"key_{x}"), F.col("fp").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab")
     met = (
         (F.col("key_a") == F.col("key_b"))
@@ -130,7 +153,7 @@ def other_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> D
         & (F.col("component_a") != F.col("component_b"))
         & (apart("a", "b") <= distance)
     )
-    if "via" not in fps.columns:
+    if once:
         met &= F.col("key_a").bitwiseAND(F.lit(4095)) == first_meeting(F.col("a").bitwiseXOR(F.col("b")), cuts)
     return left.join(right, met).select("a", "b")
 
@@ -144,10 +167,25 @@ def components(fps: DataFrame, distance: int = DISTANCE, key_distance: int | Non
     cuts = segments(distance if key_distance is None else key_distance)
     stars = connected_components(pivot_links(fps, cuts, distance))
     known = cut(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select(*fps.columns, F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
-    labels = known.select("fp", "component").distinct() if "via" in fps.columns else known
-    joined = connected_components(other_links(known, cuts, distance).join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = labels.join(joined.toDF("component", "larger"), "component", "left")
-    return named.select("fp", F.coalesce("larger", "component").alias("component"))
+    rows, labels = keyed(known, cuts, "fp", "component"), known
+    if "via" in fps.columns:
+        labels = cut(known.select("fp", "component").distinct())
+        rows = cut(open_rows(rows))
+        more = merged(labels, many_pivot_links(rows, distance))
+        labels = cut(relabelled(labels, more))
+        rows = cut(open_rows(relabelled(rows, more)))
+    return relabelled(labels, merged(labels, other_links(rows, cuts, distance, "via" not in fps.columns)))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(component, larger): the components that links between fingerprints join."""
+    ends = links.join(labels.select("fp", "component").toDF("a", "x"), "a").join(labels.select("fp", "component").toDF("b", "y"), "b")
+    return connected_components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).toDF("component", "larger")
+
+
+def relabelled(rows: DataFrame, larger: DataFrame) -> DataFrame:
+    others = [c for c in rows.columns if c not in ("via", "component")]
+    return rows.join(larger, "component", "left").select(*others, F.coalesce("larger", "component").alias("component"))
 
 
 def spread(df: DataFrame) -> int:
