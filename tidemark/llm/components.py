@@ -8,26 +8,29 @@ component nor a node's neighbours are ever gathered, only their minimum is.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """(node, component) of every node in (a, b) links of type long; the component is its least node.
 
     Links may repeat, stand in either direction or join a node to itself;
-    nulls must not occur.  No links give no rows.
+    nulls must not occur.  No links give no rows.  keep puts a step's rows on
+    the shared folder.
     """
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now, before = cut(ordered), None
+    now, before = keep(ordered), None
     while True:
         mark = now.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
         if mark == before or mark[0] == 0:
             return star_labels(now)
         before = mark
-        now = cut(small_star(large_star(now)))
+        now = keep(small_star(large_star(now)))
 
 
 def large_star(links: DataFrame) -> DataFrame:

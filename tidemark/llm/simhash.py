@@ -30,12 +30,14 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, map_texts, without
+from tidemark.llm.common import cut, map_texts, stored, without
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS, DISTANCE, SEED, BITS = 4, 4, 42, 64
@@ -130,22 +132,23 @@ def open_rows(rows: DataFrame) -> DataFrame:
 
 
 def many_pivot_links(rows: DataFrame, distance: int) -> DataFrame:
-    """(a, b) links from fingerprints to the first and last near one of PIVOTS pivots of a key.
+    """(a, b) links of components: a fingerprint's own to those of the first and last near one of PIVOTS pivots of a key.
 
     Pivots are the least fingerprints after bits have been flipped.  In a large
     group whose members are near to each other often, but not always, all but a
     few come into one component this way.
     """
     flips = [(k * 0x9E3779B97F4A7C15) % (1 << 63) for k in range(PIVOTS)]
-    pivots = rows.groupBy("key").agg(*[F.min(F.col("fp").bitwiseXOR(F.lit(x))).alias(f"p{k}") for k, x in enumerate(flips)])
-    every = F.array(*[F.col(f"p{k}").bitwiseXOR(F.lit(x)) for k, x in enumerate(flips)])
-    near = F.filter(every, lambda x: (x != F.col("fp")) & (F.bit_count(x.bitwiseXOR(F.col("fp"))) <= distance))
-    found = rows.join(pivots, "key").select("fp", near.alias("near")).where(F.size("near") > 0)
-    return found.select(F.col("fp").alias("a"), F.explode(F.array_distinct(F.array(F.element_at("near", 1), F.element_at("near", -1)))).alias("b"))
+    pivots = rows.groupBy("key").agg(*[F.min(F.struct(F.col("fp").bitwiseXOR(F.lit(x)).alias("x"), F.col("component").alias("c"))).alias(f"p{k}") for k, x in enumerate(flips)])
+    every = F.array(*[F.struct(F.col(f"p{k}.x").bitwiseXOR(F.lit(x)).alias("x"), F.col(f"p{k}.c").alias("c")) for k, x in enumerate(flips)])
+    near = F.filter(every, lambda p: (p["c"] != F.col("component")) & (F.bit_count(p["x"].bitwiseXOR(F.col("fp"))) <= distance))
+    found = rows.join(pivots, "key").select("component", near.alias("near")).where(F.size("near") > 0)
+    ends = F.array(F.element_at("near", 1)["c"], F.element_at("near", -1)["c"])
+    return found.select(F.col("component").alias("a"), F.explode(F.array_distinct(ends)).alias("b"))
 
 
 def other_links(rows: DataFrame, cuts: list[tuple[int, int]], distance: int, once: bool) -> DataFrame:
-    """(a, b) links between near fingerprints of (key, fp, component) that aren't in one component yet; once: keys are of fp, and each link comes once."""
+    """(a, b) links of components that hold near fingerprints, of (key, fp, component); once: keys are of fp, and each pair of these meets once."""
     left, right = (rows.select(F.col("key").alias(f"key_{x}"), F.col("fp").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab")
     met = (
         (F.col("key_a") == F.col("key_b"))
@@ -155,7 +158,7 @@ def other_links(rows: DataFrame, cuts: list[tuple[int, int]], distance: int, onc
     )
     if once:
         met &= F.col("key_a").bitwiseAND(F.lit(4095)) == first_meeting(F.col("a").bitwiseXOR(F.col("b")), cuts)
-    return left.join(right, met).select("a", "b")
+    return left.join(right, met).select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
 
 
 def components(fps: DataFrame, distance: int = DISTANCE, key_distance: int | None = None) -> DataFrame:
@@ -165,22 +168,23 @@ def components(fps: DataFrame, distance: int = DISTANCE, key_distance: int | Non
     components are compared, so pairs within a large group are never made.
     """
     cuts = segments(distance if key_distance is None else key_distance)
-    stars = connected_components(pivot_links(fps, cuts, distance))
-    known = cut(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select(*fps.columns, F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
+    two = "via" in fps.columns
+    keep = (lambda df: stored(df, "near")) if two else cut  # more steps than one fingerprint takes: each one's shuffle files go
+    stars = connected_components(pivot_links(fps, cuts, distance), keep)
+    known = keep(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select(*fps.columns, F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
     rows, labels = keyed(known, cuts, "fp", "component"), known
-    if "via" in fps.columns:
-        labels = cut(known.select("fp", "component").distinct())
-        rows = cut(open_rows(rows))
-        more = merged(labels, many_pivot_links(rows, distance))
-        labels = cut(relabelled(labels, more))
-        rows = cut(open_rows(relabelled(rows, more)))
-    return relabelled(labels, merged(labels, other_links(rows, cuts, distance, "via" not in fps.columns)))
-
-
-def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(component, larger): the components that links between fingerprints join."""
-    ends = links.join(labels.select("fp", "component").toDF("a", "x"), "a").join(labels.select("fp", "component").toDF("b", "y"), "b")
-    return connected_components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).toDF("component", "larger")
+    if two:
+        labels = known.select("fp", "component").distinct()
+        rows = keep(open_rows(rows))
+        more = merged(many_pivot_links(rows, distance), keep)
+        labels = keep(relabelled(labels, more))
+        rows = keep(open_rows(relabelled(rows, more)))
+    return relabelled(labels, merged(other_links(rows, cuts, distance, not two), keep))
+
+
+def merged(links: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(component, larger): the components that links between them join."""
+    return connected_components(links, keep).toDF("component", "larger")
 
 
 def relabelled(rows: DataFrame, larger: DataFrame) -> DataFrame:
