@@ -200,3 +200,26 @@ def test_pipeline(spark, texts):
             assert len(kept) == len(set(kept))
     final = p.STAGES[-1][1](spark, docs, DATA).collect()
     assert final and all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in final)
+
+
+@pytest.mark.parametrize("sf", ["sf0.1"])
+def test_near_stage_drops_what_has_a_similar_partner(spark, sf):
+    """By brute force over word shingles: each linked document has a partner of 0.8 or more in its component, and all such pairs are linked."""
+    rows = exact_dedup.deduplicated(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"))
+    split = {r.doc_id: (r.text or "").lower().split() for r in rows.collect()}
+    sets = {i: {hash(tuple(w[k : k + 5])) for k in range(max(1, len(w) - 4))} for i, w in split.items()}
+    holders: dict[int, list] = {}
+    for i, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    met: set[tuple] = set()
+    for i, s in sets.items():
+        # of 0.8 or more, one of any so many of the shingles is shared: the rarest are tried
+        rare = sorted(s, key=lambda x: len(holders[x]))[: len(s) // 5 + 1]
+        met |= {(min(i, j), max(i, j)) for x in rare for j in holders[x] if i != j}
+    similar = {(a, b) for a, b in met if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    group = {r.doc_id: r.component_id for r in simhash.near_duplicates(rows, **simhash.SIMILAR).collect()}
+    assert similar and all(group[a] == group[b] for a, b in similar)
+    backed = {x for a, b in similar for x in (a, b)}
+    gone = set(sets) - {r.doc_id for r in simhash.one_of_each(rows, **simhash.SIMILAR).collect()}
+    assert gone == {i for i, c in group.items() if i != c} and gone <= backed

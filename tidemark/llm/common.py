@@ -67,6 +67,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def located(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, stored, with a number of their own that tells equal rows and rows with one id apart; that column's name."""
+    row = fresh(docs, "_row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
 def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """The rows whose id isn't in the one column of gone."""
     name = fresh(docs, "_gone")

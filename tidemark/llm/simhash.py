@@ -10,18 +10,15 @@ equality join on these keys and are verified by their full difference.
 Equal fingerprints are one row from the start.  First, fingerprints near to the
 least one of a key (the pivot) are linked to it, so a large group of near
 copies gives as many links as it has members, not all its pairs.  Then those of
-different components are compared, and linked where they meet first; before that, with
-keys of a second fingerprint, what keys hold several components is linked to
-more pivots.  The
+different components are compared, and linked where they meet first.  The
 classes are those of all links: none between different texts is lost.  No key
 is gathered in one task: pivots are aggregates, and Spark splits the large
 partitions of the joins.
 
 Four bits of 64 stand for texts that are almost equal; at a similarity of 0.8
-of five-word shingles about ten bits differ, too many for segments that tell
-texts apart.  For such a similarity (one_of_each, the pipeline) the keys come
-from a second fingerprint, of shingles of KEY_WORDS words, in which the same
-texts differ in about five bits, and what meets is verified by the first one.
+of five-word shingles about ten bits differ, too many to tell texts apart by.
+For such a similarity (one_of_each, the pipeline) rows are linked by their
+shingles themselves: see similar.
 
 Null and empty texts have no words, fingerprint zero, and are linked like any
 other.  Repeated rows share fingerprint and class.  Columns besides id and text
@@ -30,21 +27,18 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, map_texts, stored, without
+from tidemark.llm.common import cut, located, map_texts, without
 from tidemark.llm.components import connected_components
+from tidemark.llm.similar import similar_components
 
 SHINGLE_WORDS, DISTANCE, SEED, BITS = 4, 4, 42, 64
-#: For a similarity of 0.8 of five-word shingles: 9.7 bits are expected to differ there, with a deviation of 2.9.
-#: Keys from two-word shingles find what differs in 5 bits of these for certain, and most of what differs in more.
-PIVOTS = 16
-SIMILAR = {"shingle_words": 5, "distance": 12, "key_words": 2, "key_distance": 5}
+#: Copies of documents: a Jaccard similarity of 0.8 or more of the sets of five-word shingles.
+SIMILAR = {"shingle_words": 5, "similarity": 0.8}
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -69,19 +63,18 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEE
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, seed: int = SEED, key_words: int | None = None) -> DataFrame:
-    """(id, fp long) of each row, and with key_words its fingerprint of such shingles as via."""
-    widths = {"fp": shingle_words} | ({"via": key_words} if key_words else {})
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
+    """(id, fp long) of each row."""
 
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
-        return [pa.array([fingerprint(x, n, seed) for x in texts], pa.int64()) for n in widths.values()]
+        return [pa.array([fingerprint(x, shingle_words, seed) for x in texts], pa.int64())]
 
-    return map_texts(docs, id_col, text_col, per_slice, [(name, "bigint") for name in widths])
+    return map_texts(docs, id_col, text_col, per_slice, [("fp", "bigint")])
 
 
 def keyed(fps: DataFrame, cuts: list[tuple[int, int]], *columns: str) -> DataFrame:
-    """Columns of each fingerprint once for each of its keys; keys are of via where the table has it."""
-    return fps.select(*columns, F.explode(variant_keys(F.col("via" if "via" in fps.columns else "fp"), cuts)).alias("key"))
+    """Columns of each fingerprint once for each of its keys."""
+    return fps.select(*columns, F.explode(variant_keys(F.col("fp"), cuts)).alias("key"))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -125,71 +118,30 @@ def pivot_links(fps: DataFrame, cuts: list[tuple[int, int]], distance: int) -> D
     return near.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
 
 
-def open_rows(rows: DataFrame) -> DataFrame:
-    """Rows of (key, fp, component) whose key holds more than one component."""
-    mixed = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
-    return rows.join(mixed.select("key"), "key")
-
-
-def many_pivot_links(rows: DataFrame, distance: int) -> DataFrame:
-    """(a, b) links of components: a fingerprint's own to those of the first and last near one of PIVOTS pivots of a key.
-
-    Pivots are the least fingerprints after bits have been flipped.  In a large
-    group whose members are near to each other often, but not always, all but a
-    few come into one component this way.
-    """
-    flips = [(k * 0x9E3779B97F4A7C15) % (1 << 63) for k in range(PIVOTS)]
-    pivots = rows.groupBy("key").agg(*[F.min(F.struct(F.col("fp").bitwiseXOR(F.lit(x)).alias("x"), F.col("component").alias("c"))).alias(f"p{k}") for k, x in enumerate(flips)])
-    every = F.array(*[F.struct(F.col(f"p{k}.x").bitwiseXOR(F.lit(x)).alias("x"), F.col(f"p{k}.c").alias("c")) for k, x in enumerate(flips)])
-    near = F.filter(every, lambda p: (p["c"] != F.col("component")) & (F.bit_count(p["x"].bitwiseXOR(F.col("fp"))) <= distance))
-    found = rows.join(pivots, "key").select("component", near.alias("near")).where(F.size("near") > 0)
-    ends = F.array(F.element_at("near", 1)["c"], F.element_at("near", -1)["c"])
-    return found.select(F.col("component").alias("a"), F.explode(F.array_distinct(ends)).alias("b"))
-
-
-def other_links(rows: DataFrame, cuts: list[tuple[int, int]], distance: int, once: bool) -> DataFrame:
-    """(a, b) links of components that hold near fingerprints, of (key, fp, component); once: keys are of fp, and each pair of these meets once."""
+def other_links(rows: DataFrame, cuts: list[tuple[int, int]], distance: int) -> DataFrame:
+    """(a, b) links of components that hold near fingerprints, of (key, fp, component); each pair of fingerprints meets once."""
     left, right = (rows.select(F.col("key").alias(f"key_{x}"), F.col("fp").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab")
     met = (
         (F.col("key_a") == F.col("key_b"))
         & (F.col("a") < F.col("b"))
         & (F.col("component_a") != F.col("component_b"))
         & (apart("a", "b") <= distance)
+        & (F.col("key_a").bitwiseAND(F.lit(4095)) == first_meeting(F.col("a").bitwiseXOR(F.col("b")), cuts))
     )
-    if once:
-        met &= F.col("key_a").bitwiseAND(F.lit(4095)) == first_meeting(F.col("a").bitwiseXOR(F.col("b")), cuts)
     return left.join(right, met).select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
 
 
-def components(fps: DataFrame, distance: int = DISTANCE, key_distance: int | None = None) -> DataFrame:
-    """(fp, component) of distinct fingerprints, or (fp, via) of them; the component is its least fingerprint.
+def components(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(fp, component) of distinct fingerprints; the component is its least fingerprint.
 
     First all are linked to pivots.  Then only fingerprints of different
     components are compared, so pairs within a large group are never made.
     """
-    cuts = segments(distance if key_distance is None else key_distance)
-    two = "via" in fps.columns
-    keep = (lambda df: stored(df, "near")) if two else cut  # more steps than one fingerprint takes: each one's shuffle files go
-    stars = connected_components(pivot_links(fps, cuts, distance), keep)
-    known = keep(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select(*fps.columns, F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
-    rows, labels = keyed(known, cuts, "fp", "component"), known
-    if two:
-        labels = known.select("fp", "component").distinct()
-        rows = keep(open_rows(rows))
-        more = merged(many_pivot_links(rows, distance), keep)
-        labels = keep(relabelled(labels, more))
-        rows = keep(open_rows(relabelled(rows, more)))
-    return relabelled(labels, merged(other_links(rows, cuts, distance, not two), keep))
-
-
-def merged(links: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(component, larger): the components that links between them join."""
-    return connected_components(links, keep).toDF("component", "larger")
-
-
-def relabelled(rows: DataFrame, larger: DataFrame) -> DataFrame:
-    others = [c for c in rows.columns if c not in ("via", "component")]
-    return rows.join(larger, "component", "left").select(*others, F.coalesce("larger", "component").alias("component"))
+    cuts = segments(distance)
+    stars = connected_components(pivot_links(fps, cuts, distance))
+    known = cut(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")).repartition(spread(fps)))
+    larger = connected_components(other_links(keyed(known, cuts, "fp", "component"), cuts, distance)).toDF("component", "larger")
+    return known.join(larger, "component", "left").select("fp", F.coalesce("larger", "component").alias("component"))
 
 
 def spread(df: DataFrame) -> int:
@@ -203,28 +155,39 @@ def near_duplicates(
     shingle_words: int = SHINGLE_WORDS,
     distance: int = DISTANCE,
     seed: int = SEED,
-    key_words: int | None = None,
-    key_distance: int | None = None,
+    similarity: float | None = None,
 ) -> DataFrame:
     """(id, fingerprint, component_id) of each row; the component is named by its least id.
 
-    key_words: keys come from shingles of so many words, cut for key_distance
-    differing bits; all pairs that meet and differ in at most distance bits of
-    the fingerprint are linked.
+    similarity: rows are linked where their shingle sets have this Jaccard
+    similarity or more, whatever bits their fingerprints differ in.
     """
-    marked = cut(fingerprints(docs, id_col, text_col, shingle_words, seed, key_words))
+    code = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    if similarity is not None:
+        rows, row = located(docs.select(id_col, text_col))
+        named = cut(grouped(rows, row, id_col, text_col, shingle_words, similarity))
+        least = named.groupBy("component").agg(F.min(id_col).alias("component_id"))
+        codes = fingerprints(rows, row, text_col, shingle_words, seed).join(named, row).select(id_col, code, "component")
+        return codes.join(least, "component").select(id_col, "fingerprint", "component_id")
+    marked = cut(fingerprints(docs, id_col, text_col, shingle_words, seed))
     first = cut(marked.groupBy("fp").agg(F.min(id_col).alias("first")).repartition(spread(docs)))
-    nodes = cut(marked.select("fp", "via").distinct().repartition(spread(docs))) if key_words else first.select("fp")
-    labels = cut(components(nodes, distance, key_distance))
+    labels = cut(components(first.select("fp"), distance))
     least = labels.join(first, "fp").groupBy("component").agg(F.min("first").alias("component_id"))
     named = labels.join(least, "component").select("fp", "component_id")
-    return marked.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return marked.join(named, "fp").select(id_col, code, "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the least id of each component, with all columns; rows that repeat its id stay with it.
+def grouped(rows: DataFrame, row: str, id_col: str, text_col: str, shingle_words: int, similarity: float) -> DataFrame:
+    """(row, id, component) of each row, the component by similarity."""
+    linked = similar_components(rows, row, text_col, shingle_words, similarity).withColumnRenamed("node", row)
+    return rows.select(row, id_col).join(linked, row, "left").withColumn("component", F.coalesce("component", row))
 
-    Options are those of near_duplicates; by default they are for a similarity of 0.8 of five-word shingles.
-    """
-    found = near_duplicates(docs, id_col, text_col, **SIMILAR | options)
-    return without(docs, found.where(F.col(id_col) != F.col("component_id")).select(id_col), id_col)
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The row with the least id of each component of similar rows, with all columns; null ids come last, of rows that repeat the least id one stays."""
+    rows, row = located(docs)
+    linked = similar_components(rows, row, text_col, shingle_words, similarity).withColumnRenamed("node", "_node")
+    marked = cut(rows.select(F.col(row).alias("_node"), F.col(id_col).alias("_id")).join(linked, "_node"))
+    stays = marked.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_node"))["_node"].alias("_stays"))
+    gone = marked.join(stays, "component").where("_node <> _stays").select("_node")
+    return without(rows, gone, row).drop(row)
