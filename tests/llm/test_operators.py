@@ -223,3 +223,18 @@ def test_near_stage_drops_what_has_a_similar_partner(spark, sf):
     backed = {x for a, b in similar for x in (a, b)}
     gone = set(sets) - {r.doc_id for r in simhash.one_of_each(rows, **simhash.SIMILAR).collect()}
     assert gone == {i for i, c in group.items() if i != c} and gone <= backed
+
+
+def test_only_rows_that_are_not_kept_go(spark):
+    """Rows that repeat the least id of their group, share an id with another text's copy, or have no id."""
+    rows = [(5, "x y"), (5, "x y"), (6, "x  y"), (6, "alone"), (None, "n"), (None, "n"), (None, "other"), (7, "n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = [(None, "n"), (None, "other"), (5, "x y"), (6, "alone")]
+    in_order = lambda df: sorted(map(tuple, df.collect()), key=lambda r: (r[0] or 0, r[1]))
+    assert in_order(exact_dedup.deduplicated(docs)) == want
+    weak = lambda text: F.lit(b"0")
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    a, b = (sorted(map(str, exact_dedup.exact_duplicates(docs, **k).select(columns).collect())) for k in ({}, {"digest": weak}))
+    assert a == b
+    # here a null id comes last
+    assert in_order(simhash.one_of_each(docs)) == [(None, "other"), (5, "x y"), (6, "alone"), (7, "n")]

@@ -14,7 +14,7 @@ Spark splits.
 
 Null texts count as empty, and empty texts equal each other.  Rows that repeat
 an id are rows of their own: each counts, and of those with the least id of a
-group one stays.  Columns besides id and text are ignored; an empty table
+group one stays.  A null id is less than any other.  Columns besides id and text are ignored; an empty table
 gives an empty result.
 """
 
@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE_CLASS, cut, scratch, stored, without
+from tidemark.llm.common import SPACE_CLASS, cut, located, scratch, stored, without
 
 #: Groups with more than one text whose digests are sent to all tasks at most: 32 bytes each and less than 10 MB in all.
 SENT_DIGESTS = 100_000
@@ -87,17 +87,23 @@ def exact_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     digest: Callable[[Column], Column] = sha256,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256) of each row; digest is for tests of what happens when digests collide."""
+    """(id, keep_id, group_size, kept, text_sha256) of each row; digest is for tests of what happens when digests collide.
+
+    row_col: a column that numbers the rows, which the result has too.
+    """
     spark = docs.sparkSession
     name = docs.schema[id_col].name
     if docs.schema[id_col].dataType.simpleString() != "bigint":
         raise ValueError("ids must be of type long")
-    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"))
+    own = [F.col(row_col).alias("locator")] if row_col else []
+    out_row = [F.col("locator").alias(row_col)] if row_col else []
+    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"), *own)
     texts = texts.withColumns({"digest": digest(F.col("text")), "sha": sha256(F.col("text"))})
     path = scratch(spark, "dedup")
     # the locator tells rows with the same id apart; the content is found by id and digest
-    texts.select("digest", "id", F.monotonically_increasing_id().alias("locator"), "sha").write.parquet(path)
+    texts.select("digest", "id", F.col("locator") if row_col else F.monotonically_increasing_id().alias("locator"), "sha").write.parquet(path)
     staged = spark.read.parquet(path)
     state = run_stream(staged.drop("sha"), path) if not staged.isEmpty() else keyed_state(staged)
     rows = staged.join(state, "digest")
@@ -107,12 +113,13 @@ def exact_duplicates(
         F.col("n").alias("group_size"),
         (F.struct("id", "locator") == F.col("keep")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        *out_row,
         "digest",
     )
     wrong = differing(texts, state)
     if not wrong.isEmpty():
         wrong = cut(wrong.distinct())
-        return out.join(wrong, "digest", "left_anti").drop("digest").unionByName(regrouped(staged, texts, wrong, name))
+        return out.join(wrong, "digest", "left_anti").drop("digest").unionByName(regrouped(texts, wrong, name, out_row))
     return out.drop("digest")
 
 
@@ -123,16 +130,18 @@ def differing(texts: DataFrame, state: DataFrame) -> DataFrame:
     # all texts with a digest that occurs again: by a filter of proven size, or else by a join like any other
     again = hit.select("digest")
     found = texts.select("id", "digest", "text").join(F.broadcast(again) if few else again, "digest", "left_semi")
-    first = texts.select(F.col("id").alias("keep_id"), "digest", F.col("text").alias("keep_text"))
-    first = first.join(F.broadcast(hit) if few else hit, ["digest", "keep_id"], "left_semi").dropDuplicates(["digest"])
+    first = texts.select(F.col("id").alias("first_id"), "digest", F.col("text").alias("keep_text"))
+    held = hit.withColumnRenamed("digest", "hit")
+    is_first = (F.col("digest") == F.col("hit")) & F.col("first_id").eqNullSafe(F.col("keep_id"))
+    first = first.join(F.broadcast(held) if few else held, is_first, "left_semi").dropDuplicates(["digest"])
     # stored, so that both sides come straight from an exchange and Spark can split a large group
-    return found.join(stored(first.drop("keep_id"), "first"), "digest").where("text <> keep_text").select("digest")
+    return found.join(stored(first.drop("first_id"), "first"), "digest").where("text <> keep_text").select("digest")
 
 
-def regrouped(staged: DataFrame, texts: DataFrame, wrong: DataFrame, name: str) -> DataFrame:
+def regrouped(texts: DataFrame, wrong: DataFrame, name: str, out_row: list[Column]) -> DataFrame:
     """The result's rows of these digests, grouped by the whole text."""
-    held = texts.join(wrong, "digest", "left_semi").select("id", "text", "sha")
-    held = held.withColumn("locator", F.row_number().over(_by("id", "text")))
+    held = texts.join(wrong, "digest", "left_semi")
+    held = held if out_row else held.withColumn("locator", F.row_number().over(_by("id", "text")))
     groups = held.groupBy("text").agg(F.min(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("n"))
     return held.join(groups, "text").select(
         F.col("id").alias(name),
@@ -140,6 +149,7 @@ def regrouped(staged: DataFrame, texts: DataFrame, wrong: DataFrame, name: str)
         F.col("n").alias("group_size"),
         (F.struct("id", "locator") == F.col("keep")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        *out_row,
     )
 
 
@@ -151,5 +161,6 @@ def _by(*columns: str):
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    found = exact_duplicates(docs, id_col, text_col)
-    return without(docs, found.where(~F.col("kept")).select(id_col), id_col)
+    rows, row = located(docs)
+    found = exact_duplicates(rows, id_col, text_col, row_col=row)
+    return without(rows, found.where(~F.col("kept")).select(row), row).drop(row)
