@@ -238,3 +238,13 @@ def test_only_rows_that_are_not_kept_go(spark):
     assert a == b
     # here a null id comes last
     assert in_order(simhash.one_of_each(docs)) == [(None, "other"), (5, "x y"), (6, "alone"), (7, "n")]
+
+
+def test_mix_repeats_rows_whatever_their_ids(spark):
+    """Null and repeated ids and texts without words come as often as the mix takes them."""
+    rows = [(None, "a b c"), (None, "d e"), (1, "f"), (1, "g h i j"), (2, ""), (3, None), (4, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("source", F.lit("s"))
+    assert sorted(map(str, mixing.repeated(docs, share=2.0).collect())) == sorted(2 * [str(r) for r in docs.collect()])
+    many = spark.createDataFrame([(None if i % 3 else i // 6, "w " * (i % 9)) for i in range(600)], "doc_id bigint, text string").withColumn("source", F.lit("s"))
+    words = mixing.mix(many).agg(F.sum("taken")).first()[0]
+    assert mixing.repeated(many).agg(F.sum(mixing.word_count(F.col("text")))).first()[0] == words

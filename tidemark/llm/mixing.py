@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, fresh, word_count
+from tidemark.llm.common import cut, fresh, located, word_count
 
 #: Weights of the sources in order of their names, repeating.
 CYCLE = (3, 1, 2)
@@ -117,11 +117,29 @@ def mix(
     weight_col: positive weights that the expected copies of a source's
     documents follow; equal if not given.
     """
+    return copies(docs, id_col, text_col, source_col, weight_col, cycle, share, max_copies, seed).drop("copies")
+
+
+def copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weight_col: str | None = None,
+    cycle: tuple[int, ...] = CYCLE,
+    share: float = SHARE,
+    max_copies: int = MAX_COPIES,
+    seed: int = 42,
+    row_col: str | None = None,
+) -> DataFrame:
+    """The rows of mix with copies, the times each is taken; row_col: a column that numbers the rows, which the result has too."""
+    own = [F.col(row_col).alias("_row")] if row_col else []
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"),
         *([F.col(weight_col).cast("double").alias("weight")] if weight_col else []),
+        *own,
     )
     rows = cut(rows)  # words are counted once
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
@@ -156,7 +174,7 @@ def mix(
     decided = ranked.join(F.broadcast(edge) if small else edge, F.col("_source").eqNullSafe(F.col("_edge_source")), "left")
     # 3. only that bucket's documents are put in order
     inside = F.col("bucket") == F.col("edge.bucket")
-    order = Window.partitionBy("_source").orderBy("rank", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("_source").orderBy("rank", "id", "size", *(["_row"] if own else [])).rowsBetween(Window.unboundedPreceding, -1)
     ordered = decided.where(inside).withColumn("before", F.col("edge.below") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     picked = F.col("before") + F.col("size") / 2 <= F.col("edge.left")
     # without an edge, all that has a chance is taken
@@ -168,16 +186,23 @@ def mix(
         "source_size",
         "target",
         (F.col("size") * (F.col("sure") + F.col("more"))).cast("long").alias("taken"),
+        (F.col("sure") + F.col("more")).cast("int").alias("copies"),
+        *([F.col("_row").alias(row_col)] if own else []),
     )
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, with all its columns."""
-    marked = mix(docs, id_col, text_col, source_col, **options)
-    times = marked.where("size > 0").select(F.col(id_col).alias("i"), F.floor(F.col("taken") / F.col("size")).cast("int").alias("n")).where("n > 0")
-    taken, n, copy = (fresh(docs, x) for x in ("_taken_id", "_times", "_copy"))
-    times = times.groupBy("i").agg(F.max("n")).toDF(taken, n)
-    joined = docs.join(times, F.col(id_col) == F.col(taken))
+    """The mix itself: each row as many times as it is taken, with all its columns.
+
+    Rows are told apart whatever their ids: those that repeat an id, or have
+    none, come as many times each as mix takes them.  A text without words is
+    taken like any other of its source, though it adds no words; a source
+    without any words is not taken.
+    """
+    rows, row = located(docs)
+    taken, n, copy = (fresh(rows, x) for x in ("_taken_row", "_times", "_copy"))
+    times = copies(rows, id_col, text_col, source_col, row_col=row, **options).where("copies > 0").select(F.col(row).alias(taken), F.col("copies").alias(n))
+    joined = rows.join(times, F.col(row) == F.col(taken))
     return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
