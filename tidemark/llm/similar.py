@@ -86,18 +86,20 @@ def similar_components(docs: DataFrame, node_col: str, text_col: str, words: int
     rows = stored(rows.join(open_keys(rows, "node"), "key"), "open")
     met = docs.join(rows.select(F.col("node").alias(node_col)).distinct(), node_col, "left_semi")
     shingles = stored(map_texts(met, node_col, text_col, sets, [("shingles", "array<bigint>")]).withColumnRenamed(node_col, "node"), "sets")
-    # both sides come straight from an exchange, so that Spark can split a large group
-    members = stored(rows.join(shingles, "node"), "members")
-    pivots = rows.groupBy("key").agg(F.min("node").alias("pivot"))
-    pivots = stored(pivots.join(shingles.toDF("pivot", "of_pivot"), "pivot"), "pivots")
-    links = members.join(pivots, "key").where((F.col("node") != F.col("pivot")) & alike("shingles", "of_pivot", similarity))
+    pivots = stored(rows.groupBy("key").agg(F.min("node").alias("pivot")), "pivots")
+    others = stored(rows.join(pivots, "key").where("node <> pivot"), "others")
+    pairs = stored(others.select("node", "pivot").distinct(), "pairs")
+    met = pairs.join(shingles, "node").join(shingles.toDF("pivot", "of_pivot"), "pivot")
+    links = met.where(alike("shingles", "of_pivot", similarity)).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     keep = lambda df: stored(df, "links")
-    stars = connected_components(links.select(F.col("node").alias("a"), F.col("pivot").alias("b")), keep)
-    labelled = members.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = stored(labelled, "labelled")
-    apart = stored(labelled.join(open_keys(labelled, "component"), "key"), "apart")
+    stars = connected_components(links, keep)
+    # pivots have been compared with all that their keys hold
+    labelled = stored(others.join(stars, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "labelled")
+    apart = labelled.join(open_keys(labelled, "component"), "key")
+    # both sides come straight from an exchange, so that Spark can split a large group
+    apart = stored(apart.join(shingles, "node"), "apart")
     left, right = (apart.select("key", F.col("component").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
     more = left.join(right, "key").where((F.col("a") < F.col("b")) & alike("of_a", "of_b", similarity)).select("a", "b")
     larger = connected_components(more, keep).toDF("component", "larger")
-    labels = labelled.select("node", "component").distinct().join(larger, "component", "left")
-    return stored(labels.select("node", F.coalesce("larger", "component").alias("component")), "similar")
+    labels = rows.select("node").distinct().join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return stored(labels.join(larger, "component", "left").select("node", F.coalesce("larger", "component").alias("component")), "similar")
