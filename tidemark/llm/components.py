@@ -26,7 +26,8 @@ def connected_components(links: DataFrame, keep: Callable[[DataFrame], DataFrame
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     now, before = keep(ordered), None
     while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
+        h = F.xxhash64("a", "b")
+        mark = now.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).first()
         if mark == before or mark[0] == 0:
             return star_labels(now)
         before = mark
