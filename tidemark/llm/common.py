@@ -19,12 +19,14 @@ SLICE_BYTES = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir; a session in local mode may leave that unset."""
     sc = spark.sparkContext
     own = sc._jsc.sc().getCheckpointDir()
     base = spark.conf.get("spark.checkpoint.dir", "") or (own.get() if own.isDefined() else "")
+    if not base and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")  # driver and executors are one process
     if own.isEmpty():
         sc.setCheckpointDir(base)
     return base.rstrip("/")
@@ -89,6 +91,16 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def as_text(values: list[bytes]) -> pa.Array:
+    """UTF-8 as a column of text, whatever bytes it holds."""
+    return pa.array(values, pa.binary()).view(pa.string())
+
+
+def decoded(value: bytes) -> str:
+    """Bytes that are no UTF-8 become replacement characters."""
+    return value.decode("utf-8", "replace")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about `limit` bytes of the column's text, or one row."""
     for batch in batches:

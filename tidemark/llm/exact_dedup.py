@@ -1,10 +1,12 @@
 """Exact deduplication by a streaming query over keyed state on disk.
 
-A stream over one small row for each document (digest, id, content locator)
-keeps, for each digest and without expiry, the least id, its locator and the
-number of rows in a RocksDB state store that checkpoints to the shared folder.
-Equal digests are only hits: the texts of every hit are then fetched and their
-full bytes compared with those of the row that stays.  Should texts with one
+Rows are staged once, in the shared folder: digest, id, content locator and
+normalised text.  The locator numbers the staged rows (part file, row in it), so
+content is found again by it alone.  A stream over digest, id and locator, dealt
+over several micro-batches, keeps for each digest and without expiry the least
+id, its locator and the number of rows in a RocksDB state store that checkpoints
+to the shared folder.  Equal digests are only hits: the staged bytes of every
+hit are then compared with those of the row that stays.  Should texts with one
 digest differ, their groups are formed anew by the whole text.
 
 Everything on the data's path is DataFrame functions.  A group of any size is
@@ -14,8 +16,9 @@ Spark splits.
 
 Null texts count as empty, and empty texts equal each other.  Rows that repeat
 an id are rows of their own: each counts, and of those with the least id of a
-group one stays.  A null id is less than any other.  Columns besides id and text are ignored; an empty table
-gives an empty result.
+group one stays.  A null id is less than any other; rows without an id are
+compared like all others.  Columns besides id and text are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from tidemark.llm.common import SPACE_CLASS, cut, located, scratch, stored, with
 
 #: Groups with more than one text whose digests are sent to all tasks at most: 32 bytes each and less than 10 MB in all.
 SENT_DIGESTS = 100_000
-#: A micro-batch reads so much of the staged rows at most.
-BATCH_BYTES = 64 << 30
+#: Micro-batches that the staged rows are dealt over, and the bytes that one reads at least.
+BATCHES, LEAST_BATCH = 3, 16 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -47,8 +50,8 @@ def keyed_state(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.min(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("n"))
 
 
-def run_stream(staged: DataFrame, path: str) -> DataFrame:
-    """The state after all rows that are staged at path have gone through the streaming query."""
+def run_stream(staged: DataFrame, path: str, batch_bytes: int) -> DataFrame:
+    """The state after all rows that are staged at path have gone through the streaming query; staged holds their columns digest, id, locator."""
     spark = staged.sparkSession
     out = f"{path}-state"
     settings = {
@@ -61,7 +64,7 @@ def run_stream(staged: DataFrame, path: str) -> DataFrame:
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        stream = spark.readStream.schema(staged.schema).option("maxBytesPerTrigger", str(BATCH_BYTES)).parquet(path)
+        stream = spark.readStream.schema(staged.schema).option("maxBytesPerTrigger", str(batch_bytes)).parquet(path)
         query = (
             keyed_state(stream)
             .writeStream.outputMode("update")
@@ -88,6 +91,8 @@ def exact_duplicates(
     text_col: str = "text",
     digest: Callable[[Column], Column] = sha256,
     row_col: str | None = None,
+    batches: int = BATCHES,
+    least_batch: int = LEAST_BATCH,
 ) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) of each row; digest is for tests of what happens when digests collide.
 
@@ -97,68 +102,59 @@ def exact_duplicates(
     name = docs.schema[id_col].name
     if docs.schema[id_col].dataType.simpleString() != "bigint":
         raise ValueError("ids must be of type long")
-    own = [F.col(row_col).alias("locator")] if row_col else []
-    out_row = [F.col("locator").alias(row_col)] if row_col else []
-    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"), *own)
-    texts = texts.withColumns({"digest": digest(F.col("text")), "sha": sha256(F.col("text"))})
+    # the upper bits name the part file that a row is staged in, the lower ones the row
+    locator = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"), locator.alias("locator"))
     path = scratch(spark, "dedup")
-    # the locator tells rows with the same id apart; the content is found by id and digest
-    texts.select("digest", "id", F.col("locator") if row_col else F.monotonically_increasing_id().alias("locator"), "sha").write.parquet(path)
+    texts.withColumn("digest", digest(F.col("text"))).select("digest", "id", "locator", "text").write.parquet(path)
     staged = spark.read.parquet(path)
-    state = run_stream(staged.drop("sha"), path) if not staged.isEmpty() else keyed_state(staged)
-    rows = staged.join(state, "digest")
-    out = rows.select(
+    keys = staged.drop("text")
+    size = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    state = run_stream(keys, path, max(least_batch, -(-size // batches))) if not keys.isEmpty() else keyed_state(keys)
+    named = digest is sha256
+    out = (keys if named else staged).join(state, "digest").select(
         F.col("id").alias(name),
         F.col("keep.id").alias("keep_id"),
         F.col("n").alias("group_size"),
-        (F.struct("id", "locator") == F.col("keep")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
-        *out_row,
+        (F.col("locator") == F.col("keep.locator")).alias("kept"),
+        (F.lower(F.hex("digest")) if named else F.sha2("text", 256)).alias("text_sha256"),
+        *([F.col("locator").alias(row_col)] if row_col else []),
         "digest",
     )
-    wrong = differing(texts, state)
+    wrong = differing(staged, state)
     if not wrong.isEmpty():
         wrong = cut(wrong.distinct())
-        return out.join(wrong, "digest", "left_anti").drop("digest").unionByName(regrouped(texts, wrong, name, out_row))
+        return out.join(wrong, "digest", "left_anti").drop("digest").unionByName(regrouped(staged, wrong, name, row_col))
     return out.drop("digest")
 
 
-def differing(texts: DataFrame, state: DataFrame) -> DataFrame:
+def differing(staged: DataFrame, state: DataFrame) -> DataFrame:
     """Digests, some repeatedly, of hits whose bytes are not those of the row that stays."""
-    hit = state.where("n > 1").select("digest", F.col("keep.id").alias("keep_id"))
+    hit = state.where("n > 1").select("digest", F.col("keep.locator").alias("keep_locator"))
     few = hit.limit(SENT_DIGESTS + 1).count() <= SENT_DIGESTS
+    sent = F.broadcast if few else (lambda df: df)
     # all texts with a digest that occurs again: by a filter of proven size, or else by a join like any other
-    again = hit.select("digest")
-    found = texts.select("id", "digest", "text").join(F.broadcast(again) if few else again, "digest", "left_semi")
-    first = texts.select(F.col("id").alias("first_id"), "digest", F.col("text").alias("keep_text"))
-    held = hit.withColumnRenamed("digest", "hit")
-    is_first = (F.col("digest") == F.col("hit")) & F.col("first_id").eqNullSafe(F.col("keep_id"))
-    first = first.join(F.broadcast(held) if few else held, is_first, "left_semi").dropDuplicates(["digest"])
+    found = staged.join(sent(hit.select("digest")), "digest", "left_semi").select("digest", "locator", "text")
+    first = staged.select(F.col("locator").alias("keep_locator"), F.col("text").alias("keep_text"))
     # stored, so that both sides come straight from an exchange and Spark can split a large group
-    return found.join(stored(first.drop("first_id"), "first"), "digest").where("text <> keep_text").select("digest")
+    first = stored(first.join(sent(hit), "keep_locator").select("digest", "keep_locator", "keep_text"), "first")
+    return found.join(first, "digest").where("locator <> keep_locator AND text <> keep_text").select("digest")
 
 
-def regrouped(texts: DataFrame, wrong: DataFrame, name: str, out_row: list[Column]) -> DataFrame:
+def regrouped(staged: DataFrame, wrong: DataFrame, name: str, row_col: str | None) -> DataFrame:
     """The result's rows of these digests, grouped by the whole text."""
-    held = texts.join(wrong, "digest", "left_semi")
-    held = held if out_row else held.withColumn("locator", F.row_number().over(_by("id", "text")))
+    held = staged.join(wrong, "digest", "left_semi")
     groups = held.groupBy("text").agg(F.min(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("n"))
     return held.join(groups, "text").select(
         F.col("id").alias(name),
         F.col("keep.id").alias("keep_id"),
         F.col("n").alias("group_size"),
-        (F.struct("id", "locator") == F.col("keep")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
-        *out_row,
+        (F.col("locator") == F.col("keep.locator")).alias("kept"),
+        F.sha2("text", 256).alias("text_sha256"),
+        *([F.col("locator").alias(row_col)] if row_col else []),
     )
 
 
-def _by(*columns: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns).orderBy(F.lit(1))
-
-
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     rows, row = located(docs)
