@@ -9,16 +9,19 @@ also starts earlier its words go; together the windows of a place are its
 maximal exact repeats.
 
 Blocks and probes travel packed, some six bytes each: a slice of documents
-sends each hash range one row with all its entries.  A range holds the same
-share of all words however often a passage occurs, and its entries of a common
-passage are so many numbers in an array.  Copies of whole documents are known
-by their digest and not compared again.  What hits is decided per place, never
-per pair of places.
+sends each hash range one row with its entries.  What a slice can settle by
+itself it doesn't send: a place whose block is indexed by another place of the
+slice is a hit, and a window that also starts earlier in the slice is a repeat.
+Of such a hash only the first entry is sent, so a range holds at most one entry
+of a common passage for each slice that has it, however often it occurs.  Copies of whole documents are
+known by their digest and not compared again.  What hits is decided per place,
+never per pair of places.  Anchors are found by 32 bits of a hash and only
+propose places; windows are compared by 128 bits of another.
 
 Null texts have no words.  Places are ordered by id and start, null ids last.
-Rows with one id share their places: a word goes if a row with its id has a
-repeated window there, and of equal rows with one id none goes for the other's
-sake.  Texts of any length are
+Rows that share an id, or have none, are documents of their own, in an order
+that is fixed once they are stored: of equal rows with one id one keeps its
+words.  Bytes that are no UTF-8 are kept as they are.  Texts of any length are
 whole; columns besides id and text are ignored; an empty table gives an empty
 result.
 """
@@ -33,13 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, map_texts, slices, stored, text_bytes
+from tidemark.llm.common import as_text, cut, fresh, located, map_texts, slices, stored, text_bytes
 
 WINDOW, BLOCK = 20, 10
 #: Words that one hash range holds.
 RANGE_WORDS = 400_000
-SLICE = 500_000
-NULL_ID = (1 << 63) - 1
+SLICE = 1_000_000
+#: Tasks that the places which slices have settled by themselves are dealt over, as ranges below 0.
+SETTLED = 64
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
@@ -92,12 +96,18 @@ def large(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+LOW = np.uint64(0xFFFFFFFF)
+#: 128 bits of a window's hash; the first half also says which range it belongs to.
+WIDE = [("h", "<u8"), ("low", "<u8")]
 PACKED = "p int, first bigint, ids binary, counts binary, places binary, hashes binary"
 
 
-def packed(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray, n_ranges: int, width: int) -> pa.RecordBatch:
-    """A row for each hash range: entries in order of id, as id steps, entries of each id, places and hashes of so many bytes."""
-    p = ((hashes >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64)
+def ranges(hashes: np.ndarray, n_ranges: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def packed(p: np.ndarray, ids: np.ndarray, places: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    """A row for each p: entries in order of id, as id steps, entries of each id, places and hashes (of any fixed width)."""
     order = np.lexsort((ids, p)) if len(ids) and (np.diff(ids) < 0).any() else np.argsort(p, kind="stable")
     p, ids, places, hashes = p[order], ids[order], places[order], hashes[order]
     rows: list[list] = [[] for _ in range(6)]
@@ -114,7 +124,7 @@ def packed(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray, n_ranges: in
                 small(np.diff(own.astype(np.uint64))),
                 small(np.diff(np.concatenate([at, [b - a]]))),
                 small(places[a:b]),
-                hashes[a:b].astype(f"<u{width}").tobytes(),
+                hashes[a:b].tobytes(),
             ),
             strict=True,
         ):
@@ -123,17 +133,26 @@ def packed(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray, n_ranges: in
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names=["p", "first", "ids", "counts", "places", "hashes"])
 
 
-def unpacked(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(table: pa.Table, dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, places, hashes) of a hash range's rows."""
     ids, places, hashes = [], [], []
     for row in table.to_pylist():
         own = np.cumsum(np.concatenate([[row["first"]], large(row["ids"])]).astype(np.int64))
         ids.append(np.repeat(own, large(row["counts"])))
         places.append(large(row["places"]))
-        hashes.append(np.frombuffer(row["hashes"], dtype=f"<u{width}"))
+        hashes.append(np.frombuffer(row["hashes"], dtype=dtype))
     return np.concatenate(ids), np.concatenate(places), np.concatenate(hashes)
 
 
+def with_settled(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray, settled: np.ndarray, sent: np.ndarray, n_ranges: int) -> pa.RecordBatch:
+    """Entries to send by hash range, and the settled places in ranges below 0."""
+    p = np.concatenate([ranges(hashes["h"] if hashes.dtype.names else hashes, n_ranges)[sent], -1 - ids[settled] % SETTLED])
+    both = np.concatenate([np.flatnonzero(sent), np.flatnonzero(settled)])
+    kept = (hashes if hashes.dtype.names else hashes.astype("<u4"))[both]
+    kept[int(sent.sum()) :] = np.zeros(1, kept.dtype)[0]  # nobody reads them, and zeros take no room in a shuffle file
+    return packed(p, ids[both], places[both], kept)
+
+
 def by_id(ids: np.ndarray, places: np.ndarray) -> pa.Table:
     """A row for each id with its places."""
     order = np.argsort(ids, kind="stable")
@@ -160,10 +179,22 @@ def anchors(rows: DataFrame, n_ranges: int, block: int) -> DataFrame:
             at = np.flatnonzero(place + block <= np.repeat(counts, counts))
             if len(at):
                 h = rolling_hashes(buffer, starts[at], ends[at + block - 1], powers[0])
-                yield packed(np.repeat(ids[order], counts)[at], place[at], h, n_ranges, 4)
-
-    def probe(table: pa.Table) -> pa.Table:
-        ids, places, hashes = unpacked(table, 4)
+                own, place = np.repeat(ids[order], counts)[at], place[at]
+                _, first, which = np.unique(h & LOW | ranges(h, n_ranges).astype(np.uint64) << np.uint64(32), return_index=True, return_inverse=True)
+                indexed = place % block == 0
+                held = np.bincount(which, weights=indexed, minlength=len(first))
+                settled = held[which] > indexed
+                # of a hash with settled places, an index entry stands for all
+                stands = np.zeros(len(first), dtype=np.int64)
+                stands[which[indexed][::-1]] = np.flatnonzero(indexed)[::-1]
+                sent = ~settled
+                sent[stands[np.unique(which[settled])]] = True
+                yield with_settled(own, place, h, settled, sent, n_ranges)
+
+    def probe(key: tuple, table: pa.Table) -> pa.Table:
+        ids, places, hashes = unpacked(table, "<u4")
+        if key[0].as_py() < 0:
+            return by_id(ids, places)
         indexed = places % block == 0
         index, held = np.unique(hashes[indexed], return_counts=True)
         k = np.minimum(np.searchsorted(index, hashes), max(len(index) - 1, 0))
@@ -178,7 +209,7 @@ def repeats(rows: DataFrame, n_ranges: int, window: int, block: int) -> DataFram
     """(id, found) starts of windows that also start earlier, of rows (id, text, found) with the places of anchors."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest
+        from xxhash import xxh3_128_digest
 
         for part in slices(batches, "text", SLICE):
             ids, places, hashes = [], [], []
@@ -197,25 +228,31 @@ def repeats(rows: DataFrame, n_ranges: int, window: int, block: int) -> DataFram
                 starts = np.flatnonzero(np.cumsum(change)[:n] > 0)
                 buffer, begins, ends, _ = word_spans([words])
                 spans = zip(begins[starts].tolist(), ends[starts + window - 1].tolist(), strict=True)
-                hashes += [xxh3_64_intdigest(buffer[a:b]) for a, b in spans]
+                hashes += [xxh3_128_digest(buffer[a:b]) for a, b in spans]
                 ids.append(np.full(len(starts), i, dtype=np.int64))
                 places.append(starts)
             if hashes:
-                yield packed(np.concatenate(ids), np.concatenate(places), np.array(hashes, dtype=np.uint64), n_ranges, 8)
-
-    def later(table: pa.Table) -> pa.Table:
-        ids, places, hashes = unpacked(table, 8)
-        order = np.lexsort((places, ids, hashes))
-        ids, places, hashes = ids[order], places[order], hashes[order]
-        new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
-        # equal rows with one id share their places
-        late = (ids != ids[first]) | (places != places[first])
+                own, place, h = np.concatenate(ids), np.concatenate(places), np.frombuffer(b"".join(hashes), dtype=WIDE)
+                late = later_places(own, place, h)
+                yield with_settled(own, place, h, late, ~late, n_ranges)
+
+    def later(key: tuple, table: pa.Table) -> pa.Table:
+        ids, places, hashes = unpacked(table, WIDE)
+        late = later_places(ids, places, hashes) if key[0].as_py() >= 0 else np.ones(len(ids), dtype=bool)
         return by_id(ids[late], places[late])
 
     return rows.mapInArrow(pack, PACKED).groupBy("p").applyInArrow(later, "id bigint, found binary")
 
 
+def later_places(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which places aren't the first of their hash."""
+    order = np.lexsort((places, ids, hashes["low"], hashes["h"]))
+    h = hashes[order]
+    late = np.zeros(len(ids), dtype=bool)
+    late[order[1:]] = (h["h"][1:] == h["h"][:-1]) & (h["low"][1:] == h["low"][:-1])
+    return late
+
+
 def documents_digests(rows: DataFrame) -> DataFrame:
     """(id, n_words, sha) with the SHA-256 of the words joined by one space."""
 
@@ -226,8 +263,10 @@ def documents_digests(rows: DataFrame) -> DataFrame:
     return map_texts(rows, "id", "text", per_slice, [("n_words", "bigint"), ("sha", "binary")])
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """(id, n_words, n_removed, kept_text, kept_sha) of each row.
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block: int = BLOCK, row_col: str | None = None
+) -> DataFrame:
+    """(id, n_words, n_removed, kept_text, kept_sha) of each row; row_col: a column that numbers the rows, which the result has too.
 
     kept_text has the kept words joined by one space, and is null where a row
     lost nothing and never came near a repeat; kept_sha is its SHA-256 always,
@@ -236,7 +275,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 < block <= (window + 1) // 2:
         raise ValueError("a window must hold a whole block wherever it starts")
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_col), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
+    rows, names = numbered(docs, id_col, text_col, row_col)
     whole = cut(documents_digests(rows))
     words = whole.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     n_ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), words // RANGE_WORDS + 1)
@@ -259,7 +298,22 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(~gone, F.col("sha")).alias("kept_sha"),
     )
     name = docs.schema[id_col].name
-    return kept.unionByName(others).select(F.expr(f"nullif(id, {NULL_ID}L)").alias(name), "n_words", "n_removed", "kept_text", "kept_sha")
+    found = kept.unionByName(others)
+    found = found.withColumnRenamed("id", name) if names is None else found.join(names, "id").withColumnRenamed("own", name)
+    out_row = [] if row_col is None else [F.col("row").alias(row_col)]
+    return found.select(name, "n_words", "n_removed", "kept_text", "kept_sha", *out_row)
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows, names): rows of (id, text) with an id of its own each, in the order of the given ids; names gives (id, own) the given id, None if that is the same."""
+    plain = row_col is None and docs.where(F.col(id_col).isNull()).isEmpty() and docs.groupBy(id_col).count().where("count > 1").isEmpty()
+    own = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text"), *([F.col(row_col).alias("row")] if row_col else []))
+    if plain:
+        return own.select(F.col("own").alias("id"), "text"), None
+    # numbers that rise from partition to partition, and within each
+    rows = own.orderBy(F.col("own").asc_nulls_last(), *(["row"] if row_col else [F.xxhash64("text")])).withColumn("id", F.monotonically_increasing_id())
+    rows = stored(rows, "numbered")
+    return rows.select("id", "text"), rows.drop("text")
 
 
 RESULT = "n_words bigint, n_removed bigint, kept_text string, kept_sha binary"
@@ -284,7 +338,7 @@ def keep_words(window: int):
                 total.append(len(words))
                 removed.append(len(words) - len(left))
                 kept.append(b" ".join(left))
-            columns = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array([x.decode() for x in kept], pa.string()), pa.array([hashlib.sha256(x).digest() for x in kept], pa.binary())]
+            columns = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), as_text(kept), pa.array([hashlib.sha256(x).digest() for x in kept], pa.binary())]
             yield pa.RecordBatch.from_arrays([part.column("id"), *columns], names=["id", "n_words", "n_removed", "kept_text", "kept_sha"])
 
     return run
@@ -292,7 +346,8 @@ def keep_words(window: int):
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with all their columns, the text without its repeats; a text that loses nothing stays as it is."""
-    found = without_repeats(docs, id_col, text_col, **options).where("n_removed > 0")
-    found = found.select(F.col(id_col).alias("_id"), F.col("kept_text").alias("_kept")).dropDuplicates(["_id"])
-    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    return joined.select(*[F.coalesce("_kept", F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    rows, row = located(docs)
+    left = fresh(rows, "_kept")
+    found = without_repeats(rows, id_col, text_col, row_col=row, **options).where("n_removed > 0").select(row, F.col("kept_text").alias(left))
+    joined = rows.join(found, row, "left")
+    return joined.select(*[F.coalesce(left, F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
