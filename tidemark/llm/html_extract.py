@@ -1,175 +1,221 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one for each block of text.  What menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments hold leaves empty lines.  Where a page marks its article, lines
-outside it are empty too; where it doesn't, lines that are mostly links are.
-Text lengths are summed over a sliding window of lines: the text starts where
-the sum surges from nothing and ends where it dives back, and what lies between
-is kept.  A page that marks no article keeps its largest such stretch, and
-others of like size.
+Markup is stripped into lines, one for each block of text.  A line has the
+length of its text; it counts nothing where more than half of it is links, and
+nothing in menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments, or outside the article on a page that marks one.  Lengths are summed
+over a window that slides over the lines.  The text starts at the line where the
+sum surges from nothing, ends at the last line before it dives back to nothing,
+and what lies between is kept: a line or two of links in the midst of text
+stays, while a window's height of them or more is a menu and goes.  Lines that
+hold such regions, or lie outside a marked article, never stay.
+
+An element is such a region by its tag or role, by being hidden, or by a class
+or id that names nothing else: each part of the name must be a word for a region
+or one that says nothing by itself (ad, cookie-notice, site-footer; but not
+search-results, related-work or notice-board).
 
 Character references are decoded, white space within a block becomes one space,
 blocks are trimmed and joined by newlines in the page's order.  Unclosed and
-crossed tags and pages cut off anywhere are fine; a page of any length is read
-whole.  Null html counts as empty and gives an empty text; repeated rows give
-repeated rows; columns besides those named are ignored; an empty table gives an
-empty result.
+crossed tags and pages cut off anywhere are fine: an unclosed control ends at
+the next block, only an unclosed script, style or comment runs to the end.  A
+page of any length is read whole, in time that follows its length.  Null html
+counts as empty and gives an empty text; repeated rows give repeated rows;
+columns besides those named are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, text_bytes
+from tidemark.llm.common import decoded, fresh, slices, text_bytes
 
 #: Lines that a window sums.
 WINDOW = 3
-#: Without a marked article: the sum from which a window is text, and the part of the largest stretch that another must have.
-SURGE, LIKE_SIZE = 80, 0.3
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|head|title|select|textarea|button)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-z][^\s>/]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)"
-    r"|(?P<text>[^<]+|<)",
-    re.I | re.S,
+    r"<!--|<(?P<end>/?)(?P<name>[a-z][^\s>/]*+)(?P<attributes>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)(?:>|\Z)"
+    r"|<(?P<plain_end>/?)(?P<plain>[a-z][^\s>/]*+)(?P<rest>[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)|(?P<text>[^<]++|<)",
+    re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-BOILERPLATE_TAGS = frozenset("nav footer aside form dialog menu".split())
+ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?", re.I)
+HIDDEN = re.compile(r"display\s*:\s*none", re.I)
+#: Elements without text of their own; an unclosed one of the first two runs to the page's end.
+TO_END = frozenset(("script", "style"))
+SKIPPED = TO_END | frozenset("noscript template svg math iframe object title select textarea".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside form dialog menu button head".split())
+BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+#: Words that name a region which is no article, and words that say nothing by themselves.
 BOILERPLATE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs comment comments consent cookie cookies"
-    " disclaimer discussion dialog footer form login menu modal nav navbar navigation newsletter notice notices notification pager pagination"
-    " popup promo promotion related replies reply search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget"
-    " complementary contentinfo".split()
+    "ad ads advert adverts advertisement advertising aside breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer"
+    " gdpr login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related replies reply"
+    " search share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar".split()
 )
+FILLER = frozenset(
+    "area bar banner block body bottom box button buttons col column container content form global header holder inner item items left"
+    " links list main outer page panel popup posts right row section site slot stories sticky the thread top unit widget widgets wrap"
+    " wrapper".split()
+)
+NAME_PARTS = re.compile(r"[a-z]+")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub"
     " sup time tt u var wbr".split()
 )
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base col embed hr img input link meta param source track wbr br".split())
 ARTICLE = frozenset(("article", "main"))
 
 
+def names_a_region(value: str, inside: bool) -> bool:
+    """Whether a class or id names a region that is no article; a header counts as one outside articles."""
+    for name in value.split():
+        parts = NAME_PARTS.findall(name)
+        named = any(p in BOILERPLATE_WORDS or p in ("header", "banner") and not inside for p in parts)
+        if named and all(p in BOILERPLATE_WORDS or p in FILLER for p in parts):
+            return True
+    return False
+
+
 def is_boilerplate(name: str, attributes: str, inside: bool) -> bool:
     """Whether an element is no part of an article's text; inside: an article is open, whose own header counts as text."""
     if name in BOILERPLATE_TAGS or name == "header" and not inside:
         return True
     for m in ATTRIBUTE.finditer(attributes) if attributes and not attributes.isspace() else ():
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value):
+            return True
+        if key == "role" and value in BOILERPLATE_ROLES or key in ("class", "id") and names_a_region(value, inside):
             return True
-        if key in ("class", "id", "role") and (words := set(re.split(r"[^a-z]+", value))):
-            if words & BOILERPLATE_WORDS or "header" in words and not inside:
-                return True
     return False
 
 
 def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """((text, characters within links, inside an article) of each line, '' where only boilerplate stood; whether an article is marked)."""
+    """((text, characters within links, inside an article) of each line, '' where only a region that is no text stood; whether an article is marked)."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     open_tags: list[tuple[str, bool]] = []
-    off = depth = linked = links = 0
-    marked = False
+    opened: Counter[str] = Counter()
+    closers: dict[str, re.Pattern] = {}
+    unclosed: set[str] = set()
+    off = depth = linked = links = at = 0
+    marked = held = False
 
     def flush() -> None:
-        nonlocal links
-        lines.append((" ".join("".join(parts).split()), links, depth > 0))
+        nonlocal links, held
+        text = " ".join("".join(parts).split())
+        if text or held:
+            lines.append((text, links, depth > 0))
         parts.clear()
-        links = 0
+        links, held = 0, False
 
-    def close(at: int) -> None:
+    def close(down_to: int) -> None:
         nonlocal off, depth
-        for name, boiler in open_tags[at:]:
+        for name, boiler in open_tags[down_to:]:
             off -= boiler
             depth -= name in ARTICLE
-        del open_tags[at:]
+            opened[name] -= 1
+        del open_tags[down_to:]
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.match(page, at):
+        at = m.end()
         if text := m["text"]:
-            if not off:
+            if off:
+                held = held or not text.isspace()
+            else:
                 text = html.unescape(text) if "&" in text else text
                 parts.append(text)
                 if linked:
                     links += len(text.strip())
             continue
-        if not (name := m["name"]):
+        name = (m["name"] or m["plain"] or "").lower()
+        if not name:
+            if m[0] == "<!--":
+                found = page.find("-->", at)
+                at = len(page) if found < 0 else found + 3
             continue
-        name = name.lower()
         if name not in INLINE:
             flush()
-        if m["end"]:
+        if m["end"] or m["plain_end"]:
             if name == "a":
                 linked = 0
-            at = next((k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == name), None)
-            if at is not None:
-                close(at)
+            if opened[name] > 0:
+                close(next(k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == name))
+            continue
+        if name in SKIPPED:
+            if name not in unclosed:
+                end = closers.setdefault(name, re.compile(rf"</{name}\s*+>", re.I)).search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    unclosed.add(name)
+            if name in unclosed and name in TO_END:
+                break
             continue
         if name in VOID:
             continue
+        attributes = m["attributes"] or m["rest"] or ""
         if name == "a":
             linked = 1
-        if name in ARTICLE:
+        if name in ARTICLE or name == "body":
             # no menu or notice holds an article: what is still open was never closed
             if off:
                 close(next(k for k, x in enumerate(open_tags) if x[1]))
-            marked = True
-        elif name not in INLINE and open_tags and (open_tags[-1][0] == "p" or open_tags[-1][0] == name == "li"):
-            close(len(open_tags) - 1)
-        boiler = name not in ARTICLE and is_boilerplate(name, m["attributes"], depth > 0)
+            marked = marked or name in ARTICLE
+        elif name not in INLINE and open_tags:
+            last = open_tags[-1][0]
+            if last in ("p", "button", "head") or last == name == "li":
+                close(len(open_tags) - 1)
+        boiler = name not in ARTICLE and name != "body" and is_boilerplate(name, attributes, depth > 0)
         if boiler or name not in INLINE:
             open_tags.append((name, boiler))
+            opened[name] += 1
             off += boiler
             depth += name in ARTICLE
     flush()
     return lines, marked
 
 
+def masses(lines: list[tuple[str, int, bool]], marked: bool) -> list[int]:
+    """What each line counts."""
+    return [len(text) if (inside or not marked) and 2 * links <= len(text) else 0 for text, links, inside in lines]
+
+
+def stretches(mass: list[int], window: int) -> list[tuple[int, int]]:
+    """(surge, dive): from the first line of text to after the last one, of each run of windows that hold any."""
+    found: list[tuple[int, int]] = []
+    start, last, total = -1, -1, 0
+    for i, x in enumerate(mass):
+        total += x - (mass[i - window] if i >= window else 0)  # the sum of the window that ends here
+        if not total and start >= 0:
+            found.append((start, last + 1))
+            start = -1
+        if x:
+            start, last = (i if start < 0 else start), i
+    return found + [(start, last + 1)] * (start >= 0)
+
+
 def main_text(page: str, window: int = WINDOW) -> str:
     """The main text of a page."""
     lines, marked = lines_of(page)
-    if marked:
-        mass, least = [len(text) * inside for text, _, inside in lines], 0
-    else:
-        mass, least = [len(text) * (2 * links <= len(text)) for text, links, _ in lines], SURGE
-    sums, total = [], sum(mass[:window])
-    for i in range(len(mass)):
-        sums.append(total)
-        total += (mass[i + window] if i + window < len(mass) else 0) - mass[i]
-    stretches, start = [], None
-    for i, s in enumerate([*sums, 0]):
-        if s > least and start is None:
-            start = i  # surge
-        elif s <= (0 if marked else least // 4) and start is not None:
-            stretches.append((start, min(i + window - 1, len(mass))))  # dive: the last window may still hold text
-            start = None
-    if not marked and stretches:
-        weight = [sum(mass[a:b]) for a, b in stretches]
-        stretches = [x for x, w in zip(stretches, weight, strict=True) if w >= LIKE_SIZE * max(weight)]
-    kept: dict[int, str] = {}
-    for a, b in stretches:
-        for i in range(a, b):
-            if lines[i][0] and (lines[i][2] or not marked):
-                kept[i] = lines[i][0]
-    return "\n".join(kept.values())
+    spans = stretches(masses(lines, marked), window)
+    return "\n".join(text for a, b in spans for text, _, inside in lines[a:b] if text and (inside or not marked))
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns to keep, then text and n_chars (code points) of each row."""
+    own = fresh(pages, "_html")
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep) + ", text string, n_chars bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_html"):
-            texts = [main_text(x.decode("utf-8", "replace")) for x in text_bytes(part.column("_html"))]
+        for part in slices(batches, own):
+            texts = [main_text(decoded(x)) for x in text_bytes(part.column(own))]
             columns = [*(part.column(k) for k in range(len(keep))), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text", "n_chars"])
 
-    return pages.select(*keep, F.col(html_col).alias("_html")).mapInArrow(run, schema)
+    return pages.select(*keep, F.col(html_col).alias(own)).mapInArrow(run, schema)
