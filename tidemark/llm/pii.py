@@ -1,16 +1,20 @@
 """Personal data by weak supervision.
 
-Candidates are the spans of fixed base patterns and of looser ones.  Labelers
-vote on each: its pattern's own check, a gazetteer (mail domains, card
-prefixes, reserved addresses, dialling codes), the words before it and the
-signs around it.  Expectation-maximisation over the counts of all votes in the
-table estimates how reliable each labeler is, with nobody's labels; the
-resulting probabilities train a logistic span classifier on votes, kind and
-length.  A candidate that passes it is added to the base spans, which stay.
-
-Spans are (kind, start, end) in code points, end exclusive.  Base spans of a
+Candidates are the spans of fixed base patterns and of looser ones: addresses
+with (at) and (dot), numbers inside longer runs of digits, local phone numbers,
+base matches that failed.  Labelers vote on each: the check of its digits or its
+domain, a gazetteer (mail domains, card prefixes, reserved addresses, dialling
+codes), the words before it and the signs around it.  Expectation-maximisation
+over the counts of all votes in the table estimates how reliable each labeler
+is, with nobody's labels; the resulting probabilities train a logistic span
+classifier on votes, kind and length.  A candidate that passes it is added to
+the base spans, which stay.
+
+Spans are (kind, start, end) in code points, end exclusive; bytes that are no
+UTF-8 are read as replacement characters.  Base spans of a
 kind never overlap; an added span overlaps no base span.  Null texts count as
-empty; texts of any length are searched whole; repeated rows have the same
+empty; texts of any length are searched whole, in time that follows their
+length; repeated rows have the same
 spans and each counts in the estimation; columns besides id and text never
 matter; an empty table gives an empty result.
 """
@@ -24,24 +28,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, stored
+from tidemark.llm.common import as_text, decoded, map_texts, stored
 
 KINDS = ("email", "ip", "card", "phone")
+#: The base patterns with runs taken whole: a run that leads to no match is passed over at once, so a search is linear; a match is what the group holds.
 BASE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
-    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
-    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+    "email": re.compile(r"[A-Za-z0-9._%+-]++(?P<rest>@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)?"),
+    "ip": re.compile(r"[0-9]++(?P<rest>\.[0-9]++\.[0-9]++\.[0-9]++)?"),
+    "card": re.compile(r"[0-9](?P<rest>[\x20-]?[0-9])++"),
+    "phone": re.compile(r"\+[0-9](?P<rest>[\x20().0-9-]+)[0-9]"),
 }
 LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(]at[\])] ?[A-Za-z0-9-]+(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]+)+"),
-    "card": re.compile(r"(?<![0-9])(?:[0-9]{4}[ .-]){3}[0-9]{4}(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
+    "email": re.compile(r"[A-Za-z0-9._%+-]++(?P<rest> ?(?:@|[\[(]at[\])]) ?[A-Za-z0-9-]++(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]++)++)?", re.I),
+    "ip": re.compile(r"(?<![0-9.])(?P<rest>[0-9]{1,3}(?: ?(?:\[\.\]|\(\.\)|[\[(]dot[\])]) ?[0-9]{1,3}){3})(?![0-9])", re.I),
+    "card": re.compile(r"(?<![0-9])(?P<rest>[0-9]{4}([ .-]?)[0-9]{4}\2[0-9]{4}\2[0-9]{4}|3[47][0-9]{2}([ .-]?)[0-9]{6}\3[0-9]{5})(?![0-9])"),
+    "phone": re.compile(r"(?<![0-9+])(?P<rest>\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4})(?![0-9])"),
 }
-#: A sign that a text must hold to be searched for a kind.
-NEEDS = {"email": "@", "phone": "+"}
+#: A sign that a text must hold to be searched for a kind by its base pattern; all but the addresses need digits.
+NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+DIGIT, AT = re.compile("[0-9]"), re.compile(r"@|[\[(]at[\])]", re.I)
 #: Common top-level domains, dialling codes by first digit, words that announce a kind.
-DOMAINS = frozenset("com org net edu gov mil int info biz io co de fr es it uk eu nl ch at be se no pl ru cn jp br in au ca us".split())
+DOMAINS = frozenset(
+    "com org net edu gov mil int info biz name pro museum aero coop app dev io ai co me tv cc eu ac ad ae ar at au ba be bg br by ca ch ci cl"
+    " cm cn cr cu cy cz de dk do dz ec ee eg es et fi fr gb ge gh gr gt hk hr hu id ie il in iq ir is it jm jo jp ke kr kw kz lb lk lt lu lv"
+    " ly ma md mk mm mn mt mx my mz ng ni nl no np nz om pa pe ph pk pl pr pt py qa ro rs ru rw sa se sg si sk sn sv sy th tn tr tw tz ua ug"
+    " uk us uy uz ve vn ye za zm zw example test".split()
+)
 CUES = {
     "email": re.compile(r"(?:e-?mail|contact|write|mailto|reach|correo|courriel)\W*(?:\w+\W+){0,2}\Z", re.I),
     "ip": re.compile(r"(?:\bip|address|host|server|client|addr)\W*(?:\w+\W+){0,2}\Z", re.I),
@@ -70,6 +82,20 @@ def passes(kind: str, found: str) -> bool:
     return kind != "phone" or 9 <= len(digits) <= 15
 
 
+def checks(kind: str, found: str) -> bool:
+    """The check of any candidate: what its digits or its domain say, however it is written."""
+    digits = re.sub("[^0-9]", "", found)
+    if kind == "email":
+        labels = re.findall("[A-Za-z0-9-]+", re.split(r"@|[\[(]at[\])]", found, flags=re.I)[-1])
+        return len(labels) > 1 and labels[-1].isalpha() and len(labels[-1]) > 1
+    if kind == "ip":
+        parts = re.findall("[0-9]+", found)
+        return len(parts) == 4 and all(len(x.lstrip("0")) <= 3 and int(x[-3:]) <= 255 for x in parts)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15 and (found[0] == "+" or digits[0] in "23456789" and digits[3:4] in tuple("23456789"))
+
+
 def gazetteer(kind: str, found: str) -> int:
     digits = re.sub("[^0-9]", "", found)
     if kind == "email":
@@ -81,39 +107,53 @@ def gazetteer(kind: str, found: str) -> int:
     return 1 if found[0] == "+" or re.match(r"\(?[2-9]", found) else -1
 
 
-def votes(kind: str, text: str, a: int, b: int, good: bool) -> tuple[int, int, int, int]:
+def votes(kind: str, text: str, a: int, b: int) -> tuple[int, int, int, int]:
     """Of LABELERS: 1 for personal data, -1 against, 0 abstains."""
     before = text[max(0, a - CONTEXT) : a]
     context = 1 if CUES[kind].search(before) else -1 if AGAINST.search(before) else 0
     around = text[max(0, a - 1) : a] + text[b : b + 1]
     edges = -1 if any(c.isdigit() or c in "-_/=" for c in around) else 1 if all(c.isspace() or c in "\"'()<>[],;:.!?" for c in around) else 0
-    return 1 if good else -1, gazetteer(kind, text[a:b]), context, edges
+    return 1 if checks(kind, text[a:b]) else -1, gazetteer(kind, text[a:b]), context, edges
+
+
+def matches(kind: str, pattern: re.Pattern, text: str) -> list[tuple[int, int]]:
+    """Spans of the matches: leftmost, none overlapping another."""
+    return [m.span() for m in pattern.finditer(text) if m["rest"]]
 
 
 def candidates_of(text: str) -> list[dict]:
-    """All base spans of a text, then looser ones that overlap none of them."""
+    """All base spans of a text, then others that overlap none of them: of looser patterns, then base matches that failed their check."""
     out = []
+    digits, at = DIGIT.search(text), AT.search(text)
     for k, kind in enumerate(KINDS):
+        if not (at if kind == "email" else digits):
+            continue
         taken: list[tuple[int, int]] = []
-        loose: list[tuple[int, int]] = []
-        if kind not in NEEDS or NEEDS[kind] in text:
-            for m in BASE[kind].finditer(text):
-                a, b = m.span()
-                if passes(kind, m[0]):
-                    taken.append((a, b))
-                elif kind != "card" or 13 <= sum(map(str.isdigit, m[0])) <= 19:
-                    loose.append((a, b))
-        if kind in LOOSE and (kind != "email" or "at" in text):
-            loose += [m.span() for m in LOOSE[kind].finditer(text)]
-        for a, b in taken:
-            out.append((k, a, b, True, votes(kind, text, a, b, True)))
-        for a, b in sorted(set(loose)):
-            if not any(x < b and a < y for x, y in taken):
+        failed: list[tuple[int, int]] = []
+        for a, b in matches(kind, BASE[kind], text) if NEEDS[kind] in text else ():
+            if passes(kind, text[a:b]):
                 taken.append((a, b))
-                out.append((k, a, b, False, votes(kind, text, a, b, False)))
+            elif kind != "card" or 13 <= sum(map(str.isdigit, text[a:b])) <= 19:
+                failed.append((a, b))
+        out += [(k, a, b, True, votes(kind, text, a, b)) for a, b in taken]
+        for found in (matches(kind, LOOSE[kind], text), failed):
+            free = apart_from(found, taken)
+            out += [(k, a, b, False, votes(kind, text, a, b)) for a, b in free]
+            taken = sorted(taken + free)
     return [{"kind": k, "start": a, "end": b, "base": base, "code": _code(k, v)} for k, a, b, base, v in out]
 
 
+def apart_from(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of spans in order, those that overlap none of the taken ones, which are in order and overlap none of their own."""
+    out, k = [], 0
+    for a, b in spans:
+        while k < len(taken) and taken[k][1] <= a:
+            k += 1
+        if k == len(taken) or b <= taken[k][0]:
+            out.append((a, b))
+    return out
+
+
 def _code(kind: int, v: tuple[int, ...]) -> int:
     """Kind and votes as one number."""
     code = kind
@@ -127,12 +167,12 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("code", pa.int32())]))
 
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
-        return [pa.array([candidates_of(x.decode()) for x in texts], kind)]
+        return [pa.array([candidates_of(decoded(x)) for x in texts], kind)]
 
     return map_texts(docs, id_col, text_col, per_slice, [("found", SPAN)])
 
 
-def decoded(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(kinds, votes as 0 against, 1 abstains, 2 for) of codes."""
     columns = []
     for _ in LABELERS:
@@ -150,7 +190,7 @@ def estimate(votes_: np.ndarray, counts: np.ndarray, rounds: int = 50) -> tuple[
         prior = (weight.sum(axis=1) + 1) / (counts.sum() + 2)
         for v in range(3):
             # a labeler is taken to be right rather than wrong, so the classes can't change places
-            table[:, :, v] = weight @ (votes_ == v) + np.where((v == 2) == np.arange(2)[:, None], 2.0, 1.0) * (1 if v != 1 else 1)
+            table[:, :, v] = weight @ (votes_ == v) + np.where((v == 2) == np.arange(2)[:, None], 2.0, 1.0)
         table /= table.sum(axis=2, keepdims=True)
         score = np.stack([np.log(prior[c]) + sum(np.log(table[c, j, votes_[:, j]]) for j in range(votes_.shape[1])) for c in (0, 1)])
         p = 1 / (1 + np.exp(np.clip(score[0] - score[1], -40, 40)))
@@ -158,7 +198,7 @@ def estimate(votes_: np.ndarray, counts: np.ndarray, rounds: int = 50) -> tuple[
 
 
 def span_features(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    kinds, v = decoded(codes)
+    kinds, v = unpacked(codes)
     columns = [np.ones(len(codes))]
     columns += [(kinds == k).astype(float) for k in range(len(KINDS))]
     columns += [(v[:, j] == x).astype(float) for j in range(v.shape[1]) for x in (0, 2)]
@@ -184,7 +224,7 @@ def train(found: DataFrame) -> dict[tuple[int, int], float]:
     if not counts:
         return {}
     codes, lengths, n = (np.array([r[k] for r in counts]) for k in range(3))
-    _, v = decoded(codes)
+    _, v = unpacked(codes)
     p, _ = estimate(v, n.astype(float))
     x = span_features(codes, lengths)
     q = 1 / (1 + np.exp(-np.clip(x @ fit_spans(x, p, n.astype(float)), -30, 30)))
@@ -224,7 +264,7 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
         out = []
         for x in texts:
-            text, parts, at = x.decode(), [], 0
+            text, parts, at = decoded(x), [], 0
             for s in sorted(candidates_of(text), key=lambda s: (s["start"], -s["end"])):
                 if s["start"] >= at and (s["base"] or (s["code"], min(s["end"] - s["start"], 64)) in good):
                     parts += [text[at : s["start"]], f"[{KINDS[s['kind']].upper()}]"]
