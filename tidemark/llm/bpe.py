@@ -8,7 +8,8 @@ tree, each logarithmic in the length.  Short pieces of like size go through the
 tree together, as rows of one array; long ones one by one.
 
 Null texts count as empty; an empty text has no ids and decodes to no bytes.
-Pieces of any length, repeated rows and further columns are fine: the result
+Bytes that are no UTF-8 are read as replacement characters.  An empty table
+gives an empty result.  Pieces of any length, repeated rows and further columns are fine: the result
 holds the id column and the operator's own columns, a row for each input row.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import decoded, map_texts
 
 #: Distinct pieces a task remembers before it starts afresh; a bound on memory, without effect on results.
 REMEMBERED = 700_000
@@ -248,7 +249,7 @@ def encode(df: DataFrame, tokens: Broadcast, pattern: str, id_col: str = "doc_id
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
         if not made:
             made.append(Encoder(tokens.value, pattern))
-        counts, ids = made[0]([x.decode() for x in texts])
+        counts, ids = made[0](list(map(decoded, texts)))
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         return [pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())), pa.array(counts, pa.int64())]
 

@@ -6,7 +6,8 @@ limit without reading a document again.  Sums run within blocks of lengths and
 over the blocks' totals, so no task holds more than a block of lengths or the
 list of blocks.
 
-Null and empty texts have length 0.  Ties don't matter to counts, repeated rows
+Null and empty texts have length 0; bytes that are no UTF-8 are encoded as
+replacement characters.  Ties don't matter to counts, repeated rows
 each count, columns besides the text are ignored; an empty table gives an empty
 histogram, and limits on it answer 0 documents and tokens.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import shared_tokens
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import cut, decoded, map_texts
 
 BLOCK = 1024
 
@@ -35,7 +36,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
 
             ranks = {t: i for i, t in enumerate(tokens.value)}
             made.append(tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
-        counts = [len(made[0].encode_ordinary(x.decode())) for x in texts]
+        counts = [len(made[0].encode_ordinary(decoded(x))) for x in texts]
         return [pa.array(np.array(counts, dtype=np.int64), pa.int64())]
 
     return map_texts(docs, id_col, text_col, per_slice, [("n_tokens", "bigint")])
@@ -48,6 +49,7 @@ def histogram(counts: DataFrame, length_col: str = "n_tokens") -> DataFrame:
     share of documents that are no longer.
     """
     lengths = counts.groupBy(F.col(length_col).alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))
+    lengths = cut(lengths)  # texts are encoded once, though two branches read their lengths
     lengths = lengths.withColumns({"block": F.floor(F.col("length") / BLOCK), "tokens": F.col("length") * F.col("n_docs")})
     after = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
