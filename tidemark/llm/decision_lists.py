@@ -155,7 +155,8 @@ def cover(x: dict[str, np.ndarray], bad: np.ndarray) -> list[list[Condition]]:
     """The ordered list of rules that reject; rows must be in an order that doesn't follow their labels."""
     rules: list[list[Condition]] = []
     left = np.ones(len(bad), dtype=bool)
-    third = np.arange(len(bad)) % 3 == 0
+    # of each label alike
+    third = np.where(bad, np.cumsum(bad), np.cumsum(~bad)) % 3 == 0
     while len(rules) < MAX_RULES and bad[left & ~third].any():
         a, b = left & ~third, left & third
         xa, xb = ({k: v[m] for k, v in x.items()} for m in (a, b))
@@ -175,7 +176,7 @@ def learn(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     of = ratios()
     rows = stats.join(F.broadcast(sample), F.col(id_col) == F.col("_id")).select("_id", "_label", *[c.alias(k) for k, c in of.items()])
-    rows = sorted(rows.orderBy(F.xxhash64("_id")).limit(2 * max_labelled).collect(), key=lambda r: (hash((r["_id"], 7)), r["_id"]))
+    rows = rows.orderBy(F.xxhash64("_id", F.lit(7)), *of).limit(2 * max_labelled).collect()
     if not rows:
         return []
     return cover({k: np.array([r[k] for r in rows]) for k in of}, np.array([r["_label"] == 0 for r in rows]))
@@ -203,7 +204,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # rules are learned from the labelled rows' texts alone
     chosen = labels.where(F.col("quality").isin(0, 1)).select(F.col(id_col).alias("_chosen")).distinct()
     chosen = chosen.orderBy(F.xxhash64("_chosen"), "_chosen").limit(MAX_LABELLED)
-    own = statistics(docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_chosen"), "left_semi"), id_col, text_col)
+    texts = docs.select(id_col, text_col)
+    own = statistics(texts.join(F.broadcast(chosen), F.col(id_col) == F.col("_chosen"), "left_semi"), id_col, text_col)
     rules = learn(own, labels, id_col)
     failed = base_failed()
     return stats.select(id_col, *COUNTS, failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept"))
