@@ -80,8 +80,8 @@ def test_one_of_similar_documents(spark, odd):
     got = simhash.near_duplicates(rows, **simhash.SIMILAR).collect()
     group = {r.doc_id: r.component_id for r in got}
     near = [p for p, j in alike.items() if j >= 0.8]
-    assert near and sum(group[a] == group[b] for a, b in near) >= 0.85 * len(near)
-    linked = {i for p, j in alike.items() if j >= 0.4 for i in p}
+    assert near and sum(group[a] == group[b] for a, b in near) >= 0.99 * len(near)
+    linked = {i for p in near for i in p}
     assert all(group[i] == i for i in group if i not in linked)
     kept = [r.doc_id for r in simhash.one_of_each(rows).collect()]
     assert sorted(kept) == sorted(i for i, c in group.items() if i == c)
@@ -112,12 +112,13 @@ def test_html(spark):
     plain = "<div id=menu>x</div><div><p>" + "long text " * 30 + "</p><p>short</p></div><ul><li><a>l1</a><li><a>l2</a></ul><form>q</form>"
     assert html_extract.main_text(plain) == ("long text " * 30).strip() + "\nshort"
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "u", page), (3, "u", "<article><p" )], "page_id bigint, url string, html string").withColumn("_html", F.lit(1))
-    assert sorted(r.n_chars for r in html_extract.extract(pages.drop("_html")).collect()) == [0, 0, 0, 13]
+    assert sorted(r.n_chars for r in html_extract.extract(pages).collect()) == [0, 0, 0, 13]
 
 
 def test_substrings_against_brute_force(spark, odd, texts):
     passage = " ".join(f"p{i}" for i in range(37))
-    rows = [(i, f"a{i} b{i} " * (i % 7) + passage + f" z{i}" * 5 + (" " + passage if i == 9 else ""), "s") for i in range(40)] + ODD
+    # ids of their own: rows that share one are documents of their own, which this count by id doesn't tell apart
+    rows = [(100 + i, f"a{i} b{i} " * (i % 7) + passage + f" z{i}" * 5 + (" " + passage if i == 9 else ""), "s") for i in range(40)] + ODD
     docs = spark.createDataFrame(rows, SCHEMA)
     got = {(r.doc_id, r.n_words, r.n_removed, r.kept_text or "") if r.kept_text is not None else (r.doc_id, r.n_words, r.n_removed, None) for r in substring_dedup.without_repeats(docs).collect()}
     first: dict[str, tuple] = {}
@@ -146,7 +147,8 @@ def test_decision_list(spark, odd):
 
 
 def test_pii(spark, odd):
-    found = {r.doc_id: r for r in pii.detect(odd.union(odd.limit(0))).select("doc_id", pii.span_list(pii.base_spans()).alias("s")).collect()}
+    assert pii.detect(odd.limit(0)).isEmpty()
+    found = {r.doc_id: r for r in pii.detect(odd).select("doc_id", pii.span_list(pii.base_spans()).alias("s")).collect()}
     assert found[7].s == "phone:7:24" and found[1].s == ""
     text = "x a.b@c.de 10.0.0.256 1.2.3.4 and 4111 1111 1111 1111 +12 34"
     assert [(pii.KINDS[s["kind"]], text[s["start"] : s["end"]]) for s in pii.candidates_of(text) if s["base"]] == [("email", "a.b@c.de"), ("ip", "1.2.3.4"), ("card", "4111 1111 1111 1111")]
