@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,9 +33,39 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Lists that note each path that scratch gives out.
+_notes: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _notes:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """While this is open, paths takes every path that scratch gives out."""
+    _notes.append(paths)
+    try:
+        yield
+    finally:
+        _notes.pop(next(k for k, x in enumerate(_notes) if x is paths))
+
+
+def removed(spark: SparkSession, paths: list[str], in_use: DataFrame | None = None) -> None:
+    """Deletes intermediate tables, with what lies beside them under the same name, but for those that in_use reads."""
+    sc = spark.sparkContext
+    read = in_use.inputFiles() if in_use is not None and paths else []
+    for path in paths:
+        if any(f"/{path.rsplit('/', 1)[-1]}/" in f for f in read):
+            continue
+        for name in (path, f"{path}-state", f"{path}-checkpoint"):
+            at = sc._jvm.org.apache.hadoop.fs.Path(name)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+    paths.clear()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -75,10 +106,16 @@ def located(docs: DataFrame) -> tuple[DataFrame, str]:
     return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
-def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
-    """The rows whose id isn't in the one column of gone."""
+#: Numbers of rows that are sent to all tasks at most, eight bytes each; more are joined like any other table.
+SENT_ROWS = 1_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame, row_col: str) -> DataFrame:
+    """The rows whose number isn't in the one column of gone."""
     name = fresh(docs, "_gone")
-    return docs.join(gone.toDF(name).distinct(), F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+    gone = stored(gone.toDF(name), "gone")
+    few = gone.limit(SENT_ROWS + 1).count() <= SENT_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, F.col(row_col) == F.col(name), "left_anti")
 
 
 def word_count(text: Column) -> Column:

@@ -1,12 +1,12 @@
 """Exact deduplication by a streaming query over keyed state on disk.
 
-Rows are staged once, in the shared folder: digest, id, content locator and
-normalised text.  The locator numbers the staged rows (part file, row in it), so
+Rows are staged once, in the shared folder: digest, id, content locator and the
+row itself.  The locator numbers the staged rows (part file, row in it), so
 content is found again by it alone.  A stream over digest, id and locator, dealt
 over several micro-batches, keeps for each digest and without expiry the least
 id, its locator and the number of rows in a RocksDB state store that checkpoints
 to the shared folder.  Equal digests are only hits: the staged bytes of every
-hit are then compared with those of the row that stays.  Should texts with one
+hit, white space normalised, are then compared with those of the row that stays.  Should texts with one
 digest differ, their groups are formed anew by the whole text.
 
 Everything on the data's path is DataFrame functions.  A group of any size is
@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE_CLASS, cut, located, scratch, stored, without
+from tidemark.llm.common import SPACE_CLASS, cut, scratch, stored, without
 
 #: Groups with more than one text whose digests are sent to all tasks at most: 32 bytes each and less than 10 MB in all.
 SENT_DIGESTS = 100_000
@@ -98,52 +98,65 @@ def exact_duplicates(
 
     row_col: a column that numbers the rows, which the result has too.
     """
-    spark = docs.sparkSession
+    staged, state, _ = grouped_by_digest(docs.select(id_col, text_col, *([row_col] if row_col else [])), id_col, text_col, digest, row_col, batches, least_batch)
     name = docs.schema[id_col].name
-    if docs.schema[id_col].dataType.simpleString() != "bigint":
-        raise ValueError("ids must be of type long")
-    # the upper bits name the part file that a row is staged in, the lower ones the row
-    locator = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
-    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"), locator.alias("locator"))
-    path = scratch(spark, "dedup")
-    texts.withColumn("digest", digest(F.col("text"))).select("digest", "id", "locator", "text").write.parquet(path)
-    staged = spark.read.parquet(path)
-    keys = staged.drop("text")
-    size = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    state = run_stream(keys, path, max(least_batch, -(-size // batches))) if not keys.isEmpty() else keyed_state(keys)
     named = digest is sha256
-    out = (keys if named else staged).join(state, "digest").select(
+    out = (staged.select("digest", "id", "locator") if named else staged).join(state, "digest").select(
         F.col("id").alias(name),
         F.col("keep.id").alias("keep_id"),
         F.col("n").alias("group_size"),
         (F.col("locator") == F.col("keep.locator")).alias("kept"),
-        (F.lower(F.hex("digest")) if named else F.sha2("text", 256)).alias("text_sha256"),
+        (F.lower(F.hex("digest")) if named else F.sha2(staged_text(text_col), 256)).alias("text_sha256"),
         *([F.col("locator").alias(row_col)] if row_col else []),
         "digest",
     )
-    wrong = differing(staged, state)
+    wrong = differing(staged, state, text_col)
     if not wrong.isEmpty():
         wrong = cut(wrong.distinct())
-        return out.join(wrong, "digest", "left_anti").drop("digest").unionByName(regrouped(staged, wrong, name, row_col))
+        return out.join(wrong, "digest", "left_anti").drop("digest").unionByName(regrouped(staged, wrong, text_col, name, row_col))
     return out.drop("digest")
 
 
-def differing(staged: DataFrame, state: DataFrame) -> DataFrame:
+def staged_text(text_col: str) -> Column:
+    return normalised(F.col(f"doc.`{text_col}`"))
+
+
+def grouped_by_digest(
+    docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], row_col: str | None, batches: int, least_batch: int
+) -> tuple[DataFrame, DataFrame, str]:
+    """(staged rows, state, path): rows of digest, id, locator and doc, a struct of the given columns."""
+    spark = docs.sparkSession
+    if docs.schema[id_col].dataType.simpleString() != "bigint":
+        raise ValueError("ids must be of type long")
+    # the upper bits name the part file that a row is staged in, the lower ones the row
+    locator = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(digest(normalised(F.col(text_col))).alias("digest"), F.col(id_col).alias("id"), locator.alias("locator"), doc.alias("doc"))
+    path = scratch(spark, "dedup")
+    rows.write.parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    keys = staged.drop("doc")
+    size = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    state = run_stream(keys, path, max(least_batch, -(-size // batches))) if not keys.isEmpty() else keyed_state(keys)
+    return staged, state, path
+
+
+def differing(staged: DataFrame, state: DataFrame, text_col: str) -> DataFrame:
     """Digests, some repeatedly, of hits whose bytes are not those of the row that stays."""
     hit = state.where("n > 1").select("digest", F.col("keep.locator").alias("keep_locator"))
     few = hit.limit(SENT_DIGESTS + 1).count() <= SENT_DIGESTS
     sent = F.broadcast if few else (lambda df: df)
     # all texts with a digest that occurs again: by a filter of proven size, or else by a join like any other
-    found = staged.join(sent(hit.select("digest")), "digest", "left_semi").select("digest", "locator", "text")
-    first = staged.select(F.col("locator").alias("keep_locator"), F.col("text").alias("keep_text"))
+    found = staged.join(sent(hit.select("digest")), "digest", "left_semi").select("digest", "locator", staged_text(text_col).alias("text"))
+    first = staged.select(F.col("locator").alias("keep_locator"), "doc")
     # stored, so that both sides come straight from an exchange and Spark can split a large group
-    first = stored(first.join(sent(hit), "keep_locator").select("digest", "keep_locator", "keep_text"), "first")
+    first = stored(first.join(sent(hit), "keep_locator").select("digest", "keep_locator", staged_text(text_col).alias("keep_text")), "first")
     return found.join(first, "digest").where("locator <> keep_locator AND text <> keep_text").select("digest")
 
 
-def regrouped(staged: DataFrame, wrong: DataFrame, name: str, row_col: str | None) -> DataFrame:
+def regrouped(staged: DataFrame, wrong: DataFrame, text_col: str, name: str, row_col: str | None) -> DataFrame:
     """The result's rows of these digests, grouped by the whole text."""
-    held = staged.join(wrong, "digest", "left_semi")
+    held = staged.join(wrong, "digest", "left_semi").select("id", "locator", staged_text(text_col).alias("text"))
     groups = held.groupBy("text").agg(F.min(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("n"))
     return held.join(groups, "text").select(
         F.col("id").alias(name),
@@ -157,6 +170,11 @@ def regrouped(staged: DataFrame, wrong: DataFrame, name: str, row_col: str | Non
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    rows, row = located(docs)
-    found = exact_duplicates(rows, id_col, text_col, row_col=row)
-    return without(rows, found.where(~F.col("kept")).select(row), row).drop(row)
+    staged, state, _ = grouped_by_digest(docs, id_col, text_col, sha256, None, BATCHES, LEAST_BATCH)
+    gone = staged.select("digest", "locator").join(state.where("n > 1"), "digest").where("locator <> keep.locator")
+    wrong = differing(staged, state, text_col)
+    if not wrong.isEmpty():
+        wrong = cut(wrong.distinct())
+        groups = regrouped(staged, wrong, text_col, "id", "locator")
+        gone = gone.join(wrong, "digest", "left_anti").select("locator").union(groups.where(~F.col("kept")).select("locator"))
+    return without(staged, gone.select("locator"), "locator").select("doc.*")
