@@ -2,32 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
-
-
-def field_type(schema: StructType, path: str) -> DataType | None:
-    """Type of a dotted path, None where it is missing."""
-    kind: DataType = schema
-    for name in path.split("."):
-        if not isinstance(kind, StructType) or name not in kind.names:
-            return None
-        kind = kind[name].dataType
-    return kind
-
-
-def safe_col(df: DataFrame, path: str, to: str) -> Column:
-    """The nested column as `to`, or a typed null where the frame lacks it or the cast fails."""
-    return F.lit(None).cast(to) if field_type(df.schema, path) is None else F.col(path).try_cast(to)
-
-
-def json_text(df: DataFrame, path: str) -> Column:
-    """Text of a column that may be an object, array, map or scalar."""
-    kind = field_type(df.schema, path)
-    if isinstance(kind, StructType | ArrayType | MapType):
-        return F.to_json(F.col(path))
-    return safe_col(df, path, "string")
 
 
 def filled(x: Column) -> Column:
@@ -59,9 +35,9 @@ def parse_time(x: Column) -> Column:
 
 
 def parse_millis(*candidates: Column) -> Column:
-    """The first candidate that is a positive number of milliseconds."""
-    good = [F.when(c.cast("string").try_cast("bigint") > 0, c.cast("string").try_cast("bigint")) for c in candidates]
-    return F.coalesce(*good)
+    """The first candidate that is a number of one or more milliseconds; fractions go."""
+    numbers = [c.cast("string").try_cast("double") for c in candidates]
+    return F.coalesce(*[F.when((x >= 1) & (x < 9e15), x.cast("bigint")) for x in numbers])
 
 
 def floor_seconds(ts: Column, seconds: int) -> Column:

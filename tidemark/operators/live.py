@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Family -> the columns it groups by besides the window.
@@ -51,9 +51,15 @@ def live_top_pages_counts(events: DataFrame, window: str = "1 minute") -> DataFr
     ).select(F.col("w.start").alias("window_start"), "wiki", "title", "event_count", "last_change_type", "last_seen_at")
 
 
+def event_ms(events: DataFrame) -> Column:
+    """An event's own time in milliseconds: that of its source, where the rows carry it."""
+    at = F.unix_millis("occurred_at")
+    return F.coalesce("source_ms", at) if "source_ms" in events.columns else at
+
+
 def live_event_bounds(events: DataFrame, window: str = "1 minute") -> DataFrame:
     """Oldest and latest event time by window, and overall with a null window."""
-    ms = F.unix_millis("occurred_at")
+    ms = event_ms(events)
     per = events.groupBy(F.window("occurred_at", window).start.alias("window_start")).agg(F.min(ms).alias("oldest_ms"), F.max(ms).alias("latest_ms"))
     return per.rollup("window_start").agg(F.min("oldest_ms").alias("oldest_ms"), F.max("latest_ms").alias("latest_ms"))
 

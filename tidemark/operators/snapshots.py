@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
@@ -12,57 +12,66 @@ from tidemark.sources.schemas import CHANGE_TYPES, NAMESPACES
 PAGE = ("wiki", "title", "event_count", "last_change_type", "last_seen_at")
 
 
-def zero_filled(counts: DataFrame, windows: DataFrame, key: str, values: tuple[str, ...]) -> DataFrame:
-    """A row for each window and known value, 0 where it has no events; other values are dropped."""
-    every = windows.withColumn(key, F.explode(F.array(*map(F.lit, values))))
-    return every.join(counts, ["window_start", key], "left").withColumn("event_count", F.coalesce("event_count", F.lit(0)))
+def by_wiki(events: DataFrame, window: str = "1 minute") -> DataFrame:
+    """All counters of a wiki's window in one row and one pass: total, bots, humans, known types and namespaces, oldest and latest event time."""
+    rows = events.select(F.window("occurred_at", window).start.alias("window_start"), "wiki", "change_type", "user_is_bot", F.col("namespace").cast("string").alias("namespace"), live.event_ms(events).alias("ms"))
+    types = [F.count_if(F.col("change_type") == t).alias(f"type_{k}") for k, t in enumerate(CHANGE_TYPES)]
+    spaces = [F.count_if(F.col("namespace") == str(n)).alias(f"space_{k}") for k, n in enumerate(NAMESPACES)]
+    flags = (F.count_if("user_is_bot").alias("bot_count"), F.count_if(~F.col("user_is_bot")).alias("human_count"))
+    return rows.groupBy("window_start", "wiki").agg(F.count(F.lit(1)).alias("total"), *flags, *types, *spaces, F.min("ms").alias("oldest_ms"), F.max("ms").alias("latest_ms"))
 
 
-def totals(events: DataFrame, by: list[str], window: str) -> DataFrame:
-    rows = events.withColumn("window_start", F.window("occurred_at", window).start)
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), F.count_if("user_is_bot").alias("bot_count"), F.count_if(~F.col("user_is_bot")).alias("human_count"))
-    return counts.withColumn("bot_ratio", S.bot_ratio(F.col("bot_count"), F.col("human_count")))
+SUMS = ("total", "bot_count", "human_count", *(f"type_{k}" for k in range(len(CHANGE_TYPES))), *(f"space_{k}" for k in range(len(NAMESPACES))))
 
 
-def as_map(counts: DataFrame, by: list[str], key: str, name: str) -> DataFrame:
-    entries = F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), F.col("event_count").alias("value"))))
-    return counts.groupBy(*by).agg(F.map_from_entries(entries).alias(name))
+def as_map(names: tuple, prefix: str, zeros: bool) -> Column:
+    """Counters as a map from their names, with or without those at 0."""
+    entries = F.array(*[F.struct(F.lit(str(n)).alias("key"), F.col(f"{prefix}{k}").alias("value")) for k, n in enumerate(names)])
+    return F.map_from_entries(entries if zeros else F.filter(entries, lambda e: e["value"] > 0))
 
 
-def as_list(ranked: DataFrame, by: list[str], fields: tuple[str, ...], name: str) -> DataFrame:
-    ordered = F.array_sort(F.collect_list(F.struct("rank", *fields)))
-    return ranked.groupBy(*by).agg(F.transform(ordered, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(name))
+def as_list(fields: tuple[str, ...], keep: Column | None = None) -> Column:
+    """An aggregate: ranked rows, at most the n that top_n has left, in order of rank."""
+    item = F.struct("rank", *fields)
+    ordered = F.array_sort(F.collect_list(item if keep is None else F.when(keep, item)))
+    return F.transform(ordered, lambda x: F.struct(*[x[f].alias(f) for f in fields]))
 
 
-def known_namespaces(counts: DataFrame) -> DataFrame:
-    return counts.where(F.col("namespace").isin(*map(str, NAMESPACES)) & (F.col("event_count") > 0))
+def finished(counts: DataFrame, by: tuple[str, ...], zeros: bool, *lists: str) -> DataFrame:
+    return counts.select(
+        *by, "total", "bot_count", "human_count", S.bot_ratio(F.col("bot_count"), F.col("human_count")).alias("bot_ratio"),
+        as_map(CHANGE_TYPES, "type_", zeros).alias("change_types"), as_map(NAMESPACES, "space_", False).alias("namespace_distribution"), *lists, "oldest_ms", "latest_ms",
+    )
+
+
+def global_of(wikis: DataFrame, n: int = 10) -> DataFrame:
+    """From rows of by_wiki to rows of a window, with its largest wikis: the rank and the sums share one shuffle by window."""
+    order = Window.partitionBy("window_start").orderBy(F.col("total").desc(), "wiki")
+    ranked = wikis.withColumns({"rank": F.row_number().over(order), "event_count": F.col("total")})
+    top = as_list(("wiki", "event_count"), (F.col("rank") <= n) & F.col("wiki").isNotNull())
+    sums = ranked.groupBy("window_start").agg(*[F.sum(c).alias(c) for c in SUMS], F.min("oldest_ms").alias("oldest_ms"), F.max("latest_ms").alias("latest_ms"), top.alias("top_wikis"))
+    return finished(sums, ("window_start",), True, "top_wikis")
 
 
 def snapshot_global(events: DataFrame, window: str = "1 minute", n: int = 10) -> DataFrame:
-    by = ["window_start"]
-    base = totals(events, by, window)
-    types = zero_filled(live.family(events, "change_type", window), base.select("window_start"), "change_type", CHANGE_TYPES)
-    out = base.join(as_map(types, by, "change_type", "change_types"), by)
-    out = out.join(as_map(known_namespaces(live.family(events, "namespace", window)), by, "namespace", "namespace_distribution"), by, "left")
-    out = out.join(as_list(live.live_top_wikis(events, window, n), by, ("wiki", "event_count"), "top_wikis"), by, "left")
-    out = out.join(as_list(live.live_top_pages(events, window, n), by, PAGE, "top_pages"), by, "left")
-    return with_bounds(out, live.live_event_bounds(events, window)).withColumn("topic", F.lit("global"))
+    """One pass for all counters and one for pages; both end dealt by window, so they are joined where they are."""
+    pages = live.live_top_pages(events, window, n).groupBy("window_start").agg(as_list(PAGE).alias("top_pages"))
+    return global_of(by_wiki(events, window), n).join(pages, "window_start", "left").withColumn("topic", F.lit("global"))
 
 
 def snapshot_wiki(events: DataFrame, wikis: DataFrame | None = None, window: str = "1 minute", n: int = 10) -> DataFrame:
     """By wiki; given wikis, only theirs are computed."""
     events = events if wikis is None else required_wikis(events, wikis)
-    by = ["window_start", "wiki"]
-    out = totals(events, by, window).join(as_map(live.family(events, "wiki_change_type", window), by, "change_type", "change_types"), by)
-    out = out.join(as_map(known_namespaces(live.family(events, "wiki_namespace", window)), by, "namespace", "namespace_distribution"), by, "left")
-    out = out.join(as_list(live.live_wiki_top_pages(events, window, n), by, PAGE[1:], "top_pages"), by, "left")
-    return with_bounds(out, live.live_event_bounds(events, window)).withColumn("topic", F.concat(F.lit("wiki:"), "wiki"))
+    by = ("window_start", "wiki")
+    pages = live.live_wiki_top_pages(events, window, n).groupBy(*by).agg(as_list(PAGE[1:]).alias("top_pages"))
+    out = finished(by_wiki(events, window), by, False).join(pages, list(by), "left")
+    return out.withColumn("topic", F.concat(F.lit("wiki:"), "wiki"))
 
 
 def snapshot_top_pages(events: DataFrame, window: str = "1 minute", n: int = 10) -> DataFrame:
     ranked = live.live_top_pages(events, window, n)
-    lists = as_list(ranked, ["window_start"], PAGE, "top_pages")
-    return ranked.groupBy("window_start").agg(F.sum("event_count").alias("total")).join(lists, "window_start").withColumn("topic", F.lit("top_pages"))
+    lists = ranked.groupBy("window_start").agg(F.sum("event_count").alias("total"), as_list(PAGE).alias("top_pages"))
+    return lists.withColumn("topic", F.lit("top_pages"))
 
 
 def with_bounds(snapshots: DataFrame, bounds: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators import alerts, gold, live, monitoring, snapshots, subscriptions
 from tidemark.plans import reports
 from tidemark.sources.adapter import DUCK_EVENTS, plain, silver_events, subscription_actions
+from tidemark.sources.schemas import NAMESPACES
 
 HOUR = "1 hour"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +62,9 @@ SPIKES = "SELECT bucket AS hour, series AS wiki, event_count, round(z, 4) AS z_s
 add("activity_spikes", gold.activity_spikes, f"WITH {z_sql(SPIKE_SERIES)} {SPIKES}")
 for _name, _text in reports.REPORTS.items():
     add(_name, lambda e, n=_name: reports.report(n, e), _text.replace("{a}", "a"))
+AS_OF = "2024-01-20 12:34:56"
+for _name in ("bot_ratio_24h", "kpi_totals", "most_edited_articles_7d", "active_wikis_last_hour"):
+    add(f"{_name}_as_of", lambda e, n=_name: reports.report(n, e, AS_OF), reports.at_time(reports.REPORTS[_name], AS_OF).replace("{a}", "a"))
 for _name, _text in reports.SPIKES.items():
     add(_name, lambda e, n=_name: reports.spike_report(n, gold.activity_spikes(e)), f"WITH {z_sql(SPIKE_SERIES)}, s AS ({SPIKES}) {_text.replace('{s}', 's')}")
 
@@ -77,7 +81,7 @@ add("live_grouping_sets", lambda e: live.live_counts(e, HOUR), f"WITH l AS ({L})
 TOP_PAGES = f"t AS (SELECT window_start, wiki, title, count(*) AS event_count, {LAST} FROM l WHERE namespace = '0' GROUP BY 1, 2, 3)"
 add("live_top_pages_counts", lambda e: live.live_top_pages_counts(e, HOUR), f"WITH l AS ({L}), {TOP_PAGES} SELECT * FROM t")
 add("live_event_bounds", lambda e: live.live_event_bounds(e, HOUR),
-    f"WITH l AS ({L}) SELECT window_start, epoch_ms(min(occurred_at)) AS oldest_ms, epoch_ms(max(occurred_at)) AS latest_ms FROM l GROUP BY ROLLUP (window_start)")
+    f"WITH l AS ({L}) SELECT window_start, epoch_us(min(occurred_at)) // 1000 AS oldest_ms, epoch_us(max(occurred_at)) // 1000 AS latest_ms FROM l GROUP BY ROLLUP (window_start)")
 TOP_WIKIS = "SELECT window_start, wiki, count(*) AS event_count, row_number() OVER (PARTITION BY window_start ORDER BY count(*) DESC, wiki) AS rank FROM l GROUP BY 1, 2 QUALIFY rank <= 10"
 add("live_top_wikis", lambda e: live.live_top_wikis(e, HOUR), f"WITH l AS ({L}) {TOP_WIKIS}")
 add("live_top_pages", lambda e: live.live_top_pages(e, HOUR),
@@ -116,7 +120,7 @@ add("new_alerts", lambda e: alerts.publish_once((z := alerts.alert_zscore(alerts
 
 RATIO = "round(count(*) FILTER (is_bot) / count(*), 4) AS bot_ratio"
 TOTALS = f"count(*) AS total, count(*) FILTER (is_bot) AS bot_count, count(*) FILTER (NOT is_bot) AS human_count, {RATIO}"
-BOUNDS = "epoch_ms(min(occurred_at)) AS oldest_ms, epoch_ms(max(occurred_at)) AS latest_ms"
+BOUNDS = "epoch_us(min(occurred_at)) // 1000 AS oldest_ms, epoch_us(max(occurred_at)) // 1000 AS latest_ms"
 SCALARS = ("total", "bot_count", "human_count", "bot_ratio")
 add("snapshot_global", lambda e: snapshots.snapshot_global(e, HOUR).select("window_start", *SCALARS, F.size("change_types").alias("n_types"), F.size("top_pages").alias("n_pages"), "oldest_ms", "latest_ms"),
     f"WITH l AS ({L}) SELECT window_start, {TOTALS}, 5 AS n_types, CASE WHEN count(*) FILTER (namespace = '0') > 0 THEN least(10, count(DISTINCT (wiki, title)) FILTER (namespace = '0')) END::INT AS n_pages, {BOUNDS} FROM l GROUP BY 1")
@@ -128,6 +132,21 @@ add("snapshot_wiki", lambda e: snapshots.snapshot_wiki(e, None, HOUR).select("wi
 add("snapshot_top_pages", lambda e: snapshots.snapshot_top_pages(e, HOUR).select("window_start", "total", F.size("top_pages").alias("n_pages"), F.col("top_pages")[0]["title"].alias("first_title")),
     f"WITH l AS ({L}), {TOP_PAGES}, r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY event_count DESC, wiki, title) AS rank FROM t QUALIFY rank <= 10) "
     "SELECT window_start, sum(event_count)::BIGINT AS total, count(*)::INT AS n_pages, max(CASE WHEN rank = 1 THEN title END) AS first_title FROM r GROUP BY 1")
+KNOWN = ", ".join(f"'{n}'" for n in NAMESPACES)
+add("snapshot_global_namespaces", lambda e: snapshots.snapshot_global(e, HOUR).select("window_start", F.explode("namespace_distribution").alias("namespace", "event_count")),
+    f"WITH l AS ({L}) SELECT window_start, namespace, count(*) AS event_count FROM l WHERE namespace IN ({KNOWN}) GROUP BY 1, 2")
+add("snapshot_global_top_wikis", lambda e: snapshots.snapshot_global(e, HOUR).select("window_start", F.posexplode("top_wikis").alias("at", "w")).select("window_start", (F.col("at") + 1).alias("rank"), "w.*"), f"WITH l AS ({L}) {TOP_WIKIS}")
+add("snapshot_global_top_pages", lambda e: snapshots.snapshot_global(e, HOUR).select("window_start", F.posexplode("top_pages").alias("at", "p")).select("window_start", (F.col("at") + 1).alias("rank"), "p.*"), 
+    f"WITH l AS ({L}), {TOP_PAGES} SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY event_count DESC, wiki, title) AS rank FROM t QUALIFY rank <= 10")
+add("snapshot_wiki_types", lambda e: snapshots.snapshot_wiki(e, None, HOUR).select("window_start", "wiki", F.explode("change_types").alias("change_type", "event_count")),
+    f"WITH l AS ({L}) SELECT window_start, wiki, change_type, count(*) AS event_count FROM l GROUP BY 1, 2, 3")
+add("snapshot_wiki_namespaces", lambda e: snapshots.snapshot_wiki(e, None, HOUR).select("window_start", "wiki", F.explode("namespace_distribution").alias("namespace", "event_count")),
+    f"WITH l AS ({L}) SELECT window_start, wiki, namespace, count(*) AS event_count FROM l WHERE namespace IN ({KNOWN}) GROUP BY 1, 2, 3")
+add("snapshot_wiki_top_pages", lambda e: snapshots.snapshot_wiki(e, None, HOUR).select("window_start", "wiki", F.posexplode("top_pages").alias("at", "p")).select("window_start", "wiki", (F.col("at") + 1).alias("rank"), "p.*"),
+    f"WITH l AS ({L}), {TOP_PAGES} SELECT *, row_number() OVER (PARTITION BY window_start, wiki ORDER BY event_count DESC, title) AS rank FROM t QUALIFY rank <= 10")
+BY_MINUTE = L.replace("'hour'", "'minute'")
+add("live_counts_by_minute", live.live_counts, f"WITH l AS ({BY_MINUTE}) {FAMILY_UNION}")
+add("snapshot_global_by_minute", lambda e: snapshots.snapshot_global(e).select("window_start", *SCALARS, "oldest_ms", "latest_ms"), f"WITH l AS ({BY_MINUTE}) SELECT window_start, {TOTALS}, {BOUNDS} FROM l GROUP BY 1")
 for _kind, _keys, _n in (("wikis", "wiki", 10), ("change_types", "change_type", 8), ("namespaces", "namespace", 10), ("pages", "wiki, title", 15)):
     add(f"chart_points_{_kind}", lambda e, k=_kind, c=_keys: snapshots.chart_points(e.groupBy(*c.split(", ")).agg(F.count(F.lit(1)).alias("event_count")), k),
         f"SELECT {_keys}, count(*) AS event_count FROM a GROUP BY {_keys} ORDER BY event_count DESC, {_keys} LIMIT {_n}")

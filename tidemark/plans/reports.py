@@ -1,9 +1,19 @@
-"""Reports in SQL over silver-like rows. {a} stands for the events; times count from the data's last event, or as_of."""
+"""Reports in SQL over silver-like rows. {a} stands for the events; times count from the data's last event, or as_of.
+
+With as_of nothing is read to learn the time, and the filter on event time is a
+literal that reaches the scan; of rows by hour partition, only the hours that the
+report looks at are listed.
+"""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 
+from tidemark.sources.lake import in_hours
+from tidemark.sources.schemas import PARTS
+
 H, D = "date_trunc('hour', occurred_at)", "cast(cast(occurred_at AS date) AS string)"
 NOW = "(SELECT max(occurred_at) AS now FROM {a})"
 RECENT = "FROM {a} CROSS JOIN " + NOW + " t WHERE occurred_at > t.now - INTERVAL '%s' %s"
@@ -42,8 +52,28 @@ SPIKES: dict[str, str] = {
 }
 
 
-def report(name: str, events: DataFrame) -> DataFrame:
+#: Hours that a report looks back, where it doesn't read everything.
+HOURS = {
+    "most_edited_articles_7d": 168, "bot_ratio_24h": 24, "active_wikis_last_hour": 2, "most_active_wiki_24h": 24, "wiki_trend_30d": 720, "most_edited_page_24h": 24,
+    "most_created_pages_7d": 168, "change_type_trend_30d": 720,
+}
+
+
+def at_time(text: str, as_of: str) -> str:
+    """The text with a literal time for the data's last event, and nothing later counted."""
+    dated = text.replace(f" CROSS JOIN {NOW} t WHERE", f" WHERE occurred_at <= TIMESTAMP '{as_of}' AND").replace(f" CROSS JOIN {NOW} t", f" WHERE occurred_at <= TIMESTAMP '{as_of}'")
+    return dated.replace("t.now", f"TIMESTAMP '{as_of}'")
+
+
+def report(name: str, events: DataFrame, as_of: str | None = None) -> DataFrame:
+    """as_of: a UTC time as text, 'yyyy-MM-dd HH:mm:ss'."""
     text = REPORTS[name].replace("extract(dow FROM occurred_at)", "dayofweek(occurred_at) - 1")
+    if as_of is not None:
+        text = at_time(text, as_of)
+        if set(PARTS) <= set(events.columns) and name in HOURS:
+            last = datetime.fromisoformat(as_of)
+            first = last - timedelta(hours=HOURS[name])
+            events = events.where(in_hours(*(tuple(t.strftime(f) for f in ("%Y", "%m", "%d", "%H")) for t in (first, last))))
     return events.sparkSession.sql(text, a=events)
 
 

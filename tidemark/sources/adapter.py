@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.schemas import NAMESPACES
+
 EVENTS = """
 SELECT concat('wikimedia-', event_id) AS event_id, {ts} AS occurred_at,
   concat('w', lpad(cast(user_id % 12 AS {text}), 2, '0'), 'wiki') AS wiki,
@@ -14,8 +16,8 @@ SELECT concat('wikimedia-', event_id) AS event_id, {ts} AS occurred_at,
   CASE WHEN event_type = 'error' THEN CASE WHEN user_id % 2 = 0 THEN 'delete' ELSE 'block' END END AS log_type,
   cast(floor(value) AS bigint) AS new_length
 FROM events"""
-DUCK_EVENTS = EVENTS.format(ts="ts", text="varchar", namespaces="([-1,0,1,2,4,6,10,14])", json="json_extract_string", base=1)
-SPARK_EVENTS = EVENTS.format(ts="cast(ts AS timestamp)", text="string", namespaces="array(-1,0,1,2,4,6,10,14)", json="get_json_object", base=0).replace("FROM events", "FROM {events}")
+DUCK_EVENTS = EVENTS.format(ts="ts", text="varchar", namespaces=f"({list(NAMESPACES)})", json="json_extract_string", base=1)
+SPARK_EVENTS = EVENTS.format(ts="cast(ts AS timestamp)", text="string", namespaces=f"array{NAMESPACES}", json="get_json_object", base=0).replace("FROM events", "FROM {events}")
 ACTIONS = """
 SELECT conv_id AS connection_id, turn AS seq, CASE WHEN length(text) % 3 = 0 THEN 'unsubscribe' ELSE 'subscribe' END AS action,
   CASE turn % 5 WHEN 0 THEN 'global' WHEN 1 THEN 'top_pages' WHEN 2 THEN 'wiki:w00wiki' WHEN 3 THEN 'wiki:w01wiki' ELSE 'BAD TOPIC' END AS topic

@@ -6,29 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.sources.schemas import ENVELOPE, EVENT_TYPE, RAW
+from tidemark.sources.schemas import ENVELOPE, EVENT_TYPE, RAW, SENT, SOURCE_TIMES
 
 
 def ingest_raw_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good with `raw` and `event`, bad with `raw`) of lines that start with data:; other lines are no events."""
     data = lines.where(F.col(column).startswith("data:")).select(F.trim(F.expr(f"substring(`{column}`, 6)")).alias("raw"))
-    parsed = data.withColumn("event", F.when(F.col("raw").startswith("{") & F.col("raw").endswith("}"), F.from_json("raw", _with_corrupt(RAW), {"columnNameOfCorruptRecord": "_corrupt"})))
-    ok = F.col("event").isNotNull() & F.col("event._corrupt").isNull()
-    return parsed.where(ok).withColumn("event", F.col("event").dropFields("_corrupt")), parsed.where(~F.coalesce(ok, F.lit(False))).select("raw")
+    ok = is_object(F.col("raw"))
+    return data.where(ok).withColumn("event", F.from_json("raw", RAW)), data.where(~ok).select("raw")
 
 
-def _with_corrupt(schema):
-    from pyspark.sql.types import StructType
-
-    return StructType([*schema.fields]).add("_corrupt", "string")
+def is_object(text: Column) -> Column:
+    """Whether a text is a JSON object; a field of another type than declared is null, and spoils nothing else."""
+    return F.coalesce(F.startswith(F.trim(text), F.lit("{")) & F.try_parse_json(text).isNotNull(), F.lit(False))
 
 
 def decode_envelopes(df: DataFrame, column: str = "data") -> tuple[DataFrame, DataFrame]:
     """(envelopes, bad rows) of base64 JSON records."""
-    text = F.decode(F.expr(f"try_to_binary(`{column}`, 'base64')"), "UTF-8")
-    parsed = df.withColumn("_text", text).withColumn("_e", F.when(F.trim("_text").startswith("{"), F.from_json("_text", _with_corrupt(ENVELOPE), {"columnNameOfCorruptRecord": "_corrupt"})))
-    ok = F.coalesce(F.col("_e").isNotNull() & F.col("_e._corrupt").isNull(), F.lit(False))
-    return parsed.where(ok).select("_e.*").drop("_corrupt"), parsed.where(~ok).drop("_text", "_e")
+    texts = df.withColumn("_text", F.decode(F.expr(f"try_to_binary(`{column}`, 'base64')"), "UTF-8"))
+    ok = is_object(F.col("_text"))
+    return texts.where(ok).select(F.from_json("_text", SENT).alias("_e")).select("_e.*"), texts.where(~ok).drop("_text")
 
 
 def reason() -> Column:
@@ -94,18 +91,24 @@ def is_page_change() -> Column:
     return F.coalesce((F.col("event_type") == EVENT_TYPE) & F.col("payload").isNotNull(), F.lit(False))
 
 
+def source_millis(envelopes: DataFrame) -> Column:
+    """The source's time: of envelope, then payload, the exact field before the other; null where a frame has none."""
+    payload = envelopes.schema["payload"].dataType.names
+    places = [(n, t) for t in SOURCE_TIMES for n in (t, f"payload.{t}") if t in (envelopes.columns if n == t else payload)]
+    return S.parse_millis(*[F.col(n) for n, _ in places]) if places else F.lit(None).cast("bigint")
+
+
 def to_live_event(envelopes: DataFrame) -> DataFrame:
-    """Events for live counters, with defaults for what is missing; unparseable times are dropped."""
+    """Events for live counters, with defaults for what is missing; a time that can't be read is now."""
     p = lambda name: F.col(f"payload.{name}")
-    at = S.parse_time(F.col("occurred_at"))
-    millis = S.parse_millis(F.col("raw_event.timestamp") * 1000, p("source_timestamp") * 1000)
+    at = F.coalesce(S.parse_time(F.col("occurred_at")), F.current_timestamp())
     out = envelopes.where(is_page_change()).select(
         "event_id", at.alias("occurred_at"), F.lower(S.key_safe(p("wiki"))).alias("wiki"), S.key_safe(p("change_type")).alias("change_type"),
         S.key_safe(p("namespace")).alias("namespace"), S.safe_string(p("title"), None).alias("title"), S.safe_string(p("title_url"), None).alias("title_url"),
         S.bot_flag(p("user_is_bot"), p("bot")).alias("user_is_bot"), S.filled(p("log_type")).alias("log_type"),
-        F.coalesce(millis, F.unix_millis(at)).alias("source_ms"),
+        F.coalesce(source_millis(envelopes), F.unix_millis(at)).alias("source_ms"),
     )
-    return out.where(F.col("occurred_at").isNotNull())
+    return out
 
 
 def to_alert_event(envelopes: DataFrame) -> DataFrame:

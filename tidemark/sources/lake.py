@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import scalars as S
 from tidemark.operators.gold import GOLD, gold_base
@@ -49,7 +50,8 @@ def read_bronze_hours(spark: SparkSession, base: str, first: tuple[str, ...], la
 
 def _replace(df: DataFrame, path: str, hour: str) -> None:
     parts = {k: F.date_format(hour, f) for k, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))}
-    out = df.withColumns(parts).repartition(*PARTS)
+    # by hour, a large one dealt over as many tasks as its size asks for
+    out = df.withColumns(parts).hint("rebalance", *PARTS)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*PARTS).parquet(path)
 
 
@@ -59,8 +61,6 @@ def write_silver(silver: DataFrame, path: str) -> None:
 
 def read_silver_hours(spark: SparkSession, path: str, first: tuple[str, ...], last: tuple[str, ...] | None = None) -> DataFrame:
     """Fails rather than let gold be overwritten by nothing."""
-    from pyspark.sql.types import StructType
-
     schema = StructType(SILVER.fields + [f for f in BRONZE.fields if f.name in PARTS])
     rows = spark.read.schema(schema).parquet(path).where(in_hours(first, last)).drop(*PARTS)
     if rows.dropna(subset=["event_id", *REQUIRED]).isEmpty():
@@ -96,12 +96,40 @@ def register_tables(spark: SparkSession, tables: dict[str, tuple[str, str]]) ->
 
 def compact(spark: SparkSession, path: str, first: tuple[str, ...], last: tuple[str, ...] | None = None, file_bytes: int = FILE_BYTES) -> None:
     """Rewrites hours into files of about file_bytes, by way of a sibling folder so the input is never read while replaced."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    rows = spark.read.parquet(path).where(in_hours(first, last))
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    found = spark.read.option("mergeSchema", "false").parquet(path)
+    schema = StructType([f for f in found.schema.fields if f.name not in PARTS] + [StructField(p, StringType()) for p in PARTS])
+    rows = spark.read.schema(schema).parquet(path).where(in_hours(first, last))
     aside = f"{path.rstrip('/')}_compacting"
-    rows.repartition(max(1, -(-size // file_bytes)), *PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(aside)
-    spark.read.parquet(aside).repartition(*PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(file_bytes))
+    try:
+        rows.hint("rebalance", *PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(aside)
+    finally:
+        spark.conf.set(size, before)
+    # file by file: the second write keeps the first one's sizes
+    spark.read.schema(schema).parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+
+
+def retain(spark: SparkSession, path: str, first: tuple[str, ...]) -> int:
+    """Deletes the year, month, day and hour folders that lie before an hour, and reads no file; how many."""
+    sc = spark.sparkContext
+    base = sc._jvm.org.apache.hadoop.fs.Path(path)
+    files = base.getFileSystem(sc._jsc.hadoopConfiguration())
+    gone = 0
+    levels = [(base, ())]
+    while levels:
+        at, values = levels.pop()
+        for entry in files.listStatus(at):
+            name, _, value = entry.getPath().getName().partition("=")
+            if not entry.isDirectory() or len(values) == len(PARTS) or name != PARTS[len(values)]:
+                continue
+            here = (*values, value)
+            if here < first[: len(here)]:
+                gone += files.delete(entry.getPath(), True)
+            elif here == first[: len(here)]:
+                levels.append((entry.getPath(), here))
+    return gone
 
 
 def purge(df: DataFrame, time_col: str, now, keep: str) -> DataFrame:

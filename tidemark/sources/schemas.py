@@ -31,6 +31,12 @@ PAYLOAD = flat(
 )
 HEADER = "event_id string, event_type string, event_version string, source string, occurred_at string, ingested_at string, correlation_id string"
 ENVELOPE = flat(HEADER, payload=PAYLOAD, raw_event=RAW)
+#: Times of the source in milliseconds that a later collector may send, in the envelope or its payload.
+SOURCE_TIMES = ("source_event_timestamp_ms", "event_timestamp_ms")
+SENT = StructType(
+    [f for f in ENVELOPE.fields if f.name != "payload"] + [StructField("payload", StructType(PAYLOAD.fields + [StructField(t, StringType()) for t in SOURCE_TIMES]))]
+    + [StructField(t, StringType()) for t in SOURCE_TIMES]
+)
 PARTS = ("year", "month", "day", "hour")
 BRONZE = StructType(ENVELOPE.fields + [StructField(p, StringType()) for p in PARTS])
 SILVER = flat(
@@ -40,5 +46,6 @@ SILVER = flat(
     " log_params string, wikimedia_rcid bigint"
 )
 EVENT_TYPE = "wiki.recentchange"
+#: Fixed values of the feed.
 CHANGE_TYPES = ("edit", "new", "categorize", "log", "external")
-NAMESPACES = (0, 1, 2, 3, 4, 6, 10, 14)
+NAMESPACES = (-1, 0, 1, 2, 4, 6, 10, 14)
