@@ -118,8 +118,8 @@ def test_streams_equal_batches(spark, tmp_path):
     columns = ["family", "window_start", *live.DIMENSIONS, "event_count"]
     assert got.select(columns).exceptAll(want.select(columns)).isEmpty() and got.count() == want.count()
     jobs.start_alerts(stream.select("event_id", F.lit("s").alias("series"), F.window("occurred_at", "1 day").start.alias("bucket")), str(tmp_path / "a"), str(tmp_path / "c2"), {"availableNow": True}).awaitTermination()
-    log = spark.read.parquet(str(tmp_path / "a/log"))
-    assert log.count() == log.select("series", "bucket").distinct().count() > 0
+    log = jobs.alert_states(spark, str(tmp_path / "a"))
+    assert log.count() == events.select(F.window("occurred_at", "1 day")).distinct().count() and {r.status for r in log.collect()} == {"SENT"}
 
 
 def test_archive_stream(spark, tmp_path):
@@ -144,3 +144,139 @@ def test_charts_read_maps_and_lists(spark):
     messages = [json.dumps({"topic": "global", "data": {"top_wikis": [{"wiki": "w", "count": 3}], "changeTypes": {"edit": 2}}})]
     points = snapshots.flatten_snapshot(spark.createDataFrame([(m,) for m in messages], "message string")).collect()
     assert {tuple(r) for r in points} == {("global", "wikis", "w", 3), ("global", "change_types", "edit", 2)}
+
+
+def stream_of(spark, events, path, files=3):
+    events.repartition(files).write.parquet(path)
+    return jobs.read_files(spark, events.schema, path, max_files=1)
+
+
+ONCE = {"availableNow": True}
+
+
+def test_redelivered_events_count_once(spark, tmp_path):
+    events = adapter.silver_events(spark, "/root/testdata/sf0.001").orderBy("event_id").limit(300)
+    stream = stream_of(spark, events.union(events), str(tmp_path / "in"))
+    jobs.start_live(stream, str(tmp_path / "o"), str(tmp_path / "c"), ONCE, "60 days", "1 day").awaitTermination()
+    got = jobs.latest_counts(spark, str(tmp_path / "o")).where("family = 'global_activity'").agg(F.sum("event_count")).first()[0]
+    assert got == 300
+    days = [str(r.d) for r in events.select(F.to_date("occurred_at").alias("d")).distinct().orderBy("d").limit(2).collect()]
+    assert {r.day for r in jobs.latest_counts(spark, str(tmp_path / "o"), days).select(F.date_format("window_start", "yyyy-MM-dd").alias("day")).collect()} == set(days)
+    jobs.start_pages(stream, str(tmp_path / "p"), str(tmp_path / "cp"), ONCE, "60 days", "1 day").awaitTermination()
+    top = live.live_top_pages(events, "1 day").select("window_start", "wiki", "title", "event_count", "last_change_type", "rank")
+    assert jobs.latest_pages(spark, str(tmp_path / "p")).select(*top.columns).exceptAll(top).isEmpty()
+
+
+def test_snapshot_stream_equals_batch(spark, tmp_path):
+    events = adapter.silver_events(spark, "/root/testdata/sf0.001")
+    jobs.start_snapshots(stream_of(spark, events, str(tmp_path / "in")), str(tmp_path / "o"), str(tmp_path / "c"), ONCE, "60 days", "1 day").awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "o/messages"))
+    assert rows.groupBy("batch", "topic", "window_start").count().where("count > 1").isEmpty()
+    last = rows.groupBy("topic", "window_start").agg(F.max_by("message", "batch").alias("m"))
+    read = lambda c: F.get_json_object("m", f"$.data.{c}")
+    got = last.select("topic", "window_start", read("total").cast("bigint").alias("total"), read("top_wikis[0].wiki").alias("first"), F.get_json_object("m", "$.latest_event_timestamp_ms").cast("bigint").alias("latest_ms"))
+    want = snapshots.snapshot_global(events, "1 day").select("topic", "window_start", "total", F.col("top_wikis")[0]["wiki"].alias("first"), "latest_ms")
+    want = want.union(snapshots.snapshot_wiki(events, None, "1 day").select("topic", "window_start", "total", F.lit(None).cast("string"), "latest_ms"))
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_alert_states(spark, tmp_path):
+    candidates = series(spark, [(0, 1), (1, 1), (2, 1)])
+    outcomes = candidates.limit(2).select("series", "bucket", F.when(F.minute("bucket") == 1, F.repeat(F.lit("x"), F.lit(600))).alias("error"))
+    held = alerts.reserved(candidates, candidates.limit(0))
+    states = {r.bucket.minute: (r.status, len(r.alert_error or "")) for r in alerts.settled(held, outcomes).collect()}
+    assert states == {0: ("SENT", 0), 1: ("FAILED", 500), 2: ("PUBLISHING", 0)}
+    path, sent = str(tmp_path / "a"), []
+
+    def publish(rows):
+        sent.append(rows.count())
+        if len(sent) == 1:
+            raise RuntimeError("lost")
+        return jobs.always_sent(rows)
+
+    write = jobs.write_alerts(path, publish)
+    with pytest.raises(RuntimeError):
+        write(candidates, 7)
+    write(candidates, 7)  # what was reserved before it died isn't published again
+    write(candidates.union(series(spark, [(9, 1)])), 8)
+    assert sent == [3, 0, 1]
+    assert {r.bucket.minute: r.status for r in jobs.alert_states(spark, path).collect()} == {0: "PUBLISHING", 1: "PUBLISHING", 2: "PUBLISHING", 9: "SENT"}
+
+
+def test_detection_stream_equals_batch(spark, tmp_path):
+    events = adapter.silver_events(spark, "/root/testdata/sf0.001")
+    stream = stream_of(spark, events, str(tmp_path / "in"), 1)
+    limits = {"min_count": {"global": 0, "wiki": 0}, "z": 1.0}
+    jobs.start_detection(stream, str(tmp_path / "o"), str(tmp_path / "c"), ONCE, "1 hour", 3600, "1 second", **limits).awaitTermination()
+    got = jobs.alert_states(spark, str(tmp_path / "o/alerts")).select("series", "bucket")
+    last = events.agg(F.date_trunc("hour", F.max("occurred_at"))).first()[0]
+    want = alerts.alert_zscore(alerts.alert_series(events, "1 hour"), 3600, **limits).where(F.col("bucket") < last).select("series", "bucket")
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count() > 0
+
+
+def test_subscription_stream(spark, tmp_path):
+    at = datetime(2024, 1, 1)
+    log = [("a", 1, "connect", None), ("a", 2, "subscribe", "top_pages"), ("a", 3, "subscribe", "BAD"), ("b", 1, "subscribe", "wiki:enwiki"), ("b", 2, "disconnect", None), ("c", 1, "unsubscribe", "global")]
+    schema = "connection_id string, seq bigint, action string, topic string, at timestamp"
+    spark.createDataFrame([(*r, at + timedelta(seconds=k)) for k, r in enumerate(log)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    seen = []
+    stream = jobs.read_files(spark, spark.createDataFrame([], schema).schema, str(tmp_path / "in"), max_files=1)
+    query = lambda: jobs.subscriptions_stream(stream).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "c")).foreachBatch(lambda b, n: seen.extend(map(tuple, b.collect()))).trigger(**ONCE).start().awaitTermination()
+    query()
+    assert sorted(seen) == [("a", ["global", "top_pages"], False), ("b", [], True), ("c", ["global"], False)]
+    seen.clear()
+    for k, later in enumerate((timedelta(hours=3), timedelta(hours=9))):
+        spark.createDataFrame([("d", 1 + k, "connect", None, at + later)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query()
+    assert {x[0] for x in seen if x[2]} >= {"a", "c"}
+
+
+def test_source_times_and_bad_times(spark):
+    made, _ = envelopes(spark, line(), line(meta={**META, "id": "e2", "dt": "junk"}))
+    plain = feed.to_live_event(made).orderBy("event_id").collect()
+    assert plain[0].source_ms == 1714557603000 and (datetime.now() - plain[1].occurred_at).total_seconds() < 86_400
+    text = made.limit(1).select(F.to_json(F.struct("*")).alias("j")).first().j
+    sent = [json.dumps(json.loads(text) | extra) for extra in ({"source_event_timestamp_ms": "1700000000123.9"}, {"source_event_timestamp_ms": -5, "event_timestamp_ms": 1700000000456}, {"source_event_timestamp_ms": "x"}, {})]
+    rows = spark.createDataFrame([(base64.b64encode(x.encode()).decode(),) for x in sent], "data string")
+    good, bad = feed.decode_envelopes(rows)
+    assert bad.isEmpty() and sorted(r.source_ms for r in feed.to_live_event(good).collect()) == [1700000000123, 1700000000456, 1714557603000, 1714557603000]
+    assert live.live_event_bounds(feed.to_live_event(good)).where("window_start is null").first().oldest_ms == 1700000000123
+    odd, none = feed.ingest_raw_lines(spark.createDataFrame([(line(namespace="text"),)], "value string"))
+    assert none.isEmpty() and odd.first().event.namespace is None and odd.first().event.title == "A#b"
+
+
+def test_tables_hours_and_reports_at_a_time(spark, tmp_path):
+    from tidemark.plans import reports
+
+    bronze, silver, gold = (str(tmp_path / x) for x in ("bronze", "silver", "gold"))
+    made, _ = envelopes(spark, *[line(meta={**META, "id": f"e{k}", "dt": f"2024-05-0{1 + k}T10:00:03Z"}) for k in range(3)])
+    for _ in range(2):
+        lake.write_bronze_batch(made, bronze, "0")  # a batch that is written again
+    assert lake.read_bronze_hours(spark, bronze, ("2024", "05", "01", "10"), ("2024", "05", "03", "23")).count() == 3
+    lake.run_range(spark, bronze, silver, gold, ("2024", "05", "01", "00"), ("2024", "05", "03", "23"))
+    tables = lake.declared_tables(bronze, silver, gold)
+    lake.register_tables(spark, tables)
+    try:
+        assert len(tables) == 7 and [spark.table(n).count() for n in ("bronze_events", "silver_events", "gold_wiki_activity_by_hour")] == [3, 3, 3]
+        found = reports.report("bot_ratio_24h", spark.table("silver_events"), "2024-05-02 12:00:00")
+        assert found.count() == 1 and len(found.inputFiles()) == 1
+        plan = found._jdf.queryExecution().explainString(found._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "GreaterThan(occurred_at,2024-05-01" in plan, plan
+        assert lake.retain(spark, silver, ("2024", "05", "02", "10")) == 1
+        assert spark.read.parquet(silver).count() == 2
+    finally:
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_large_hour_is_dealt_over_several_files(spark, tmp_path):
+    rows = adapter.silver_events(spark, "/root/testdata/sf0.1").withColumn("occurred_at", F.lit(datetime(2024, 5, 1, 10))).repartition(16)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        lake.write_silver(rows, str(tmp_path / "s"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(spark.read.parquet(str(tmp_path / "s")).inputFiles()) > 2
+    lake.compact(spark, str(tmp_path / "s"), ("2024", "05", "01", "10"))
+    assert len(spark.read.parquet(str(tmp_path / "s")).inputFiles()) == 1 and spark.read.parquet(str(tmp_path / "s")).count() == 100_000

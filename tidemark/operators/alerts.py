@@ -112,3 +112,23 @@ def new_alerts(candidates: DataFrame, log: DataFrame) -> DataFrame:
 def publish_once(candidates: DataFrame, log: DataFrame) -> DataFrame:
     """New alerts as SENT log rows, one for each series and bucket."""
     return new_alerts(candidates, log).dropDuplicates(["series", "bucket"]).withColumn("status", F.lit("SENT"))
+
+
+def reserved(candidates: DataFrame, log: DataFrame) -> DataFrame:
+    """New alerts as PUBLISHING rows: whatever becomes of them, nobody else publishes them from now on."""
+    return publish_once(candidates, log).withColumn("status", F.lit("PUBLISHING"))
+
+
+def settled(reservations: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Reservations by what became of them: SENT, FAILED with the start of its error, or PUBLISHING still where outcomes (series, bucket, error) have no row."""
+    known = outcomes.groupBy("series", "bucket").agg(F.count(F.lit(1)).alias("_n"), F.max("error").alias("_error"))
+    joined = reservations.join(known, ["series", "bucket"], "left")
+    status = F.when(F.col("_n").isNull(), "PUBLISHING").when(F.col("_error").isNull(), "SENT").otherwise("FAILED")
+    return joined.withColumns({"status": status, "alert_error": F.substring("_error", 1, 500)}).drop("_n", "_error")
+
+
+def latest_states(log: DataFrame) -> DataFrame:
+    """The last state of each alert, from a log of all states: a final one comes after its reservation."""
+    final = F.struct(F.col("status") != "PUBLISHING", "status", "alert_error")
+    last = log.groupBy("series", "bucket").agg(F.max(final).alias("s"))
+    return last.select("series", "bucket", "s.status", "s.alert_error")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions import scalars as S
 from tidemark.operators.gold import GOLD, gold_base
 from tidemark.operators.silver import REQUIRED, to_silver
-from tidemark.sources.schemas import BRONZE, PARTS, SILVER
+from tidemark.sources.schemas import BRONZE, ENVELOPE, GOLD_SCHEMAS, PARTS, SILVER
 
 FILE_BYTES = 128 << 20
 
@@ -39,13 +40,15 @@ def in_hours(first: tuple[str, ...], last: tuple[str, ...] | None = None):
     return F.col("year").between(first[0], last[0]) & joined.between("".join(first), "".join(last))
 
 
-def write_bronze_batch(envelopes: DataFrame, base: str) -> None:
-    parts = S.hour_parts_of_text(F.col("occurred_at"))
-    envelopes.withColumns(parts).write.mode("append").partitionBy(*PARTS).option("compression", "gzip").json(base)
+def write_bronze_batch(envelopes: DataFrame, base: str, batch: str | None = None) -> None:
+    """Gzip JSON lines by hour and batch; a batch that is written again replaces itself."""
+    parts = S.hour_parts_of_text(F.col("occurred_at")) | {"batch": F.lit(batch or uuid.uuid4().hex)}
+    out = envelopes.withColumns(parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
+    out.partitionBy(*PARTS, "batch").json(base)
 
 
 def read_bronze_hours(spark: SparkSession, base: str, first: tuple[str, ...], last: tuple[str, ...] | None = None) -> DataFrame:
-    return spark.read.schema(BRONZE).option("mode", "PERMISSIVE").json(base).where(in_hours(first, last)).drop(*PARTS)
+    return spark.read.schema(StructType([*BRONZE.fields, StructField("batch", StringType())])).option("mode", "PERMISSIVE").json(base).where(in_hours(first, last)).drop(*PARTS, "batch")
 
 
 def _replace(df: DataFrame, path: str, hour: str) -> None:
@@ -86,11 +89,18 @@ def run_range(spark: SparkSession, bronze: str, silver: str, gold: str, first: t
 run_hour = run_range
 
 
-def register_tables(spark: SparkSession, tables: dict[str, tuple[str, str]]) -> None:
-    """External tables with text partitions from name -> (path, columns in DDL)."""
-    for name, (path, columns) in tables.items():
-        parts = ", ".join(f"{p} STRING" for p in PARTS)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {parts}) USING parquet PARTITIONED BY ({', '.join(PARTS)}) LOCATION '{path}'")
+def declared_tables(bronze: str, silver: str, gold: str) -> dict[str, tuple[str, str, StructType]]:
+    """Name -> (format, path, columns) of the lake's tables: bronze JSON, silver and the gold sets."""
+    sets = {f"gold_{n}": ("parquet", f"{gold}/{n}", columns) for n, columns in GOLD_SCHEMAS.items()}
+    return {"bronze_events": ("json", bronze, ENVELOPE), "silver_events": ("parquet", silver, SILVER)} | sets
+
+
+def register_tables(spark: SparkSession, tables: dict[str, tuple[str, str, StructType]]) -> None:
+    """External tables with text partitions by hour; partitions that stand on the shared folder are taken in."""
+    for name, (kind, path, columns) in tables.items():
+        parts = (*PARTS, "batch") if kind == "json" else PARTS
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields) + "".join(f", {p} STRING" for p in parts)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING {kind} PARTITIONED BY ({', '.join(parts)}) LOCATION '{path}'")
         spark.catalog.recoverPartitions(name)
 
 

@@ -45,6 +45,15 @@ SILVER = flat(
     " delta_bytes bigint, revision_old bigint, revision_new bigint, change_url string, raw_notify_url string, log_type string, log_action string,"
     " log_params string, wikimedia_rcid bigint"
 )
+_HOUR, _SPAN = "metric_date date, metric_hour timestamp, ", "first_event_at timestamp, last_event_at timestamp"
+_BOTS = "event_count bigint, bot_event_count bigint, human_event_count bigint, "
+GOLD_SCHEMAS = {
+    "wiki_activity_by_hour": flat(_HOUR + "wiki string, " + _BOTS + "distinct_titles bigint, " + _SPAN),
+    "change_type_by_hour": flat(_HOUR + "change_type string, event_count bigint, " + _SPAN),
+    "bot_activity_by_hour": flat(_HOUR + "user_is_bot boolean, event_count bigint, " + _SPAN),
+    "namespace_activity_by_hour": flat(_HOUR + "namespace int, event_count bigint, " + _SPAN),
+    "top_pages_by_hour": flat(_HOUR + "page_rank int, wiki string, namespace int, title string, " + _BOTS + _SPAN),
+}
 EVENT_TYPE = "wiki.recentchange"
 #: Fixed values of the feed.
 CHANGE_TYPES = ("edit", "new", "categorize", "log", "external")

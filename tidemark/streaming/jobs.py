@@ -1,14 +1,33 @@
-"""The three consumers of the event log as streaming queries, each with its own checkpoint."""
+"""The consumers of the event log as streaming queries, each with its own checkpoint.
+
+What a batch writes lies in a folder of its own number, so a batch that is run
+again replaces what it wrote.  Tables that later batches read are laid out by
+the day of the window, and only the days that a batch touches are read.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from tidemark.functions import scalars as S
-from tidemark.operators import alerts, live
-from tidemark.sources.schemas import PARTS
+from tidemark.operators import alerts, live, snapshots
+from tidemark.sources import lake
+
+
+def read_files(spark: SparkSession, schema: StructType, path: str, kind: str = "parquet", max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+    """A stream over files; a micro-batch takes so many files or bytes at most."""
+    reader = spark.readStream.schema(schema).format(kind)
+    for name, value in (("maxFilesPerTrigger", max_files), ("maxBytesPerTrigger", max_bytes)):
+        reader = reader if value is None else reader.option(name, str(value))
+    return reader.load(path)
 
 
 def deduplicated(events: DataFrame, watermark: str = "2 days", by_id: bool = True) -> DataFrame:
@@ -21,35 +40,77 @@ def _start(writer, trigger: dict):
     return writer.trigger(**trigger).start()
 
 
-def start_live(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute") -> StreamingQuery:
-    """Counters of all families: state holds totals, so a batch replaces what it touched and a retry changes nothing."""
-    counts = live.live_counts(events.withWatermark("occurred_at", watermark), window)
+def by_day(df: DataFrame, time_col: str) -> DataFrame:
+    return df.withColumn("day", F.date_format(time_col, "yyyy-MM-dd"))
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
+def write_days(batch: DataFrame, number: int, path: str, time_col: str) -> None:
+    by_day(batch, time_col).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
+
+
+def read_days(spark: SparkSession, path: str, schema: StructType, days: list[str] | None = None) -> DataFrame:
+    """Rows of all batches, of these days alone if given; none where nothing has been written."""
+    full = StructType([*schema.fields]).add("batch", "long").add("day", "string")
+    try:
+        rows = spark.read.schema(full).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], full)
+    return rows if days is None else rows.where(F.col("day").isin(days))
+
+
+def touched_days(batch: DataFrame, time_col: str, before: int = 0) -> list[str]:
+    """The days of a batch's rows, and so many before each: as many as the watermark spans, at most."""
+    starts = batch.select(F.explode(F.sequence(F.lit(0), F.lit(before))).alias("k"), F.to_date(time_col).alias("d"))
+    return sorted(r.day for r in starts.select(F.date_format(F.date_sub("d", F.col("k")), "yyyy-MM-dd").alias("day")).distinct().collect())
+
+
+COUNTS = StructType().add("family", "string").add("window_start", "timestamp").add("wiki", "string").add("change_type", "string").add("is_bot", "boolean").add("namespace", "string").add("event_count", "long")
+
+
+def start_live(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute", by_id: bool = True) -> StreamingQuery:
+    """Counters of all families: state holds totals, so a batch replaces what it touched and a retry changes nothing; a redelivered event counts once."""
+    counts = live.live_counts(deduplicated(events, watermark, by_id), window)
+    write = lambda batch, number: write_days(batch, number, path, "window_start")
     return _start(counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
 
 
-def latest_counts(spark, path: str) -> DataFrame:
-    """The counters' present values: of each key, those of its last batch."""
-    rows = spark.read.parquet(path)
+def latest_counts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The counters' present values: of each key, those of its last batch; of these days alone if given."""
     keys = ["family", "window_start", *live.DIMENSIONS]
-    return rows.groupBy(*keys).agg(F.max_by("event_count", "batch").alias("event_count"))
+    return read_days(spark, path, COUNTS, days).groupBy(*keys).agg(F.max_by("event_count", "batch").alias("event_count"))
+
+
+def start_pages(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute") -> StreamingQuery:
+    """Articles by window with the attributes of their last event, in state; the largest of a window are read by latest_pages."""
+    counts = live.live_top_pages_counts(deduplicated(events, watermark), window)
+    write = lambda batch, number: write_days(batch, number, path, "window_start")
+    return _start(counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
+
+
+PAGES = StructType().add("window_start", "timestamp").add("wiki", "string").add("title", "string").add("event_count", "long").add("last_change_type", "string").add("last_seen_at", "timestamp")
+
+
+def latest_pages(spark: SparkSession, path: str, days: list[str] | None = None, n: int = 10) -> DataFrame:
+    rows = read_days(spark, path, PAGES, days)
+    last = rows.groupBy("window_start", "wiki", "title").agg(F.max_by(F.struct("event_count", "last_change_type", "last_seen_at"), "batch").alias("x"))
+    return live.top_n(last.select("window_start", "wiki", "title", "x.*"), ["window_start"], n, ("wiki", "title"))
 
 
 def start_archive(envelopes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Bronze: gzip JSON lines by event hour; rows without a readable hour go to an error folder."""
-    parts = envelopes.withColumns(S.hour_parts_of_text(F.col("occurred_at")))
 
     def write(batch: DataFrame, number: int) -> None:
         ok = F.coalesce(F.col("occurred_at").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}"), F.lit(False))
         batch.persist()
-        batch.where(ok).write.mode("append").partitionBy(*PARTS).option("compression", "gzip").json(path)
-        batch.where(~ok).write.mode("append").option("compression", "gzip").json(f"{path.rstrip('/')}_errors")
-        batch.unpersist()
+        try:
+            lake.write_bronze_batch(batch.where(ok), path, str(number))
+            batch.where(~ok).write.mode("overwrite").option("compression", "gzip").json(f"{path.rstrip('/')}_errors/batch={number}")
+        finally:
+            batch.unpersist()
 
-    return _start(parts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "300 seconds"})
+    return _start(envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "300 seconds"})
 
 
 def closed_series(events: DataFrame, bucket: str = "1 minute", delay: str = "10 seconds") -> DataFrame:
@@ -57,25 +118,63 @@ def closed_series(events: DataFrame, bucket: str = "1 minute", delay: str = "10
     return alerts.alert_series(events.withWatermark("occurred_at", delay), bucket)
 
 
-def write_alerts(path: str):
-    """foreachBatch writer of an alert log: each (series, bucket) at most once, also when a batch is retried."""
+STATES = StructType().add("series", "string").add("bucket", "timestamp").add("status", "string").add("alert_error", "string")
+Publisher = Callable[[DataFrame], DataFrame]
+
+
+def always_sent(reservations: DataFrame) -> DataFrame:
+    return reservations.select("series", "bucket", F.lit(None).cast("string").alias("error"))
+
+
+def write_alerts(path: str, publish: Publisher = always_sent) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of an alert log: each (series, bucket) is reserved before it is published, and published at most once.
+
+    publish takes the reserved alerts and returns (series, bucket, error), the
+    error null where an alert went out.  A batch that died while it published
+    leaves PUBLISHING rows; when it is run again, those stay as they are.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        log = f"{path}/log"
-        try:
-            known = spark.read.schema("series string, bucket timestamp, batch long").parquet(log).where(F.col("batch") != number)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            known = spark.createDataFrame([], "series string, bucket timestamp, batch long")
-        alerts.publish_once(batch, known).write.mode("overwrite").parquet(f"{log}/batch={number}")
+        days = touched_days(batch, "bucket")
+        known = read_days(spark, f"{path}/reserved", STATES, days)
+        # the rows of a first try of this batch are reserved as well
+        new = alerts.reserved(batch, known).select("series", "bucket", "status", F.lit(None).cast("string").alias("alert_error"))
+        attempt = known.where(F.col("batch") % 1000 >= 0).agg(F.max(F.when(F.floor(F.col("batch") / 1000) == number, F.col("batch") % 1000))).first()[0]
+        at = number * 1000 + (0 if attempt is None else attempt + 1)
+        write_days(new, at, f"{path}/reserved", "bucket")
+        mine = read_days(spark, f"{path}/reserved", STATES, days).where(F.col("batch") == at).drop("batch", "day")
+        write_days(alerts.settled(mine.drop("alert_error"), publish(mine)).select(*STATES.names), at, f"{path}/settled", "bucket")
 
     return write
 
 
-def start_alerts(candidates: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    return _start(candidates.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_alerts(path)), trigger or {"processingTime": "5 seconds"})
+def alert_states(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """(series, bucket, status, alert_error) of every alert that was ever reserved."""
+    return alerts.latest_states(read_days(spark, f"{path}/reserved", STATES, days).union(read_days(spark, f"{path}/settled", STATES, days)))
+
+
+def start_alerts(candidates: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, publish: Publisher = always_sent) -> StreamingQuery:
+    return _start(candidates.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_alerts(path, publish)), trigger or {"processingTime": "5 seconds"})
+
+
+SERIES = StructType().add("series", "string").add("bucket", "timestamp").add("event_count", "long").add("log_count", "long").add("delete_count", "long").add("block_count", "long")
+
+
+def start_detection(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, bucket: str = "1 minute", bucket_seconds: int = 60, delay: str = "10 seconds", publish: Publisher = always_sent, **limits
+) -> StreamingQuery:
+    """Volume alerts from closed buckets: each batch of them joins the stored series, and only its own buckets are judged."""
+    log = write_alerts(f"{path}/alerts", publish)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        write_days(batch, number, f"{path}/series", "bucket")
+        history = read_days(spark, f"{path}/series", SERIES, touched_days(batch, "bucket", 1 + 31 * bucket_seconds // 86_400)).drop("day")
+        own = history.where(F.col("batch") == number).select("series", "bucket")
+        log(alerts.alert_zscore(history.drop("batch"), bucket_seconds, **limits).join(own, ["series", "bucket"], "left_semi"), number)
+
+    return _start(closed_series(events, bucket, delay).writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
 
 
 def sliding_moderation(events: DataFrame, delay: str = "10 seconds") -> DataFrame:
@@ -90,6 +189,46 @@ def chained_sums(events: DataFrame, delay: str = "10 seconds") -> DataFrame:
     return minutes.groupBy(F.window(F.window_time("m"), "5 minutes").alias("w"), "log_type").agg(F.sum("count").alias("event_count"))
 
 
+def snapshot_messages(shots: DataFrame, refresh: Column, window: str) -> DataFrame:
+    """(topic, window_start, message) with the fields that subscribers read; data holds all that isn't the envelope's."""
+    outer = ("topic", "window_start", "oldest_ms", "latest_ms", "wiki")
+    data = F.struct(*[F.col(c) for c in shots.columns if c not in outer])
+    message = F.struct(
+        F.lit("stats.update").alias("type"), F.col("topic"), F.current_timestamp().alias("timestamp"), F.col("window_start").alias("aggregation_window"), refresh.alias("broadcast_window"),
+        (F.current_timestamp() < F.col("window_start") + F.expr(f"INTERVAL {window}")).alias("is_partial_window"), data.alias("data"),
+        F.col("latest_ms").alias("latest_event_timestamp_ms"), F.col("oldest_ms").alias("oldest_event_timestamp_ms"), (F.unix_millis(F.current_timestamp()) - F.col("latest_ms")).alias("freshness_ms"),
+    )
+    return shots.select("topic", "window_start", F.to_json(message).alias("message"))
+
+
+def start_snapshots(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute", n: int = 10, refresh_seconds: int = 5
+) -> StreamingQuery:
+    """Messages for the windows that a batch touched, of the global topic and of each touched wiki; one for each topic, window and refresh.
+
+    State holds each wiki's counters by window.  A batch's rows are whole, so
+    the last row of each wiki, of the touched days alone, gives the global ones.
+    """
+    rows = snapshots.by_wiki(deduplicated(events, watermark), window)
+    schema = rows.schema
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        write_days(batch, number, f"{path}/wikis", "window_start")
+        stored = read_days(spark, f"{path}/wikis", schema, touched_days(batch, "window_start"))
+        own = stored.where(F.col("batch") == number).drop("batch", "day")
+        names = [c for c in schema.names if c not in ("window_start", "wiki")]
+        last = stored.groupBy("window_start", "wiki").agg(F.max_by(F.struct(*names), "batch").alias("x")).select("window_start", "wiki", "x.*")
+        last = last.join(own.select("window_start").distinct(), "window_start", "left_semi")
+        refresh = S.floor_seconds(F.current_timestamp(), refresh_seconds)
+        everything = snapshots.global_of(last, n).withColumn("topic", F.lit("global"))
+        single = snapshots.finished(own, ("window_start", "wiki"), False).withColumn("topic", F.concat(F.lit("wiki:"), "wiki"))
+        messages = snapshot_messages(everything, refresh, window).union(snapshot_messages(single, refresh, window))
+        messages.write.mode("overwrite").parquet(f"{path}/messages/batch={number}")
+
+    return _start(rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": f"{refresh_seconds} seconds"})
+
+
 def write_snapshots(path: str):
     """foreachBatch writer: one JSON message for each topic and refresh."""
 
@@ -97,3 +236,41 @@ def write_snapshots(path: str):
         batch.select("topic", F.to_json(F.struct("*")).alias("message")).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return write
+
+
+TOPICS = "connection_id string, topics array<string>, gone boolean"
+
+
+def fold_actions(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, ttl_seconds: int = 7200) -> Iterator[pd.DataFrame]:
+    """One connection's topics after a batch of its actions; a connection that is silent for so long is gone."""
+    if state.hasTimedOut:
+        state.remove()
+        yield pd.DataFrame({"connection_id": [key[0]], "topics": [[]], "gone": [True]})
+        return
+    topics, last = state.get if state.exists else (["global"], -1)
+    topics, gone = set(topics), False
+    actions = pd.concat(list(frames)).sort_values("seq")
+    for seq, action, topic in zip(actions["seq"], actions["action"], actions["topic"], strict=True):
+        if seq <= last:
+            continue
+        last, gone = int(seq), action == "disconnect"
+        if action in ("connect", "disconnect"):
+            topics = {"global"}
+        elif action == "subscribe" and topic:
+            topics.add(topic)
+        elif action == "unsubscribe" and topic != "global":
+            topics.discard(topic)
+    if gone:
+        state.remove()
+    else:
+        state.update((sorted(topics), last))
+        latest = max(int(actions["at"].max().timestamp() * 1000), state.getCurrentWatermarkMs())
+        state.setTimeoutTimestamp(latest + ttl_seconds * 1000)
+    yield pd.DataFrame({"connection_id": [key[0]], "topics": [[] if gone else sorted(topics)], "gone": [gone]})
+
+
+def subscriptions_stream(actions: DataFrame, watermark: str = "1 minute") -> DataFrame:
+    """(connection_id, topics, gone) of each connection that a batch changed, of actions (connection_id, seq, action, topic, at); topics that aren't valid are no topics."""
+    rows = actions.withColumn("topic", F.when(S.valid_topic(F.col("topic")), F.col("topic"))).withWatermark("at", watermark)
+    grouped = rows.groupBy("connection_id")
+    return grouped.applyInPandasWithState(fold_actions, TOPICS, "topics array<string>, last bigint", "update", GroupStateTimeout.EventTimeTimeout)
