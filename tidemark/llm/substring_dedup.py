@@ -163,6 +163,22 @@ def by_id(ids: np.ndarray, places: np.ndarray) -> pa.Table:
     return pa.table({"id": pa.array(ids[cuts], pa.int64()), "found": pa.array(found, pa.binary())})
 
 
+def by_bucket(ids: np.ndarray, places: np.ndarray, n_buckets: int) -> pa.Table:
+    """The places dealt by id: a row for each bucket, however many documents it holds."""
+    h = ids.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return pa.Table.from_batches([packed(ranges(h, n_buckets), ids, places, np.zeros(len(ids), dtype=np.uint8))])
+
+
+def gathered(found: DataFrame) -> DataFrame:
+    """(id, found) from rows of by_bucket, one for each id."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        ids, places, _ = unpacked(table, "u1")
+        return by_id(ids, places)
+
+    return found.groupBy("p").applyInArrow(gather, "id bigint, found binary")
+
+
 def anchors(rows: DataFrame, n_ranges: int, block: int) -> DataFrame:
     """(id, found) places of rolling windows that are also an index block elsewhere."""
     powers: list[Powers] = []
@@ -194,15 +210,14 @@ def anchors(rows: DataFrame, n_ranges: int, block: int) -> DataFrame:
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         ids, places, hashes = unpacked(table, "<u4")
         if key[0].as_py() < 0:
-            return by_id(ids, places)
+            return by_bucket(ids, places, n_ranges)
         indexed = places % block == 0
         index, held = np.unique(hashes[indexed], return_counts=True)
         k = np.minimum(np.searchsorted(index, hashes), max(len(index) - 1, 0))
         hit = (index[k] == hashes) & (held[k] > indexed) if len(index) else np.zeros(len(ids), bool)
-        return by_id(ids[hit], places[hit])
+        return by_bucket(ids[hit], places[hit], n_ranges)
 
-    packed_rows = rows.mapInArrow(pack, PACKED)
-    return packed_rows.groupBy("p").applyInArrow(probe, "id bigint, found binary")
+    return gathered(rows.mapInArrow(pack, PACKED).groupBy("p").applyInArrow(probe, PACKED))
 
 
 def repeats(rows: DataFrame, n_ranges: int, window: int, block: int) -> DataFrame:
@@ -221,7 +236,7 @@ def repeats(rows: DataFrame, n_ranges: int, window: int, block: int) -> DataFram
                     continue
                 # a hit at h can stand in windows from h - (window - block) to h
                 change = np.zeros(n + window + 1, dtype=np.int64)
-                at = np.concatenate([large(x) for x in hits])
+                at = large(hits)
                 at = at[at < n + window]
                 np.add.at(change, np.maximum(at - (window - block), 0), 1)
                 np.add.at(change, at + 1, -1)
@@ -239,9 +254,9 @@ def repeats(rows: DataFrame, n_ranges: int, window: int, block: int) -> DataFram
     def later(key: tuple, table: pa.Table) -> pa.Table:
         ids, places, hashes = unpacked(table, WIDE)
         late = later_places(ids, places, hashes) if key[0].as_py() >= 0 else np.ones(len(ids), dtype=bool)
-        return by_id(ids[late], places[late])
+        return by_bucket(ids[late], places[late], n_ranges)
 
-    return rows.mapInArrow(pack, PACKED).groupBy("p").applyInArrow(later, "id bigint, found binary")
+    return gathered(rows.mapInArrow(pack, PACKED).groupBy("p").applyInArrow(later, PACKED))
 
 
 def later_places(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -284,9 +299,9 @@ def without_repeats(
     firsts = whole.groupBy("sha").agg(F.min("id").alias("first"))
     state = cut(whole.join(firsts, "sha").select("id", "n_words", "sha", (F.col("first") < F.col("id")).alias("copy")))
     compared = state.where(~F.col("copy")).select("id").distinct()
-    hit = hits.groupBy("id").agg(F.collect_list("found").alias("found")).join(compared, "id", "left_semi")
+    hit = hits.join(compared, "id", "left_semi")
     touched = stored(rows.join(hit, "id"), "touched")
-    late = stored(repeats(touched, n_ranges, window, block), "repeats").groupBy("id").agg(F.collect_list("found").alias("late"))
+    late = stored(repeats(touched, n_ranges, window, block), "repeats").withColumnRenamed("found", "late")
     kept = touched.select("id", "text").join(late, "id", "left").mapInArrow(keep_words(window), f"id bigint, {RESULT}")
     others = state.join(touched.select("id").distinct(), "id", "left_anti")
     gone = F.col("copy") & (F.col("n_words") >= window)
@@ -329,7 +344,7 @@ def keep_words(window: int):
                 words = text.split()
                 cover = np.zeros(len(words) + 1, dtype=np.int64)
                 if late:
-                    at = np.concatenate([large(x) for x in late])
+                    at = large(late)
                     at = at[at < len(words)]
                     np.add.at(cover, at, 1)
                     np.add.at(cover, np.minimum(at + window, len(words)), -1)
