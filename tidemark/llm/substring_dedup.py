@@ -293,7 +293,7 @@ def without_repeats(
     rows, names = numbered(docs, id_col, text_col, row_col)
     whole = cut(documents_digests(rows))
     words = whole.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    n_ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), words // RANGE_WORDS + 1)
+    n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // RANGE_WORDS + 1)
     hits = stored(anchors(rows, n_ranges, block), "anchors")
     # a copy of a whole document goes whole, if it holds a window
     firsts = whole.groupBy("sha").agg(F.min("id").alias("first"))
