@@ -271,12 +271,11 @@ def test_tables_hours_and_reports_at_a_time(spark, tmp_path):
 
 def test_a_large_hour_is_dealt_over_several_files(spark, tmp_path):
     rows = adapter.silver_events(spark, "/root/testdata/sf0.1").withColumn("occurred_at", F.lit(datetime(2024, 5, 1, 10))).repartition(16)
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
     try:
         lake.write_silver(rows, str(tmp_path / "s"))
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(spark.read.parquet(str(tmp_path / "s")).inputFiles()) > 2
     lake.compact(spark, str(tmp_path / "s"), ("2024", "05", "01", "10"))
     assert len(spark.read.parquet(str(tmp_path / "s")).inputFiles()) == 1 and spark.read.parquet(str(tmp_path / "s")).count() == 100_000

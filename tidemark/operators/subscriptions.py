@@ -28,7 +28,10 @@ def subscription_state(actions: DataFrame, as_of: Column | None = None, ttl_seco
     changes = actions.where(F.col("action").isin("subscribe", "unsubscribe") & S.valid_topic(F.col("topic"))).join(marks.select("connection_id", "since"), "connection_id")
     changes = changes.where(F.col("since").isNull() | (F.col("seq") > F.col("since")))
     final = changes.groupBy("connection_id", "topic").agg(F.max_by("action", "seq").alias("action")).where("action = 'subscribe'")
-    return final.select("connection_id", "topic").union(marks.select("connection_id", F.lit("global"))).distinct()
+    # a connection's own topics and global, in one row of its; no union of two sides that are dealt alike
+    held = marks.join(final.groupBy("connection_id").agg(F.collect_set("topic").alias("topics")), "connection_id", "left")
+    topics = F.array_union(F.array(F.lit("global")), F.coalesce("topics", F.array().cast("array<string>")))
+    return held.select("connection_id", F.explode(topics).alias("topic"))
 
 
 def subscription_table(state: DataFrame) -> DataFrame:

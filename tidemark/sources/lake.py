@@ -111,12 +111,12 @@ def compact(spark: SparkSession, path: str, first: tuple[str, ...], last: tuple[
     rows = spark.read.schema(schema).parquet(path).where(in_hours(first, last))
     aside = f"{path.rstrip('/')}_compacting"
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
+    before = spark.conf.get(size, None)
     spark.conf.set(size, str(file_bytes))
     try:
         rows.hint("rebalance", *PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(aside)
     finally:
-        spark.conf.set(size, before)
+        spark.conf.unset(size) if before is None else spark.conf.set(size, before)
     # file by file: the second write keeps the first one's sizes
     spark.read.schema(schema).parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
 
