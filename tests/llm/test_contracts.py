@@ -5,10 +5,12 @@ import html
 import random
 import re
 import time
+import zlib
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decision_lists, exact_dedup, html_extract, length_histogram, mixing, pii, quality_ftrl, simhash, substring_dedup
@@ -272,3 +274,39 @@ def test_digest_of_kept_words(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     for r in QUERIES["op5_block_anchors"](spark, DATA).where("n_removed = 0").collect():
         assert r.kept_sha256 == hashlib.sha256(" ".join(re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id])).encode()).hexdigest()
+
+
+def test_queries_return_what_their_contracts_say(spark):
+    """The queries themselves, column by column, on every row of the smallest tables."""
+    small = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    run = lambda name: QUERIES[name](spark, small).collect()
+
+    for r in run("op2_simhash"):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[r.doc_id]))
+        shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+        hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        fp = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert r.fingerprint == f"{fp:016x}" and r.component_id <= r.doc_id
+
+    pages = run("op4_line_blocks")
+    assert all(r.n_chars == len(r.text) for r in pages) and len(pages) == spark.read.parquet(f"{small}/pages.parquet").count()
+
+    for r in run("op7_weak_pii"):
+        spans = [(s.split(":")[0], int(s.split(":")[1]), int(s.split(":")[2])) for s in r.spans.split(",") if s]
+        base = [(k, *m.span()) for k in PLAIN for m in re.finditer(PLAIN[k], texts[r.doc_id]) if plainly_good(k, m[0])]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in PLAIN]
+        assert r.base_sha256 == sha(",".join(f"{k}:{a}:{b}" for k, a, b in base)) and set(base) <= set(spans)
+
+    for r in run("op8_ftrl_quality"):
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    path, pattern = rank_file()
+    library = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=load_tiktoken_bpe(path), special_tokens={})
+    for r in run("op10_segment_tree_bpe"):
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(texts[r.doc_id]))
