@@ -262,6 +262,8 @@ def test_tables_hours_and_reports_at_a_time(spark, tmp_path):
         assert found.count() == 1 and len(found.inputFiles()) == 1
         plan = found._jdf.queryExecution().explainString(found._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         assert "GreaterThan(occurred_at,2024-05-01" in plan, plan
+        hourly = reports.gold_report("bot_ratio_24h", spark.table("gold_wiki_activity_by_hour"), "2024-05-02 12:00:00")
+        assert [r.hour.day for r in hourly.collect()] == [2] and len(hourly.inputFiles()) == 1
         assert lake.retain(spark, silver, ("2024", "05", "02", "10")) == 1
         assert spark.read.parquet(silver).count() == 2
     finally:
@@ -279,3 +281,31 @@ def test_a_large_hour_is_dealt_over_several_files(spark, tmp_path):
     assert len(spark.read.parquet(str(tmp_path / "s")).inputFiles()) > 2
     lake.compact(spark, str(tmp_path / "s"), ("2024", "05", "01", "10"))
     assert len(spark.read.parquet(str(tmp_path / "s")).inputFiles()) == 1 and spark.read.parquet(str(tmp_path / "s")).count() == 100_000
+
+
+def test_display_and_time_scalars(spark):
+    at = lambda text: F.lit(text).cast("timestamp")
+    row = spark.range(1).select(
+        S.percent(F.lit(1), F.lit(4)), S.percent(F.lit(1), F.lit(0)), S.scaled(F.lit(5), 0.1),
+        S.is_partial(at("2024-01-01 10:00:00"), at("2024-01-01 10:00:59")), S.is_partial(at("2024-01-01 10:00:00"), at("2024-01-01 10:01:00")), S.is_partial(F.lit(None).cast("timestamp"), at("2024-01-01")),
+        S.latest_closed_minute(at("2024-01-01 10:05:09")).cast("string"), S.latest_closed_minute(at("2024-01-01 10:05:10")).cast("string"),
+        F.concat_ws("/", *S.hour_parts_of_text(F.lit("2024-05-01T07:00:03Z")).values()), S.topic_type(F.lit("wiki:x")), S.topic_type(F.lit("y")),
+    ).first()
+    assert tuple(row) == (25.0, 0.0, 50.0, True, False, True, "2024-01-01 10:03:00", "2024-01-01 10:04:00", "2024/05/01/07", "wiki", "unknown")
+
+
+def test_delivered_events_and_observed_counts(spark):
+    events = spark.createDataFrame([("a", 0, 40), ("b", 0, 60), ("b", 0, 60), ("c", 10, 5), (None, 0, 200_000)], "event_id string, s bigint, t bigint")
+    sent = monitoring.delivered(events, spark.createDataFrame([("b",), (None,)], "event_id string")).withColumn("of", F.lit("all"))
+    found = {r.le_ms: (r.n, r.min_ms, r.max_ms) for r in monitoring.latency_histogram(sent, "s", "t", "of").collect()}
+    assert found == {50: (1, 40, 40), None: (1, 200_000, 200_000)}  # a row without an id is delivered; a negative latency is none
+    observed, seen = monitoring.with_observation(events, "job", n=F.count(F.lit(1)), valid=F.count_if(F.col("event_id").isNotNull()))
+    observed.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 5, "valid": 4}
+
+
+def test_log_counters_need_log_events(spark):
+    at = datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(at, "w", "log", "delete"), (at, "w", "log", "block"), (at, "w", "log", None), (at, "w", "edit", "delete"), (at, None, "log", "move")], "occurred_at timestamp, wiki string, change_type string, log_type string")
+    found = {r.series: tuple(r)[2:] for r in alerts.alert_series(rows).collect()}
+    assert found == {"global": (5, 4, 1, 1), "wiki:w": (4, 3, 1, 1), "log_type:delete": (2, 1, 1, 0), "log_type:block": (1, 1, 0, 1)}

@@ -65,6 +65,8 @@ for _name, _text in reports.REPORTS.items():
 AS_OF = "2024-01-20 12:34:56"
 for _name in ("bot_ratio_24h", "kpi_totals", "most_edited_articles_7d", "active_wikis_last_hour"):
     add(f"{_name}_as_of", lambda e, n=_name: reports.report(n, e, AS_OF), reports.at_time(reports.REPORTS[_name], AS_OF).replace("{a}", "a"))
+for _name, (_set, _) in reports.GOLD_REPORTS.items():
+    add(f"{_name}_from_gold", lambda e, n=_name, s=_set: reports.gold_report(n, gold.GOLD[s](gold.gold_base(e))), reports.whole_hours(reports.REPORTS[_name]).replace("{a}", "a"))
 for _name, _text in reports.SPIKES.items():
     add(_name, lambda e, n=_name: reports.spike_report(n, gold.activity_spikes(e)), f"WITH {z_sql(SPIKE_SERIES)}, s AS ({SPIKES}) {_text.replace('{s}', 's')}")
 

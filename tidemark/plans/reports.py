@@ -3,6 +3,10 @@
 With as_of nothing is read to learn the time, and the filter on event time is a
 literal that reaches the scan; of rows by hour partition, only the hours that the
 report looks at are listed.
+
+Reports that ask for no single page also come from the hourly gold sets, which
+are far smaller than the events: {s} stands for the set.  Their "last 24 hours"
+are the hour of the last event, or of as_of, and the 23 before it.
 """
 
 from __future__ import annotations
@@ -59,23 +63,68 @@ HOURS = {
 }
 
 
-def at_time(text: str, as_of: str) -> str:
-    """The text with a literal time for the data's last event, and nothing later counted."""
-    dated = text.replace(f" CROSS JOIN {NOW} t WHERE", f" WHERE occurred_at <= TIMESTAMP '{as_of}' AND").replace(f" CROSS JOIN {NOW} t", f" WHERE occurred_at <= TIMESTAMP '{as_of}'")
+def at_time(text: str, as_of: str, column: str = "occurred_at", now: str = NOW) -> str:
+    """The text with a literal time for the data's last one, and nothing later counted."""
+    dated = text.replace(f" CROSS JOIN {now} t WHERE", f" WHERE {column} <= TIMESTAMP '{as_of}' AND").replace(f" CROSS JOIN {now} t", f" WHERE {column} <= TIMESTAMP '{as_of}'")
     return dated.replace("t.now", f"TIMESTAMP '{as_of}'")
 
 
+def looked_at(rows: DataFrame, name: str, as_of: str) -> DataFrame:
+    """Rows of the hours that a report looks at, where they are laid out by hour."""
+    if name not in HOURS or not set(PARTS) <= set(rows.columns):
+        return rows
+    last = datetime.fromisoformat(as_of)
+    first = last - timedelta(hours=HOURS[name])
+    return rows.where(in_hours(*(tuple(t.strftime(f) for f in ("%Y", "%m", "%d", "%H")) for t in (first, last))))
+
+
 def report(name: str, events: DataFrame, as_of: str | None = None) -> DataFrame:
     """as_of: a UTC time as text, 'yyyy-MM-dd HH:mm:ss'."""
     text = REPORTS[name].replace("extract(dow FROM occurred_at)", "dayofweek(occurred_at) - 1")
     if as_of is not None:
-        text = at_time(text, as_of)
-        if set(PARTS) <= set(events.columns) and name in HOURS:
-            last = datetime.fromisoformat(as_of)
-            first = last - timedelta(hours=HOURS[name])
-            events = events.where(in_hours(*(tuple(t.strftime(f) for f in ("%Y", "%m", "%d", "%H")) for t in (first, last))))
+        text, events = at_time(text, as_of), looked_at(events, name, as_of)
     return events.sparkSession.sql(text, a=events)
 
 
+GOLD_NOW = "(SELECT max(metric_hour) AS now FROM {s})"
+HOURLY = "FROM {s} CROSS JOIN " + GOLD_NOW + " t WHERE metric_hour > t.now - INTERVAL '%s' %s"
+TOTAL, DAY = "sum(event_count) AS event_count", "cast(metric_date AS string) AS day"
+BOTS = "round(1e2 * sum(bot_event_count) / sum(event_count), 2) AS bot_percent"
+WIKIS, TYPES = "wiki_activity_by_hour", "change_type_by_hour"
+IN_LAST = "sum(CASE WHEN metric_hour > t.now - INTERVAL '%s' %s THEN event_count ELSE 0 END) AS %s"
+#: Report -> the gold set it reads, and its text.
+GOLD_REPORTS: dict[str, tuple[str, str]] = {
+    "bot_ratio_24h": (WIKIS, f"SELECT metric_hour AS hour, {BOTS} {HOURLY % (24, 'hour')} GROUP BY 1 ORDER BY 1"),
+    "active_wikis_last_hour": (WIKIS, f"SELECT wiki, event_count, round(1e2 * bot_event_count / event_count, 2) AS bot_percent FROM {{s}} CROSS JOIN {GOLD_NOW} t WHERE metric_hour = t.now - INTERVAL '1' hour ORDER BY event_count DESC, wiki LIMIT 10"),
+    "kpi_totals": (WIKIS, f"SELECT {IN_LAST % (24, 'hour', 'events_24h')}, {IN_LAST % (7, 'day', 'events_7d')}, {IN_LAST % (30, 'day', 'events_30d')}, round(sum(event_count) * 1e0 / count(DISTINCT metric_hour), 4) AS events_per_hour FROM {{s}} CROSS JOIN {GOLD_NOW} t"),
+    "kpi_peak_hour": (WIKIS, f"SELECT metric_hour AS hour, {TOTAL} FROM {{s}} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1"),
+    "bot_ratio_trend": (WIKIS, f"SELECT {DAY}, {BOTS} FROM {{s}} GROUP BY 1"),
+    "events_over_time": (WIKIS, f"SELECT metric_hour AS hour, {TOTAL} FROM {{s}} GROUP BY 1"),
+    "bot_human_daily": ("bot_activity_by_hour", f"SELECT {DAY}, user_is_bot, {TOTAL} FROM {{s}} GROUP BY 1, 2"),
+    "most_active_wiki_24h": (WIKIS, f"SELECT wiki, {TOTAL} {HOURLY % (24, 'hour')} GROUP BY wiki ORDER BY 2 DESC, 1 LIMIT 1"),
+    "highest_bot_ratio_wiki": (WIKIS, f"SELECT wiki, {BOTS} FROM {{s}} GROUP BY wiki ORDER BY 2 DESC, 1 LIMIT 1"),
+    "top10_wikis": (WIKIS, f"SELECT wiki, {TOTAL} FROM {{s}} GROUP BY wiki ORDER BY 2 DESC, 1 LIMIT 10"),
+    "wiki_heatmap": (WIKIS, f"SELECT wiki, dayofweek(metric_hour) - 1 AS day_of_week, hour(metric_hour) AS hour_of_day, {TOTAL} FROM {{s}} GROUP BY 1, 2, 3"),
+    "wiki_trend_30d": (WIKIS, f"SELECT {DAY}, wiki, {TOTAL} {HOURLY % (30, 'day')} GROUP BY 1, 2"),
+    "change_type_daily": (TYPES, f"SELECT day, change_type, event_count, round(event_count * 1e0 / sum(event_count) OVER (PARTITION BY day), 4) AS share FROM (SELECT {DAY}, change_type, {TOTAL} FROM {{s}} GROUP BY 1, 2) x"),
+    "change_type_trend_30d": (TYPES, f"SELECT {DAY}, change_type, {TOTAL} {HOURLY % (30, 'day')} GROUP BY 1, 2"),
+    "namespace_distribution": ("namespace_activity_by_hour", f"SELECT namespace, {TOTAL} FROM {{s}} GROUP BY namespace"),
+}
+
+
+def gold_report(name: str, gold_set: DataFrame, as_of: str | None = None) -> DataFrame:
+    """A report from the gold set that GOLD_REPORTS names for it."""
+    text = GOLD_REPORTS[name][1]
+    if as_of is not None:
+        hour = f"{as_of[:13]}:00:00"
+        text, gold_set = at_time(text, hour, "metric_hour", GOLD_NOW), looked_at(gold_set, name, hour)
+    return gold_set.sparkSession.sql(text, s=gold_set)
+
+
+def whole_hours(text: str) -> str:
+    """A report's text over events, with its last hours counted by the hour as the gold sets do."""
+    return text.replace("occurred_at > t.now -", f"{H} > date_trunc('hour', t.now) -")
+
+
 def spike_report(name: str, spikes: DataFrame) -> DataFrame:
     return spikes.sparkSession.sql(SPIKES[name], s=spikes)
