@@ -9,10 +9,10 @@ from tidemark.functions import scalars as S
 
 
 def alert_series(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
-    """Four counters by series (global, wiki:<w>, log_type:<t>) and bucket, from one scan."""
-    moderation = F.when(F.col("log_type").isin("delete", "block"), F.concat(F.lit("log_type:"), F.col("log_type")))
-    names = F.array_compact(F.array(F.lit("global"), F.concat(F.lit("wiki:"), F.col("wiki")), moderation))
+    """Four counters by series (global, wiki:<w>, log_type:<t> of log events) and bucket, from one scan."""
     is_log = F.col("change_type") == "log"
+    moderation = F.when(is_log & F.col("log_type").isin("delete", "block"), F.concat(F.lit("log_type:"), F.col("log_type")))
+    names = F.array_compact(F.array(F.lit("global"), F.concat(F.lit("wiki:"), F.col("wiki")), moderation))
     rows = events.select(F.explode(names).alias("series"), F.window("occurred_at", bucket).alias("w"), "change_type", "log_type")
     return rows.groupBy("series", "w").agg(
         F.count(F.lit(1)).alias("event_count"), F.count_if(is_log).alias("log_count"),

@@ -92,9 +92,9 @@ add("live_wiki_top_pages", lambda e: live.live_wiki_top_pages(e, HOUR),
     f"WITH l AS ({L}), {TOP_PAGES} SELECT *, row_number() OVER (PARTITION BY window_start, wiki ORDER BY event_count DESC, title) AS rank FROM t QUALIFY rank <= 10")
 add("touched_windows", lambda e: live.touched_windows(e, HOUR), f"SELECT DISTINCT {H} AS window_start FROM a")
 
-FOUR = "count(*) AS event_count, count(*) FILTER (change_type = 'log') AS log_count, count(*) FILTER (log_type = 'delete') AS delete_count, count(*) FILTER (log_type = 'block') AS block_count"
+FOUR = "count(*) AS event_count, count(*) FILTER (change_type = 'log') AS log_count, count(*) FILTER (change_type = 'log' AND log_type = 'delete') AS delete_count, count(*) FILTER (change_type = 'log' AND log_type = 'block') AS block_count"
 SERIES = f"""SELECT 'global' AS series, {H} AS bucket, {FOUR} FROM a GROUP BY 1, 2 UNION ALL SELECT 'wiki:' || wiki, {H}, {FOUR} FROM a GROUP BY 1, 2
-UNION ALL SELECT 'log_type:' || log_type, {H}, {FOUR} FROM a WHERE log_type IS NOT NULL GROUP BY 1, 2"""
+UNION ALL SELECT 'log_type:' || log_type, {H}, {FOUR} FROM a WHERE change_type = 'log' AND log_type IN ('delete', 'block') GROUP BY 1, 2"""
 add("alert_series", lambda e: alerts.alert_series(e, HOUR), SERIES)
 add("alert_series_global", lambda e: alerts.alert_series(e, HOUR).where("series = 'global'"), f"WITH s AS ({SERIES}) SELECT * FROM s WHERE series = 'global'")
 add("alert_series_wiki", lambda e: alerts.alert_series(e, HOUR).where("series LIKE 'wiki:%'"), f"WITH s AS ({SERIES}) SELECT * FROM s WHERE series LIKE 'wiki:%'")

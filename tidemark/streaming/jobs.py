@@ -179,7 +179,7 @@ def start_detection(
 
 def sliding_moderation(events: DataFrame, delay: str = "10 seconds") -> DataFrame:
     """Five-minute counts of deletions and blocks, every minute."""
-    rows = events.where(F.col("log_type").isin("delete", "block")).withWatermark("occurred_at", delay)
+    rows = events.where((F.col("change_type") == "log") & F.col("log_type").isin("delete", "block")).withWatermark("occurred_at", delay)
     return rows.groupBy(F.window("occurred_at", "5 minutes", "1 minute").alias("w"), "log_type").count()
 
 
