@@ -46,7 +46,11 @@ def test_envelopes_to_silver_and_back(spark):
     assert json.loads(row.log_params) == {"a": 1} and len(row) == 24
     event = feed.to_live_event(made).first()
     assert event.wiki == "enwiki" and event.title == "A#b" and event.user_is_bot
-    assert feed.to_alert_event(made).count() == 1
+    alert = feed.to_alert_event(made).first()
+    assert (alert.wiki, alert.change_type, alert.log_type, alert.log_action) == ("enwiki", "edit", None, None)
+    nameless = made.withColumns({"event_id": F.lit(""), "payload": F.col("payload").withField("title", F.lit(" "))})
+    assert feed.to_live_event(nameless).isEmpty() and feed.to_alert_event(nameless).isEmpty()
+    assert feed.to_live_event(nameless.withColumn("event_id", F.lit("e"))).first().title == "unknown"
     sent = made.select(F.base64(F.to_json(F.struct("*")).cast("binary")).alias("data")).union(spark.createDataFrame([(base64.b64encode(b"junk").decode(),), ("!",)], "data string"))
     good, bad = feed.decode_envelopes(sent)
     assert good.count() == 1 and bad.count() == 2
@@ -70,6 +74,8 @@ def test_zscore_boundaries(spark):
     flat = [(k, 50) for k in range(10)]
     run = lambda last, points=flat: alerts.alert_zscore(series(spark, [*points, (10, last)])).count()
     assert run(60) == 0 and run(61) == 1  # a deviation of 5 by the guard: 60 is exactly 2
+    apart = alerts.alert_zscore(series(spark, [*flat, (10, 61)]), z={"global": 2.2, "wiki": 2.0})
+    assert apart.isEmpty() and alerts.alert_zscore(series(spark, [*flat, (10, 61)], "wiki:w"), z={"global": 2.2, "wiki": 2.0}).first().alert_type == "WIKI_ACTIVITY_SPIKE"
     assert run(100, flat[:9]) == 0  # nine points are too few
     assert alerts.alert_zscore(series(spark, [(k, 5) for k in range(10)] + [(10, 49)])).count() == 0  # under the least count
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.sources.schemas import MODERATION_ALERT, SPIKE_ALERTS
 
 
 def alert_series(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
@@ -43,20 +44,23 @@ def alert_zscore(
     bucket_seconds: int = 60,
     window_len: int = 30,
     min_points: int = 10,
-    z: float = 2.0,
+    z: float | dict[str, float] = 2.0,
     min_count: dict[str, int] | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """Volume alerts of the global and wiki series: z above the limit, strictly, and enough events."""
+    """Volume alerts of the global and wiki series: z above the limit, strictly, and enough events; z is one limit, or one for each kind of series."""
     least = {"global": 50, "wiki": 30} if min_count is None else min_count
+    limits = z if isinstance(z, dict) else dict.fromkeys(SPIKE_ALERTS, z)
     kind = F.substring_index("series", ":", 1)
     need = F.when(kind == "global", least.get("global", 0)).otherwise(least.get("wiki", 0))
+    limit = F.when(kind == "global", float(limits["global"])).otherwise(float(limits["wiki"]))
     rows = zscores(series.where(kind.isin("global", "wiki")), bucket_seconds, window_len)
     if as_of is not None:
         rows = rows.where(F.col("bucket") == as_of)
-    hit = rows.where((F.col("n") >= min_points) & (F.col("z") > z) & (F.col("event_count") >= need))
-    return hit.select("series", "bucket", F.lit("volume_spike").alias("alert_type"), F.col("event_count").alias("current_count"), F.round("mean", 4).alias("baseline_avg"),
-                      F.round("deviation", 4).alias("baseline_stddev"), F.round("z", 4).alias("z_score"), F.lit(float(z)).alias("threshold"))
+    hit = rows.where((F.col("n") >= min_points) & (F.col("z") > limit) & (F.col("event_count") >= need))
+    alert_type = F.when(kind == "global", SPIKE_ALERTS["global"]).otherwise(SPIKE_ALERTS["wiki"])
+    return hit.select("series", "bucket", alert_type.alias("alert_type"), F.col("event_count").alias("current_count"), F.round("mean", 4).alias("baseline_avg"),
+                      F.round("deviation", 4).alias("baseline_stddev"), F.round("z", 4).alias("z_score"), limit.alias("threshold"))
 
 
 def dense_spine(series: DataFrame, bucket_seconds: int = 60) -> DataFrame:
@@ -91,7 +95,7 @@ def moderation_burst(
         rows = rows.where(F.col("bucket") == as_of)
     need = F.when(F.col("series") == "log_type:delete", least["delete"]).otherwise(least["block"])
     hit = rows.where((F.col("ratio") > ratio) & (F.col("current") >= need))
-    return hit.select("series", "bucket", F.lit("moderation_burst").alias("alert_type"), F.col("current").alias("current_count"), F.round("mean", 4).alias("baseline_avg"),
+    return hit.select("series", "bucket", F.lit(MODERATION_ALERT).alias("alert_type"), F.col("current").alias("current_count"), F.round("mean", 4).alias("baseline_avg"),
                       F.round("ratio", 4).alias("burst_ratio"), F.lit(float(ratio)).alias("threshold_ratio"))
 
 

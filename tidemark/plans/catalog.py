@@ -103,15 +103,18 @@ add("touched_series", alerts.touched_series, f"WITH s AS ({SERIES}) SELECT DISTI
 NO_LEAST = {"global": 0, "wiki": 0}
 add("alert_baseline", lambda e: alerts.baseline(alerts.alert_series(e, HOUR), 3600).select("series", "bucket", "event_count", "n", F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation")),
     f"WITH {z_sql(SERIES)} SELECT series, bucket, event_count, n, round(mean, 4) AS mean, round(deviation, 4) AS deviation FROM z")
-ZSCORE = "SELECT series, bucket, 'volume_spike' AS alert_type, event_count AS current_count, round(mean, 4) AS baseline_avg, round(deviation, 4) AS baseline_stddev, round(z, 4) AS z_score, 2.0::DOUBLE AS threshold FROM z WHERE n >= 10 AND z > 2 AND series NOT LIKE 'log_type:%'"
+ZSCORE = "SELECT series, bucket, CASE WHEN series = 'global' THEN 'GLOBAL_ACTIVITY_SPIKE' ELSE 'WIKI_ACTIVITY_SPIKE' END AS alert_type, event_count AS current_count, round(mean, 4) AS baseline_avg, round(deviation, 4) AS baseline_stddev, round(z, 4) AS z_score, 2.0::DOUBLE AS threshold FROM z WHERE n >= 10 AND z > 2 AND series NOT LIKE 'log_type:%'"
 add("alert_zscore", lambda e: alerts.alert_zscore(alerts.alert_series(e, HOUR), 3600, min_count=NO_LEAST), f"WITH {z_sql(SERIES)} {ZSCORE}")
+BY_DAY = SERIES.replace("'hour'", "'day'")
+add("alert_zscore_by_day", lambda e: alerts.alert_zscore(alerts.alert_series(e, "1 day"), 86_400),
+    f"WITH {z_sql(BY_DAY, 86_400)}, q AS ({ZSCORE}) SELECT * FROM q WHERE current_count >= CASE WHEN series = 'global' THEN 50 ELSE 30 END")
 GROUPS = ", ".join(f"coalesce(sum(event_count) OVER (PARTITION BY series ORDER BY k RANGE BETWEEN {5 * (g + 1) - 1} PRECEDING AND {5 * g} PRECEDING), 0)" for g in range(6, 0, -1))
 BURST = f"""WITH s AS ({SERIES}), n AS (SELECT series, cast(epoch(bucket) AS bigint) // 3600 AS k, event_count FROM s WHERE series LIKE 'log_type:%'),
 x AS (SELECT series, unnest(range(min(k), max(k) + 1)) AS k FROM n GROUP BY series),
 d AS (SELECT x.series, x.k, coalesce(n.event_count, 0) AS event_count FROM x LEFT JOIN n USING (series, k)),
 w AS (SELECT series, k, sum(event_count) OVER (PARTITION BY series ORDER BY k RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS current, list_filter([{GROUPS}], lambda v: v > 0) AS g FROM d),
 r AS (SELECT *, list_sum(g) / len(g) AS mean FROM w WHERE len(g) >= 3 AND current > 0)
-SELECT series, to_timestamp(k * 3600)::TIMESTAMP AS bucket, 'moderation_burst' AS alert_type, current::BIGINT AS current_count, round(mean, 4) AS baseline_avg, round(current / greatest(mean, 1), 4) AS burst_ratio, 1.5::DOUBLE AS threshold_ratio
+SELECT series, to_timestamp(k * 3600)::TIMESTAMP AS bucket, 'MODERATION_BURST' AS alert_type, current::BIGINT AS current_count, round(mean, 4) AS baseline_avg, round(current / greatest(mean, 1), 4) AS burst_ratio, 1.5::DOUBLE AS threshold_ratio
 FROM r WHERE current / greatest(mean, 1) > 1.5 AND current >= 5"""
 add("moderation_burst", lambda e: alerts.moderation_burst(alerts.alert_series(e, HOUR), 3600, ratio=1.5, min_count={"delete": 5, "block": 5}), BURST)
 add("dense_spine", lambda e: alerts.dense_spine(alerts.alert_series(e, HOUR).where("series LIKE 'log_type:%'"), 3600).select("series", "k", "event_count"), BURST.split("w AS (")[0].rstrip(",\n ") + " SELECT series, k, event_count FROM d")

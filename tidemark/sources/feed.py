@@ -99,12 +99,12 @@ def source_millis(envelopes: DataFrame) -> Column:
 
 
 def to_live_event(envelopes: DataFrame) -> DataFrame:
-    """Events for live counters, with defaults for what is missing; a time that can't be read is now."""
+    """Events for live counters, with defaults for what is missing; a time that can't be read is now, and without an id there is no event."""
     p = lambda name: F.col(f"payload.{name}")
     at = F.coalesce(S.parse_time(F.col("occurred_at")), F.current_timestamp())
-    out = envelopes.where(is_page_change()).select(
-        "event_id", at.alias("occurred_at"), F.lower(S.key_safe(p("wiki"))).alias("wiki"), S.key_safe(p("change_type")).alias("change_type"),
-        S.key_safe(p("namespace")).alias("namespace"), S.safe_string(p("title"), None).alias("title"), S.safe_string(p("title_url"), None).alias("title_url"),
+    out = envelopes.where(is_page_change() & (F.col("event_id") != "")).select(
+        "event_id", at.alias("occurred_at"), S.key_safe(p("wiki")).alias("wiki"), S.key_safe(p("change_type")).alias("change_type"),
+        S.key_safe(p("namespace")).alias("namespace"), S.safe_string(p("title")).alias("title"), S.safe_string(p("title_url"), None).alias("title_url"),
         S.bot_flag(p("user_is_bot"), p("bot")).alias("user_is_bot"), S.filled(p("log_type")).alias("log_type"),
         F.coalesce(source_millis(envelopes), F.unix_millis(at)).alias("source_ms"),
     )
@@ -116,7 +116,7 @@ def to_alert_event(envelopes: DataFrame) -> DataFrame:
     p = lambda name: F.lower(S.filled(F.col(f"payload.{name}")))
     out = envelopes.where(is_page_change()).select(
         S.filled(F.col("event_id")).alias("event_id"), S.parse_time(F.col("occurred_at")).alias("occurred_at"), p("wiki").alias("wiki"),
-        F.coalesce(p("change_type"), F.lit("unknown")).alias("change_type"), p("log_type").alias("log_type"),
+        F.coalesce(p("change_type"), F.lit("unknown")).alias("change_type"), p("log_type").alias("log_type"), p("log_action").alias("log_action"),
         S.bot_flag(F.col("payload.user_is_bot"), F.col("payload.bot")).alias("user_is_bot"),
     )
     return out.dropna(subset=["event_id", "occurred_at", "wiki"])

@@ -55,6 +55,8 @@ GOLD_SCHEMAS = {
     "top_pages_by_hour": flat(_HOUR + "page_rank int, wiki string, namespace int, title string, " + _BOTS + _SPAN),
 }
 EVENT_TYPE = "wiki.recentchange"
-#: Fixed values of the feed.
+#: Fixed values of the feed and of its alerts.
 CHANGE_TYPES = ("edit", "new", "categorize", "log", "external")
+SPIKE_ALERTS = {"global": "GLOBAL_ACTIVITY_SPIKE", "wiki": "WIKI_ACTIVITY_SPIKE"}
+MODERATION_ALERT = "MODERATION_BURST"
 NAMESPACES = (-1, 0, 1, 2, 4, 6, 10, 14)
