@@ -1,6 +1,7 @@
 """Contracts, boundaries, idempotence and streams."""
 
 import base64
+import hashlib
 import json
 from datetime import datetime, timedelta
 
@@ -35,6 +36,9 @@ def test_reasons_and_canaries(spark):
     metas = [None, {**META, "id": " "}, {**META, "dt": ""}, {**META, "domain": "CaNaRy"}, META]
     good, _ = feed.ingest_raw_lines(spark.createDataFrame([(line(meta=m),) for m in metas], "value string"))
     assert [r[0] for r in feed.accepted(good).select("status").collect()].count("invalid") == 3
+    raw, _ = feed.ingest_raw_lines(spark.createDataFrame([(line(meta={**META, "id": str(k)}),) for k in range(200)], "value string"))
+    kept = {r.id for r in feed.accepted(raw, 0.3).where("status = 'kept'").select("event.meta.id").collect()}
+    assert kept == {str(k) for k in range(200) if int(hashlib.sha256(f"wikimedia-{k}".encode()).hexdigest()[:8], 16) / 0xFFFFFFFF < 0.3}
     funnel = monitoring.ingest_funnel(feed.accepted(good, 0.0)).first()
     assert (funnel.received, funnel.invalid, funnel.canary, funnel.sampled_out) == (5, 3, 1, 1)
 
@@ -44,6 +48,13 @@ def test_envelopes_to_silver_and_back(spark):
     row = to_silver(made).first()
     assert (row.wiki, row.delta_bytes, row.user_is_bot, row.wikimedia_rcid) == ("enwiki", 4, True, 7)
     assert json.loads(row.log_params) == {"a": 1} and len(row) == 24
+    assert row.event_id == "wikimedia-e1"
+    sent = {"change_type": "Edit", "log_type": "Delete", "user_is_bot": None, "bot": None, "is_minor": "maybe", "is_patrolled": "2"}
+    payload = F.col("payload")
+    for name, value in sent.items():
+        payload = payload.withField(name, F.lit(value))
+    other = to_silver(made.withColumn("payload", payload)).first()
+    assert (other.change_type, other.log_type, other.user_is_bot, other.is_minor, other.is_patrolled) == ("Edit", "Delete", None, None, True)
     event = feed.to_live_event(made).first()
     assert event.wiki == "enwiki" and event.title == "A#b" and event.user_is_bot
     alert = feed.to_alert_event(made).first()

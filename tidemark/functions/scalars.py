@@ -25,6 +25,12 @@ def as_flag(x: Column) -> Column:
     return F.coalesce(text.isin("true", "yes", "y") | (text.try_cast("double") != 0), F.lit(False))
 
 
+def as_boolean(x: Column) -> Column:
+    """A boolean as Spark casts text or numbers to it; null for what is neither."""
+    text = F.trim(x.cast("string"))
+    return F.coalesce(text.try_cast("boolean"), text.try_cast("double") != 0)
+
+
 def bot_flag(user_is_bot: Column, bot: Column) -> Column:
     return as_flag(F.coalesce(user_is_bot.cast("string"), bot.cast("string")))
 

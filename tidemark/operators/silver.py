@@ -15,7 +15,7 @@ NAMES = {
     "user_is_bot": ("user_is_bot", "bot"), "is_minor": ("is_minor", "minor"), "is_patrolled": ("is_patrolled", "patrolled"), "old_length": ("old_length", "length_old"),
     "new_length": ("new_length", "length_new"), "delta_bytes": ("delta_bytes", "length_delta"), "wikimedia_rcid": ("wikimedia_recentchange_id", "id"),
 }
-LOWERED = frozenset(("wiki", "change_type", "log_type", "log_action"))
+LOWERED = frozenset(("wiki",))
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def to_silver(bronze: DataFrame) -> DataFrame:
 def as_type(x: Column, kind, to: str) -> Column:
     """A payload field as a column's type: objects and arrays as JSON text, flags three-valued, null where a cast fails."""
     if to == "boolean":
-        return F.when(x.isNotNull(), S.as_flag(x))
+        return S.as_boolean(x)
     if not isinstance(kind, StructType) and not hasattr(kind, "elementType") and not hasattr(kind, "valueType"):
         return x.try_cast(to)
     return F.to_json(x) if to == "string" else F.lit(None).cast(to)

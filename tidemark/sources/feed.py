@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.sources.schemas import ENVELOPE, EVENT_TYPE, RAW, SENT, SOURCE_TIMES
+from tidemark.sources.schemas import ENVELOPE, EVENT_TYPE, ID_PREFIX, RAW, SENT, SOURCE, SOURCE_TIMES
 
 
 def ingest_raw_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -28,6 +28,11 @@ def decode_envelopes(df: DataFrame, column: str = "data") -> tuple[DataFrame, Da
     return texts.where(ok).select(F.from_json("_text", SENT).alias("_e")).select("_e.*"), texts.where(~ok).drop("_text")
 
 
+def event_id() -> Column:
+    """The id that an event is sampled by and goes on under."""
+    return F.concat(F.lit(ID_PREFIX), F.col("event.meta.id"))
+
+
 def reason() -> Column:
     """Why a raw event is dropped, null if it isn't."""
     return (
@@ -53,7 +58,7 @@ def hash_sample(df: DataFrame, key: str, rate: float) -> DataFrame:
     return df.where(S.sampled(F.col(key), rate))
 
 
-def normalize(events: DataFrame, source: str = "feed") -> DataFrame:
+def normalize(events: DataFrame, source: str = SOURCE) -> DataFrame:
     """Envelopes of valid raw events."""
     e = lambda path: F.col(f"event.{path}")
     payload = {
@@ -68,7 +73,7 @@ def normalize(events: DataFrame, source: str = "feed") -> DataFrame:
     }
     types = {f.name: f.dataType for f in ENVELOPE["payload"].dataType}
     return events.select(
-        e("meta.id").alias("event_id"),
+        event_id().alias("event_id"),
         F.lit(EVENT_TYPE).alias("event_type"),
         F.lit("1.0").alias("event_version"),
         F.lit(source).alias("source"),
@@ -83,7 +88,7 @@ def normalize(events: DataFrame, source: str = "feed") -> DataFrame:
 def accepted(events: DataFrame, rate: float = 1.0) -> DataFrame:
     """Adds status: what becomes of each parsed line."""
     return events.withColumn(
-        "status", F.when(reason().isNotNull(), "invalid").when(is_canary(), "canary").when(~S.sampled(F.col("event.meta.id"), rate), "sampled_out").otherwise("kept")
+        "status", F.when(reason().isNotNull(), "invalid").when(is_canary(), "canary").when(~S.sampled(event_id(), rate), "sampled_out").otherwise("kept")
     )
 
 

@@ -56,6 +56,7 @@ GOLD_SCHEMAS = {
 }
 EVENT_TYPE = "wiki.recentchange"
 #: Fixed values of the feed and of its alerts.
+ID_PREFIX, SOURCE = "wikimedia-", "wikimedia.eventstreams"
 CHANGE_TYPES = ("edit", "new", "categorize", "log", "external")
 SPIKE_ALERTS = {"global": "GLOBAL_ACTIVITY_SPIKE", "wiki": "WIKI_ACTIVITY_SPIKE"}
 MODERATION_ALERT = "MODERATION_BURST"
