@@ -180,7 +180,7 @@ def test_redelivered_events_count_once(spark, tmp_path):
     days = [str(r.d) for r in events.select(F.to_date("occurred_at").alias("d")).distinct().orderBy("d").limit(2).collect()]
     assert {r.day for r in jobs.latest_counts(spark, str(tmp_path / "o"), days).select(F.date_format("window_start", "yyyy-MM-dd").alias("day")).collect()} == set(days)
     jobs.start_pages(stream, str(tmp_path / "p"), str(tmp_path / "cp"), ONCE, "60 days", "1 day").awaitTermination()
-    top = live.live_top_pages(events, "1 day").select("window_start", "wiki", "title", "event_count", "last_change_type", "rank")
+    top = live.live_top_pages(events, "1 day").select("window_start", "wiki", "title", "event_count", "last_change_type", "title_url", "rank")
     assert jobs.latest_pages(spark, str(tmp_path / "p")).select(*top.columns).exceptAll(top).isEmpty()
 
 

@@ -46,9 +46,10 @@ def family(events: DataFrame, name: str, window: str = "1 minute") -> DataFrame:
 def live_top_pages_counts(events: DataFrame, window: str = "1 minute") -> DataFrame:
     """Articles by window, with the attributes of their last event; ties by event id."""
     articles = events.where((F.col("namespace").try_cast("int") == 0) & F.col("title").isNotNull() & F.col("wiki").isNotNull())
+    url = F.col("title_url") if "title_url" in events.columns else F.lit(None).cast("string")
     return articles.groupBy(F.window("occurred_at", window).alias("w"), "wiki", "title").agg(
-        F.count(F.lit(1)).alias("event_count"), F.max_by("change_type", F.struct("occurred_at", "event_id")).alias("last_change_type"), F.max("occurred_at").alias("last_seen_at")
-    ).select(F.col("w.start").alias("window_start"), "wiki", "title", "event_count", "last_change_type", "last_seen_at")
+        F.count(F.lit(1)).alias("event_count"), F.max_by("change_type", F.struct("occurred_at", "event_id")).alias("last_change_type"), F.max("occurred_at").alias("last_seen_at"), F.max_by(url, F.struct("occurred_at", "event_id")).alias("title_url"),
+    ).select(F.col("w.start").alias("window_start"), "wiki", "title", "event_count", "last_change_type", "last_seen_at", "title_url")
 
 
 def event_ms(events: DataFrame) -> Column:

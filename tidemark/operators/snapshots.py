@@ -9,7 +9,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators import live
 from tidemark.sources.schemas import CHANGE_TYPES, NAMESPACES
 
-PAGE = ("wiki", "title", "event_count", "last_change_type", "last_seen_at")
+PAGE = ("wiki", "title", "event_count", "last_change_type", "last_seen_at", "title_url")
 
 
 def by_wiki(events: DataFrame, window: str = "1 minute") -> DataFrame:

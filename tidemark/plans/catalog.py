@@ -71,7 +71,7 @@ for _name, _text in reports.SPIKES.items():
     add(_name, lambda e, n=_name: reports.spike_report(n, gold.activity_spikes(e)), f"WITH {z_sql(SPIKE_SERIES)}, s AS ({SPIKES}) {_text.replace('{s}', 's')}")
 
 #: The same dimensions as in live.FAMILIES, in SQL.
-L = f"SELECT {H} AS window_start, wiki, change_type, user_is_bot AS is_bot, cast(namespace AS varchar) AS namespace, occurred_at, event_id, title FROM a"
+L = f"SELECT {H} AS window_start, wiki, change_type, user_is_bot AS is_bot, cast(namespace AS varchar) AS namespace, occurred_at, event_id, title, title_url FROM a"
 for _name, _keys in live.FAMILIES.items():
     _key_list = "".join(f", {k}" for k in _keys)
     add(f"live_{_name}", lambda e, n=_name: live.family(e, n, HOUR), f"WITH l AS ({L}) SELECT window_start{_key_list}, count(*) AS event_count FROM l GROUP BY window_start{_key_list}")
@@ -80,7 +80,7 @@ FAMILY_UNION = " UNION ALL ".join(
     for n, ks in live.FAMILIES.items()
 )
 add("live_grouping_sets", lambda e: live.live_counts(e, HOUR), f"WITH l AS ({L}) {FAMILY_UNION}")
-TOP_PAGES = f"t AS (SELECT window_start, wiki, title, count(*) AS event_count, {LAST} FROM l WHERE namespace = '0' GROUP BY 1, 2, 3)"
+TOP_PAGES = f"t AS (SELECT window_start, wiki, title, count(*) AS event_count, {LAST}, max_by(title_url, struct_pack(t := occurred_at, e := event_id)) AS title_url FROM l WHERE namespace = '0' GROUP BY 1, 2, 3)"
 add("live_top_pages_counts", lambda e: live.live_top_pages_counts(e, HOUR), f"WITH l AS ({L}), {TOP_PAGES} SELECT * FROM t")
 add("live_event_bounds", lambda e: live.live_event_bounds(e, HOUR),
     f"WITH l AS ({L}) SELECT window_start, epoch_us(min(occurred_at)) // 1000 AS oldest_ms, epoch_us(max(occurred_at)) // 1000 AS latest_ms FROM l GROUP BY ROLLUP (window_start)")

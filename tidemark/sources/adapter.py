@@ -12,7 +12,7 @@ SELECT concat('wikimedia-', event_id) AS event_id, {ts} AS occurred_at,
   concat('w', lpad(cast(user_id % 12 AS {text}), 2, '0'), 'wiki') AS wiki,
   CASE event_type WHEN 'click' THEN 'edit' WHEN 'view' THEN 'categorize' WHEN 'signup' THEN 'new' WHEN 'error' THEN 'log' ELSE 'external' END AS change_type,
   {namespaces}[cast({json}(props, '$.k') AS int) % 8 + {base}] AS namespace,
-  concat('Page_', {json}(props, '$.k')) AS title, user_id % 5 = 0 AS user_is_bot,
+  concat('Page_', {json}(props, '$.k')) AS title, concat('https://w.example.org/', event_id) AS title_url, user_id % 5 = 0 AS user_is_bot,
   CASE WHEN event_type IN ('error', 'signup') THEN CASE WHEN user_id % 2 = 0 THEN 'delete' ELSE 'block' END END AS log_type,
   cast(floor(value) AS bigint) AS new_length
 FROM events"""

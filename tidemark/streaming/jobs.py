@@ -89,12 +89,12 @@ def start_pages(events: DataFrame, path: str, checkpoint: str, trigger: dict | N
     return _start(counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
 
 
-PAGES = StructType().add("window_start", "timestamp").add("wiki", "string").add("title", "string").add("event_count", "long").add("last_change_type", "string").add("last_seen_at", "timestamp")
+PAGES = StructType().add("window_start", "timestamp").add("wiki", "string").add("title", "string").add("event_count", "long").add("last_change_type", "string").add("last_seen_at", "timestamp").add("title_url", "string")
 
 
 def latest_pages(spark: SparkSession, path: str, days: list[str] | None = None, n: int = 10) -> DataFrame:
     rows = read_days(spark, path, PAGES, days)
-    last = rows.groupBy("window_start", "wiki", "title").agg(F.max_by(F.struct("event_count", "last_change_type", "last_seen_at"), "batch").alias("x"))
+    last = rows.groupBy("window_start", "wiki", "title").agg(F.max_by(F.struct("event_count", "last_change_type", "last_seen_at", "title_url"), "batch").alias("x"))
     return live.top_n(last.select("window_start", "wiki", "title", "x.*"), ["window_start"], n, ("wiki", "title"))
 
 
