@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decision_lists, exact_dedup, html_extract, length_histogram, mixing, pii, quality_ftrl, simhash, substring_dedup
+from tidemark.llm import bpe, decision_lists, exact_dedup, html_extract, length_histogram, mixing, ngram_join, pii, quality_ftrl, simhash, substring_dedup
 from tidemark.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op10_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), *rank_file()))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined_components(table(spark, sf_dir, "documents"))
+
+
 def decision_list_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op6_decision_list returns, less the learned verdict."""
     return op6_decision_list(spark, sf_dir).drop("kept")
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ftrl_quality,
         op9_exact_dedup,
         op10_segment_tree_bpe,
+        op11_ngram_join,
         decision_list_base,
         weak_pii_base,
         ftrl_quality_held_out,
