@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, conversation_repair, decision_lists, exact_dedup, html_extract, length_histogram, mixing, ngram_join, pii, quality_ftrl, simhash, substring_dedup
+from tidemark.llm import bpe, conversation_repair, decision_lists, exact_dedup, html_extract, length_histogram, mixing, ngram_join, phrases, pii, quality_ftrl, simhash, substring_dedup
 from tidemark.llm.common import table
 
 
@@ -73,6 +73,10 @@ def op12_glr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repaired(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def decision_list_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op6_decision_list returns, less the learned verdict."""
     return op6_decision_list(spark, sf_dir).drop("kept")
@@ -108,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_segment_tree_bpe,
         op11_ngram_join,
         op12_glr_repair,
+        op13_phrase_automata,
         decision_list_base,
         weak_pii_base,
         ftrl_quality_held_out,
