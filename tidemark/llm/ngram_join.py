@@ -12,11 +12,11 @@ more than HOT sets lead with is marked in a bitmap of fixed size, for all sets
 alike, and the leading columns are taken anew.  So a passage or line that many
 documents share brings no two of them together.
 
-What an entry counts.  Columns fall into blocks by hash.  Each of 512 blocks has
-a bit that says whether a set has an odd number of its columns; where these bits
-of two sets differ, a column is in one set alone, so a pair with more differing
-bits than its sizes leave room for is discarded, and one whose shared column
-stands too far back in either set is too.  What remains is multiplied block by
+What an entry counts.  Columns fall into blocks by hash.  Each of 256 blocks (of
+4,096 for large sets) has a bit that says whether a set has an odd number of its
+columns; where these bits of two sets differ, a column is in one set alone, so a
+pair with more differing bits than its sizes leave room for is discarded, and
+one whose shared column stands too far back in either set is too.  What remains is multiplied block by
 block (16 blocks): its overlap is at most the sum of the smaller block sizes, a
 bound that gives way to each block's own overlap, until it falls below what the
 sizes ask for or is the overlap itself.
@@ -40,11 +40,12 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, slices, stored, text_bytes
+from tidemark.llm.common import map_texts, noted, removed, slices, stored, text_bytes
 from tidemark.llm.components import connected_components
 from tidemark.llm.similar import open_keys
 
@@ -54,32 +55,48 @@ HOT, ROUNDS = 32, 2
 #: Bits of the map of common columns (2 MB) and of the map of documents whose sets are needed.
 MAP_BITS = 24
 #: Blocks of columns that are multiplied one by one, longs of the blocks that have a parity bit, pivots of a column.
-BLOCKS, ODD, PIVOTS = 16, 8, 3
+BLOCKS, ODD, PIVOTS = 16, 4, 3
+#: Sets of more columns than this have so many longs of finer parities too.
+LARGE, WIDE = 1000, 64
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
-
-
-class WordHashes(dict):
-    """Hash of each word, worked out once for as many words as fit."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
-
-
-def gram_set(text: bytes, known: WordHashes, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of a text's distinct n-grams; bytes.lower() lowers A-Z alone, bytes.split() cuts at ASCII white space."""
-    split = text.lower().split()
-    if not split:
-        return np.zeros(0, dtype=np.uint64)
-    each = np.fromiter(map(known.__getitem__, split), dtype=np.uint64, count=len(split))
-    take = min(words, len(split))
-    h = np.full(len(each) - take + 1, take, dtype=np.uint64)
+#: Words are hashed as polynomials over the long of each byte, modulo 2**64, in this base (odd, so that it has an inverse).
+DRAWN = np.random.default_rng(42).integers(0, 1 << 63, 257, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+OF_BYTE, BASE = DRAWN[:256], int(DRAWN[256])
+IN_WORD = np.array([b != 0x20 and not 0x09 <= b <= 0x0D for b in range(256)])
+
+
+def word_hashes(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the words of a text that ends in white space."""
+    data = np.frombuffer(joined, dtype=np.uint8)
+    edges = np.flatnonzero(np.diff(IN_WORD[data].view(np.int8), prepend=np.int8(0)))
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(OF_BYTE[data] * np.multiply.accumulate(np.full(len(data), BASE, dtype=np.uint64)), out=sums[1:])
+    back = np.multiply.accumulate(np.full(len(data), pow(BASE, -1, 1 << 64), dtype=np.uint64))
+    each = (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)
+    return starts, (each ^ each >> np.uint64(32)) * MIX[1]
+
+
+def gram_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """Sorted hashes of each text's distinct n-grams; bytes.lower() lowers A-Z alone."""
+    joined = b" ".join(texts).lower() + b" "
+    starts, each = word_hashes(joined)
+    bounds = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    runs = [joined_hashes(each, take) for take in range(1, words + 1)]
+    sets = []
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+        take = min(words, b - a)
+        sets.append(np.unique(runs[take - 1][a : b - take + 1]) if take else np.zeros(0, dtype=np.uint64))
+    return sets
+
+
+def joined_hashes(each: np.ndarray, take: int) -> np.ndarray:
+    """Hashes of every run of so many words."""
+    h = np.full(max(0, len(each) - take + 1), take, dtype=np.uint64)
     for k in range(take):
         h = (h ^ each[k : k + len(h)]) * MIX[k % len(MIX)]
         h ^= h >> np.uint64(31)
-    return np.unique(h * MIX[0] ^ h >> np.uint64(29))
+    return h * MIX[0] ^ h >> np.uint64(29)
 
 
 def leading(hashes: np.ndarray, threshold: Fraction, common: np.ndarray) -> np.ndarray:
@@ -92,9 +109,9 @@ def leading(hashes: np.ndarray, threshold: Fraction, common: np.ndarray) -> np.n
     return np.concatenate([hashes[~is_common], hashes[is_common]])[:take]
 
 
-def parities(hashes: np.ndarray) -> np.ndarray:
-    """A bit for each of ODD * 64 blocks of columns: whether the set has an odd number of them."""
-    counts = np.bincount((hashes >> np.uint64(8)).astype(np.int64) & (64 * ODD - 1), minlength=64 * ODD)
+def parities(hashes: np.ndarray, longs: int = ODD) -> np.ndarray:
+    """A bit for each of 64 blocks of columns a long: whether the set has an odd number of them."""
+    counts = np.bincount((hashes >> np.uint64(8)).astype(np.int64) & (64 * longs - 1), minlength=64 * longs)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -143,6 +160,12 @@ def may_link(a: str, b: str, threshold: Fraction) -> Column:
     return sizes_allow(na, nb, threshold) & (apart <= na + nb - 2 * needed(na, nb, threshold))
 
 
+def large_may_link(na: Column, nb: Column, threshold: Fraction) -> Column:
+    """The same by the finer parities of two large sets."""
+    apart = F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.coalesce(apart <= na + nb - 2 * needed(na, nb, threshold), F.lit(True))
+
+
 def meets_first(a: str, b: str, na: Column, nb: Column, threshold: Fraction) -> Column:
     """Whether a column at these places of two sets may be the first they share: what comes from there on must suffice."""
     least = needed(na, nb, threshold)
@@ -150,39 +173,41 @@ def meets_first(a: str, b: str, na: Column, nb: Column, threshold: Fraction) ->
 
 
 def list_column(parts: list[np.ndarray]) -> pa.Array:
-    """A list of longs for each array."""
-    ends = np.cumsum([0, *map(len, parts)])
-    values = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, dtype=np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+    """A list of longs for each array, or null."""
+    some = [p for p in parts if p is not None]
+    ends = np.cumsum([0, *(0 if p is None else len(p) for p in parts)])
+    values = np.concatenate(some).view(np.int64) if some else np.zeros(0, dtype=np.int64)
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+    return lists if len(some) == len(parts) else pc.if_else(pa.array([p is not None for p in parts]), lists, None)
 
 
 MARKS = ("n", *(f"s{k}" for k in range(ODD)))
 
 
 def marked_sets(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: Fraction, common: np.ndarray) -> DataFrame:
-    """(id, digest, lead, n, parities) of each row: a digest of its set, the set's leading columns, its size and block parities."""
-    known = WordHashes()
+    """(id, digest, lead, wide, n, parities) of each row: a digest of its set, the set's leading columns, its size and block parities."""
 
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
-        sets = [gram_set(x, known, words) for x in texts]
+        sets = gram_sets(texts, words)
         digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+        lead, wide = ([f(s) for s in sets] for f in (lambda s: leading(s, threshold, common), lambda s: parities(s, WIDE) if len(s) > LARGE else None))
         odd = np.array([parities(s) for s in sets], dtype=np.int64).reshape(-1, ODD)
         marks = [np.fromiter(map(len, sets), dtype=np.int64, count=len(sets)), *odd.T]
-        return [digests, list_column([leading(s, threshold, common) for s in sets]), *(pa.array(np.ascontiguousarray(m)) for m in marks)]
+        return [digests, list_column(lead), list_column(wide), *(pa.array(np.ascontiguousarray(m)) for m in marks)]
 
-    return map_texts(docs, id_col, text_col, per_slice, [("digest", "binary"), ("lead", "array<bigint>"), *((m, "bigint") for m in MARKS)])
+    fields = [("digest", "binary"), ("lead", "array<bigint>"), ("wide", "array<bigint>"), *((m, "bigint") for m in MARKS)]
+    return map_texts(docs, id_col, text_col, per_slice, fields)
 
 
 def blocked_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: np.ndarray) -> DataFrame:
     """(digest, blocks) of the rows whose id's hash has its bit in the map: all that are wanted, and a few others."""
     edges = np.arange(1, BLOCKS, dtype=np.uint64) << np.uint64(64 - (BLOCKS - 1).bit_length())
-    known = WordHashes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.filter(pa.array(bit_of(wanted, batch.column("id").to_numpy().view(np.uint64))))
             for part in slices(iter([held]), "text"):
-                sets = [gram_set(x, known, words) for x in text_bytes(part.column("text"))]
+                sets = gram_sets(text_bytes(part.column("text")), words)
                 cells = list_column([b for s in sets for b in np.split(s, np.searchsorted(s, edges))])
                 blocks = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BLOCKS, pa.int32()), cells)
                 digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
@@ -194,11 +219,15 @@ def blocked_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted
 
 def shared_columns(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(digest, id, sizes and parities) of each row, and (key, place, digest) of each leading column that more than one set leads with."""
-    common = np.zeros(0, dtype=np.uint8)
+    common, before = np.zeros(0, dtype=np.uint8), []
     for k in range(ROUNDS):
-        marked = stored(marked_sets(docs, id_col, text_col, words, threshold, common).withColumnRenamed(id_col, "id"), "marked")
-        rows = marked.where("n > 0").dropDuplicates(["digest"]).select(F.posexplode("lead").alias("place", "key"), "digest")
-        sizes = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "columns")
+        made: list[str] = []
+        with noted(made):
+            marked = stored(marked_sets(docs, id_col, text_col, words, threshold, common).withColumnRenamed(id_col, "id"), "marked")
+            rows = marked.where("n > 0").dropDuplicates(["digest"]).select(F.posexplode("lead").alias("place", "key"), "digest")
+            sizes = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "columns")
+        removed(docs.sparkSession, before)
+        before = made
         if k == ROUNDS - 1 or sizes.where(F.col("rows") > HOT).isEmpty():
             break
         common = bitmap(sizes.where(F.col("rows") > HOT).select("key"))
@@ -209,14 +238,16 @@ def joined_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, n_shingles, component_id) of each row; the component is named by its least id."""
     marked, rows = shared_columns(docs, id_col, text_col, words, threshold)
     marks = F.struct(*MARKS)
-    classes = marked.where("n > 0").groupBy("digest").agg(F.min("id").alias("first"), F.min(marks).alias("mark"))
+    classes = marked.where("n > 0").groupBy("digest").agg(F.min("id").alias("first"), F.min(marks).alias("mark"), F.min("wide").alias("wide"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     rows = stored(rows.join(classes, "digest").select("key", "place", "node", F.col("mark.n").alias("n")), "rows")
     keep = lambda df: stored(df, "links")
 
     def links(pairs: DataFrame) -> DataFrame:
         """(a, b) of those pairs whose overlap suffices; only the sets of their nodes are made."""
-        pairs = stored(pairs.distinct(), "pairs")
+        wide = classes.select("node", "wide")
+        pairs = pairs.distinct().join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b")
+        pairs = stored(pairs.where(large_may_link(F.col("na"), F.col("nb"), threshold)).drop("wide_a", "wide_b"), "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         met = stored(classes.join(nodes, "node", "left_semi").select("node", "digest", "first"), "met")
         sets = blocked_sets(docs, id_col, text_col, words, bitmap(met.select(F.xxhash64("first").alias("h")))).dropDuplicates(["digest"])
@@ -262,7 +293,7 @@ def pivot_pairs(rows: DataFrame, classes: DataFrame, threshold: Fraction, turn:
 
 def other_pairs(rows: DataFrame, classes: DataFrame, threshold: Fraction) -> DataFrame:
     """(a, b, na, nb) of rows that share a key and are in different components, where no bound discards them."""
-    held = stored(rows.select("key", "place", "node", "component").join(classes.select("node", "mark"), "node"), "held")
+    held = rows.select("key", "place", "node", "component").join(classes.select("node", "mark"), "node")
     # both sides come straight from an exchange, so that Spark can split a large key
     left, right = (held.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("place", "node", "component", "mark"))) for x in "ab")
     apart = (F.col("component_a") < F.col("component_b")) & meets_first("place_a", "place_b", F.col("mark_a.n"), F.col("mark_b.n"), threshold)
