@@ -57,7 +57,7 @@ def texts_of(seed, n):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"range_bytes": 500, "limit": 200, "most_bits": 16}, {"range_bytes": 3000, "limit": 40}])
+@pytest.mark.parametrize("options", [{}, {"range_bytes": 500, "hash_range_bytes": 300, "limit": 200, "most_bits": 16}, {"range_bytes": 3000, "limit": 40}])
 def test_phrases_against_plain_counts(spark, options):
     rows = [*texts_of(3, 500), (None, "en"), ("", None), ("one", "it"), ("a" * 300 + " b. " * 200, "en")]
     df = spark.createDataFrame([(i // 3, t, lang, 1.0) for i, (t, lang) in enumerate(rows)], SCHEMA).repartition(4)

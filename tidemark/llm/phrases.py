@@ -39,12 +39,13 @@ from tidemark.llm.common import as_text, slices, stored, text_bytes
 LEAST, MOST_WORDS, TOP = 100, 5, 2000
 #: Runs of so many words are counted by hash.
 RUN = 3
-#: Bytes of text that a range stands for, and that a task handles at a time; phrases that a task holds before it sends them.
-RANGE_BYTES, SLICE, HELD = 32 << 20, 4 << 20, 1_000_000
+#: Bytes of text that a range of phrases stands for, a range of hashes, and that a task handles at a time; phrases that a task holds before it sends them.
+RANGE_BYTES, HASH_RANGE_BYTES, SLICE, HELD = 32 << 20, 6 << 20, 6 << 20, 1_000_000
 #: Bits of a hash that are counted, and of the map at least and at most (128 MB).
 HASH_BITS, LEAST_BITS, MOST_BITS = 40, 16, 30
 #: What ends a piece, as one byte, and tabs as spaces.
 ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
+WORD = r"[^\x20\x09-\x0D.,;:!?]+"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -126,24 +127,20 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def run_counts(docs: DataFrame, ranges: int, limit: int) -> DataFrame:
-    """(range, data) of the hashes of runs of up to RUN words, and (-1, lang, words) of each language."""
+    """(range, data) of the hashes of runs of up to RUN words."""
     known = Words()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = (np.arange(1, ranges, dtype=object) << HASH_BITS) // ranges
         for batch in batches:
             for part in slices(iter([batch]), "text", limit):
-                seen, rows = [], []
-                for lang, _, h in by_language(part, known, limit):
-                    rows.append((-1, lang, int(np.count_nonzero(h)), None))
-                    seen += [r[w] >> np.uint64(64 - HASH_BITS) for r, w in runs(lang, h, RUN)]
+                seen = [r[w] >> np.uint64(64 - HASH_BITS) for lang, _, h in by_language(part, known, limit) for r, w in runs(lang, h, RUN)]
                 found, counts = np.unique(np.concatenate(seen), return_counts=True)
                 cuts = [0, *np.searchsorted(found, np.array(edges, dtype=np.uint64)).tolist(), len(found)]
-                rows += [(k, None, None, packed(found[a:b], counts[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()).view(pa.string()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary())], names=["range", "lang", "words", "data"])
+                rows = {k: packed(found[a:b], counts[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b}
+                yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), pa.array(list(rows.values()), pa.binary())], names=["range", "data"])
 
-    return docs.mapInArrow(run, "range int, lang string, words bigint, data binary")
+    return docs.mapInArrow(run, "range int, data binary")
 
 
 def frequent_runs(packs: DataFrame, least: int) -> DataFrame:
@@ -288,14 +285,13 @@ def answered(asked: DataFrame, automata: DataFrame, ranges: int) -> DataFrame:
     return wanted.groupBy(*by).cogroup(automata.groupBy(*by)).applyInArrow(run, "lang string, part string, f bigint")
 
 
-def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = MOST_WORDS, top: int = TOP, range_bytes: int = RANGE_BYTES, limit: int = SLICE, most_bits: int = MOST_BITS) -> DataFrame:
+def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = MOST_WORDS, top: int = TOP, range_bytes: int = RANGE_BYTES, hash_range_bytes: int = HASH_RANGE_BYTES, limit: int = SLICE, most_bits: int = MOST_BITS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's first phrases by score."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = 1 + size // range_bytes
-    packs = stored(run_counts(texts, ranges, limit), "runs")
-    frequent, bits = map_of(stored(frequent_runs(packs.where("range >= 0"), least), "frequent"), most_bits)
-    totals = packs.where("range < 0").groupBy("lang").agg(F.sum("words").alias("n"))
+    frequent, bits = map_of(stored(frequent_runs(run_counts(texts, 1 + size // hash_range_bytes, limit), least), "frequent"), most_bits)
+    totals = texts.groupBy("lang").agg(F.sum(F.regexp_count("text", F.lit(WORD))).cast("long").alias("n"))
     automata = stored(united(shard_automata(texts, frequent, bits, ranges, longest, limit), least), "automata")
     found = stored(candidates(automata), "candidates")
     # the first word, then the rest after each cut
