@@ -9,8 +9,13 @@ from tidemark.functions import scalars as S
 from tidemark.sources.schemas import MODERATION_ALERT, SPIKE_ALERTS
 
 
-def alert_series(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
-    """Four counters by series (global, wiki:<w>, log_type:<t> of log events) and bucket, from one scan."""
+#: Events of a bucket, and deletions and blocks of five, that an alert takes at least.
+LEAST_EVENTS = {"global": 50, "wiki": 30}
+LEAST_MODERATION = {"delete": 5, "block": 3}
+
+
+def alert_series(events: DataFrame, bucket: str = "1 minute", with_time: bool = False) -> DataFrame:
+    """Four counters by series (global, wiki:<w>, log_type:<t> of log events) and bucket, from one scan; with_time adds `at`, the bucket's last instant, for a further stateful step."""
     is_log = F.col("change_type") == "log"
     moderation = F.when(is_log & F.col("log_type").isin("delete", "block"), F.concat(F.lit("log_type:"), F.col("log_type")))
     names = F.array_compact(F.array(F.lit("global"), F.concat(F.lit("wiki:"), F.col("wiki")), moderation))
@@ -18,7 +23,7 @@ def alert_series(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
     return rows.groupBy("series", "w").agg(
         F.count(F.lit(1)).alias("event_count"), F.count_if(is_log).alias("log_count"),
         F.count_if(is_log & (F.col("log_type") == "delete")).alias("delete_count"), F.count_if(is_log & (F.col("log_type") == "block")).alias("block_count"),
-    ).select("series", F.col("w.start").alias("bucket"), "event_count", "log_count", "delete_count", "block_count")
+    ).select(*([F.window_time("w").alias("at")] if with_time else []), "series", F.col("w.start").alias("bucket"), "event_count", "log_count", "delete_count", "block_count")
 
 
 def touched_series(events: DataFrame) -> DataFrame:
@@ -49,7 +54,7 @@ def alert_zscore(
     as_of: Column | None = None,
 ) -> DataFrame:
     """Volume alerts of the global and wiki series: z above the limit, strictly, and enough events; z is one limit, or one for each kind of series."""
-    least = {"global": 50, "wiki": 30} if min_count is None else min_count
+    least = LEAST_EVENTS if min_count is None else min_count
     limits = z if isinstance(z, dict) else dict.fromkeys(SPIKE_ALERTS, z)
     kind = F.substring_index("series", ":", 1)
     need = F.when(kind == "global", least.get("global", 0)).otherwise(least.get("wiki", 0))
@@ -82,7 +87,7 @@ def moderation_burst(
     as_of: Column | None = None,
 ) -> DataFrame:
     """Bursts of deletions or blocks: the last span buckets against the mean of the earlier spans that aren't empty."""
-    least = {"delete": 5, "block": 3} if min_count is None else min_count
+    least = LEAST_MODERATION if min_count is None else min_count
     rows = dense_spine(series.where(F.col("series").startswith("log_type:")), bucket_seconds)
     by = Window.partitionBy("series").orderBy("k")
     total = lambda a, b: F.coalesce(F.sum("event_count").over(by.rangeBetween(a, b)), F.lit(0))
@@ -99,6 +104,35 @@ def moderation_burst(
                       F.round("ratio", 4).alias("burst_ratio"), F.lit(float(ratio)).alias("threshold_ratio"))
 
 
+def all_alerts(volume: DataFrame, bursts: DataFrame) -> DataFrame:
+    """Volume alerts and moderation bursts as rows of one kind; what the other kind has is null."""
+    return volume.unionByName(bursts, allowMissingColumns=True)
+
+
+def alert_messages(found: DataFrame, created_at: Column | None = None) -> DataFrame:
+    """The messages that subscribers of alerts read, one for each row of all_alerts."""
+    return found.select(*message_fields(found, created_at))
+
+
+def message_fields(found: DataFrame, created_at: Column | None = None) -> list[Column]:
+    """The fields of an alert's message; those that its kind doesn't have are null, which JSON leaves out."""
+    now = F.current_timestamp() if created_at is None else created_at
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    kind, name = F.substring_index("series", ":", 1), F.expr("substr(series, instr(series, ':') + 1)")
+    burst = F.col("alert_type") == MODERATION_ALERT
+    key = F.when(kind == "global", "ALERT#GLOBAL").otherwise(F.concat(F.lit("ALERT#"), F.upper(kind), F.lit("#"), name))
+    number = lambda c: F.col(c) if c in found.columns else F.lit(None).cast("double").alias(c)
+    return [
+        F.lit("realtime.alert.triggered").alias("message_type"), F.col("alert_type"), F.lit("warning").alias("severity"),
+        F.when(kind == "wiki", name).alias("wiki"), F.when(kind == "log_type", name).alias("log_type"),
+        key.alias("alert_key"), F.concat(F.lit("WINDOW#"), iso("bucket")).alias("window_key"), iso("bucket").alias("window_start"),
+        F.when(~burst, F.col("current_count")).alias("current_count"), F.when(~burst, F.col("baseline_avg")).alias("baseline_avg"),
+        *map(number, ("baseline_stddev", "z_score", "threshold")),
+        F.when(burst, F.col("current_count")).alias("current_5m_count"), F.when(burst, F.col("baseline_avg")).alias("baseline_5m_avg"),
+        *map(number, ("burst_ratio", "threshold_ratio")), iso(now).alias("created_at"),
+    ]
+
+
 def alert_candidates(series: DataFrame, max_wikis: int | None = None) -> DataFrame:
     """Series to evaluate in each bucket: all, or only the first so many wikis by name."""
     if max_wikis is None:

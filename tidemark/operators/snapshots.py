@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.functions import scalars as S
 from tidemark.operators import live
@@ -12,13 +13,18 @@ from tidemark.sources.schemas import CHANGE_TYPES, NAMESPACES
 PAGE = ("wiki", "title", "event_count", "last_change_type", "last_seen_at", "title_url")
 
 
-def by_wiki(events: DataFrame, window: str = "1 minute") -> DataFrame:
-    """All counters of a wiki's window in one row and one pass: total, bots, humans, known types and namespaces, oldest and latest event time."""
-    rows = events.select(F.window("occurred_at", window).start.alias("window_start"), "wiki", "change_type", "user_is_bot", F.col("namespace").cast("string").alias("namespace"), live.event_ms(events).alias("ms"))
+def counters() -> list[Column]:
+    """Aggregates of rows with change_type, user_is_bot, namespace and ms: total, bots, humans, known types and namespaces, oldest and latest event time."""
     types = [F.count_if(F.col("change_type") == t).alias(f"type_{k}") for k, t in enumerate(CHANGE_TYPES)]
     spaces = [F.count_if(F.col("namespace") == str(n)).alias(f"space_{k}") for k, n in enumerate(NAMESPACES)]
     flags = (F.count_if("user_is_bot").alias("bot_count"), F.count_if(~F.col("user_is_bot")).alias("human_count"))
-    return rows.groupBy("window_start", "wiki").agg(F.count(F.lit(1)).alias("total"), *flags, *types, *spaces, F.min("ms").alias("oldest_ms"), F.max("ms").alias("latest_ms"))
+    return [F.count(F.lit(1)).alias("total"), *flags, *types, *spaces, F.min("ms").alias("oldest_ms"), F.max("ms").alias("latest_ms")]
+
+
+def by_wiki(events: DataFrame, window: str = "1 minute") -> DataFrame:
+    """All counters of a wiki's window in one row and one pass."""
+    rows = events.select(F.window("occurred_at", window).start.alias("window_start"), "wiki", "change_type", "user_is_bot", F.col("namespace").cast("string").alias("namespace"), live.event_ms(events).alias("ms"))
+    return rows.groupBy("window_start", "wiki").agg(*counters())
 
 
 SUMS = ("total", "bot_count", "human_count", *(f"type_{k}" for k in range(len(CHANGE_TYPES))), *(f"space_{k}" for k in range(len(NAMESPACES))))
@@ -74,6 +80,92 @@ def snapshot_top_pages(events: DataFrame, window: str = "1 minute", n: int = 10)
     return lists.withColumn("topic", F.lit("top_pages"))
 
 
+def with_pages(events: DataFrame, window: str = "1 minute") -> DataFrame:
+    """Rows of by_wiki (title null) and of its articles (title not null) in one pass; works in an update-mode stream."""
+    is_article = (F.col("namespace").try_cast("int") == 0) & F.col("title").isNotNull() & F.col("wiki").isNotNull()
+    url = F.col("title_url") if "title_url" in events.columns else F.lit(None).cast("string")
+    rows = events.select(
+        F.window("occurred_at", window).alias("w"), "wiki", F.when(is_article, F.col("title")).alias("title"), "change_type", "user_is_bot", F.col("namespace").cast("string").alias("namespace"),
+        live.event_ms(events).alias("ms"), "occurred_at", "event_id", url.alias("title_url"),
+    )
+    at = F.struct("occurred_at", "event_id")
+    page = [F.max_by("change_type", at).alias("last_change_type"), F.max("occurred_at").alias("last_seen_at"), F.max_by("title_url", at).alias("title_url")]
+    by = [[F.col("w"), F.col("wiki")], [F.col("w"), F.col("wiki"), F.col("title")]]
+    counted = rows.groupingSets(by, "w", "wiki", "title").agg(*counters(), *page, F.grouping("title").alias("whole"))
+    return counted.where("whole = 1 OR title IS NOT NULL").select(F.col("w.start").alias("window_start"), *[c for c in counted.columns if c != "w"])
+
+
+LISTED = ArrayType(StructType().add("down", "long").add("title", "string").add("last_change_type", "string").add("last_seen_at", "timestamp").add("title_url", "string"))
+
+
+def wiki_schema(rows: StructType) -> StructType:
+    """What merged_pages returns, of rows as with_pages returns them."""
+    pages = {"title", "last_change_type", "last_seen_at", "title_url", "whole"}
+    return StructType([f for f in rows.fields if f.name not in pages]).add("pages", LISTED)
+
+
+def merged_pages(rows: DataFrame, before: DataFrame, n: int = 10) -> DataFrame:
+    """The wikis' rows with their n largest pages, from a batch's rows and the wikis as they were before it."""
+    by = ["window_start", "wiki"]
+    item = F.struct((-F.col("total")).alias("down"), "title", "last_change_type", "last_seen_at", "title_url")
+    ranked = Window.partitionBy(*by).orderBy(F.col("total").desc(), "title")
+    top = rows.where("whole = 0").withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") <= n)
+    top = top.groupBy(*by).agg(F.collect_list(item).alias("new"))
+    names = [f.name for f in wiki_schema(rows.schema).fields if f.name != "pages"]
+    known = before.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("pages").alias("old"))
+    met = rows.where("whole = 1").select(*names).join(top, by, "left")
+    met = met.join(known, (F.col("window_start") == F.col("_window_start")) & F.col("wiki").eqNullSafe(F.col("_wiki")), "left")
+    new, old = (F.coalesce(c, F.array().cast(LISTED)) for c in ("new", "old"))
+    stays = F.filter(old, lambda p: ~F.array_contains(F.transform(new, lambda q: q["title"]), p["title"]))
+    return met.select(*names, F.slice(F.array_sort(F.concat(new, stays)), 1, n).alias("pages"))
+
+
+def listed_pages(pages: Column, wiki: Column) -> Column:
+    """Pages as messages have them."""
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.transform(
+        F.coalesce(pages, F.array().cast(LISTED)),
+        lambda p: F.struct(
+            wiki.alias("wiki"), p["title"].alias("title"), (-p["down"]).alias("count"), p["title_url"].alias("url"), p["title_url"].alias("title_url"), F.lit("0").alias("namespace"),
+            p["last_change_type"].alias("last_change_type"), iso(p["last_seen_at"]).alias("last_seen_at"),
+        ),
+    )
+
+
+def messages(everything: DataFrame, single: DataFrame, refresh: Column, window: str = "1 minute", n: int = 10, now: Column | None = None) -> DataFrame:
+    """(topic, window_start, latest_ms, oldest_ms, message): the message of each window for global and top_pages, and of each wiki in single.
+
+    everything: all wikis' rows, as merged_pages returns them, of the windows; single: those whose own message is wanted.
+    """
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    now = F.current_timestamp() if now is None else now
+
+    def told(rows: DataFrame, topic: Column, *data: Column) -> DataFrame:
+        message = F.struct(
+            F.lit("stats.update").alias("type"), topic.alias("topic"), iso(now).alias("timestamp"), iso("window_start").alias("aggregation_window"), iso(refresh).alias("broadcast_window"),
+            F.coalesce(now < F.col("window_start") + F.expr(f"INTERVAL {window}"), F.lit(True)).alias("is_partial_window"), F.struct(*data).alias("data"),
+            F.col("latest_ms").alias("latest_event_timestamp_ms"), F.col("oldest_ms").alias("oldest_event_timestamp_ms"),
+        )
+        return rows.select(topic.alias("topic"), "window_start", "latest_ms", "oldest_ms", F.to_json(message).alias("message"))
+
+    total = F.col("total").alias("current_minute_events_so_far")
+    counts = [total, *map(F.col, ("bot_count", "human_count", "bot_ratio"))]
+    maps = [F.col("change_types"), F.col("namespace_distribution")]
+    wikis = finished(single, ("window_start", "wiki"), False, "pages")
+    none = F.array().cast("array<struct<wiki:string,count:bigint>>").alias("top_wikis")
+    own = told(wikis, F.concat(F.lit("wiki:"), "wiki"), F.col("wiki"), *counts, none, *maps, listed_pages(F.col("pages"), F.col("wiki")).alias("top_pages"))
+    pages = everything.select("window_start", "wiki", F.explode("pages").alias("p")).select("window_start", "wiki", (-F.col("p.down")).alias("event_count"), "p.*")
+    item = F.struct("rank", "wiki", "down", "title", "last_change_type", "last_seen_at", "title_url")
+    best = live.top_n(pages, ["window_start"], n, ("wiki", "title")).groupBy("window_start").agg(F.array_sort(F.collect_list(item)).alias("pages"), F.sum("event_count").alias("listed"))
+    shots = global_of(everything, n).join(best, "window_start", "left")
+    of_page = lambda p: listed_pages(F.array(F.struct(*[p[c].alias(c) for c in ("down", "title", "last_change_type", "last_seen_at", "title_url")])), p["wiki"])[0]
+    listed = F.coalesce(F.transform("pages", of_page), F.array()).alias("top_pages")
+    top = F.transform("top_wikis", lambda w: F.struct(w["wiki"].alias("wiki"), w["event_count"].alias("count"))).alias("top_wikis")
+    out = told(shots, F.lit("global"), *counts, top, *maps, listed)
+    sums = F.coalesce("listed", F.lit(0).cast("long")).alias("current_minute_events_so_far")
+    return out.union(told(shots, F.lit("top_pages"), sums, listed)).union(own)
+
+
 def with_bounds(snapshots: DataFrame, bounds: DataFrame) -> DataFrame:
     """Oldest and latest event time of a snapshot's window, or of all windows where it has none."""
     overall = bounds.where("window_start IS NULL").select(F.col("oldest_ms").alias("_o"), F.col("latest_ms").alias("_l"))

@@ -140,8 +140,3 @@ def retain(spark: SparkSession, path: str, first: tuple[str, ...]) -> int:
             elif here == first[: len(here)]:
                 levels.append((entry.getPath(), here))
     return gone
-
-
-def purge(df: DataFrame, time_col: str, now, keep: str) -> DataFrame:
-    """Rows younger than an interval such as '2 days'; partition predicates prune by the caller's layout."""
-    return df.where(F.col(time_col) >= now - F.expr(f"INTERVAL {keep}"))

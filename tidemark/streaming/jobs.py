@@ -1,25 +1,23 @@
 """The consumers of the event log as streaming queries, each with its own checkpoint.
 
 What a batch writes lies in a folder of its own number, so a batch that is run
-again replaces what it wrote.  Tables that later batches read are laid out by
-the day of the window, and only the days that a batch touches are read.
+again replaces what it wrote.  Tables that later batches read are live tables:
+bases by day and the batches since, of which only the touched days are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tidemark.functions import scalars as S
-from tidemark.operators import alerts, live, snapshots
-from tidemark.sources import lake
+from tidemark.operators import alerts, live, monitoring, snapshots
+from tidemark.sources import files, lake, livetable
+from tidemark.streaming import stateful
 
 
 def read_files(spark: SparkSession, schema: StructType, path: str, kind: str = "parquet", max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
@@ -40,62 +38,53 @@ def _start(writer, trigger: dict):
     return writer.trigger(**trigger).start()
 
 
-def by_day(df: DataFrame, time_col: str) -> DataFrame:
-    return df.withColumn("day", F.date_format(time_col, "yyyy-MM-dd"))
-
-
 def write_days(batch: DataFrame, number: int, path: str, time_col: str) -> None:
-    by_day(batch, time_col).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
+    batch.withColumn("day", F.date_format(time_col, "yyyy-MM-dd")).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
 
 
-def read_days(spark: SparkSession, path: str, schema: StructType, days: list[str] | None = None) -> DataFrame:
-    """Rows of all batches, of these days alone if given; none where nothing has been written."""
-    full = StructType([*schema.fields]).add("batch", "long").add("day", "string")
-    try:
-        rows = spark.read.schema(full).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], full)
-    return rows if days is None else rows.where(F.col("day").isin(days))
+def read_or_none(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows of a folder; none where nothing has been written."""
+    return spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def touched_days(batch: DataFrame, time_col: str, before: int = 0) -> list[str]:
-    """The days of a batch's rows, and so many before each: as many as the watermark spans, at most."""
-    starts = batch.select(F.explode(F.sequence(F.lit(0), F.lit(before))).alias("k"), F.to_date(time_col).alias("d"))
-    return sorted(r.day for r in starts.select(F.date_format(F.date_sub("d", F.col("k")), "yyyy-MM-dd").alias("day")).distinct().collect())
+def touched_days(batch: DataFrame, time_col: str) -> list[str]:
+    """The days of a batch's rows: as many as the watermark spans, at most."""
+    return sorted(r.day for r in batch.select(F.date_format(time_col, "yyyy-MM-dd").alias("day")).distinct().collect())
 
 
 COUNTS = StructType().add("family", "string").add("window_start", "timestamp").add("wiki", "string").add("change_type", "string").add("is_bot", "boolean").add("namespace", "string").add("event_count", "long")
+COUNT_KEYS = ["family", "window_start", *live.DIMENSIONS]
+#: Days that live counters are kept for.
+KEEP_DAYS = 2
 
 
-def start_live(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute", by_id: bool = True) -> StreamingQuery:
+def start_live(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute", by_id: bool = True, every: int = livetable.EVERY, keep_days: int | None = None
+) -> StreamingQuery:
     """Counters of all families: state holds totals, so a batch replaces what it touched and a retry changes nothing; a redelivered event counts once."""
     counts = live.live_counts(deduplicated(events, watermark, by_id), window)
-    write = lambda batch, number: write_days(batch, number, path, "window_start")
+    write = lambda batch, number: livetable.write(batch, number, path, COUNT_KEYS, "window_start", every, keep_days)
     return _start(counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
 
 
 def latest_counts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
-    """The counters' present values: of each key, those of its last batch; of these days alone if given."""
-    keys = ["family", "window_start", *live.DIMENSIONS]
-    return read_days(spark, path, COUNTS, days).groupBy(*keys).agg(F.max_by("event_count", "batch").alias("event_count"))
+    """The counters' present values, of these days alone if given."""
+    return livetable.read(spark, path, COUNTS, COUNT_KEYS, days)
+
+
+PAGES = StructType().add("window_start", "timestamp").add("wiki", "string").add("title", "string").add("event_count", "long").add("last_change_type", "string").add("last_seen_at", "timestamp").add("title_url", "string")
+PAGE_KEYS = ["window_start", "wiki", "title"]
 
 
-def start_pages(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute") -> StreamingQuery:
+def start_pages(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute", every: int = livetable.EVERY, keep_days: int | None = None) -> StreamingQuery:
     """Articles by window with the attributes of their last event, in state; the largest of a window are read by latest_pages."""
     counts = live.live_top_pages_counts(deduplicated(events, watermark), window)
-    write = lambda batch, number: write_days(batch, number, path, "window_start")
+    write = lambda batch, number: livetable.write(batch, number, path, PAGE_KEYS, "window_start", every, keep_days)
     return _start(counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
 
 
-PAGES = StructType().add("window_start", "timestamp").add("wiki", "string").add("title", "string").add("event_count", "long").add("last_change_type", "string").add("last_seen_at", "timestamp").add("title_url", "string")
-
-
 def latest_pages(spark: SparkSession, path: str, days: list[str] | None = None, n: int = 10) -> DataFrame:
-    rows = read_days(spark, path, PAGES, days)
-    last = rows.groupBy("window_start", "wiki", "title").agg(F.max_by(F.struct("event_count", "last_change_type", "last_seen_at", "title_url"), "batch").alias("x"))
-    return live.top_n(last.select("window_start", "wiki", "title", "x.*"), ["window_start"], n, ("wiki", "title"))
+    return live.top_n(livetable.read(spark, path, PAGES, PAGE_KEYS, days), ["window_start"], n, ("wiki", "title"))
 
 
 def start_archive(envelopes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -114,8 +103,8 @@ def start_archive(envelopes: DataFrame, path: str, checkpoint: str, trigger: dic
 
 
 def closed_series(events: DataFrame, bucket: str = "1 minute", delay: str = "10 seconds") -> DataFrame:
-    """Alert series of closed buckets alone: append mode emits a bucket once the watermark has passed it."""
-    return alerts.alert_series(events.withWatermark("occurred_at", delay), bucket)
+    """Alert series, with `at`, of closed buckets alone: append mode emits a bucket once the watermark has passed it."""
+    return alerts.alert_series(events.withWatermark("occurred_at", delay), bucket, True)
 
 
 STATES = StructType().add("series", "string").add("bucket", "timestamp").add("status", "string").add("alert_error", "string")
@@ -126,151 +115,166 @@ def always_sent(reservations: DataFrame) -> DataFrame:
     return reservations.select("series", "bucket", F.lit(None).cast("string").alias("error"))
 
 
+def reserve(batch: DataFrame, number: int, path: str) -> DataFrame:
+    """The alerts of a batch that no try of it has reserved before, written down as PUBLISHING; only the batch's own folder is read.
+
+    A batch that died while it published leaves its reservations; when it is run
+    again, those stay as they are, and nobody publishes them.
+    """
+    spark, own = batch.sparkSession, f"{path}/reserved/batch={number}"
+    known = read_or_none(spark, own, StructType([*STATES.fields]).add("message", "string").add("attempt", "long"))
+    attempt = 1 + (known.agg(F.max("attempt")).first()[0] or 0)
+    new = alerts.reserved(batch, known.select("series", "bucket")).select("series", "bucket", "status", F.lit(None).cast("string").alias("alert_error"), "message")
+    new.write.mode("overwrite").parquet(f"{own}/attempt={attempt}")
+    return spark.read.schema(new.schema).parquet(f"{own}/attempt={attempt}")
+
+
+def with_message(found: DataFrame) -> DataFrame:
+    """Alerts with their message as JSON, if they have none yet."""
+    if "message" in found.columns:
+        return found
+    if "alert_type" not in found.columns:
+        return found.withColumn("message", F.to_json(F.struct("*")))
+    return found.withColumn("message", F.to_json(F.struct(*alerts.message_fields(found))))
+
+
 def write_alerts(path: str, publish: Publisher = always_sent) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer of an alert log: each (series, bucket) is reserved before it is published, and published at most once.
+    """foreachBatch writer of an alert log, for streams that give each (series, bucket) once: it is reserved before it is published, and published at most once.
 
-    publish takes the reserved alerts and returns (series, bucket, error), the
-    error null where an alert went out.  A batch that died while it published
-    leaves PUBLISHING rows; when it is run again, those stay as they are.
+    publish takes the reserved alerts, with their messages, and returns (series,
+    bucket, error), the error null where an alert went out.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        days = touched_days(batch, "bucket")
-        known = read_days(spark, f"{path}/reserved", STATES, days)
-        # the rows of a first try of this batch are reserved as well
-        new = alerts.reserved(batch, known).select("series", "bucket", "status", F.lit(None).cast("string").alias("alert_error"))
-        attempt = known.where(F.col("batch") % 1000 >= 0).agg(F.max(F.when(F.floor(F.col("batch") / 1000) == number, F.col("batch") % 1000))).first()[0]
-        at = number * 1000 + (0 if attempt is None else attempt + 1)
-        write_days(new, at, f"{path}/reserved", "bucket")
-        mine = read_days(spark, f"{path}/reserved", STATES, days).where(F.col("batch") == at).drop("batch", "day")
-        write_days(alerts.settled(mine.drop("alert_error"), publish(mine)).select(*STATES.names), at, f"{path}/settled", "bucket")
+        mine = reserve(with_message(batch), number, path)
+        states = alerts.settled(mine.drop("alert_error"), publish(mine)).select(*STATES.names)
+        write_days(states, number, f"{path}/settled", "bucket")
 
     return write
 
 
 def alert_states(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """(series, bucket, status, alert_error) of every alert that was ever reserved."""
-    return alerts.latest_states(read_days(spark, f"{path}/reserved", STATES, days).union(read_days(spark, f"{path}/settled", STATES, days)))
+    rows = [read_or_none(spark, f"{path}/reserved", STATES), read_or_none(spark, f"{path}/settled", STATES)]
+    known = rows[0].select(*STATES.names).union(rows[1].select(*STATES.names))
+    return alerts.latest_states(known if days is None else known.where(F.date_format("bucket", "yyyy-MM-dd").isin(days)))
+
 
+def start_alerts(candidates: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, publish: Publisher = always_sent, ttl_seconds: int = 2100) -> StreamingQuery:
+    """Publishes each (series, bucket) of a stream once, whichever batches repeat it: its status is keyed state that expires.
 
-def start_alerts(candidates: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, publish: Publisher = always_sent) -> StreamingQuery:
-    return _start(candidates.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_alerts(path, publish)), trigger or {"processingTime": "5 seconds"})
+    What publish says of an alert goes to a folder that the same stream reads,
+    and settles its status with the next batch; settled states are the log.
+    """
+    spark, outcomes = candidates.sparkSession, f"{path}/outcomes"
+    told = spark.createDataFrame([], "series string, bucket timestamp, error string")
+    if not files.exists(spark, outcomes):
+        told.write.mode("append").parquet(outcomes)
 
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            mine = reserve(batch.where("status = 'PUBLISHING'"), number, path)
+            if not mine.isEmpty():
+                publish(mine).select("series", "bucket", "error").write.mode("append").parquet(outcomes)
+            write_days(batch.where("status <> 'PUBLISHING'").select(*STATES.names), number, f"{path}/settled", "bucket")
+        finally:
+            batch.unpersist()
 
-SERIES = StructType().add("series", "string").add("bucket", "timestamp").add("event_count", "long").add("log_count", "long").add("delete_count", "long").add("block_count", "long")
+    states = stateful.publish_states(with_message(candidates).select("series", "bucket", "message"), read_files(spark, told.schema, outcomes), ttl_seconds)
+    with stateful.disk_state(spark):
+        return _start(states.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
 
 
 def start_detection(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, bucket: str = "1 minute", bucket_seconds: int = 60, delay: str = "10 seconds", publish: Publisher = always_sent, **limits
 ) -> StreamingQuery:
-    """Volume alerts from closed buckets: each batch of them joins the stored series, and only its own buckets are judged."""
-    log = write_alerts(f"{path}/alerts", publish)
+    """Volume alerts and moderation bursts from closed buckets, each series judged by a ring of its last ones in keyed state; limits as for stateful.detected."""
+    found = stateful.detected(closed_series(events, bucket, delay), bucket_seconds, **limits)
+    with stateful.disk_state(events.sparkSession):
+        return _start(found.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write_alerts(path, publish)), trigger or {"processingTime": "5 seconds"})
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        write_days(batch, number, f"{path}/series", "bucket")
-        history = read_days(spark, f"{path}/series", SERIES, touched_days(batch, "bucket", 1 + 31 * bucket_seconds // 86_400)).drop("day")
-        own = history.where(F.col("batch") == number).select("series", "bucket")
-        log(alerts.alert_zscore(history.drop("batch"), bucket_seconds, **limits).join(own, ["series", "bucket"], "left_semi"), number)
 
-    return _start(closed_series(events, bucket, delay).writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
+def start_snapshots(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute", n: int = 10, refresh_seconds: int = 5,
+    subscribed: Callable[[], DataFrame] | None = None, every: int = livetable.EVERY, keep_days: int | None = None, now: Callable[[], Column] = F.current_timestamp,
+) -> StreamingQuery:
+    """Messages for the windows that batches touched: global, top_pages and each touched wiki, one for each topic, window and refresh.
 
+    State holds each wiki's counters and pages by window.  A wiki's largest pages
+    are kept beside its counters: a batch has all pages that it changed, counts
+    only grow, so the largest of these and of the ones before are the largest of
+    all.  The global lists come from the wikis' rows.
 
-def sliding_moderation(events: DataFrame, delay: str = "10 seconds") -> DataFrame:
-    """Five-minute counts of deletions and blocks, every minute."""
-    rows = events.where((F.col("change_type") == "log") & F.col("log_type").isin("delete", "block")).withWatermark("occurred_at", delay)
-    return rows.groupBy(F.window("occurred_at", "5 minutes", "1 minute").alias("w"), "log_type").count()
+    subscribed gives the connections with their topics, anew for each batch; then
+    only wikis that one of them wants get a message.  Windows whose refresh has
+    been sent already wait for the next one.
+    """
+    rows = snapshots.with_pages(deduplicated(events, watermark), window)
+    wikis = snapshots.wiki_schema(rows.schema)
+    keys = ["window_start", "wiki"]
 
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            before = livetable.read(spark, f"{path}/wikis", wikis, keys, touched_days(batch, "window_start"))
+            livetable.write(snapshots.merged_pages(batch, before, n), number, f"{path}/wikis", keys, "window_start", every, keep_days)
+            batch.select("window_start", "wiki").distinct().write.mode("overwrite").parquet(f"{path}/touched/batch={number}")
+        finally:
+            batch.unpersist()
+        refresh = S.floor_seconds(now(), refresh_seconds)
+        mark = f"{path}/messages/refresh={spark.range(1).select(refresh.cast('long')).first()[0]}"
+        # a try of this batch that died may have sent a part
+        if any(name != f"batch={number}" for name in files.listed(spark, mark)):
+            return
+        waiting = spark.read.schema("window_start timestamp, wiki string").parquet(f"{path}/touched").distinct()
+        last = livetable.read(spark, f"{path}/wikis", wikis, keys, touched_days(waiting, "window_start"))
+        single = last.join(waiting, [last["window_start"] == waiting["window_start"], last["wiki"].eqNullSafe(waiting["wiki"])], "left_semi")
+        if subscribed is not None:
+            single = snapshots.required_wikis(single, snapshots.subscribed_wikis(subscribed()))
+        everything = last.join(waiting.select("window_start").distinct(), "window_start", "left_semi")
+        snapshots.messages(everything, single, refresh, window, n, now()).write.mode("overwrite").parquet(f"{mark}/batch={number}")
+        for name in files.listed(spark, f"{path}/touched"):
+            files.deleted(spark, f"{path}/touched/{name}")
 
-def chained_sums(events: DataFrame, delay: str = "10 seconds") -> DataFrame:
-    """Minute counts summed to five minutes: one stateful step on another, in append mode."""
-    minutes = events.withWatermark("occurred_at", delay).groupBy(F.window("occurred_at", "1 minute").alias("m"), "log_type").count()
-    return minutes.groupBy(F.window(F.window_time("m"), "5 minutes").alias("w"), "log_type").agg(F.sum("count").alias("event_count"))
+    return _start(rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": f"{refresh_seconds} seconds"})
 
 
-def snapshot_messages(shots: DataFrame, refresh: Column, window: str) -> DataFrame:
-    """(topic, window_start, message) with the fields that subscribers read; data holds all that isn't the envelope's."""
-    outer = ("topic", "window_start", "oldest_ms", "latest_ms", "wiki")
-    data = F.struct(*[F.col(c) for c in shots.columns if c not in outer])
-    message = F.struct(
-        F.lit("stats.update").alias("type"), F.col("topic"), F.current_timestamp().alias("timestamp"), F.col("window_start").alias("aggregation_window"), refresh.alias("broadcast_window"),
-        (F.current_timestamp() < F.col("window_start") + F.expr(f"INTERVAL {window}")).alias("is_partial_window"), data.alias("data"),
-        F.col("latest_ms").alias("latest_event_timestamp_ms"), F.col("oldest_ms").alias("oldest_event_timestamp_ms"), (F.unix_millis(F.current_timestamp()) - F.col("latest_ms")).alias("freshness_ms"),
-    )
-    return shots.select("topic", "window_start", F.to_json(message).alias("message"))
+LATENCY = StructType().add("label", "string").add("measure", "string").add("le_ms", "long").add("n", "long").add("min_ms", "long").add("max_ms", "long")
 
 
-def start_snapshots(
-    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "2 days", window: str = "1 minute", n: int = 10, refresh_seconds: int = 5
-) -> StreamingQuery:
-    """Messages for the windows that a batch touched, of the global topic and of each touched wiki; one for each topic, window and refresh.
+def start_latency(deliveries: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "10 minutes", every: int = livetable.EVERY) -> StreamingQuery:
+    """Histograms of event-to-delivery latency by type of topic, of a stream of deliveries (delivery_id, topic, status, posted_ms, latest_ms, oldest_ms, at); a repeated delivery counts once, one that failed doesn't."""
+    once = deliveries.withWatermark("at", watermark).dropDuplicatesWithinWatermark(["delivery_id"])
+    counted = monitoring.delivery_latency(once)
+    write = lambda batch, number: livetable.write(batch, number, path, ["label", "measure", "le_ms"], None, every)
+    return _start(counted.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "10 seconds"})
 
-    State holds each wiki's counters by window.  A batch's rows are whole, so
-    the last row of each wiki, of the touched days alone, gives the global ones.
-    """
-    rows = snapshots.by_wiki(deduplicated(events, watermark), window)
-    schema = rows.schema
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        write_days(batch, number, f"{path}/wikis", "window_start")
-        stored = read_days(spark, f"{path}/wikis", schema, touched_days(batch, "window_start"))
-        own = stored.where(F.col("batch") == number).drop("batch", "day")
-        names = [c for c in schema.names if c not in ("window_start", "wiki")]
-        last = stored.groupBy("window_start", "wiki").agg(F.max_by(F.struct(*names), "batch").alias("x")).select("window_start", "wiki", "x.*")
-        last = last.join(own.select("window_start").distinct(), "window_start", "left_semi")
-        refresh = S.floor_seconds(F.current_timestamp(), refresh_seconds)
-        everything = snapshots.global_of(last, n).withColumn("topic", F.lit("global"))
-        single = snapshots.finished(own, ("window_start", "wiki"), False).withColumn("topic", F.concat(F.lit("wiki:"), "wiki"))
-        messages = snapshot_messages(everything, refresh, window).union(snapshot_messages(single, refresh, window))
-        messages.write.mode("overwrite").parquet(f"{path}/messages/batch={number}")
+def latest_latency(spark: SparkSession, path: str) -> DataFrame:
+    return livetable.read(spark, path, LATENCY, ["label", "measure", "le_ms"])
 
-    return _start(rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": f"{refresh_seconds} seconds"})
 
+def subscriptions_stream(actions: DataFrame, watermark: str = "1 minute", ttl_seconds: int = 7200) -> DataFrame:
+    """(connection_id, topics, gone) of each connection that a batch changed, of actions (connection_id, seq, action, topic, at); topics that aren't valid are no topics.
 
-def write_snapshots(path: str):
-    """foreachBatch writer: one JSON message for each topic and refresh."""
+    Start it within stateful.disk_state: its state needs RocksDB.
+    """
+    rows = actions.withColumn("topic", F.when(S.valid_topic(F.col("topic")), F.col("topic"))).withWatermark("at", watermark)
+    return stateful.folded(rows, ttl_seconds)
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.select("topic", F.to_json(F.struct("*")).alias("message")).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return write
+def start_subscriptions(
+    actions: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = "1 minute", ttl_seconds: int = 7200, every: int = livetable.EVERY
+) -> StreamingQuery:
+    """The table of connections that latest_subscriptions reads."""
+    spark, keys = actions.sparkSession, ["connection_id"]
+    write = lambda batch, number: livetable.write(batch, number, path, keys, None, every)
+    with stateful.disk_state(spark):
+        return _start(subscriptions_stream(actions, watermark, ttl_seconds).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "5 seconds"})
 
 
-TOPICS = "connection_id string, topics array<string>, gone boolean"
-
-
-def fold_actions(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, ttl_seconds: int = 7200) -> Iterator[pd.DataFrame]:
-    """One connection's topics after a batch of its actions; a connection that is silent for so long is gone."""
-    if state.hasTimedOut:
-        state.remove()
-        yield pd.DataFrame({"connection_id": [key[0]], "topics": [[]], "gone": [True]})
-        return
-    topics, last = state.get if state.exists else (["global"], -1)
-    topics, gone = set(topics), False
-    actions = pd.concat(list(frames)).sort_values("seq")
-    for seq, action, topic in zip(actions["seq"], actions["action"], actions["topic"], strict=True):
-        if seq <= last:
-            continue
-        last, gone = int(seq), action == "disconnect"
-        if action in ("connect", "disconnect"):
-            topics = {"global"}
-        elif action == "subscribe" and topic:
-            topics.add(topic)
-        elif action == "unsubscribe" and topic != "global":
-            topics.discard(topic)
-    if gone:
-        state.remove()
-    else:
-        state.update((sorted(topics), last))
-        latest = max(int(actions["at"].max().timestamp() * 1000), state.getCurrentWatermarkMs())
-        state.setTimeoutTimestamp(latest + ttl_seconds * 1000)
-    yield pd.DataFrame({"connection_id": [key[0]], "topics": [[] if gone else sorted(topics)], "gone": [gone]})
-
-
-def subscriptions_stream(actions: DataFrame, watermark: str = "1 minute") -> DataFrame:
-    """(connection_id, topics, gone) of each connection that a batch changed, of actions (connection_id, seq, action, topic, at); topics that aren't valid are no topics."""
-    rows = actions.withColumn("topic", F.when(S.valid_topic(F.col("topic")), F.col("topic"))).withWatermark("at", watermark)
-    grouped = rows.groupBy("connection_id")
-    return grouped.applyInPandasWithState(fold_actions, TOPICS, "topics array<string>, last bigint", "update", GroupStateTimeout.EventTimeTimeout)
+def latest_subscriptions(spark: SparkSession, path: str) -> DataFrame:
+    """(connection_id, topics) of the connections that are open now."""
+    return livetable.read(spark, path, StructType.fromDDL(stateful.TOPICS), ["connection_id"]).where("NOT gone").select("connection_id", "topics")
