@@ -117,6 +117,34 @@ r AS (SELECT *, list_sum(g) / len(g) AS mean FROM w WHERE len(g) >= 3 AND curren
 SELECT series, to_timestamp(k * 3600)::TIMESTAMP AS bucket, 'MODERATION_BURST' AS alert_type, current::BIGINT AS current_count, round(mean, 4) AS baseline_avg, round(current / greatest(mean, 1), 4) AS burst_ratio, 1.5::DOUBLE AS threshold_ratio
 FROM r WHERE current / greatest(mean, 1) > 1.5 AND current >= 5"""
 add("moderation_burst", lambda e: alerts.moderation_burst(alerts.alert_series(e, HOUR), 3600, ratio=1.5, min_count={"delete": 5, "block": 5}), BURST)
+#: The usual limits, at the grain of a day: bursts of a day over the five days' sums before it.
+BURST_LIMITS = {"span": 1, "groups": 6}
+DAY_GROUPS = ", ".join(f"coalesce(sum(event_count) OVER (PARTITION BY series ORDER BY k RANGE BETWEEN {g} PRECEDING AND {g} PRECEDING), 0)" for g in range(6, 0, -1))
+DAY_BURST = f"""n AS (SELECT series, cast(epoch(bucket) AS bigint) // 86400 AS k, event_count FROM s WHERE series LIKE 'log_type:%'),
+w AS (SELECT series, k, event_count AS current, list_filter([{DAY_GROUPS}], lambda v: v > 0) AS g FROM n),
+r AS (SELECT *, list_sum(g) / len(g) AS mean FROM w WHERE len(g) >= 3)
+SELECT series, to_timestamp(k * 86400)::TIMESTAMP AS bucket, 'MODERATION_BURST' AS alert_type, current::BIGINT AS current_count, mean AS baseline_avg, current / greatest(mean, 1) AS burst_ratio, 1.05::DOUBLE AS threshold_ratio
+FROM r WHERE current / greatest(mean, 1) > 1.05 AND current >= CASE series WHEN 'log_type:delete' THEN 5 ELSE 3 END"""
+CREATED = "2024-02-01 00:00:00"
+
+
+def alert_messages(events: DataFrame) -> DataFrame:
+    """Messages of all alerts at the grain of a day; bursts at a ratio that the given rows reach."""
+    series = alerts.alert_series(events, "1 day")
+    found = alerts.all_alerts(alerts.alert_zscore(series, 86_400), alerts.moderation_burst(series, 86_400, ratio=1.05, **BURST_LIMITS))
+    return alerts.alert_messages(found, F.lit(CREATED).cast("timestamp"))
+
+
+ISO = "%Y-%m-%dT%H:%M:%SZ"
+add("alert_messages", alert_messages, f"""WITH s AS ({BY_DAY}), {z_sql("SELECT * FROM s", 86_400)}, q AS ({ZSCORE}), v AS (SELECT * FROM q WHERE current_count >= CASE WHEN series = 'global' THEN 50 ELSE 30 END),
+{DAY_BURST.replace("SELECT series, to_timestamp", ", b AS (SELECT series, to_timestamp", 1)}),
+u AS (SELECT series, bucket, alert_type, current_count, baseline_avg, baseline_stddev, z_score, threshold, NULL::DOUBLE AS burst_ratio, NULL::DOUBLE AS threshold_ratio FROM v
+UNION ALL SELECT series, bucket, alert_type, current_count, round(baseline_avg, 4), NULL, NULL, NULL, round(burst_ratio, 4), threshold_ratio FROM b)
+SELECT 'realtime.alert.triggered' AS message_type, alert_type, 'warning' AS severity, CASE WHEN series LIKE 'wiki:%' THEN substr(series, 6) END AS wiki, CASE WHEN series LIKE 'log_type:%' THEN substr(series, 10) END AS log_type,
+CASE WHEN series = 'global' THEN 'ALERT#GLOBAL' WHEN series LIKE 'wiki:%' THEN 'ALERT#WIKI#' || substr(series, 6) ELSE 'ALERT#LOG_TYPE#' || substr(series, 10) END AS alert_key,
+'WINDOW#' || strftime(bucket, '{ISO}') AS window_key, strftime(bucket, '{ISO}') AS window_start,
+CASE WHEN burst_ratio IS NULL THEN current_count END AS current_count, CASE WHEN burst_ratio IS NULL THEN baseline_avg END AS baseline_avg, baseline_stddev, z_score, threshold,
+CASE WHEN burst_ratio IS NOT NULL THEN current_count END AS current_5m_count, CASE WHEN burst_ratio IS NOT NULL THEN baseline_avg END AS baseline_5m_avg, burst_ratio, threshold_ratio, '2024-02-01T00:00:00Z' AS created_at FROM u""")
 add("dense_spine", lambda e: alerts.dense_spine(alerts.alert_series(e, HOUR).where("series LIKE 'log_type:%'"), 3600).select("series", "k", "event_count"), BURST.split("w AS (")[0].rstrip(",\n ") + " SELECT series, k, event_count FROM d")
 add("alert_candidates", lambda e: alerts.alert_candidates(alerts.alert_series(e, HOUR), 5),
     f"WITH s AS ({SERIES}) SELECT bucket, series FROM s QUALIFY series NOT LIKE 'wiki:%' OR row_number() OVER (PARTITION BY bucket, series LIKE 'wiki:%' ORDER BY series) <= 5")
@@ -149,15 +177,37 @@ add("snapshot_wiki_namespaces", lambda e: snapshots.snapshot_wiki(e, None, HOUR)
     f"WITH l AS ({L}) SELECT window_start, wiki, namespace, count(*) AS event_count FROM l WHERE namespace IN ({KNOWN}) GROUP BY 1, 2, 3")
 add("snapshot_wiki_top_pages", lambda e: snapshots.snapshot_wiki(e, None, HOUR).select("window_start", "wiki", F.posexplode("top_pages").alias("at", "p")).select("window_start", "wiki", (F.col("at") + 1).alias("rank"), "p.*"),
     f"WITH l AS ({L}), {TOP_PAGES} SELECT *, row_number() OVER (PARTITION BY window_start, wiki ORDER BY event_count DESC, title) AS rank FROM t QUALIFY rank <= 10")
+#: Windows whose bots give no bounds of their own take those of all bots.
+add("snapshot_with_bounds", lambda e: snapshots.with_bounds(snapshots.by_wiki(e, HOUR).select("window_start", "wiki", "total"), live.live_event_bounds(e.where("user_is_bot AND change_type = 'log'"), HOUR)),
+    f"WITH l AS ({L}), b AS (SELECT window_start, epoch_us(min(occurred_at)) // 1000 AS oldest_ms, epoch_us(max(occurred_at)) // 1000 AS latest_ms FROM l WHERE is_bot AND change_type = 'log' GROUP BY ROLLUP (window_start)), "
+    "c AS (SELECT window_start, wiki, count(*) AS total FROM l GROUP BY 1, 2) SELECT c.*, coalesce(b.oldest_ms, o.oldest_ms) AS oldest_ms, coalesce(b.latest_ms, o.latest_ms) AS latest_ms "
+    "FROM c LEFT JOIN b USING (window_start), (SELECT * FROM b WHERE window_start IS NULL) AS o")
 BY_MINUTE = L.replace("'hour'", "'minute'")
 add("live_counts_by_minute", live.live_counts, f"WITH l AS ({BY_MINUTE}) {FAMILY_UNION}")
 add("snapshot_global_by_minute", lambda e: snapshots.snapshot_global(e).select("window_start", *SCALARS, "oldest_ms", "latest_ms"), f"WITH l AS ({BY_MINUTE}) SELECT window_start, {TOTALS}, {BOUNDS} FROM l GROUP BY 1")
 for _kind, _keys, _n in (("wikis", "wiki", 10), ("change_types", "change_type", 8), ("namespaces", "namespace", 10), ("pages", "wiki, title", 15)):
     add(f"chart_points_{_kind}", lambda e, k=_kind, c=_keys: snapshots.chart_points(e.groupBy(*c.split(", ")).agg(F.count(F.lit(1)).alias("event_count")), k),
         f"SELECT {_keys}, count(*) AS event_count FROM a GROUP BY {_keys} ORDER BY event_count DESC, {_keys} LIMIT {_n}")
-EDGES = " ".join(f"WHEN ms <= {x} THEN {x}" for x in monitoring.EDGES_MS)
-add("latency_histogram", lambda e: monitoring.latency_histogram(e.select("wiki", F.lit(0).cast("bigint").alias("s"), (F.col("new_length") * 100).alias("t")), "s", "t", "wiki"),
-    f"WITH m AS (SELECT wiki AS label, new_length * 100 AS ms FROM a) SELECT label, CASE {EDGES} END AS le_ms, count(*) AS n, min(ms) AS min_ms, max(ms) AS max_ms FROM m WHERE ms >= 0 GROUP BY 1, 2")
+#: Fixed values, written out apart from the operator's own.
+EDGE_SQL = """CASE WHEN ms <= 0 THEN 0 WHEN ms <= 1000 THEN 1000 WHEN ms <= 2000 THEN 2000 WHEN ms <= 3000 THEN 3000 WHEN ms <= 4000 THEN 4000 WHEN ms <= 5000 THEN 5000
+WHEN ms <= 6000 THEN 6000 WHEN ms <= 7500 THEN 7500 WHEN ms <= 10000 THEN 10000 WHEN ms <= 12500 THEN 12500 WHEN ms <= 15000 THEN 15000 WHEN ms <= 20000 THEN 20000
+WHEN ms <= 30000 THEN 30000 WHEN ms <= 45000 THEN 45000 WHEN ms <= 60000 THEN 60000 WHEN ms <= 90000 THEN 90000 WHEN ms <= 120000 THEN 120000 END"""
+#: A delivery for each event: topics of all types, some negative latencies, some that failed.
+DELIVERIES = """SELECT event_id AS delivery_id, CASE new_length % 5 WHEN 0 THEN 'global' WHEN 1 THEN 'top_pages' WHEN 2 THEN 'other' ELSE concat('wiki:', wiki) END AS topic,
+CASE WHEN user_is_bot THEN 'failed' ELSE 'sent' END AS status, {ms} AS posted_ms, {ms} - (new_length * 300 - 900) AS latest_ms, {ms} - new_length * 500 AS oldest_ms FROM {a}"""
+TYPE_SQL = "CASE WHEN topic IN ('global', 'top_pages') THEN topic WHEN topic LIKE 'wiki:%' THEN 'wiki' ELSE 'unknown' END"
+HISTOGRAM_SQL = f"{EDGE_SQL} AS le_ms, count(*) AS n, min(ms) AS min_ms, max(ms) AS max_ms"
+
+
+def deliveries(events: DataFrame) -> DataFrame:
+    return events.sparkSession.sql(DELIVERIES.format(ms="unix_millis(occurred_at)", a="{a}"), a=events)
+
+
+add("latency_histogram", lambda e: monitoring.latency_histogram(deliveries(e).withColumn("type", S.topic_type(F.col("topic"))), "latest_ms", "posted_ms", "type"),
+    f"WITH d AS ({DELIVERIES.format(ms='epoch_us(occurred_at) // 1000', a='a')}), m AS (SELECT {TYPE_SQL} AS label, posted_ms - latest_ms AS ms FROM d) SELECT label, {HISTOGRAM_SQL} FROM m WHERE ms >= 0 GROUP BY 1, 2")
+add("delivery_latency", lambda e: monitoring.delivery_latency(deliveries(e)),
+    f"WITH d AS ({DELIVERIES.format(ms='epoch_us(occurred_at) // 1000', a='a')}), m AS (SELECT {TYPE_SQL} AS label, 'latest' AS measure, posted_ms - latest_ms AS ms FROM d WHERE status = 'sent' "
+    f"UNION ALL SELECT {TYPE_SQL}, 'oldest', posted_ms - oldest_ms FROM d WHERE status = 'sent') SELECT label, measure, {HISTOGRAM_SQL} FROM m WHERE ms >= 0 GROUP BY 1, 2, 3")
 add("ingest_funnel", lambda e: monitoring.ingest_funnel(e.withColumn("status", F.when(F.col("title").isNull(), "invalid").when(S.sampled(F.col("event_id"), 0.1), "kept").otherwise("sampled_out"))),
     "WITH s AS (SELECT cast('0x' || substr(sha256(event_id), 1, 8) AS bigint) / 4294967295 < 0.1 AS k FROM a) "
     "SELECT count(*) AS received, 0::BIGINT AS parse_failed, 0::BIGINT AS invalid, 0::BIGINT AS canary, count(*) FILTER (NOT k) AS sampled_out, count(*) FILTER (k) AS kept FROM s")
@@ -170,6 +220,18 @@ QUERIES["subscription_state"] = lambda spark, d: subscriptions.subscription_stat
 ORACLE_SQL["subscription_state"] = f"{ACTIONS} SELECT connection_id, topic FROM st"
 
 
+def active_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connections whose time to live, from their last action and two hours on, isn't over in the middle of all; some have none."""
+    last = subscription_actions(spark, sf_dir).groupBy("connection_id").agg(F.max("seq").alias("seq"))
+    ttl = F.when(F.col("connection_id") % 7 > 0, F.col("connection_id") * 60 + F.col("seq") + 7200).alias("ttl")
+    return subscriptions.active_subscriptions(last.select("connection_id", ttl), F.timestamp_seconds(F.lit(9000)))
+
+
+QUERIES["active_subscriptions"] = active_subscriptions
+ORACLE_SQL["active_subscriptions"] = """WITH x AS (SELECT conv_id AS connection_id, CASE WHEN conv_id % 7 > 0 THEN conv_id * 60 + max(turn) + 7200 END AS ttl FROM conversations GROUP BY conv_id)
+SELECT * FROM x WHERE ttl IS NULL OR ttl >= 9000"""
+
+
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = subscriptions.subscription_table(subscriptions.subscription_state(subscription_actions(spark, sf_dir)))
     events = silver_events(spark, sf_dir)
