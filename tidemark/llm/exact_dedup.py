@@ -82,7 +82,8 @@ def run_stream(staged: DataFrame, path: str, batch_bytes: int) -> DataFrame:
     if query.lastProgress is None or query.lastProgress["batchId"] == 0:
         return batches.drop("batch")
     # a key's later batches hold lower ids and higher counts
-    return batches.groupBy("digest").agg(F.min("keep").alias("keep"), F.max("n").alias("n"))
+    # stored, so that Spark can split large groups where rows are joined with it
+    return stored(batches.groupBy("digest").agg(F.min("keep").alias("keep"), F.max("n").alias("n")), "state")
 
 
 def exact_duplicates(

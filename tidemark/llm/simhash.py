@@ -188,6 +188,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows, row = located(docs)
     linked = similar_components(rows, row, text_col, shingle_words, similarity).withColumnRenamed("node", "_node")
     marked = cut(rows.select(F.col(row).alias("_node"), F.col(id_col).alias("_id")).join(linked, "_node"))
-    stays = marked.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_node"))["_node"].alias("_stays"))
+    stays = cut(marked.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_node"))["_node"].alias("_stays")))  # so that Spark can split the join
     gone = marked.join(stays, "component").where("_node <> _stays").select("_node")
     return without(rows, gone, row).drop(row)

@@ -120,7 +120,7 @@ def similar_components(docs: DataFrame, node_col: str, text_col: str, words: int
     marks = keyed.select("node", F.struct("n", *(f"s{k}" for k in range(SKETCH))).alias("mark"))
     met = docs.join(rows.select(F.col("node").alias(node_col)).distinct(), node_col, "left_semi")
     shingles = stored(map_texts(met, node_col, text_col, sets, [("shingles", "array<bigint>")]).withColumnRenamed(node_col, "node"), "sets")
-    pivots = rows.groupBy("key").agg(F.min("node").alias("pivot"))
+    pivots = stored(rows.groupBy("key").agg(F.min("node").alias("pivot")), "pivots")  # so that Spark can split the join's large keys
     others = stored(rows.join(pivots, "key").where("node <> pivot"), "others")
     pairs = others.select("node", "pivot").distinct().join(marks, "node").join(marks.toDF("pivot", "of_pivot"), "pivot")
     pairs = stored(pairs.where(may_be_alike("mark", "of_pivot", similarity)).select("node", "pivot"), "pairs")

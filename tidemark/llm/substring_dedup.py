@@ -42,8 +42,6 @@ WINDOW, BLOCK = 20, 10
 #: Words that one hash range holds.
 RANGE_WORDS = 400_000
 SLICE = 1_000_000
-#: Tasks that the places which slices have settled by themselves are dealt over, as ranges below 0.
-SETTLED = 64
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
@@ -145,8 +143,8 @@ def unpacked(table: pa.Table, dtype: str) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def with_settled(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray, settled: np.ndarray, sent: np.ndarray, n_ranges: int) -> pa.RecordBatch:
-    """Entries to send by hash range, and the settled places in ranges below 0."""
-    p = np.concatenate([ranges(hashes["h"] if hashes.dtype.names else hashes, n_ranges)[sent], -1 - ids[settled] % SETTLED])
+    """Entries to send by hash range, and the settled places in ranges below 0, as many, by id."""
+    p = np.concatenate([ranges(hashes["h"] if hashes.dtype.names else hashes, n_ranges)[sent], -1 - id_buckets(ids[settled], n_ranges)])
     both = np.concatenate([np.flatnonzero(sent), np.flatnonzero(settled)])
     kept = (hashes if hashes.dtype.names else hashes.astype("<u4"))[both]
     kept[int(sent.sum()) :] = np.zeros(1, kept.dtype)[0]  # nobody reads them, and zeros take no room in a shuffle file
@@ -163,10 +161,13 @@ def by_id(ids: np.ndarray, places: np.ndarray) -> pa.Table:
     return pa.table({"id": pa.array(ids[cuts], pa.int64()), "found": pa.array(found, pa.binary())})
 
 
+def id_buckets(ids: np.ndarray, n_buckets: int) -> np.ndarray:
+    return ranges(ids.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), n_buckets)
+
+
 def by_bucket(ids: np.ndarray, places: np.ndarray, n_buckets: int) -> pa.Table:
     """The places dealt by id: a row for each bucket, however many documents it holds."""
-    h = ids.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return pa.Table.from_batches([packed(ranges(h, n_buckets), ids, places, np.zeros(len(ids), dtype=np.uint8))])
+    return pa.Table.from_batches([packed(id_buckets(ids, n_buckets), ids, places, np.zeros(len(ids), dtype=np.uint8))])
 
 
 def gathered(found: DataFrame) -> DataFrame:
@@ -296,7 +297,7 @@ def without_repeats(
     n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // RANGE_WORDS + 1)
     hits = stored(anchors(rows, n_ranges, block), "anchors")
     # a copy of a whole document goes whole, if it holds a window
-    firsts = whole.groupBy("sha").agg(F.min("id").alias("first"))
+    firsts = cut(whole.groupBy("sha").agg(F.min("id").alias("first")))  # so that Spark can split the join's large groups
     state = cut(whole.join(firsts, "sha").select("id", "n_words", "sha", (F.col("first") < F.col("id")).alias("copy")))
     compared = state.where(~F.col("copy")).select("id").distinct()
     hit = hits.join(compared, "id", "left_semi")
