@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -53,26 +54,112 @@ def test_length_histogram_query(spark):
         assert r.truncated_total == sum(min(x, n) for x in lengths) and r.share_at_most == pytest.approx(sum(x <= n for x in lengths) / len(lengths))
 
 
-def brute_text(lines, marked, window=3):
-    """A line stays if it is text between the first and the last counting lines of a run of windows that all hold some."""
-    mass = [len(t) if (inside or not marked) and 2 * links <= len(t) else 0 for t, links, inside in lines]
-    kept = []
-    for i, (text, _, inside) in enumerate(lines):
-        before = next((j for j in range(i, -1, -1) if mass[j]), None)
-        after = next((j for j in range(i, len(mass)) if mass[j]), None)
-        if text and (inside or not marked) and None not in (before, after) and all(sum(mass[j : j + window]) for j in range(before, after - window + 2)):
-            kept.append(text)
-    return "\n".join(kept)
-
-
-def test_line_blocks_against_direct_sums(spark):
-    """op4: by window sums added up anew at every line, on the given pages and on mixed-up ones."""
-    pages = [r.html for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
-    rng, pieces = random.Random(5), ["<p>text here", "<ul>", "<li><a href=x>link</a>", "</ul>", "<nav>", "</nav>", "<article>", "</article>", "<div class='ad'>", "</div>", "x &amp; y", "<br>", "<a>w</a>", "<button>", "<!-- c -->", "<p>"]
-    pages += ["".join(rng.choices(pieces, k=rng.randrange(25))) for _ in range(2000)]
-    for page in pages:
-        lines, marked = html_extract.lines_of(page)
-        assert html_extract.main_text(page) == brute_text(lines, marked), page
+class Stripper(HTMLParser):
+    """Lines of a page with plain tags, by the standard library's parser: a second opinion on what is text."""
+
+    OFF, BLOCKS = ("nav", "footer", "aside", "form", "script", "style", "head"), ("p", "div", "li", "ul", "h1", "article", "br", "body", "html", "nav", "footer", "aside", "form")
+
+    def __init__(self):
+        super().__init__()
+        self.lines, self.open, self.inside, self.any = [[""]], [], False, False
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.BLOCKS:
+            self.lines.append([""])
+        if tag in self.OFF or ("class", "ad") in attrs:
+            self.open.append(tag)
+        if tag == "article":
+            self.inside = self.any = True
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCKS:
+            self.lines.append([""])
+        if tag in self.open:
+            del self.open[self.open.index(tag) :]
+        if tag == "article":
+            self.inside = False
+
+    def handle_data(self, data):
+        if self.inside and not self.open:
+            self.lines[-1].append(data)
+
+    def text(self):
+        lines = (" ".join("".join(x).split()) for x in self.lines)
+        return "\n".join(x for x in lines if x)
+
+
+def test_given_pages_by_another_parser(spark):
+    """op4: on every given page, and on the same pages without their article tags, where windows alone bound the text."""
+    for r in spark.read.parquet(f"{DATA}/pages.parquet").collect():
+        other = Stripper()
+        other.feed(r.html)
+        other.close()
+        assert other.any and html_extract.main_text(r.html) == other.text()
+        unmarked = r.html.replace("<article>", "").replace("</article>", "")
+        assert html_extract.main_text(unmarked) == other.text()
+
+
+def direct(mass, window, least):
+    """Stretches by sums that are added up anew: text up to the first window of nothing."""
+    found, at = [], 0
+    while at < len(mass):
+        if not mass[at]:
+            at += 1
+            continue
+        end = at
+        while any(mass[end + 1 : end + 1 + window]):
+            end += 1 + next(k for k, x in enumerate(mass[end + 1 :]) if x)
+        if max(sum(mass[max(0, k - window + 1) : k + 1]) for k in range(at, end + window)) > least:
+            found.append((at, end + 1))
+        at = end + 1
+    return found
+
+
+def test_windows_by_direct_sums():
+    """op4: surges and dives of random lengths of lines."""
+    rng = random.Random(5)
+    for _ in range(3000):
+        mass = [rng.choice([0, 0, 1, 5, 40]) for _ in range(rng.randrange(25))]
+        for window, least in ((1, 0), (3, 0), (3, 6), (4, 41)):
+            assert html_extract.stretches(mass, window, least) == direct(mass, window, least), (mass, window, least)
+
+
+LONG = "A sentence that is long enough to be the text of a page. " * 4
+
+
+def test_regions_of_all_kinds():
+    """op4: what is kept and what goes, page by page."""
+    text, body = html_extract.main_text, LONG.strip()
+    for comments in (
+        "<section class=comments><article><p>I am a reader comment</article></section>",
+        "<div class='comment-list'><article class=comment><p>me too</article></div>",
+        "<aside><article><p>a teaser</article></aside>",
+        "<div id=respond class=replies><article><h2>Bob</h2><p>No.</p></article></div>",
+    ):
+        assert text(f"<article><p>{body}</p></article>{comments}") == body, comments
+        assert text(f"<article><p>{body}</p>{comments}</article>") == body, comments
+    assert text(f"<article><p>{body}</p></article><article class=comment><p>me too</p></article>") == body
+    assert text(f"<article><h1><a href=x>Title</a></h1><p>{body}<p>Source: <a href=y>the full report</a></article>") == f"Title\n{body}\nSource: the full report"
+    references = "".join(f"<li><a href=/{k}>Reference {k}</a></li>" for k in range(3))
+    assert text(f"<article><p>{body}</p><ul>{references}</ul><p>End.</p></article>") == f"{body}\nReference 0\nReference 1\nReference 2\nEnd."
+    assert text(f"<div><h1><a href=x>Title</a></h1><p>{body}<p>Source: <a href=y>the full report</a></div>") == f"Title\n{body}\nSource: the full report"
+    assert text(f"<form action=x><input name=state><div><p>{body}</p><p>More.</p></div></form>") == f"{body}\nMore."
+    assert text(f"<p>{body}</p><form>Your name <input></form>") == body
+    for name in ("mainmenu", "topNav", "nav-primary", "ad_300x250", "google-ad", "wp-block-comments-area", "widget-recent", "subMenu"):
+        assert text(f"<div class='{name}'>goes, whatever it says</div><p>{body}</p>") == body, name
+        assert text(f"<div id='{name}'>goes, whatever it says</div><p>{body}</p>") == body, name
+    for name in ("elementor-widget-text-editor", "leadership", "adventure", "main-content", "navigator", "shareholders"):
+        assert text(f"<p>{body}</p><div class='{name}'>stays</div>") == f"{body}\nstays", name
+    assert text(f"<nav><p>Menu<article><p>{body}</article>") == body  # a menu that was never closed
+
+
+def test_stray_lines_go_where_no_article_is_marked():
+    """op4: a short line that stands by itself among links is none of the text, a title before it is."""
+    text, body = html_extract.main_text, LONG.strip()
+    menu = "".join(f"<li><a href=/{k}>Item {k}</a></li>" for k in range(6))
+    page = f"<p>My site</p><ul>{menu}</ul><h1>Title</h1><p>{body}</p><p>Short.</p><ul>{menu}</ul><p>(c) me</p>"
+    assert text(page) == f"Title\n{body}\nShort."
+    assert text(page, share=0) == f"My site\nTitle\n{body}\nShort.\n(c) me"
 
 
 def test_pages_as_they_come():

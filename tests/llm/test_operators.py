@@ -204,6 +204,30 @@ def test_pipeline(spark, texts):
     assert final and all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in final)
 
 
+def test_pipeline_takes_odd_rows(spark):
+    """Null, empty and repeated rows and an empty table go through all stages; results of two calls of a stage both stay."""
+    import corpus_pipeline as p
+
+    good = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").limit(4).collect()]
+    rows = [(None, None, None, None, None), (None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, good[0], "en", "a", 9), (2, good[0], "en", "a", 9), (3, good[1], None, "b", 9), (None, good[2], "fr", None, 9)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in p.STAGES[:-1]:
+        first, second = stage(spark, docs, DATA), stage(spark, docs, DATA)
+        assert sorted(map(str, first.collect())) == sorted(map(str, second.collect())), name
+        docs = spark.createDataFrame(first.collect(), schema)
+        texts = {r.text or "" for r in docs.collect()}
+        if name == "exact":
+            assert docs.count() == len(texts)
+        assert texts <= {t or "" for _, t, *_ in rows}
+    last = p.STAGES[-1][1](spark, docs, DATA)
+    assert sorted(r.n_tokens for r in last.collect()) == sorted(r.n_tokens for r in bpe.round_trip(docs, *rank_file()).collect())
+    none = spark.createDataFrame([], schema)
+    for name, stage in p.STAGES:
+        made = stage(spark, none, DATA)
+        assert made.isEmpty(), name
+
+
 @pytest.mark.parametrize("sf", ["sf0.1"])
 def test_near_stage_drops_what_has_a_similar_partner(spark, sf):
     """By brute force over word shingles: each linked document has a partner of 0.8 or more in its component, and all such pairs are linked."""

@@ -1,19 +1,28 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one for each block of text.  A line has the
-length of its text; it counts nothing where more than half of it is links, and
-nothing in menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments, or outside the article on a page that marks one.  Lengths are summed
-over a window that slides over the lines.  The text starts at the line where the
-sum surges from nothing, ends at the last line before it dives back to nothing,
-and what lies between is kept: a line or two of links in the midst of text
-stays, while a window's height of them or more is a menu and goes.  Lines that
-hold such regions, or lie outside a marked article, never stay.
+length of its text.  It counts nothing in menus, headers, footers, sidebars,
+notices, adverts, forms and reader comments, or outside the article on a page
+that marks one; outside marked articles it counts nothing either where more than
+half of it is links, unless it is a heading.  Lengths are summed over a window
+that slides over the lines.  A stretch of text starts at the line where the sum
+surges from nothing, ends at the last line before it dives back to nothing, and
+is kept, with all that lies between, if the sum passes a threshold on the way; a
+line or two at its ends that are mostly links, but not all, belong to it; a
+window's height of them is a menu.  Lines that hold the regions above never stay.
+
+On a page without a marked article the threshold is a share of the largest sum,
+so stray short lines that stand by themselves go, while a short title goes with
+the text that follows it.  On a page that marks one, the mark says what the text
+is: any length above nothing counts, and the windows only bound it.
 
 An element is such a region by its tag or role, by being hidden, or by a class
 or id that names nothing else: each part of the name must be a word for a region
-or one that says nothing by itself (ad, cookie-notice, site-footer; but not
-search-results, related-work or notice-board).
+or one that says nothing by itself (ad, cookie-notice, site-footer, topNav,
+mainmenu; but not search-results, related-work or notice-board).  An article
+within comments or a sidebar is one of these; one within an open menu, header or
+notice ends that, as it can't have been meant to hold it.  A form counts as a
+form only while there is more text outside forms.
 
 Character references are decoded, white space within a block becomes one space,
 blocks are trimmed and joined by newlines in the page's order.  Unclosed and
@@ -39,6 +48,8 @@ from tidemark.llm.common import decoded, fresh, slices, text_bytes
 
 #: Lines that a window sums.
 WINDOW = 3
+#: Of the largest window's sum, what makes a surge on a page that marks no article.
+SHARE = 1 / 16
 
 TOKEN = re.compile(
     r"<!--|<(?P<end>/?)(?P<name>[a-z][^\s>/]*+)(?P<attributes>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)(?:>|\Z)"
@@ -51,19 +62,22 @@ HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 TO_END = frozenset(("script", "style"))
 SKIPPED = TO_END | frozenset("noscript template svg math iframe object title select textarea".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form dialog menu button head".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 #: Words that name a region which is no article, and words that say nothing by themselves.
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising aside breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer"
     " gdpr login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related replies reply"
-    " search share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar".split()
+    " recent search share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar trending".split()
 )
+#: Words and tags of regions that may hold articles of their own, such as comments and teasers.
+HOLDERS = frozenset("aside comment comments disqus footer promo promotion recent related replies reply sidebar sponsor sponsored trending".split())
 FILLER = frozenset(
-    "area bar banner block body bottom box button buttons col column container content form global header holder inner item items left"
-    " links list main outer page panel popup posts right row section site slot stories sticky the thread top unit widget widgets wrap"
-    " wrapper".split()
+    "area bar banner block body bottom box button buttons col column container content form global google header holder inner item items left"
+    " links list main outer page panel popup posts primary right row secondary section side site slot stories sticky sub the thread top unit"
+    " widget widgets wp wrap wrapper x".split()
 )
-NAME_PARTS = re.compile(r"[a-z]+")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub"
     " sup time tt u var wbr".split()
@@ -72,53 +86,70 @@ VOID = frozenset("area base col embed hr img input link meta param source track
 ARTICLE = frozenset(("article", "main"))
 
 
-def names_a_region(value: str, inside: bool) -> bool:
-    """Whether a class or id names a region that is no article; a header counts as one outside articles."""
+def words_of(name: str) -> list[str]:
+    """The words of a class name: parts, and known words that are written as one."""
+    out = []
+    for part in NAME_PARTS.findall(name):
+        part = part.lower()
+        cut = next((k for k in range(2, len(part) - 1) if part not in FILLER and {part[:k], part[k:]} <= BOILERPLATE_WORDS | FILLER), 0)
+        out += [part] if part in BOILERPLATE_WORDS or not cut else [part[:cut], part[cut:]]
+    return out
+
+
+def region_of(value: str, inside: bool) -> str:
+    """The word by which a class or id names a region that is no article, or nothing; a header is one outside articles."""
     for name in value.split():
-        parts = NAME_PARTS.findall(name)
-        named = any(p in BOILERPLATE_WORDS or p in ("header", "banner") and not inside for p in parts)
-        if named and all(p in BOILERPLATE_WORDS or p in FILLER for p in parts):
-            return True
-    return False
+        words = words_of(name)
+        named = [w for w in words if w in BOILERPLATE_WORDS or w in ("header", "banner") and not inside]
+        if named and all(w in BOILERPLATE_WORDS or w in FILLER for w in words):
+            return next((w for w in named if w in HOLDERS), named[0])
+    return ""
 
 
-def is_boilerplate(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of an article's text; inside: an article is open, whose own header counts as text."""
+def boilerplate(name: str, attributes: str, inside: bool) -> str:
+    """What makes an element no part of an article's text, or nothing; inside: an article is open, whose own header counts as text."""
     if name in BOILERPLATE_TAGS or name == "header" and not inside:
-        return True
+        return name
     for m in ATTRIBUTE.finditer(attributes) if attributes and not attributes.isspace() else ():
-        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value):
-            return True
-        if key == "role" and value in BOILERPLATE_ROLES or key in ("class", "id") and names_a_region(value, inside):
-            return True
-    return False
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        low = value.lower()
+        if key == "hidden" or key == "aria-hidden" and low == "true" or key == "style" and HIDDEN.search(value):
+            return "hidden"
+        if key == "role" and low in BOILERPLATE_ROLES:
+            return "aside" if low == "complementary" else low
+        if key in ("class", "id") and (word := region_of(value, inside)):
+            return word
+    return ""
+
 
+def lines_of(page: str, forms: bool = True) -> tuple[list[tuple[str, int, bool, bool]], bool, int]:
+    """((text, characters within links, inside an article, heading) of each line, '' where only a region that is no text stood; whether an article is marked; characters in forms that went).
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """((text, characters within links, inside an article) of each line, '' where only a region that is no text stood; whether an article is marked)."""
-    lines: list[tuple[str, int, bool]] = []
+    forms: whether a form is a region that is no text.
+    """
+    lines: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
-    open_tags: list[tuple[str, bool]] = []
+    # name, why it is no text, whether it is a marked article
+    open_tags: list[tuple[str, str, bool]] = []
     opened: Counter[str] = Counter()
     closers: dict[str, re.Pattern] = {}
     unclosed: set[str] = set()
-    off = depth = linked = links = at = 0
-    marked = held = False
+    off = depth = linked = links = at = asked = 0
+    marked = held = heading = False
 
     def flush() -> None:
-        nonlocal links, held
+        nonlocal links, held, heading
         text = " ".join("".join(parts).split())
         if text or held:
-            lines.append((text, links, depth > 0))
+            lines.append((text, links, depth > 0, heading))
         parts.clear()
-        links, held = 0, False
+        links, held, heading = 0, False, False
 
     def close(down_to: int) -> None:
         nonlocal off, depth
-        for name, boiler in open_tags[down_to:]:
-            off -= boiler
-            depth -= name in ARTICLE
+        for name, why, article in open_tags[down_to:]:
+            off -= bool(why)
+            depth -= article
             opened[name] -= 1
         del open_tags[down_to:]
 
@@ -127,6 +158,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if text := m["text"]:
             if off:
                 held = held or not text.isspace()
+                asked += len(text.strip()) if off == 1 and opened["form"] and any(why == "form" for _, why, _ in open_tags) else 0
             else:
                 text = html.unescape(text) if "&" in text else text
                 parts.append(text)
@@ -162,49 +194,77 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         attributes = m["attributes"] or m["rest"] or ""
         if name == "a":
             linked = 1
+        heading = heading or name in HEADINGS
+        why = ""
         if name in ARTICLE or name == "body":
-            # no menu or notice holds an article: what is still open was never closed
-            if off:
+            if off and (name == "body" or not any(x[1] in HOLDERS for x in open_tags)):
+                # no menu or notice holds an article: what is still open was never closed
                 close(next(k for k, x in enumerate(open_tags) if x[1]))
-            marked = marked or name in ARTICLE
-        elif name not in INLINE and open_tags:
-            last = open_tags[-1][0]
-            if last in ("p", "button", "head") or last == name == "li":
-                close(len(open_tags) - 1)
-        boiler = name not in ARTICLE and name != "body" and is_boilerplate(name, attributes, depth > 0)
-        if boiler or name not in INLINE:
-            open_tags.append((name, boiler))
+            why = boilerplate(name, attributes, depth > 0) if name == "article" else ""
+            why = why if why in HOLDERS else ""
+        else:
+            if name not in INLINE and open_tags:
+                last = open_tags[-1][0]
+                if last in ("p", "button", "head") or last == name == "li":
+                    close(len(open_tags) - 1)
+            why = "" if name == "form" and not forms else boilerplate(name, attributes, depth > 0)
+        article = name in ARTICLE and not off and not why
+        marked = marked or article
+        if why or name not in INLINE:
+            open_tags.append((name, why, article))
             opened[name] += 1
-            off += boiler
-            depth += name in ARTICLE
+            off += bool(why)
+            depth += article
     flush()
-    return lines, marked
+    return lines, marked, asked
 
 
-def masses(lines: list[tuple[str, int, bool]], marked: bool) -> list[int]:
+def masses(lines: list[tuple[str, int, bool, bool]], marked: bool) -> list[int]:
     """What each line counts."""
-    return [len(text) if (inside or not marked) and 2 * links <= len(text) else 0 for text, links, inside in lines]
+    return [len(text) if inside or not marked and (heading or 2 * links <= len(text)) else 0 for text, links, inside, heading in lines]
 
 
-def stretches(mass: list[int], window: int) -> list[tuple[int, int]]:
-    """(surge, dive): from the first line of text to after the last one, of each run of windows that hold any."""
+def stretches(mass: list[int], window: int, least: float) -> list[tuple[int, int]]:
+    """(surge, dive): from the first line of text to after the last one, of each run of windows of text whose largest sum is above the least."""
     found: list[tuple[int, int]] = []
-    start, last, total = -1, -1, 0
-    for i, x in enumerate(mass):
+    start, last, total, most = -1, -1, 0, 0
+    for i, x in enumerate([*mass, *[0] * window]):
         total += x - (mass[i - window] if i >= window else 0)  # the sum of the window that ends here
         if not total and start >= 0:
-            found.append((start, last + 1))
-            start = -1
+            if most > least:
+                found.append((start, last + 1))
+            start, most = -1, 0
         if x:
             start, last = (i if start < 0 else start), i
-    return found + [(start, last + 1)] * (start >= 0)
+        most = max(most, total)
+    return found
+
+
+def with_links(span: tuple[int, int], lines: list[tuple[str, int, bool, bool]], window: int) -> tuple[int, int]:
+    """A stretch with the lines at its ends that say more than their links, if these are fewer than a window's height."""
+    (a, b), n = span, len(lines)
+    says = lambda k: 0 <= k < n and lines[k][1] < len(lines[k][0])
+    before = next((k for k in range(window) if not says(a - 1 - k)), window)
+    after = next((k for k in range(window) if not says(b + k)), window)
+    return (a - before if before < window else a), (b + after if after < window else b)
 
 
-def main_text(page: str, window: int = WINDOW) -> str:
+def main_text(page: str, window: int = WINDOW, share: float = SHARE) -> str:
     """The main text of a page."""
-    lines, marked = lines_of(page)
-    spans = stretches(masses(lines, marked), window)
-    return "\n".join(text for a, b in spans for text, _, inside in lines[a:b] if text and (inside or not marked))
+    lines, marked, asked = lines_of(page)
+    if asked > sum(len(x[0]) for x in lines):
+        lines, marked, _ = lines_of(page, False)
+    mass = masses(lines, marked)
+    if marked:
+        spans = stretches(mass, window, 0)
+        return "\n".join(text for a, b in spans for text, _, inside, _ in lines[a:b] if text and inside)
+    # no window's sum is below zero, so the largest one is that of some stretch
+    most = max((sum(mass[i : i + window]) for i in range(len(mass))), default=0)
+    kept, at = [], 0
+    for a, b in (with_links(s, lines, window) for s in stretches(mass, window, share * most)):
+        kept += [x[0] for x in lines[max(a, at) : b] if x[0]]
+        at = b
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
