@@ -1,15 +1,18 @@
 """Streams against their batch forms: detection, publishing, subscriptions, snapshots, latency, live tables."""
 
+import base64
 import itertools
 import json
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, live, monitoring, snapshots, subscriptions
-from tidemark.sources import adapter, files, livetable
+from tidemark.sources import adapter, feed, files, lake, livetable
+from tidemark.sources.schemas import ENVELOPE
 from tidemark.streaming import jobs, stateful
 
 ONCE = {"availableNow": True}
@@ -265,3 +268,61 @@ def test_session_settings_come_back(spark):
     with stateful.disk_state(spark):
         assert spark.conf.get(name) == stateful.ROCKSDB
     assert spark.conf.get(name, None) == before
+
+
+def test_funnel_of_each_batch(spark, tmp_path):
+    meta = {"id": "e", "dt": "2024-05-01T10:00:03Z", "domain": "d"}
+    lines = [("data: " + json.dumps({"meta": meta | {"id": f"e{k}"}, "type": "edit", "wiki": "w", "title": "t", "namespace": 0}),) for k in range(5)]
+    good, _ = feed.ingest_raw_lines(spark.createDataFrame(lines, "value string"))
+    texts = [r.j for r in feed.normalize(good).select(F.to_json(F.struct("*")).alias("j")).collect()]
+    other = [json.dumps(json.loads(texts[0]) | {"event_type": "x"}), json.dumps(json.loads(texts[0]) | {"event_id": ""}), "[1]", "no"]
+    coded = [base64.b64encode(t.encode()).decode() for t in texts + other] + ["%%%", None]
+    frames = [spark.createDataFrame([(c,) for c in coded[a:b]], "data string") for a, b in ((0, 3), (3, 8), (8, 11))]
+    log = jobs.FunnelLog(spark, str(tmp_path / "f"))
+    spark.streams.addListener(log)
+    try:
+        query = feed.observed_live_events(fed(spark, frames, str(tmp_path / "in"))).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start()
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        for _ in range(50):
+            if len(files.listed(spark, str(tmp_path / "f"))) == 3:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    rows = [tuple(r)[1:] for r in jobs.funnel(spark, str(tmp_path / "f")).orderBy("batch").collect()]
+    assert rows == [(0, 3, 3, 3, 0), (1, 5, 4, 2, 3), (2, 3, 0, 0, 3)]
+
+
+def test_the_archive_rolls_by_size(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "b")
+    row = json.dumps({"event_id": "e", "occurred_at": "2024-05-01T10:00:00Z"})
+    events = spark.read.schema(ENVELOPE).json(spark.sparkContext.parallelize([row] * 90, 9))
+    events.write.json(source)
+    size = max(files.listed(spark, source).values())
+    for _ in range(2):  # the second run finds nothing new
+        jobs.archive_backlog(spark, source, ENVELOPE, path, str(tmp_path / "c"), "json", 3 * size).awaitTermination()
+    hour = f"{path}/year=2024/month=05/day=01/hour=10"
+    assert sorted(files.listed(spark, hour)) == ["batch=0", "batch=1", "batch=2"]
+    assert lake.read_bronze_hours(spark, path, ("2024", "05", "01", "10")).count() == 90
+
+
+def test_compaction_rewrites_what_is_fragmented(spark, tmp_path):
+    assert lake.packed_bins([], 10) == 0 and lake.packed_bins([10, 11, 9, 1, 4, 4], 10) == 4 and lake.packed_bins([3] * 10, 10) == 4
+    path = str(tmp_path / "s")
+    rows = spark.range(4000).select((F.lit(T0).cast("timestamp") + F.make_dt_interval(hours=F.col("id") % 2)).alias("occurred_at"), "id", F.lit("2024").alias("year"), F.lit("01").alias("month"), F.lit("01").alias("day"), (F.col("id") % 2).cast("string").alias("hour"))
+    rows.where("hour = '0'").repartition(7).write.partitionBy("year", "month", "day", "hour").parquet(path)
+    rows.where("hour = '1'").coalesce(1).write.mode("append").partitionBy("year", "month", "day", "hour").parquet(path)
+    hours = [("2024", "01", "01", h) for h in "01"]
+    whole = files.listed(spark, f"{path}/year=2024/month=01/day=01/hour=1")
+    assert lake.compact(spark, path, *hours) == hours[:1]
+    assert [len(x) for _, x in sorted(lake.hours_of(spark, path, *hours).items())] == [1, 1]
+    assert files.listed(spark, f"{path}/year=2024/month=01/day=01/hour=1") == whole
+    assert not [n for n in files.listed(spark, path) if n.startswith("_compact")]
+    assert lake.compact(spark, path, *hours) == [] and spark.read.parquet(path).agg(F.sum("id")).first()[0] == sum(range(4000))
+    size = sum(whole.values())
+    assert lake.compact(spark, path, *hours, file_bytes=size // 3) == []  # whole files are never cut
+    # a run that died between its two moves of an hour
+    at, other = f"{path}/year=2024/month=01/day=01/hour=0", "year=2024/month=01/day=01/hour=0"
+    assert files.renamed(spark, at, f"{path}/_compacting/{other}") and files.put_text(spark, f"{path}/_compact_plan", other)
+    assert lake.compact(spark, path, *hours) == [] and spark.read.parquet(path).count() == 4000

@@ -17,17 +17,21 @@ LEAST_MODERATION = {"delete": 5, "block": 3}
 def alert_series(events: DataFrame, bucket: str = "1 minute", with_time: bool = False) -> DataFrame:
     """Four counters by series (global, wiki:<w>, log_type:<t> of log events) and bucket, from one scan; with_time adds `at`, the bucket's last instant, for a further stateful step."""
     is_log = F.col("change_type") == "log"
-    moderation = F.when(is_log & F.col("log_type").isin("delete", "block"), F.concat(F.lit("log_type:"), F.col("log_type")))
-    names = F.array_compact(F.array(F.lit("global"), F.concat(F.lit("wiki:"), F.col("wiki")), moderation))
-    rows = events.select(F.explode(names).alias("series"), F.window("occurred_at", bucket).alias("w"), "change_type", "log_type")
+    rows = events.select(F.explode(series_of()).alias("series"), F.window("occurred_at", bucket).alias("w"), "change_type", "log_type")
     return rows.groupBy("series", "w").agg(
         F.count(F.lit(1)).alias("event_count"), F.count_if(is_log).alias("log_count"),
         F.count_if(is_log & (F.col("log_type") == "delete")).alias("delete_count"), F.count_if(is_log & (F.col("log_type") == "block")).alias("block_count"),
     ).select(*([F.window_time("w").alias("at")] if with_time else []), "series", F.col("w.start").alias("bucket"), "event_count", "log_count", "delete_count", "block_count")
 
 
+def series_of() -> Column:
+    """The names of the series that an event counts in."""
+    moderation = F.when((F.col("change_type") == "log") & F.col("log_type").isin("delete", "block"), F.concat(F.lit("log_type:"), F.col("log_type")))
+    return F.array_compact(F.array(F.lit("global"), F.concat(F.lit("wiki:"), F.col("wiki")), moderation))
+
+
 def touched_series(events: DataFrame) -> DataFrame:
-    return alert_series(events).select("series").distinct()
+    return events.select(F.explode(series_of()).alias("series")).distinct()
 
 
 def zscores(series: DataFrame, bucket_seconds: int = 60, window_len: int = 30) -> DataFrame:

@@ -195,23 +195,27 @@ def chart_points(df: DataFrame, kind: str, n: int | None = None) -> DataFrame:
     return df.orderBy(F.col("event_count").desc(), *keys[kind]).limit(n or limits[kind])
 
 
+#: Kinds of chart rows: the fields that name a row, and where a message has them.
+CHARTS = {
+    "wikis": (("wiki", "name"), ("$.data.top_wikis", "$.data.topWikis")),
+    "change_types": (("change_type", "type", "name"), ("$.data.change_types", "$.data.changeTypes")),
+    "namespaces": (("namespace", "name"), ("$.data.namespace_distribution", "$.data.namespaces")),
+    "pages": (("title", "page"), ("$.data.top_pages", "$.data.topPages")),
+}
+
+
 def flatten_snapshot(messages: DataFrame, column: str = "message") -> DataFrame:
-    """(topic, kind, key, value) chart rows of snapshot messages with maps or lists, under either field name."""
+    """(topic, kind, key, value) chart rows of snapshot messages with maps or lists, under either field name; each message is read once."""
     get = lambda *paths: F.coalesce(*[F.get_json_object(column, p) for p in paths])
-    topic = get("$.topic").alias("topic")
 
-    def rows(kind: str, key_fields: tuple[str, ...], *paths: str) -> DataFrame:
+    def points(kind: str, key_fields: tuple[str, ...], paths: tuple[str, ...]) -> Column:
         text = get(*paths)
-        pairs = F.transform(F.map_entries(F.from_json(text, "map<string,bigint>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+        row = lambda key, value: F.struct(F.lit(kind).alias("kind"), key.alias("key"), value.alias("value"))
+        pairs = F.transform(F.map_entries(F.from_json(text, "map<string,bigint>")), lambda e: row(e["key"], e["value"]))
         item = "struct<" + ",".join(f"{k}:string" for k in (*key_fields, "count", "event_count", "value")) + ">"
-        listed = F.transform(
-            F.from_json(text, f"array<{item}>"),
-            lambda e: F.struct(F.coalesce(*[e[k] for k in key_fields]).alias("key"), F.coalesce(e["count"], e["event_count"], e["value"]).try_cast("bigint").alias("value")),
-        )
-        points: Column = F.when(F.trim(text).startswith("["), listed).otherwise(pairs)
-        return messages.select(topic, F.lit(kind).alias("kind"), F.explode(points).alias("p")).select("topic", "kind", "p.key", "p.value")
-
-    out = rows("wikis", ("wiki", "name"), "$.data.top_wikis", "$.data.topWikis")
-    out = out.unionByName(rows("change_types", ("change_type", "type", "name"), "$.data.change_types", "$.data.changeTypes"))
-    out = out.unionByName(rows("namespaces", ("namespace", "name"), "$.data.namespace_distribution", "$.data.namespaces"))
-    return out.unionByName(rows("pages", ("title", "page"), "$.data.top_pages", "$.data.topPages"))
+        count = lambda e: F.coalesce(e["count"], e["event_count"], e["value"]).try_cast("bigint")
+        listed = F.transform(F.from_json(text, f"array<{item}>"), lambda e: row(F.coalesce(*[e[k] for k in key_fields]), count(e)))
+        return F.coalesce(F.when(F.trim(text).startswith("["), listed).otherwise(pairs), F.array())
+
+    every = F.concat(*[points(kind, *where) for kind, where in CHARTS.items()])
+    return messages.select(get("$.topic").alias("topic"), F.explode(every).alias("p")).select("topic", "p.kind", "p.key", "p.value")

@@ -116,6 +116,16 @@ def to_live_event(envelopes: DataFrame) -> DataFrame:
     return out
 
 
+def observed_live_events(records: DataFrame, name: str = "funnel", column: str = "data") -> DataFrame:
+    """Live events of base64 JSON records; how many records came, were decoded, were valid and were skipped is observed under the name, in the same pass."""
+    text = F.decode(F.expr(f"try_to_binary(`{column}`, 'base64')"), "UTF-8")
+    rows = records.select(F.when(is_object(text), F.from_json(text, SENT)).alias("_e"))
+    valid = F.coalesce((F.col("_e.event_type") == EVENT_TYPE) & F.col("_e.payload").isNotNull() & (F.col("_e.event_id") != ""), F.lit(False))
+    counts = {"input_records": F.count(F.lit(1)), "decoded_count": F.count_if(F.col("_e").isNotNull()), "valid_count": F.count_if(valid), "skipped_count": F.count_if(~valid)}
+    observed = rows.observe(name, *[c.alias(k) for k, c in counts.items()])
+    return to_live_event(observed.where("_e IS NOT NULL").select("_e.*"))
+
+
 def to_alert_event(envelopes: DataFrame) -> DataFrame:
     """Events for alert series: lower case, nothing without id, time or wiki."""
     p = lambda name: F.lower(S.filled(F.col(f"payload.{name}")))

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions import scalars as S
 from tidemark.operators.gold import GOLD, gold_base
 from tidemark.operators.silver import REQUIRED, to_silver
+from tidemark.sources import files
 from tidemark.sources.schemas import BRONZE, ENVELOPE, GOLD_SCHEMAS, PARTS, SILVER
 
 FILE_BYTES = 128 << 20
@@ -104,39 +105,93 @@ def register_tables(spark: SparkSession, tables: dict[str, tuple[str, str, Struc
         spark.catalog.recoverPartitions(name)
 
 
-def compact(spark: SparkSession, path: str, first: tuple[str, ...], last: tuple[str, ...] | None = None, file_bytes: int = FILE_BYTES) -> None:
-    """Rewrites hours into files of about file_bytes, by way of a sibling folder so the input is never read while replaced."""
-    found = spark.read.option("mergeSchema", "false").parquet(path)
+def packed_bins(sizes: list[int], file_bytes: int) -> int:
+    """Files that these would fill, the largest first, each into the first one with room; files of the full size stay by themselves."""
+    room: list[int] = []
+    for size in sorted(sizes, reverse=True):
+        k = next((k for k, left in enumerate(room) if size <= left), None)
+        if k is None:
+            room.append(file_bytes - size)
+        else:
+            room[k] -= size
+    return len(room)
+
+
+def hours_of(spark: SparkSession, path: str, first: tuple[str, ...], last: tuple[str, ...] | None = None) -> dict[tuple[str, ...], list[int]]:
+    """The sizes of the data files of each hour's folder."""
+    found, levels = {}, [()]
+    while levels:
+        values = levels.pop()
+        at = "/".join([path.rstrip("/"), *(f"{p}={v}" for p, v in zip(PARTS, values, strict=False))])
+        names = files.listed(spark, at)
+        if len(values) == len(PARTS):
+            found[values] = [size for name, size in names.items() if not name.startswith(("_", "."))]
+            continue
+        for name in names:
+            part, _, value = name.partition("=")
+            here = (*values, value)
+            if part == PARTS[len(values)] and first[: len(here)] <= here <= (last or first)[: len(here)]:
+                levels.append(here)
+    return found
+
+
+def compact(spark: SparkSession, path: str, first: tuple[str, ...], last: tuple[str, ...] | None = None, file_bytes: int = FILE_BYTES) -> list[tuple[str, ...]]:
+    """Rewrites the hours whose files would fill fewer ones of about file_bytes, all in one job; which.
+
+    New files are written aside.  Once they are whole, a manifest names the hours
+    to swap: each hour's folder is moved away and the new one moved to its place.
+    A run that died before the manifest has changed nothing, one that died after
+    it is finished by the next.
+    """
+    path = path.rstrip("/")
+    aside, old, plan = f"{path}/_compacting", f"{path}/_compacted", f"{path}/_compact_plan"
+    swap_hours(spark, path)
+    files.deleted(spark, aside)
+    bins = {hour: packed_bins(sizes, file_bytes) for hour, sizes in hours_of(spark, path, first, last).items() if packed_bins(sizes, file_bytes) < len(sizes)}
+    if not bins:
+        return []
+    folders = ["/".join(f"{p}={v}" for p, v in zip(PARTS, hour, strict=True)) for hour in bins]
+    found = spark.read.parquet(f"{path}/{folders[0]}")
     schema = StructType([f for f in found.schema.fields if f.name not in PARTS] + [StructField(p, StringType()) for p in PARTS])
-    rows = spark.read.schema(schema).parquet(path).where(in_hours(first, last))
-    aside = f"{path.rstrip('/')}_compacting"
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size, None)
-    spark.conf.set(size, str(file_bytes))
-    try:
-        rows.hint("rebalance", *PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(aside)
-    finally:
-        spark.conf.unset(size) if before is None else spark.conf.set(size, before)
-    # file by file: the second write keeps the first one's sizes
-    spark.read.schema(schema).parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
+    # an hour's rows go to as many tasks as it gets files
+    wanted = F.create_map(*[F.lit(x) for hour, n in bins.items() for x in ("".join(hour), n)])
+    deal = F.floor(F.rand(42) * F.element_at(wanted, F.concat(*PARTS)))
+    rows.repartition(sum(bins.values()), *PARTS, deal).write.mode("overwrite").option("compression", "snappy").partitionBy(*PARTS).parquet(aside)
+    files.put_text(spark, plan, "\n".join(folders))
+    swap_hours(spark, path)
+    files.deleted(spark, old)
+    return sorted(bins)
+
+
+def swap_hours(spark: SparkSession, path: str) -> None:
+    """Moves compacted hours to their places, as far as that hasn't happened yet."""
+    aside, old, plan = f"{path}/_compacting", f"{path}/_compacted", f"{path}/_compact_plan"
+    if not files.exists(spark, plan):
+        return
+    for folder in files.get_text(spark, plan).split("\n"):
+        if files.exists(spark, f"{aside}/{folder}"):
+            if files.exists(spark, f"{path}/{folder}"):
+                files.renamed(spark, f"{path}/{folder}", f"{old}/{folder}")
+            files.renamed(spark, f"{aside}/{folder}", f"{path}/{folder}")
+    files.deleted(spark, aside)
+    files.deleted(spark, old)
+    files.deleted(spark, plan)
 
 
 def retain(spark: SparkSession, path: str, first: tuple[str, ...]) -> int:
     """Deletes the year, month, day and hour folders that lie before an hour, and reads no file; how many."""
-    sc = spark.sparkContext
-    base = sc._jvm.org.apache.hadoop.fs.Path(path)
-    files = base.getFileSystem(sc._jsc.hadoopConfiguration())
     gone = 0
-    levels = [(base, ())]
+    levels = [(path, ())]
     while levels:
         at, values = levels.pop()
-        for entry in files.listStatus(at):
-            name, _, value = entry.getPath().getName().partition("=")
-            if not entry.isDirectory() or len(values) == len(PARTS) or name != PARTS[len(values)]:
+        for entry in files.listed(spark, at):
+            name, _, value = entry.partition("=")
+            if len(values) == len(PARTS) or name != PARTS[len(values)]:
                 continue
             here = (*values, value)
             if here < first[: len(here)]:
-                gone += files.delete(entry.getPath(), True)
+                gone += files.deleted(spark, f"{at}/{entry}")
             elif here == first[: len(here)]:
-                levels.append((entry.getPath(), here))
+                levels.append((f"{at}/{entry}", here))
     return gone

@@ -7,11 +7,13 @@ bases by day and the batches since, of which only the touched days are read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tidemark.functions import scalars as S
@@ -102,6 +104,45 @@ def start_archive(envelopes: DataFrame, path: str, checkpoint: str, trigger: dic
     return _start(envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), trigger or {"processingTime": "300 seconds"})
 
 
+#: Bytes of a bronze batch at most, and how often the archive runs at least.
+ROLL_BYTES, ROLL_SECONDS = 64 << 20, 300
+
+
+def archive_backlog(spark: SparkSession, source: str, schema: StructType, path: str, checkpoint: str, kind: str = "parquet", roll_bytes: int = ROLL_BYTES) -> StreamingQuery:
+    """Archives what has come since the last run, in batches of so many bytes; to be run every ROLL_SECONDS, so that bronze files end at either bound."""
+    return start_archive(read_files(spark, schema, source, kind, max_bytes=str(roll_bytes)), path, checkpoint, {"availableNow": True})
+
+
+class FunnelLog(StreamingQueryListener):
+    """What observed_live_events counts in each micro-batch, as one small JSON file a batch; a batch that is run again doesn't count twice."""
+
+    def __init__(self, spark: SparkSession, path: str, name: str = "funnel") -> None:
+        self.spark, self.path, self.name = spark, path, name
+
+    def onQueryStarted(self, event: Any) -> None:
+        pass
+
+    def onQueryProgress(self, event: Any) -> None:
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is not None and event.progress.numInputRows:
+            row = {"run": str(event.progress.id), "batch": event.progress.batchId} | seen.asDict()
+            files.put_text(self.spark, f"{self.path}/{event.progress.id}-{event.progress.batchId}.json", json.dumps(row))
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        pass
+
+
+FUNNEL = "run string, batch bigint, input_records bigint, decoded_count bigint, valid_count bigint, skipped_count bigint"
+
+
+def funnel(spark: SparkSession, path: str) -> DataFrame:
+    """(run, batch, input_records, decoded_count, valid_count, skipped_count) of each micro-batch."""
+    return spark.read.schema(FUNNEL).json(path)
+
+
 def closed_series(events: DataFrame, bucket: str = "1 minute", delay: str = "10 seconds") -> DataFrame:
     """Alert series, with `at`, of closed buckets alone: append mode emits a bucket once the watermark has passed it."""
     return alerts.alert_series(events.withWatermark("occurred_at", delay), bucket, True)
