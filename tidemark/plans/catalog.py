@@ -69,6 +69,9 @@ for _name, (_set, _) in reports.GOLD_REPORTS.items():
     add(f"{_name}_from_gold", lambda e, n=_name, s=_set: reports.gold_report(n, gold.GOLD[s](gold.gold_base(e))), reports.whole_hours(reports.REPORTS[_name]).replace("{a}", "a"))
 for _name, _text in reports.SPIKES.items():
     add(_name, lambda e, n=_name: reports.spike_report(n, gold.activity_spikes(e)), f"WITH {z_sql(SPIKE_SERIES)}, s AS ({SPIKES}) {_text.replace('{s}', 's')}")
+BEFORE = SPIKE_SERIES.replace("FROM a GROUP", f"FROM a WHERE occurred_at <= TIMESTAMP '{AS_OF}' GROUP")
+for _name in reports.SPIKES:
+    add(f"{_name}_as_of", lambda e, n=_name: reports.spike_report_at(n, e, AS_OF), f"WITH {z_sql(BEFORE)}, s AS ({SPIKES}) {reports.spike_text_at(_name, AS_OF).replace('{s}', 's')}")
 
 #: The same dimensions as in live.FAMILIES, in SQL.
 L = f"SELECT {H} AS window_start, wiki, change_type, user_is_bot AS is_bot, cast(namespace AS varchar) AS namespace, occurred_at, event_id, title, title_url FROM a"
@@ -235,8 +238,10 @@ SELECT * FROM x WHERE ttl IS NULL OR ttl >= 9000"""
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = subscriptions.subscription_table(subscriptions.subscription_state(subscription_actions(spark, sf_dir)))
     events = silver_events(spark, sf_dir)
-    shots = snapshots.snapshot_wiki(events, snapshots.subscribed_wikis(table), "1 day").select("topic", "window_start", "total")
-    shots = shots.union(snapshots.snapshot_global(events, "1 day").select("topic", "window_start", "total"))
+    wikis = live.family(snapshots.required_wikis(events, snapshots.subscribed_wikis(table)), "wiki_activity", "1 day")
+    shots = wikis.select(F.concat(F.lit("wiki:"), "wiki").alias("topic"), "window_start", F.col("event_count").alias("total"))
+    everything = live.family(events, "global_activity", "1 day")
+    shots = shots.union(everything.select(F.lit("global"), "window_start", "event_count"))
     return plain(snapshots.fan_out(shots, table).select("connection_id", "topic", "window_start", "total"))
 
 

@@ -14,7 +14,9 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tidemark.operators.gold import activity_spikes
 from tidemark.sources.lake import in_hours
 from tidemark.sources.schemas import PARTS
 
@@ -126,5 +128,26 @@ def whole_hours(text: str) -> str:
     return text.replace("occurred_at > t.now -", f"{H} > date_trunc('hour', t.now) -")
 
 
+SPIKE_NOW = "(SELECT max(hour) AS now FROM {s})"
+#: Days that a spike report at a given time looks back, and hours before them that the first z-scores need.
+SPIKE_DAYS, SPIKE_BASE_HOURS = 30, 30
+
+
 def spike_report(name: str, spikes: DataFrame) -> DataFrame:
     return spikes.sparkSession.sql(SPIKES[name], s=spikes)
+
+
+def spike_text_at(name: str, as_of: str) -> str:
+    """A spike report's text at a time: over the spikes of the days before it."""
+    text = at_time(SPIKES[name], as_of, "hour", SPIKE_NOW)
+    return text if text != SPIKES[name] else f"{text} AND hour <= TIMESTAMP '{as_of}' AND hour > TIMESTAMP '{as_of}' - INTERVAL '{SPIKE_DAYS}' day"
+
+
+def spike_report_at(name: str, events: DataFrame, as_of: str) -> DataFrame:
+    """A spike report of a time, from the events of the days before it alone and of the hours that their first baselines take."""
+    last = datetime.fromisoformat(as_of)
+    first = last.replace(minute=0, second=0, microsecond=0) - timedelta(days=SPIKE_DAYS, hours=SPIKE_BASE_HOURS)
+    if set(PARTS) <= set(events.columns):
+        events = events.where(in_hours(*(tuple(t.strftime(f) for f in ("%Y", "%m", "%d", "%H")) for t in (first, last))))
+    rows = events.where((F.col("occurred_at") >= F.lit(first.isoformat(" ")).cast("timestamp")) & (F.col("occurred_at") <= F.lit(as_of).cast("timestamp")))
+    return events.sparkSession.sql(spike_text_at(name, as_of), s=activity_spikes(rows, SPIKE_BASE_HOURS))
