@@ -42,7 +42,8 @@ LOOSE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]++(?P<rest> ?(?:@|[\[(]at[\])]) ?[A-Za-z0-9-]++(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]++)++)?", re.I),
     "ip": re.compile(r"(?<![0-9.])(?P<rest>[0-9]{1,3}(?: ?(?:\[\.\]|\(\.\)|[\[(]dot[\])]) ?[0-9]{1,3}){3})(?![0-9])", re.I),
     "card": re.compile(r"(?<![0-9])(?P<rest>[0-9]{4}([ .-]?)[0-9]{4}\2[0-9]{4}\2[0-9]{4}|3[47][0-9]{2}([ .-]?)[0-9]{6}\3[0-9]{5})(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9+])(?P<rest>\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4})(?![0-9])"),
+    # with its dialling code, where one stands before it
+    "phone": re.compile(r"(?<![0-9+])(?P<rest>(?:\+[0-9]{1,3}[ .-]?|00[0-9]{1,3}[ .-])?(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4}))(?![0-9])"),
 }
 #: A sign that a text must hold to be searched for a kind by its base pattern; all but the addresses need digits.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
@@ -93,7 +94,7 @@ def checks(kind: str, found: str) -> bool:
         return len(parts) == 4 and all(len(x.lstrip("0")) <= 3 and int(x[-3:]) <= 255 for x in parts)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
-    return 9 <= len(digits) <= 15 and (found[0] == "+" or digits[0] in "23456789" and digits[3:4] in tuple("23456789"))
+    return 9 <= len(digits) <= 15 and (found[0] == "+" or found[:2] == "00" or digits[0] in "23456789" and digits[3:4] in tuple("23456789"))
 
 
 def gazetteer(kind: str, found: str) -> int:
@@ -104,7 +105,7 @@ def gazetteer(kind: str, found: str) -> int:
         return 1 if len(digits) == 16 and re.match(r"4|5[1-5]|2[2-7]|6011|65|3[568]", digits) or len(digits) == 15 and digits[:2] in ("34", "37") else -1
     if kind == "ip":
         return -1 if re.match(r"(?:0|127|255)\.|\d\.\d\.\d\.\d\Z", found) else 1
-    return 1 if found[0] == "+" or re.match(r"\(?[2-9]", found) else -1
+    return 1 if found[0] == "+" or re.match(r"00[1-9]|\(?[2-9]", found) else -1
 
 
 def votes(kind: str, text: str, a: int, b: int) -> tuple[int, int, int, int]:
