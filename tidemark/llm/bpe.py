@@ -28,7 +28,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from tidemark.llm.common import decoded, map_texts
 
 #: Distinct pieces a task remembers before it starts afresh; a bound on memory, without effect on results.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 #: Pieces longer than this are merged one at a time.
 LONG = 256
 NONE = np.int64(1 << 62)
@@ -256,6 +256,10 @@ def encode(df: DataFrame, tokens: Broadcast, pattern: str, id_col: str = "doc_id
     return map_texts(df, id_col, text_col, per_slice, [("ids", "array<int>"), ("n_tokens", "bigint")])
 
 
+#: Ids that are decoded at a time, or those of one row.
+DECODED = 250_000
+
+
 def decode(df: DataFrame, tokens: Broadcast, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """The rows with one more column, the bytes that the ids stand for; null ids give no bytes."""
     made: list[Vocabulary] = []
@@ -264,8 +268,11 @@ def decode(df: DataFrame, tokens: Broadcast, ids_col: str = "ids", to: str = "de
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = made[0] if made else made.append(Vocabulary(tokens.value)) or made[0]
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
+            sizes = batch.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            # rows of so many ids at a time, or one row
+            cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // DECODED)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                part = batch.slice(a, b - a)
                 lists = part.column(ids_col)
                 ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 counts = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], dtype=np.int64)
