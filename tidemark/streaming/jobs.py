@@ -204,8 +204,8 @@ def alert_states(spark: SparkSession, path: str, days: list[str] | None = None)
 def start_alerts(candidates: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, publish: Publisher = always_sent, ttl_seconds: int = 2100) -> StreamingQuery:
     """Publishes each (series, bucket) of a stream once, whichever batches repeat it: its status is keyed state that expires.
 
-    What publish says of an alert goes to a folder that the same stream reads,
-    and settles its status with the next batch; settled states are the log.
+    What publish says of an alert goes into the log at once, and to a folder that
+    the same stream reads: its next batch settles the keyed status.
     """
     spark, outcomes = candidates.sparkSession, f"{path}/outcomes"
     told = spark.createDataFrame([], "series string, bucket timestamp, error string")
@@ -216,9 +216,13 @@ def start_alerts(candidates: DataFrame, path: str, checkpoint: str, trigger: dic
         batch.persist()
         try:
             mine = reserve(batch.where("status = 'PUBLISHING'"), number, path)
+            done = batch.where("status <> 'PUBLISHING'").select(*STATES.names)
             if not mine.isEmpty():
-                publish(mine).select("series", "bucket", "error").write.mode("append").parquet(outcomes)
-            write_days(batch.where("status <> 'PUBLISHING'").select(*STATES.names), number, f"{path}/settled", "bucket")
+                publish(mine).select("series", "bucket", "error").write.mode("overwrite").parquet(f"{path}/said/batch={number}")
+                said = spark.read.schema(told.schema).parquet(f"{path}/said/batch={number}")
+                said.write.mode("append").parquet(outcomes)
+                done = done.union(alerts.settled(mine.drop("alert_error"), said).select(*STATES.names))
+            write_days(done, number, f"{path}/settled", "bucket")
         finally:
             batch.unpersist()
 
