@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidemark.llm.common import decoded, map_texts
+from tidemark.llm.common import decoded, map_texts, trimmed
 
 #: Distinct pieces a task remembers before it starts afresh; a bound on memory, without effect on results.
 REMEMBERED = 400_000
@@ -281,6 +281,7 @@ def decode(df: DataFrame, tokens: Broadcast, ids_col: str = "ids", to: str = "de
                 ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
                 binary = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([*part.columns, binary], names=[*part.schema.names, to])
+            trimmed()
 
     return df.mapInArrow(run, schema)
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,6 +155,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     pa.default_memory_pool().release_unused()  # an idle worker keeps no buffers
 
 
+def trimmed() -> None:
+    """Gives memory that a worker has freed back to the machine, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_texts(
     df: DataFrame,
     id_col: str,

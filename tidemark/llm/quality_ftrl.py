@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, text_bytes
+from tidemark.llm.common import map_texts, text_bytes, trimmed
 
 BITS = 18
 #: Labelled rows learned from at most: the sample is by a hash of the id, and these are the only rows that are capped.
@@ -98,11 +98,15 @@ def train(
     vectors = vectors.withColumn("shard", F.pmod(F.xxhash64("key.id"), F.lit(SHARDS)))
 
     def fit(rows: pa.Table) -> pa.Table:
+        trimmed()
         keys = rows.column("key").to_pylist()
         order = sorted(range(len(keys)), key=lambda k: (crc32(str(keys[k]["id"]).encode()), keys[k]["id"]))
-        places, values = rows.column("places").to_pylist(), rows.column("values").to_pylist()
-        examples = [(np.array(places[k], dtype=np.int64), np.array(values[k]), keys[k]["_label"]) for k in order]
+        places, values = (rows.column(c).combine_chunks() for c in ("places", "values"))
+        ends = places.offsets.to_numpy()
+        at, x = places.values.to_numpy(), values.values.to_numpy()
+        examples = [(at[ends[k] : ends[k + 1]].astype(np.int64), x[ends[k] : ends[k + 1]].astype(np.float64), keys[k]["_label"]) for k in order]
         w = ftrl(examples, bits, EPOCHS)
+        trimmed()
         return pa.table({"n": pa.array([len(examples)], pa.int64()), "w": pa.array([w.astype(np.float32).tobytes()], pa.binary())})
 
     # SHARDS rows of fixed size
@@ -143,6 +147,7 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col))
 
     def own_score(text: pa.Array) -> pa.Array:
+        trimmed()
         return scores_of(text_bytes(text), sent.value)
 
     return docs.where(F.arrow_udf(own_score, "double")(F.col(text_col)) >= threshold)
