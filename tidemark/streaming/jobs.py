@@ -179,15 +179,22 @@ def with_message(found: DataFrame) -> DataFrame:
     return found.withColumn("message", F.to_json(F.struct(*alerts.message_fields(found))))
 
 
-def write_alerts(path: str, publish: Publisher = always_sent) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer of an alert log, for streams that give each (series, bucket) once: it is reserved before it is published, and published at most once.
+def write_alerts(path: str, publish: Publisher = always_sent, once: bool = False) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of an alert log: each (series, bucket) is reserved before it is published, and published at most once.
 
     publish takes the reserved alerts, with their messages, and returns (series,
-    bucket, error), the error null where an alert went out.
+    bucket, error), the error null where an alert went out.  once: the stream
+    gives each (series, bucket) once, so only this batch's own reservations are
+    read, and none of other batches.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        mine = reserve(with_message(batch), number, path)
+        spark, rows = batch.sparkSession, batch
+        if not once:
+            first, last = batch.agg(F.min("bucket"), F.max("bucket")).first()
+            others = read_or_none(spark, f"{path}/reserved", StructType([*STATES.fields]).add("batch", "long"))
+            rows = alerts.new_alerts(batch, others.where((F.col("batch") != number) & F.col("bucket").between(F.lit(first), F.lit(last))))
+        mine = reserve(with_message(rows), number, path)
         states = alerts.settled(mine.drop("alert_error"), publish(mine)).select(*STATES.names)
         write_days(states, number, f"{path}/settled", "bucket")
 
@@ -237,7 +244,7 @@ def start_detection(
     """Volume alerts and moderation bursts from closed buckets, each series judged by a ring of its last ones in keyed state; limits as for stateful.detected."""
     found = stateful.detected(closed_series(events, bucket, delay), bucket_seconds, **limits)
     with stateful.disk_state(events.sparkSession):
-        return _start(found.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write_alerts(path, publish)), trigger or {"processingTime": "5 seconds"})
+        return _start(found.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write_alerts(path, publish, True)), trigger or {"processingTime": "5 seconds"})
 
 
 def start_snapshots(
