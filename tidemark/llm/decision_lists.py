@@ -10,7 +10,8 @@ the first rule that holds decides, and a text that none holds for is kept.
 
 Null texts have no words.  Lines are cut at \\n alone; a line is a duplicate if
 an earlier one is equal.  Without labels of both kinds the list is empty.
-Repeated rows and ties count like any other; columns besides id and text never
+Rows without an id are judged like all others, and texts of any length are
+counted whole.  Repeated rows and ties count like any other; columns besides id and text never
 matter; an empty table gives an empty result.
 """
 

@@ -10,7 +10,8 @@ documents are read; the weights, of fixed size, are sent to all tasks.
 
 Null and empty texts have no features and score the intercept.  Labels that are
 null or without a document are not learned from; without any label all scores
-are 0.5.  Repeated rows score alike; columns besides id and text never matter;
+are 0.5.  Rows without an id are scored like all others, and aren't held out; texts
+of any length are read whole.  Repeated rows score alike; columns besides id and text never matter;
 an empty table gives an empty result.
 """
 

@@ -21,7 +21,8 @@ For such a similarity (one_of_each, the pipeline) rows are linked by their
 shingles themselves: see similar.
 
 Null and empty texts have no words, fingerprint zero, and are linked like any
-other.  Repeated rows share fingerprint and class.  Columns besides id and text
+other.  Repeated rows share fingerprint and class.  A null id names no class: one
+whose rows have no ids at all has a null name.  Columns besides id and text
 are ignored; an empty table gives an empty result.
 """
 
