@@ -190,6 +190,15 @@ def test_bpe_against_the_library(spark, odd):
         assert r.ids == known.encode_ordinary(r.t or "") and r.n_tokens == len(r.ids) and bytes(r.decoded) == (r.t or "").encode()
 
 
+def test_decoding_alone(spark):
+    """Ids of other makers decode too: null ones give no bytes, as do no ids."""
+    path, _ = rank_file()
+    tokens = bpe.read_tokens(path)
+    rows = spark.createDataFrame([(1, [5, 300, 5]), (2, None), (3, []), (4, [len(tokens) - 1])], "k bigint, ids array<int>")
+    got = {r.k: bytes(r.decoded) for r in bpe.decode(rows, bpe.shared_tokens(spark, path)).collect()}
+    assert got == {1: tokens[5] + tokens[300] + tokens[5], 2: b"", 3: b"", 4: tokens[-1]}
+
+
 def test_pipeline(spark, texts):
     import corpus_pipeline as p
 

@@ -16,7 +16,7 @@ holds the id column and the operator's own columns, a row for each input row.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,6 @@ class Vocabulary:
     """Tokens by rank, and which two tokens each token can be merged from."""
 
     def __init__(self, tokens: list[bytes]):
-        self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = {}
@@ -51,9 +50,6 @@ class Vocabulary:
         self.pairs = pairs
         self.codes = np.array(sorted(pairs), dtype=np.int64)
         self.merged = np.array([pairs[int(x)] for x in self.codes], dtype=np.int64)
-        self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
     def ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank that each pair merges to, NONE where it doesn't."""
@@ -242,8 +238,11 @@ def shared_tokens(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(read_tokens(path))
 
 
-def encode(df: DataFrame, tokens: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>, n_tokens long) of each row's text, without special tokens."""
+ENCODED = [("ids", "array<int>"), ("n_tokens", "bigint")]
+
+
+def encoded_slices(tokens: Broadcast, pattern: str) -> Callable[[list[bytes]], list[pa.Array]]:
+    """Encodes slices of texts into ENCODED's columns; the encoder is made where the first slice is."""
     made: list[Encoder] = []
 
     def per_slice(texts: list[bytes]) -> list[pa.Array]:
@@ -253,43 +252,66 @@ def encode(df: DataFrame, tokens: Broadcast, pattern: str, id_col: str = "doc_id
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         return [pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())), pa.array(counts, pa.int64())]
 
-    return map_texts(df, id_col, text_col, per_slice, [("ids", "array<int>"), ("n_tokens", "bigint")])
+    return per_slice
+
+
+def encode(df: DataFrame, tokens: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids array<int>, n_tokens long) of each row's text, without special tokens."""
+    return map_texts(df, id_col, text_col, encoded_slices(tokens, pattern), ENCODED)
 
 
 #: Ids that are decoded at a time, or those of one row.
 DECODED = 250_000
 
 
+class Decoder:
+    """The bytes of ids, from all tokens' bytes in one array."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def parts(self, rows: pa.ListArray) -> Iterator[tuple[int, pa.Array]]:
+        """(first row, bytes of each row) of parts of so many ids, or of one row; a null row has no bytes."""
+        sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = (np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // DECODED)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True):
+            ids = rows.slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
+            lengths = self.lengths[ids]
+            data = self.flat[gathered(self.starts[ids], lengths)]
+            ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes[a:b])])].astype(np.int32)
+            yield a, pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
 def decode(df: DataFrame, tokens: Broadcast, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """The rows with one more column, the bytes that the ids stand for; null ids give no bytes."""
-    made: list[Vocabulary] = []
     schema = StructType([*df.schema.fields, StructField(to, BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(tokens.value)
         for batch in batches:
-            v = made[0] if made else made.append(Vocabulary(tokens.value)) or made[0]
-            sizes = batch.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            # rows of so many ids at a time, or one row
-            cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // DECODED)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-                part = batch.slice(a, b - a)
-                lists = part.column(ids_col)
-                ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                counts = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], dtype=np.int64)
-                lengths = v.lengths[ids]
-                data = v.flat[gathered(v.starts[ids], lengths)]
-                ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-                binary = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([*part.columns, binary], names=[*part.schema.names, to])
-            trimmed()
+            for a, column in decoder.parts(batch.column(ids_col)):
+                part = batch.slice(a, len(column))
+                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, to])
+        trimmed()
 
     return df.mapInArrow(run, schema)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids, n_tokens, decoded) of each row."""
+    """(id, ids, n_tokens, decoded) of each row: encode, then decode of its ids, by one worker."""
     tokens = shared_tokens(df.sparkSession, path)
-    return decode(encode(df, tokens, pattern, id_col, text_col), tokens)
+    made: list[tuple[Callable[[list[bytes]], list[pa.Array]], Decoder]] = []
+
+    def per_slice(texts: list[bytes]) -> list[pa.Array]:
+        if not made:
+            made.append((encoded_slices(tokens, pattern), Decoder(tokens.value)))
+        of_slice, decoder = made[0]
+        ids, counts = of_slice(texts)
+        return [ids, counts, pa.concat_arrays([column for _, column in decoder.parts(ids)])]
+
+    return map_texts(df, id_col, text_col, per_slice, [*ENCODED, ("decoded", "binary")])
 
 
 def digests(df: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -152,7 +152,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
-    pa.default_memory_pool().release_unused()  # an idle worker keeps no buffers
+    trimmed()  # an idle worker keeps nothing
 
 
 def trimmed() -> None:
