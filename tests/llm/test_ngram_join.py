@@ -101,3 +101,23 @@ def test_parities_bound_the_difference():
         for longs in (ngram_join.ODD, ngram_join.WIDE):
             bits = np.bitwise_count((ngram_join.parities(a, longs) ^ ngram_join.parities(a2, longs)).view(np.uint64)).sum()
             assert bits <= len(np.setxor1d(a, a2))
+
+
+def test_copies_of_one_text_meet_that_text(spark, monkeypatch):
+    """Copies that are near to one text, but not to each other, take no pairs among themselves; pairs that are left meet once."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(500, " ".join(base))]
+    for doc in range(150):
+        copy = list(base)
+        for k in rng.sample(range(150), 4):
+            copy[2 * k] = f"x{doc}_{k}"
+        rows.append((doc, " ".join(copy)))
+    # each of these shares two thirds of its columns, but reaches nothing
+    rows += [(1000 + doc, " ".join([*(f"y{doc}_{k}" for k in range(60)), *base[60:]])) for doc in range(20)]
+    left = []
+    plainly = ngram_join.other_pairs
+    monkeypatch.setattr(ngram_join, "other_pairs", lambda *a: left.append(plainly(*a)) or left[-1])
+    out = found(ngram_join.joined_components(frame(spark, rows)))
+    assert {c for d, _, c in out if d <= 500} == {0} and all(c == d for d, _, c in out if d >= 1000)
+    assert left[0].count() <= len(rows)

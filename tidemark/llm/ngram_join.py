@@ -23,8 +23,12 @@ sizes ask for or is the overlap itself.
 
 Rows of a leading column are multiplied with one of them (the pivot) first, in
 up to PIVOTS rounds with another one each, then those of different components
-with each other.  So a large group of near copies takes as many entries a round
-as it has members, and no link between components is lost.  A join's output rows
+with each other.  The first pivot is the row whose parities are nearest to a few
+rows drawn by hash, which near copies of one text make that text, wherever it is
+among them; later ones are drawn.  So a large group of near copies takes as many
+entries a round as it has members, and no link between components is lost.  Two
+sets that share many leading columns meet in the first of each run of them: not
+where one of the last BEFORE columns of both is the same.  A join's output rows
 are pairs that no bound has discarded.
 
 Null and empty texts have no n-gram and link with nothing.  A text of fewer
@@ -42,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_texts, noted, removed, slices, stored, text_bytes
@@ -56,6 +60,10 @@ HOT, ROUNDS = 32, 2
 MAP_BITS = 24
 #: Blocks of columns that are multiplied one by one, longs of the blocks that have a parity bit, pivots of a column.
 BLOCKS, ODD, PIVOTS = 16, 4, 3
+#: Rows of a column that are drawn to find the most central one.
+DRAWS = 6
+#: So many columns before a leading one are looked at for whether two sets have met already.
+BEFORE = 8
 #: Sets of more columns than this have so many longs of finer parities too.
 LARGE, WIDE = 1000, 64
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -156,8 +164,7 @@ def overlap(a: str, b: str, least: Column) -> Column:
 def may_link(a: str, b: str, threshold: Fraction) -> Column:
     """Whether sizes and parities of two structs (n, s0, s1, ...) leave a chance: each differing bit is a column that one set has alone."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(ODD)), F.lit(0))
-    return sizes_allow(na, nb, threshold) & (apart <= na + nb - 2 * needed(na, nb, threshold))
+    return sizes_allow(na, nb, threshold) & (bits_apart(a, b) <= na + nb - 2 * needed(na, nb, threshold))
 
 
 def large_may_link(na: Column, nb: Column, threshold: Fraction) -> Column:
@@ -280,9 +287,25 @@ def in_open_keys(rows: DataFrame) -> DataFrame:
     return stored(rows.join(stored(open_keys(rows, "component"), "keys"), "key"), "open")
 
 
+def bits_apart(a: str | Column, b: str | Column) -> Column:
+    """Parities that differ in two structs."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    return sum((F.bit_count(a[f"s{k}"].bitwiseXOR(b[f"s{k}"])) for k in range(ODD)), F.lit(0))
+
+
+def central(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows, with an order that puts each key's row first which differs least from some that are drawn."""
+    held = stored(rows.join(classes.select("node", "mark"), "node"), "held")
+    draws = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "mark"))["mark"] for k in range(DRAWS)]
+    drawn = stored(held.groupBy("key").agg(F.array(*draws).alias("drawn")), "drawn")
+    far = F.aggregate("drawn", F.lit(0), lambda s, d: s + bits_apart("mark", d))
+    return held.join(drawn, "key").withColumn("order", far).drop("mark", "drawn")
+
+
 def pivot_pairs(rows: DataFrame, classes: DataFrame, threshold: Fraction, turn: int) -> DataFrame:
-    """(a, b, na, nb) of each key's rows with its pivot, by hash another one each turn, where they aren't in its component yet."""
-    first = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component", "n", "place")).alias("p"))
+    """(a, b, na, nb) of each key's rows with its pivot, where they aren't in its component yet: the most central one, in later turns one by hash."""
+    ordered = rows.withColumn("order", F.xxhash64("node", F.lit(turn))) if turn else central(rows, classes)
+    first = ordered.groupBy("key").agg(F.min(F.struct("order", "node", "component", "n", "place")).alias("p"))
     first = stored(first.select("key", *(F.col(f"p.{c}").alias(f"{c}_b") for c in ("node", "component", "n", "place"))), "pivots")
     pairs = rows.join(first, "key").where(F.col("component") != F.col("component_b"))
     pairs = pairs.where(meets_first("place", "place_b", F.col("n"), F.col("n_b"), threshold)).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
@@ -292,10 +315,15 @@ def pivot_pairs(rows: DataFrame, classes: DataFrame, threshold: Fraction, turn:
 
 
 def other_pairs(rows: DataFrame, classes: DataFrame, threshold: Fraction) -> DataFrame:
-    """(a, b, na, nb) of rows that share a key and are in different components, where no bound discards them."""
-    held = rows.select("key", "place", "node", "component").join(classes.select("node", "mark"), "node")
+    """(a, b, na, nb) of rows that share a key and are in different components, where no bound discards them.
+
+    The first column that two sets share has none before it that both have, so every pair meets there at least.
+    """
+    earlier = Window.partitionBy("node").orderBy("place").rowsBetween(-BEFORE, -1)
+    rows = rows.select("key", "place", "node", "component", F.collect_list("key").over(earlier).alias("before"))
+    held = rows.join(classes.select("node", "mark"), "node")
     # both sides come straight from an exchange, so that Spark can split a large key
-    left, right = (held.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("place", "node", "component", "mark"))) for x in "ab")
+    left, right = (held.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("place", "node", "component", "mark", "before"))) for x in "ab")
     apart = (F.col("component_a") < F.col("component_b")) & meets_first("place_a", "place_b", F.col("mark_a.n"), F.col("mark_b.n"), threshold)
-    met = left.join(right, "key").where(apart & may_link("mark_a", "mark_b", threshold))
+    met = left.join(right, "key").where(apart & may_link("mark_a", "mark_b", threshold) & ~F.arrays_overlap("before_a", "before_b"))
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("mark_a.n").alias("na"), F.col("mark_b.n").alias("nb"))
