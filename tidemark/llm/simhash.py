@@ -17,7 +17,8 @@ partitions of the joins.
 
 Four bits of 64 stand for texts that are almost equal; at a similarity of 0.8
 of five-word shingles about ten bits differ, too many to tell texts apart by.
-For such a similarity (one_of_each, the pipeline) rows are linked by their
+For such a similarity (one_of_each, the pipeline) longer fingerprints meet by
+variants that leave out a piece of several bits, and rows are linked by their
 shingles themselves: see similar.
 
 Null and empty texts have no words, fingerprint zero, and are linked like any

@@ -1,17 +1,26 @@
 """Documents whose sets of word shingles have a Jaccard similarity of at least a threshold, as connected components.
 
-Candidates come from MinHash: of BANDS * ROWS hash orders each text keeps its
-least shingle, and every ROWS of these make a key.  Texts meet where they share
-a key; at a similarity of 0.8 one pair in 16,000 shares none, and fewer above.
+Candidates come from SimHash by deletion variants, as in simhash, for a
+similarity at which far more bits differ than there: the fingerprint of a
+shingle set has 3,072 bits, a bit being set if it is set in over half the
+shingles' hashes.  At a similarity of 0.8 some 0.15 of the bits differ.  The
+fingerprint is cut into pieces of 12 bits and these are dealt, three times over,
+into segments of three.  A segment's variants leave one piece out; each is a
+key, of segment, piece left out and the other bits.  Texts meet where a segment
+differs within one piece only.  In a simulation at a similarity of 0.8 four
+pairs in 60,000 met nowhere, and fewer above.  Among sets of at most five
+shingles more bits differ, so these meet by a second kind of variant besides:
+the set's hash, and those with one shingle left out.
 Whatever meets is linked only if the shingle sets themselves, compared whole,
 reach the threshold.
 
 In each key all are compared with its least row (the pivot) first; then those
 of different components are compared with each other, so that a large group of
-copies takes as many comparisons as it has members.  Sizes and a sketch, a bit
-of each hash order's least value, tell most other texts apart before their
-shingles are looked at: by the sketch one pair in a million at 0.8 is missed.
-Comparing is part of the joins, whose only output rows are links.
+copies takes as many comparisons as it has members.  Sizes and the first
+words of the fingerprints tell most other texts apart before their shingles are
+looked at: by each of these bounds at most one pair in a million at 0.8 is
+missed.  Keys are made and joined a few segments at a time, so that only what
+meets is on the disk.
 
 A text of no more words than a shingle is one shingle of all its words, so
 empty and null texts equal each other.
@@ -27,13 +36,24 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_texts, stored
 from tidemark.llm.components import connected_components
 
-BANDS, ROWS = 32, 6
-#: Longs of the sketch, and five standard deviations more of its bits than differ at a similarity on average.
-SKETCH, DEVIATIONS = BANDS * ROWS // 64, 5
-#: Shingles hashed at a time.
-CHUNK = 2048
-FACTORS = np.random.default_rng(42).integers(0, 1 << 31, (2, BANDS * ROWS), dtype=np.int64).astype(np.uint32)
-FACTORS[0] |= 1
+#: Longs of a fingerprint, and bits of a piece.
+WORDS, PIECE = 48, 12
+PIECES = 64 * WORDS // PIECE
+#: Segments of three pieces: so many deals of all pieces; the segments whose keys are joined at a time.
+DEALS, AT_ONCE = 3, 32
+#: Longs of the sketch (the fingerprint's first), and five standard deviations more of its bits than differ at a similarity on average.
+SKETCH, DEVIATIONS = 16, 5
+#: Sets of so few shingles have keys of their own.
+FEW = 5
+FACTORS = np.random.default_rng(42).integers(0, 1 << 63, (2, WORDS), dtype=np.uint64)
+FACTORS[1] |= np.uint64(1)
+
+
+def segments() -> list[tuple[int, int, int]]:
+    """The pieces of each segment, the same in every process."""
+    order = np.random.default_rng(42)
+    deals = (order.permutation(PIECES)[: PIECES // 3 * 3].reshape(-1, 3) for _ in range(DEALS))
+    return [tuple(s) for s in np.concatenate(list(deals)).tolist()]
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -50,40 +70,65 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
     return np.array([xxh64_intdigest(joined[a:b]) for a, b in spans], dtype=np.uint64)
 
 
-def least_values(hashes: np.ndarray) -> np.ndarray:
-    """The least value of each hash order."""
-    least = np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32)
-    low = (hashes >> np.uint64(32)).astype(np.uint32)
-    for k in range(0, len(low), CHUNK):
-        least = np.minimum(least, ((low[k : k + CHUNK, None] ^ FACTORS[1]) * FACTORS[0]).min(axis=0))
-    return least
+def fingerprint_bits(hashes: np.ndarray) -> np.ndarray:
+    """The 64 * WORDS bits of a set of hashes: each hash gives WORDS longs, and a bit is set if it is in over half of them."""
+    counts = np.zeros(64 * WORDS, dtype=np.int64)
+    for k in range(0, len(hashes), 255):  # so many fit into a byte's sum
+        mixed = (hashes[k : k + 255, None] ^ FACTORS[0]) * FACTORS[1]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        counts += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return (2 * counts > len(hashes)).astype(np.uint8)
+
+
+def pieces_of(bits: np.ndarray) -> np.ndarray:
+    """The fingerprint's pieces as numbers."""
+    return (bits.reshape(PIECES, PIECE) @ (1 << np.arange(PIECE))).astype(np.int16)
+
+
+def sketch_of(bits: np.ndarray) -> np.ndarray:
+    """The first SKETCH longs of the fingerprint."""
+    return np.packbits(bits[: 64 * SKETCH], bitorder="little").view(np.int64)
+
 
+def few_keys(hashes: np.ndarray) -> list[int]:
+    """For a set of few shingles, its hash and those with one of them left out; none for others."""
+    if len(hashes) > FEW:
+        return []
+    whole = (hashes * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes >> np.uint64(29))
+    left_out = whole.sum(dtype=np.uint64) - whole
+    return np.concatenate([[whole.sum(dtype=np.uint64)], left_out[: len(hashes) if len(hashes) > 1 else 0]]).astype(np.uint64).view(np.int64).tolist()
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    """A key for each band, from the least values of its hash orders."""
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for part in least.reshape(BANDS, ROWS).T.astype(np.uint64):
-        keys = (keys ^ part) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(29)
-    return keys.view(np.int64)
 
+def variant_keys(pieces: Column, cuts: list[tuple[int, int, int]], first: int = 0) -> Column:
+    """Each segment's variants with one piece left out: the other two pieces, above them segment and piece left out; first is the first segment's number."""
+    keys = []
+    for s, cut in enumerate(cuts, first):
+        for j in range(3):
+            x, y = (pieces[i].cast("long") for k, i in enumerate(cut) if k != j)
+            keys.append(F.shiftleft(x, PIECE).bitwiseOR(y).bitwiseOR(F.lit((3 * s + j) << 2 * PIECE)))
+    return F.array(*keys)
 
-def sketch_of(least: np.ndarray) -> np.ndarray:
-    """One middle bit of each least value, as SKETCH longs: of texts with similarity j, a share of (1 - j) / 2 differs."""
-    return np.packbits((least >> np.uint32(16)).astype(np.uint8) & 1).view(np.int64)
 
+def differing_share(similarity: float) -> float:
+    """The share of bits that differ between sets of one size with that similarity: their angle."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
-def sketch_limit(similarity: float) -> int:
-    """So many sketch bits may differ."""
-    share = (1 - similarity) / 2
-    return int(np.ceil(64 * SKETCH * share + DEVIATIONS * np.sqrt(64 * SKETCH * share * (1 - share))))
+
+def sketch_limit(similarity: float, longs: int = SKETCH) -> int:
+    """So many bits of a sketch of so many longs may differ."""
+    share = differing_share(similarity)
+    return int(np.ceil(64 * longs * share + DEVIATIONS * np.sqrt(64 * longs * share * (1 - share))))
 
 
 def may_be_alike(a: str, b: str, similarity: float) -> Column:
-    """Whether size and sketch of two texts, as structs, leave a chance of that similarity."""
+    """Whether size and sketch of two texts, as structs, leave a chance of that similarity; for FEW shingles and one less the size alone."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SKETCH)), F.lit(0))
-    return (F.least(na, nb) >= F.greatest(na, nb) * F.lit(similarity - 1e-9)) & (apart <= sketch_limit(similarity))
+    differ = [F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SKETCH)]
+    near = [sum(differ[:n], F.lit(0)) <= sketch_limit(similarity, n) for n in (2, 8, SKETCH)]  # most fail at the first few
+    few = (F.greatest(na, nb) == FEW) & (na != nb)
+    return (F.least(na, nb) >= F.greatest(na, nb) * F.lit(similarity - 1e-9)) & (few | (near[0] & near[1] & near[2]))
 
 
 def alike(a: str, b: str, similarity: float) -> Column:
@@ -98,44 +143,64 @@ def open_keys(rows: DataFrame, by: str) -> DataFrame:
     return rows.groupBy("key").agg(F.min(by).alias("least"), F.max(by).alias("most")).where("least <> most").select("key")
 
 
+def with_pivots(rows: DataFrame, partitions: int) -> DataFrame:
+    """(key, node, pivot, differ) of (key, node, s0, s1): all rows of a key but its pivot, and in how many bits of s0 and s1 they differ from it.
+
+    A key's rows only stream past its pivot, so that a common key is no more than its rows.
+    """
+    rows = rows.where("node IS NOT NULL AND key IS NOT NULL").repartition(partitions, "key")  # said here, both uses share one exchange
+    of_pivot = [F.min_by(c, "node").alias(f"{c}_pivot") for c in ("s0", "s1")]
+    pivots = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), *of_pivot)
+    met = rows.join(pivots.where("pivot <> last").drop("last").hint("shuffle_hash"), "key").where("node <> pivot")
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_pivot"))) for c in ("s0", "s1")), F.lit(0))
+    return met.select("key", "node", "pivot", differ.alias("differ"))
+
+
 def similar_components(docs: DataFrame, node_col: str, text_col: str, words: int, similarity: float) -> DataFrame:
     """(node, component) of every row that is linked to another; node_col tells rows apart, a component is its least node."""
 
-    fields = [("keys", "array<bigint>"), ("n", "bigint"), *((f"s{k}", "bigint") for k in range(SKETCH))]
+    fields = [("pieces", "array<smallint>"), ("few", "array<bigint>"), ("n", "bigint"), *((f"s{k}", "bigint") for k in range(SKETCH))]
 
-    def keys(texts: list[bytes]) -> list[pa.Array]:
+    def fingerprints(texts: list[bytes]) -> list[pa.Array]:
         distinct = [np.unique(shingle_hashes(x, words)) for x in texts]
-        least = [least_values(h) for h in distinct]
-        sketches = np.array([sketch_of(x) for x in least], dtype=np.int64).reshape(-1, SKETCH)
-        columns = [pa.array([len(h) for h in distinct], pa.int64()), *(pa.array(sketches[:, k]) for k in range(SKETCH))]
-        return [pa.array([band_keys(x).tolist() for x in least], pa.list_(pa.int64())), *columns]
+        bits = [fingerprint_bits(h) for h in distinct]
+        sketches = np.array([sketch_of(x) for x in bits], dtype=np.int64).reshape(-1, SKETCH)
+        keys = [pa.array([pieces_of(x) for x in bits], pa.list_(pa.int16())), pa.array([few_keys(h) for h in distinct], pa.list_(pa.int64()))]
+        return [*keys, pa.array([len(h) for h in distinct], pa.int64()), *(pa.array(sketches[:, k]) for k in range(SKETCH))]
 
     def sets(texts: list[bytes]) -> list[pa.Array]:
         return [pa.array([np.unique(shingle_hashes(x, words)).view(np.int64).tolist() for x in texts], pa.list_(pa.int64()))]
 
+    def shingles(nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of those rows."""
+        of = docs.join(nodes.withColumnRenamed("node", node_col), node_col, "left_semi")
+        return stored(map_texts(of, node_col, text_col, sets, [("shingles", "array<bigint>")]).withColumnRenamed(node_col, "node"), "sets")
+
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = stored(map_texts(docs, node_col, text_col, keys, fields).withColumnRenamed(node_col, "node"), "keys")
-    rows = keyed.select("node", F.explode("keys").alias("key"))
-    rows = stored(rows.join(open_keys(rows, "node"), "key"), "open")
-    marks = keyed.select("node", F.struct("n", *(f"s{k}" for k in range(SKETCH))).alias("mark"))
-    met = docs.join(rows.select(F.col("node").alias(node_col)).distinct(), node_col, "left_semi")
-    shingles = stored(map_texts(met, node_col, text_col, sets, [("shingles", "array<bigint>")]).withColumnRenamed(node_col, "node"), "sets")
-    pivots = stored(rows.groupBy("key").agg(F.min("node").alias("pivot")), "pivots")  # so that Spark can split the join's large keys
-    others = stored(rows.join(pivots, "key").where("node <> pivot"), "others")
-    pairs = others.select("node", "pivot").distinct().join(marks, "node").join(marks.toDF("pivot", "of_pivot"), "pivot")
+    marked = stored(map_texts(docs, node_col, text_col, fingerprints, fields).withColumnRenamed(node_col, "node"), "fingerprints")
+    marks = marked.select("node", F.struct("n", *(f"s{k}" for k in range(SKETCH))).alias("mark"))
+    few = marked.select("node", "s0", "s1", F.explode("few").alias("key"))
+    others = stored(with_pivots(few, partitions).withColumn("differ", F.lit(0)), "others")
+    cuts = segments()
+    for k in range(0, len(cuts), AT_ONCE):
+        rows = marked.select("node", "s0", "s1", F.explode(variant_keys(F.col("pieces"), cuts[k : k + AT_ONCE], k)).alias("key"))
+        others = others.union(stored(with_pivots(rows, partitions), "others"))
+    pairs = others.where(F.col("differ") <= sketch_limit(similarity, 2)).select("node", "pivot").distinct()
+    pairs = pairs.join(marks, "node").join(marks.toDF("pivot", "of_pivot"), "pivot")
     pairs = stored(pairs.where(may_be_alike("mark", "of_pivot", similarity)).select("node", "pivot"), "pairs")
-    met = pairs.join(shingles, "node").join(shingles.toDF("pivot", "of_pivot"), "pivot")
-    links = met.where(alike("shingles", "of_pivot", similarity)).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     keep = lambda df: stored(df, "links")
+    of = shingles(pairs.select("node").union(pairs.select("pivot")).distinct())
+    met = pairs.join(of, "node").join(of.toDF("pivot", "of_pivot"), "pivot")
+    links = met.where(alike("shingles", "of_pivot", similarity)).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     stars = connected_components(links, keep)
     # pivots have been compared with all that their keys hold
     labelled = stored(others.join(stars, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "labelled")
-    apart = labelled.join(open_keys(labelled, "component"), "key")
-    apart = stored(apart.join(marks, "node").join(shingles, "node"), "apart")
+    apart = stored(labelled.join(open_keys(labelled, "component"), "key"), "open")
+    apart = stored(apart.join(marks, "node").join(shingles(apart.select("node").distinct()), "node"), "apart")
     # both sides come straight from an exchange, so that Spark can split a large group; comparing is dearer than its rows' bytes show
     left, right = (apart.select("key", F.col("component").alias(x), F.col("mark").alias(f"mark_{x}"), F.col("shingles").alias(f"of_{x}")).repartition(4 * partitions, "key") for x in "ab")
     maybe = (F.col("a") < F.col("b")) & may_be_alike("mark_a", "mark_b", similarity)
     more = left.join(right, "key").where(maybe & alike("of_a", "of_b", similarity)).select("a", "b")
     larger = connected_components(more, keep).toDF("component", "larger")
-    labels = rows.select("node").distinct().join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labels = stars.select("node", "component").union(apart.select("node", "component")).distinct()
     return stored(labels.join(larger, "component", "left").select("node", F.coalesce("larger", "component").alias("component")), "similar")
