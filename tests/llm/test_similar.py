@@ -53,3 +53,34 @@ def test_a_link_that_no_pivot_sees(spark):
     rows = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
     group = {r.doc_id: r.component_id for r in simhash.near_duplicates(rows, **simhash.SIMILAR).collect()}
     assert group == {0: 0, 1: 1, 2: 1, 3: 3, 4: 3}
+
+
+def test_what_shares_a_key_is_a_row_only_if_it_may_be_alike(spark):
+    """Members of one group don't meet; a lone row meets a group once however many members share its key, other rows one by one, and nothing that was seen."""
+    far = [-1] * len(similar.LONGS)
+    zero = [0] * len(similar.LONGS)
+    rows = [(1, n, 100, *zero, None) for n in range(100, 150)]  # a group in one key
+    rows += [(1, 1, None, *zero, None), (1, 2, None, *zero, [1]), (1, 3, None, *far, None), (1, 4, None, *zero, [100])]
+    rows += [(2, n, n // 10 * 10, *zero, None) for n in (100, 101, 200, 201)]  # two groups in another
+    schema = "key long, node long, component long, " + ", ".join(f"{c} long" for c in similar.LONGS) + ", seen array<long>"
+    got = {tuple(r) for r in similar.meetings(spark.createDataFrame(rows, schema), 60).collect()}
+    assert got == {(1, 100, True), (2, 100, True), (1, 4, False), (2, 4, False), (100, 200, False), (100, 201, False), (101, 200, False), (101, 201, False)}
+
+
+def test_a_large_group_of_which_many_are_not_alike(spark):
+    """Copies that each differ from a base in words of their own are linked by it though few of them are alike; those too far stay alone."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = [base]
+    for i in range(60):
+        words = list(base)
+        for at in rng.choice(200, 3 if i < 40 else 12, replace=False):
+            words[at] = f"x{i}y{at}"
+        texts.append(words)
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    sets = [{tuple(w[k : k + 5]) for k in range(196)} for w in texts]
+    want = list(range(len(sets)))
+    for _ in sets:  # the least id spreads along the links
+        want = [min(want[j] for j in range(len(sets)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])) for i in range(len(sets))]
+    group = {r.doc_id: r.component_id for r in simhash.near_duplicates(rows, **simhash.SIMILAR).collect()}
+    assert want.count(0) > 40 and len(set(want)) > 10 and [group[i] for i in range(len(sets))] == want

@@ -14,13 +14,16 @@ the set's hash, and those with one shingle left out.
 Whatever meets is linked only if the shingle sets themselves, compared whole,
 reach the threshold.
 
-In each key all are compared with its least row (the pivot) first; then those
-of different components are compared with each other, so that a large group of
-copies takes as many comparisons as it has members.  Sizes and the first
-words of the fingerprints tell most other texts apart before their shingles are
-looked at: by each of these bounds at most one pair in a million at 0.8 is
-missed.  Keys are made and joined a few segments at a time, so that only what
-meets is on the disk.
+By the first segments' keys each text is compared with the nearest of its keys'
+least rows (pivots), twice; what is linked forms groups.  Then all keys are
+looked at, but only for texts that are in no group, or in different ones: two
+lone texts are compared with each other, a lone text with all of a group that it
+may be near to.  So a large group of copies takes about as many comparisons as
+it has members, and joins by key give rows only for what may be alike.  Sizes
+and the first words of the fingerprints tell most other texts apart before
+their shingles are looked at: by each of these bounds at most one pair in a
+million at 0.8 is missed.  Keys are made and joined a few segments at a time,
+so that only what meets is on the disk.
 
 A text of no more words than a shingle is one shingle of all its words, so
 empty and null texts equal each other.
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, stored
+from tidemark.llm.common import SENT_ROWS, map_texts, stored
 from tidemark.llm.components import connected_components
 
 #: Longs of a fingerprint, and bits of a piece.
@@ -45,6 +48,12 @@ DEALS, AT_ONCE = 3, 32
 SKETCH, DEVIATIONS = 16, 5
 #: Sets of so few shingles have keys of their own.
 FEW = 5
+#: Rounds in which each row is compared with the nearest pivot that is not of its group yet.
+ROUNDS = 2
+#: Longs of the sketch that go with each key, as columns.
+LONGS = [f"s{k}" for k in range(4)]
+#: What a row is known to have met, so that later keys don't give it again: so many at most.  The rest is only given repeatedly.
+SEEN = 256
 FACTORS = np.random.default_rng(42).integers(0, 1 << 63, (2, WORDS), dtype=np.uint64)
 FACTORS[1] |= np.uint64(1)
 
@@ -138,21 +147,60 @@ def alike(a: str, b: str, similarity: float) -> Column:
     return (F.least(na, nb) >= least) & (F.size(F.array_intersect(a, b)) >= least)
 
 
+def sent(df: DataFrame) -> DataFrame:
+    """A stored table, sent to all tasks if it has few rows; else joined like any other."""
+    return F.broadcast(df) if df.limit(SENT_ROWS + 1).count() <= SENT_ROWS else df
+
+
+def of_different(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of met whose node and pivot are of different groups."""
+    labelled = met.join(sent(groups), "node", "left").join(sent(groups).toDF("pivot", "of_pivot"), "pivot", "left")
+    return labelled.where(F.coalesce("component", "node") != F.coalesce("of_pivot", "pivot"))
+
+
+def bits_of(*longs: Column) -> Column:
+    return sum((F.bit_count(x) for x in longs), F.lit(0))
+
+
+def meetings(rows: DataFrame, limit: int) -> DataFrame:
+    """(a, b, group) of (key, node, component, *LONGS, seen): what shares a key, no component (null: the row is alone), and differs in at most limit bits of LONGS.
+
+    b is a node, or with group a component that the lone row a is to be compared
+    with; of a component's rows in a key only the bits that all agree in are
+    looked at, so that it is one row there.  What is in seen doesn't meet again.
+    """
+    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in ("key", "node", *LONGS)))  # said here, all uses share one exchange
+    side = lambda df, i: df.select("key", *(F.col(c).alias(f"{c}_{i}") for c in ("node", "component", *LONGS, "seen")))
+    known = lambda i, what: F.coalesce(F.array_contains(f"seen_{i}", F.col(what)), F.lit(False))
+    near = bits_of(*(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")) for c in LONGS)) <= limit
+    ordered = F.col("node_a") < F.col("node_b")
+    pair = [F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.lit(False).alias("group")]
+
+    alone, grouped = rows.where("component IS NULL"), rows.where("component IS NOT NULL")
+    lone = side(alone, "a").join(side(alone, "b").hint("shuffle_hash"), "key").where(ordered & near & ~known("a", "node_b") & ~known("b", "node_a")).select(*pair)
+    spans = grouped.groupBy("key", "component").agg(*(f(c).alias(f"{c}_{n}") for c in LONGS for n, f in (("all", F.bit_and), ("any", F.bit_or))))
+    outside = (F.col(f"{c}_a").bitwiseAND(F.bitwise_not(f"{c}_any")).bitwiseOR(F.bitwise_not(f"{c}_a").bitwiseAND(F.col(f"{c}_all"))) for c in LONGS)
+    to_group = side(alone, "a").join(spans.hint("shuffle_hash"), "key").where((bits_of(*outside) <= limit) & ~known("a", "component"))
+    mixed = grouped.join(open_keys(grouped, "component"), "key")
+    between = side(mixed, "a").join(side(mixed, "b"), "key").where(ordered & near & (F.col("component_a") != F.col("component_b"))).select(*pair)
+    return lone.union(between).union(to_group.select("node_a", "component", F.lit(True)))
+
+
 def open_keys(rows: DataFrame, by: str) -> DataFrame:
     """The keys that hold more than one value of the column."""
     return rows.groupBy("key").agg(F.min(by).alias("least"), F.max(by).alias("most")).where("least <> most").select("key")
 
 
 def with_pivots(rows: DataFrame, partitions: int) -> DataFrame:
-    """(key, node, pivot, differ) of (key, node, s0, s1): all rows of a key but its pivot, and in how many bits of s0 and s1 they differ from it.
+    """(key, node, pivot, differ) of (key, node, *LONGS): all rows of a key but its pivot, and in how many bits of LONGS they differ from it.
 
     A key's rows only stream past its pivot, so that a common key is no more than its rows.
     """
-    rows = rows.where("node IS NOT NULL AND key IS NOT NULL").repartition(partitions, "key")  # said here, both uses share one exchange
-    of_pivot = [F.min_by(c, "node").alias(f"{c}_pivot") for c in ("s0", "s1")]
+    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in ("key", "node", *LONGS))).repartition(partitions, "key")  # said here, both uses share one exchange
+    of_pivot = [F.min_by(c, "node").alias(f"{c}_pivot") for c in LONGS]
     pivots = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), *of_pivot)
     met = rows.join(pivots.where("pivot <> last").drop("last").hint("shuffle_hash"), "key").where("node <> pivot")
-    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_pivot"))) for c in ("s0", "s1")), F.lit(0))
+    differ = bits_of(*(F.col(c).bitwiseXOR(F.col(f"{c}_pivot")) for c in LONGS))
     return met.select("key", "node", "pivot", differ.alias("differ"))
 
 
@@ -172,35 +220,57 @@ def similar_components(docs: DataFrame, node_col: str, text_col: str, words: int
         return [pa.array([np.unique(shingle_hashes(x, words)).view(np.int64).tolist() for x in texts], pa.list_(pa.int64()))]
 
     def shingles(nodes: DataFrame) -> DataFrame:
-        """(node, shingles) of those rows."""
-        of = docs.join(nodes.withColumnRenamed("node", node_col), node_col, "left_semi")
+        """(node, shingles) of those rows, which may repeat."""
+        nodes = stored(nodes.distinct().toDF(node_col), "nodes")
+        of = docs.join(sent(nodes), node_col, "left_semi")
         return stored(map_texts(of, node_col, text_col, sets, [("shingles", "array<bigint>")]).withColumnRenamed(node_col, "node"), "sets")
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Those of (a, b) pairs, each given once, that are linked."""
+        maybe = pairs.join(marks.toDF("a", "mark_a"), "a").join(marks.toDF("b", "mark_b"), "b")
+        maybe = stored(maybe.where(may_be_alike("mark_a", "mark_b", similarity)).select("a", "b"), "pairs")
+        of = shingles(maybe.select("a").union(maybe.select("b")))
+        met = maybe.join(of.toDF("a", "of_a"), "a").join(of.toDF("b", "of_b"), "b")
+        return met.where(alike("of_a", "of_b", similarity)).select("a", "b")
+
+    def verified_in_groups(near: DataFrame, groups: DataFrame) -> DataFrame:
+        """(a, b) links of the rows in (a, component), each given once, to rows of that component; pairs that aren't linked are no rows."""
+        members = groups.join(near.select("component").distinct(), "component", "left_semi")
+        of = shingles(near.select("a").union(members.select("node"))).join(marks, "node")
+        # stored, so that both sides come straight from an exchange and Spark can split a large group
+        left = stored(near.join(of.toDF("a", "of_a", "mark_a"), "a"), "lone")
+        right = stored(members.join(of, "node").select("component", F.col("node").alias("b"), F.col("shingles").alias("of_b"), F.col("mark").alias("mark_b")), "members")
+        return left.join(right, "component").where(may_be_alike("mark_a", "mark_b", similarity) & alike("of_a", "of_b", similarity)).select("a", "b")
+
+    def keys(k: int) -> Column:
+        """The keys of AT_ONCE segments, from the k-th on."""
+        return F.explode(variant_keys(F.col("pieces"), cuts[k : k + AT_ONCE], k)).alias("key")
+
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keep = lambda df: stored(df, "links")
+    cuts, limit = segments(), sketch_limit(similarity, len(LONGS))
+    no_bits = [F.lit(0).cast("bigint").alias(c) for c in LONGS]  # keys of few shingles don't ask for bits
     marked = stored(map_texts(docs, node_col, text_col, fingerprints, fields).withColumnRenamed(node_col, "node"), "fingerprints")
     marks = marked.select("node", F.struct("n", *(f"s{k}" for k in range(SKETCH))).alias("mark"))
-    few = marked.select("node", "s0", "s1", F.explode("few").alias("key"))
-    others = stored(with_pivots(few, partitions).withColumn("differ", F.lit(0)), "others")
-    cuts = segments()
-    for k in range(0, len(cuts), AT_ONCE):
-        rows = marked.select("node", "s0", "s1", F.explode(variant_keys(F.col("pieces"), cuts[k : k + AT_ONCE], k)).alias("key"))
-        others = others.union(stored(with_pivots(rows, partitions), "others"))
-    pairs = others.where(F.col("differ") <= sketch_limit(similarity, 2)).select("node", "pivot").distinct()
-    pairs = pairs.join(marks, "node").join(marks.toDF("pivot", "of_pivot"), "pivot")
-    pairs = stored(pairs.where(may_be_alike("mark", "of_pivot", similarity)).select("node", "pivot"), "pairs")
-    keep = lambda df: stored(df, "links")
-    of = shingles(pairs.select("node").union(pairs.select("pivot")).distinct())
-    met = pairs.join(of, "node").join(of.toDF("pivot", "of_pivot"), "pivot")
-    links = met.where(alike("shingles", "of_pivot", similarity)).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    stars = connected_components(links, keep)
-    # pivots have been compared with all that their keys hold
-    labelled = stored(others.join(stars, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "labelled")
-    apart = stored(labelled.join(open_keys(labelled, "component"), "key"), "open")
-    apart = stored(apart.join(marks, "node").join(shingles(apart.select("node").distinct()), "node"), "apart")
-    # both sides come straight from an exchange, so that Spark can split a large group; comparing is dearer than its rows' bytes show
-    left, right = (apart.select("key", F.col("component").alias(x), F.col("mark").alias(f"mark_{x}"), F.col("shingles").alias(f"of_{x}")).repartition(4 * partitions, "key") for x in "ab")
-    maybe = (F.col("a") < F.col("b")) & may_be_alike("mark_a", "mark_b", similarity)
-    more = left.join(right, "key").where(maybe & alike("of_a", "of_b", similarity)).select("a", "b")
-    larger = connected_components(more, keep).toDF("component", "larger")
-    labels = stars.select("node", "component").union(apart.select("node", "component")).distinct()
-    return stored(labels.join(larger, "component", "left").select("node", F.coalesce("larger", "component").alias("component")), "similar")
+    by_few, by_first = marked.select("node", *no_bits, F.explode("few").alias("key")), marked.select("node", *LONGS, keys(0))
+    met = stored(with_pivots(by_few, partitions).union(with_pivots(by_first, partitions)).where(F.col("differ") <= limit), "met")
+    links = groups = None
+    for _ in range(ROUNDS):
+        apart = met if groups is None else of_different(met, groups)
+        nearest = apart.groupBy("node").agg(F.min_by("pivot", F.struct("differ", "pivot")).alias("pivot"))
+        found = verified(nearest.toDF("a", "b"))
+        links = stored(found if links is None else found.union(links), "links")
+        groups = stored(connected_components(links, keep), "groups")
+    known = marked.select("node", "pieces", "few", *LONGS).join(sent(groups), "node", "left")
+    columns = ["node", "component", *LONGS, "seen"]
+    first = known.withColumn("seen", F.lit(None).cast("array<bigint>"))
+    found = stored(meetings(first.select(*columns, keys(0)), limit).distinct(), "found")
+    seen = found.groupBy(F.col("a").alias("node")).agg(F.slice(F.sort_array(F.collect_set("b")), 1, SEEN).alias("seen"))
+    known = stored(known.join(seen, "node", "left"), "known")
+    found = found.union(stored(meetings(known.select("node", "component", *no_bits, "seen", F.explode("few").alias("key")), limit), "found"))
+    for k in range(AT_ONCE, len(cuts), AT_ONCE):
+        found = found.union(stored(meetings(known.select(*columns, keys(k)), limit), "found"))
+    found = stored(found.distinct(), "found")
+    near = found.where("group").select("a", F.col("b").alias("component"))
+    more = verified(found.where("NOT group").select("a", "b")).union(verified_in_groups(near, groups))
+    return stored(connected_components(links.union(more), keep), "similar")
