@@ -45,6 +45,15 @@ def test_keys_in_spark_are_those_of_the_fingerprint(spark):
     assert len(got) == 600 and got <= keys_of(hashes)
 
 
+def test_plans_do_not_grow_with_the_keys(spark):
+    """A batch's keys are one expression, whatever their number: one for each of them fills the driver."""
+    cuts = similar.segments()
+    rows = spark.range(1).select(F.expr("transform(sequence(0, 255), i -> cast(i as smallint))").alias("pieces"))
+    batches = [rows.select(F.explode(similar.variant_keys(F.col("pieces"), cuts[:n])).alias("key")) for n in (4, similar.AT_ONCE)]
+    few, many = (df._jdf.queryExecution().optimizedPlan().expressions().toString().count("pieces") for df in batches)
+    assert [df.count() for df in batches] == [12, 3 * similar.AT_ONCE] and few == many
+
+
 def test_a_link_that_no_pivot_sees(spark):
     """Two near copies are linked though all of their keys' pivots may be nearer to neither; a word more at the end of a short text counts as well."""
     words = [f"w{i}" for i in range(400)]

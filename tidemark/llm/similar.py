@@ -111,13 +111,20 @@ def few_keys(hashes: np.ndarray) -> list[int]:
 
 
 def variant_keys(pieces: Column, cuts: list[tuple[int, int, int]], first: int = 0) -> Column:
-    """Each segment's variants with one piece left out: the other two pieces, above them segment and piece left out; first is the first segment's number."""
-    keys = []
-    for s, cut in enumerate(cuts, first):
-        for j in range(3):
-            x, y = (pieces[i].cast("long") for k, i in enumerate(cut) if k != j)
-            keys.append(F.shiftleft(x, PIECE).bitwiseOR(y).bitwiseOR(F.lit((3 * s + j) << 2 * PIECE)))
-    return F.array(*keys)
+    """Each segment's variants with one piece left out: the other two pieces, above them segment and piece left out; first is the first segment's number.
+
+    One expression over a list of numbers: an expression for each key makes plans and code that fill the driver.
+    """
+    kept = [[i for k, i in enumerate(cut) if k != j] for cut in cuts for j in range(3)]
+    variants = F.array(*(F.lit((3 * first + v) << 2 * PIECE | x << PIECE | y).cast("long") for v, (x, y) in enumerate(kept)))
+    low = F.lit((1 << PIECE) - 1)
+    piece = lambda at: F.get(pieces, at.bitwiseAND(low).cast("int")).cast("long")
+
+    def key(variant: Column) -> Column:
+        above = F.shiftleft(F.shiftright(variant, 2 * PIECE), 2 * PIECE)
+        return above.bitwiseOR(F.shiftleft(piece(F.shiftright(variant, PIECE)), PIECE)).bitwiseOR(piece(variant))
+
+    return F.transform(variants, key)
 
 
 def differing_share(similarity: float) -> float:
